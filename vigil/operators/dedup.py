@@ -14,7 +14,8 @@ def new_only(events: DataFrame, seen_keys: DataFrame, key_col: str = "item_id")
     ``left_anti`` keeps events whose key is null, as the reference re-sends them.
     Both sides compare the string form of the key.
     """
-    seen = seen_keys.select(F.col("item_id").cast("string").alias("_seen_id")).distinct()
+    # state holds one row per key already (upsert groups by key), so no distinct here
+    seen = seen_keys.select(F.col("item_id").cast("string").alias("_seen_id"))
     return events.join(seen, F.col(key_col).cast("string") == F.col("_seen_id"), "left_anti")
 
 

@@ -67,14 +67,30 @@ def expire(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_D
     return active(state, now, retention_days)
 
 
+# Spark infers a partial ``WindowGroupLimit`` only up to this rank limit
+# (spark.sql.optimizer.windowGroupLimitThreshold default).
+WINDOW_GROUP_LIMIT = 1000
+
+
 def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
     """Keep the ``max_ids`` newest keys per feed (ties broken by key).
 
-    Plans to a partial ``WindowGroupLimit`` before the shuffle, so each map task
-    ships at most ``max_ids`` rows per feed.
+    Small caps use ``row_number`` with a partial ``WindowGroupLimit`` before the
+    shuffle (each map task ships at most ``max_ids`` rows per feed). Large caps
+    first count keys per feed (one row per feed reaches the driver); feeds under
+    the cap pass untouched and only feeds over it are ranked with the
+    distributed ordinal, so no feed's whole state is sorted inside one task.
     """
-    w = Window.partitionBy("feed").orderBy(F.col("seen_at").desc(), F.col("item_id").asc())
-    return (state.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_ids).drop("_rk"))
+    if max_ids <= WINDOW_GROUP_LIMIT:
+        w = Window.partitionBy("feed").orderBy(F.col("seen_at").desc(), F.col("item_id").asc())
+        return state.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_ids).drop("_rk")
+    over = [r["feed"] for r in state.groupBy("feed").count().filter(F.col("count") > max_ids).collect()]
+    if not over:
+        return state
+    keep = state.filter(~F.col("feed").isin(*over))
+    big = state.filter(F.col("feed").isin(*over))
+    ranked = with_ordinal(big, [F.col("seen_at").desc(), F.col("item_id").asc()], by=["feed"], name="_rk")
+    return keep.unionByName(ranked.filter(F.col("_rk") <= max_ids).select(*state.columns))
 
 
 def upsert(state: DataFrame, new: DataFrame) -> DataFrame:

@@ -76,10 +76,10 @@ def state_out(df: DataFrame) -> DataFrame:
     return df.select("feed", "item_id", seen_us())
 
 
-def new_active(spark: SparkSession, d: str) -> DataFrame:
+def new_active(spark: SparkSession, d: str, state: DataFrame | None = None) -> DataFrame:
     """Active-severity vulnerabilities not in live state (first run, no mark)."""
-    return feeds.run_incremental(REGISTRY["vulnerability"], vuln_source(spark, d), L.state(spark, d), NOW,
-                                 retention_days=RET)
+    st = L.state(spark, d) if state is None else state
+    return feeds.run_incremental(REGISTRY["vulnerability"], vuln_source(spark, d), st, NOW, retention_days=RET)
 
 
 NEW_ACTIVE_SQL = f"""new_active AS (
@@ -205,13 +205,10 @@ def active_wrapped(spark, d, dedup_state: bool = False) -> DataFrame:
 
 def envelope_scalars(env: DataFrame) -> DataFrame:
     """Scalars parsed back from delivered JSON lines."""
-    return env.select(F.get_json_object("event", "$.vuln_key").alias("vuln_key"),
-                      F.get_json_object("event", "$.plugin_id").cast("bigint").alias("plugin_id"),
-                      F.get_json_object("event", "$.port").cast("int").alias("port"),
-                      F.get_json_object("event", "$.protocol").alias("protocol"),
-                      F.get_json_object("event", "$.severity").alias("severity"),
-                      "sourcetype", "source", F.col("index").alias("event_index"), "host", "time",
-                      F.col("fields.feed_type").alias("feed_type"), F.col("fields.feed_name").alias("feed_name"))
+    ev = env.withColumn("ev", F.from_json("event", EVENT_SCHEMA))   # one parse per line
+    return ev.select("ev.vuln_key", "ev.plugin_id", "ev.port", "ev.protocol", "ev.severity",
+                     "sourcetype", "source", F.col("index").alias("event_index"), "host", "time",
+                     F.col("fields.feed_type").alias("feed_type"), F.col("fields.feed_name").alias("feed_name"))
 
 
 @register("sink_outbox", V(f"""
@@ -269,9 +266,10 @@ SELECT feed, item_id, epoch_us(seen_at) AS seen_us FROM kept WHERE rk <= {STATE_
                              "v_vulns_keyed", "v_state"))
 def state_commit(spark, d):
     """Upsert delivered keys, apply retention + cap, write the snapshot, read it back."""
-    new = new_active(spark, d).select(F.lit("vulnerability").alias("feed"), "item_id",
-                                      F.timestamp_seconds(F.lit(NOW)).alias("seen_at"))
-    merged = S.flush(S.upsert(L.state(spark, d), new), NOW, RET, STATE_COMMIT_MAX_IDS)
+    st = L.state(spark, d)
+    new = new_active(spark, d, st).select(F.lit("vulnerability").alias("feed"), "item_id",
+                                          F.timestamp_seconds(F.lit(NOW)).alias("seen_at"))
+    merged = S.flush(S.upsert(st, new), NOW, RET, STATE_COMMIT_MAX_IDS)
     base = work_dir(spark, "state-commit")
     S.commit(merged, base, version=1)
     return state_out(S.load(spark, base))

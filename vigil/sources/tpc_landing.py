@@ -22,8 +22,24 @@ STATE_FEED_2 = "fixed_vulnerability"
 # -----------------------------------------------------------------------------------
 
 
+_SPLITS: dict[str, int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A landed table; rebalanced only when it yields fewer splits than task slots.
+
+    A large landing zone has far more splits than slots and is read as is. A
+    small one (few files, one row group each) would leave most slots idle for
+    every per-row stage before the first shuffle; a round-robin repartition
+    (deterministic on retry: rows are sorted before distribution) spreads it.
+    Column pruning and filters still push below the repartition into the scan.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    slots = spark.sparkContext.defaultParallelism
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    return df.repartition(slots) if _SPLITS[path] < slots else df
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,11 @@ def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: i
                        max_ids: int, record_cols: list[str]):
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        slots = spark.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < slots:
+            # few landed files in this trigger: spread the per-row work (and the
+            # gzip outbox, one unsplittable file per task) over all slots
+            batch = batch.repartition(slots)
         current = S.load(spark, state_base)
         rows = feeds.extract(spec, vuln_records(batch))
         seen = S.active_keys(current, now, retention_days, feed=spec.feed_type)
@@ -86,11 +91,8 @@ def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool =
          .trigger(availableNow=True).start())
     q.awaitTermination()
     env = sink.read_outbox(spark, outbox)
-    events = env.select(F.get_json_object("event", "$.vuln_key").alias("vuln_key"),
-                        F.get_json_object("event", "$.asset_uuid").alias("asset_uuid"),
-                        F.get_json_object("event", "$.plugin_id").cast("bigint").alias("plugin_id"),
-                        F.get_json_object("event", "$.port").cast("int").alias("port"),
-                        F.get_json_object("event", "$.protocol").alias("protocol"),
-                        F.get_json_object("event", "$.severity").alias("severity"),
-                        "sourcetype", "time")
+    schema = "vuln_key string, asset_uuid string, plugin_id bigint, port int, protocol string, severity string"
+    ev = env.withColumn("ev", F.from_json("event", schema))
+    events = ev.select("ev.vuln_key", "ev.asset_uuid", "ev.plugin_id", "ev.port", "ev.protocol", "ev.severity",
+                       "sourcetype", "time")
     return {"events": events, "state": S.load(spark, state_base)}
