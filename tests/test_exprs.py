@@ -1,0 +1,79 @@
+from pyspark.sql import functions as F
+
+from vigil.functions import exprs as X
+
+# Section A cases: input -> epoch seconds
+TS_CASES = [
+    ("2025-11-30T13:15:42.022Z", 1764508542),
+    ("2025-11-30T13:15:42Z", 1764508542),
+    ("2025-1-3T1:2:3Z", 1735866123),
+    ("2025-11-30T13:15:42.1234567Z", 0),
+    ("1733500000", 1733500000),
+    ("1733500000.9", 1733500000),
+    ("-1.5", -1),
+    ("1e3", 1000),
+    (" 12 ", 12),
+    ("nan", 0),
+    ("junk", 0),
+    ("", 0),
+    (None, 0),
+]
+
+
+def test_parse_timestamp_cases(spark):
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(TS_CASES)], "i int, s string")
+    got = {r.i: r.e for r in df.select("i", X.parse_timestamp("s").alias("e")).collect()}
+    for i, (_, want) in enumerate(TS_CASES):
+        assert got[i] == want, TS_CASES[i]
+
+
+def test_vuln_key_defaults_and_split(spark):
+    df = spark.createDataFrame(
+        [("a1", 10, 443, "tcp"), ("a2", 11, None, None), (None, None, None, "udp")],
+        "u string, p bigint, port int, proto string")
+    keys = [r.k for r in df.select(X.vuln_key("u", "p", "port", "proto").alias("k")).collect()]
+    assert keys == ["a1_10_443_tcp", "a2_11_0_tcp", "unknown_unknown_0_udp"]
+    parts = spark.createDataFrame([("a_b",), ("x_1_2_udp",)], "k string").select(
+        *[c.alias(n) for n, c in X.vuln_key_parts("k").items()]).collect()
+    assert tuple(parts[0]) == ("a", "b", "0", "tcp")
+    assert tuple(parts[1]) == ("x", "1", "2", "udp")
+
+
+def test_compliance_key(spark):
+    df = spark.createDataFrame([(1, 2, 3), (1, 2, None)], "s bigint, h bigint, p bigint")
+    assert [r.k for r in df.select(X.compliance_key("s", "h", "p").alias("k")).collect()] == ["1_2_3", "1_2_unknown"]
+
+
+def test_json_keeps_nulls(spark):
+    df = spark.createDataFrame([("k", None)], "a string, b string")
+    j = df.select(X.to_json_keep_nulls(F.struct("a", "b")).alias("j")).first().j
+    assert j == '{"a":"k","b":null}'
+    # the default writer would drop the null field
+    assert df.select(F.to_json(F.struct("a", "b")).alias("j")).first().j == '{"a":"k"}'
+
+
+def test_guarded_rates(spark):
+    df = spark.createDataFrame([(10, 0), (10, 4), (5, None)], "n bigint, e bigint")
+    r = df.select(X.guarded_rate("n", "e", 2).alias("r"), X.floored_rate("n", "e", 2).alias("f")).collect()
+    assert [x.r for x in r] == [0.0, 2.5, 0.0]
+    assert r[0].f == 10000.0 and r[1].f == 2.5
+
+
+def test_status_classes(spark):
+    df = spark.createDataFrame([(200,), (429,), (503,), (400,), (None,), (500,)], "s int")
+    out = [r.o for r in df.select(X.delivery_outcome("s").alias("o")).collect()]
+    assert out == ["delivered", "retryable", "retryable", "dropped", "retryable", "retryable"]
+    thr = [r.t for r in df.select(X.is_throttle("s").alias("t")).collect()]
+    assert thr == [False, True, True, False, True, False]
+
+
+def test_throughput_status(spark):
+    df = spark.createDataFrame([(5.0,), (4.0,), (6.0,), (499.0,), (500.0,)], "d double")
+    assert [r.s for r in df.select(X.throughput_status("d").alias("s")).collect()] == [
+        "FAST", "FAST", "ADAPTIVE", "ADAPTIVE", "THROTTLED"]
+
+
+def test_scan_gate(spark):
+    now = 1_000_000
+    df = spark.createDataFrame([(0,), (now - 3600 * 23,), (now - 3600 * 24,), (None,)], "last bigint")
+    assert [r.d for r in df.select(X.scan_due(now, "last", 24).alias("d")).collect()] == [True, False, True, True]

@@ -192,6 +192,21 @@ def load(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(STATE_SCHEMA).parquet(f"{base.rstrip('/')}/v={v}/state")
 
 
+def load_version(spark: SparkSession, base: str, version: int) -> DataFrame:
+    """Snapshot ``version`` exactly (empty when it was never written).
+
+    A replayed micro-batch reads the same pre-batch snapshot again, so its output
+    and its next snapshot are identical to the first attempt.
+    """
+    path = f"{base.rstrip('/')}/v={int(version)}/state"
+    try:
+        return spark.read.schema(STATE_SCHEMA).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return empty_state(spark)
+        raise
+
+
 def load_marks(spark: SparkSession, base: str) -> DataFrame:
     v = current_version(spark, base)
     if v is None:

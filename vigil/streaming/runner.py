@@ -51,7 +51,7 @@ def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: i
             # few landed files in this trigger: spread the per-row work (and the
             # gzip outbox, one unsplittable file per task) over all slots
             batch = batch.repartition(slots)
-        current = S.load(spark, state_base)
+        current = S.load_version(spark, state_base, batch_id)   # pre-batch snapshot
         rows = feeds.extract(spec, vuln_records(batch))
         seen = S.active_keys(current, now, retention_days, feed=spec.feed_type)
         new = dedup.new_only(rows, seen, "item_id")
@@ -73,18 +73,28 @@ def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: i
 def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool = True,
                            feed: str = "vulnerability", now: int = L.NOW_TPC,
                            retention_days: int = L.STATE_RETENTION_DAYS, max_ids: int = S.DEFAULT_MAX_IDS,
-                           max_files_per_trigger: int | None = None) -> dict[str, DataFrame]:
-    """One incremental run of a vulnerability feed over the landed lineitem files."""
+                           max_files_per_trigger: int | None = None, source_dir: str | None = None,
+                           source_glob: str = "lineitem.parquet", root: str | None = None,
+                           initial_state: DataFrame | None = None) -> dict[str, DataFrame]:
+    """One incremental run of a vulnerability feed over landed lineitem-shaped files.
+
+    ``root`` holds state, outbox and the stream checkpoint; passing the same root
+    again continues from the committed offsets and state (a later run).
+    """
     spec = REGISTRY[feed]
-    root = work_dir(spark, "stream")
+    root = root or work_dir(spark, "stream")
     state_base, outbox, ckpt = f"{root}/state", f"{root}/outbox", f"{root}/_checkpoint"
-    if with_state:
-        S.commit(L.state(spark, sf_dir), state_base, version=0)
-    src = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    reader = spark.readStream.schema(src.schema).option("pathGlobFilter", "lineitem.parquet")
+    if S.current_version(spark, state_base) is None:   # first run on this root
+        if initial_state is not None:
+            S.commit(initial_state, state_base, version=0)
+        elif with_state:
+            S.commit(L.state(spark, sf_dir), state_base, version=0)
+    src_dir = source_dir or sf_dir
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", source_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.parquet(sf_dir)
+    stream = reader.parquet(src_dir)
     record_cols = ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"]
     handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, record_cols)
     q = (stream.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
