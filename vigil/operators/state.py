@@ -84,6 +84,9 @@ def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
     if max_ids <= WINDOW_GROUP_LIMIT:
         w = Window.partitionBy("feed").orderBy(F.col("seen_at").desc(), F.col("item_id").asc())
         return state.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_ids).drop("_rk")
+    # materialise once in the shared checkpoint folder: the per-feed count, the
+    # ranking and the snapshot write then read it instead of re-running the lineage
+    state = state.checkpoint(eager=True)
     over = [r["feed"] for r in state.groupBy("feed").count().filter(F.col("count") > max_ids).collect()]
     if not over:
         return state

@@ -30,8 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     A large landing zone has far more splits than slots and is read as is. A
     small one (few files, one row group each) would leave most slots idle for
-    every per-row stage before the first shuffle; a round-robin repartition
-    (deterministic on retry: rows are sorted before distribution) spreads it.
+    every per-row stage before the first shuffle. Hash-partitioning on the first
+    (key) column spreads it deterministically -- a retried task sees the same
+    rows -- without the full local sort a deterministic round-robin needs.
     Column pruning and filters still push below the repartition into the scan.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -39,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     slots = spark.sparkContext.defaultParallelism
     if path not in _SPLITS:
         _SPLITS[path] = df.rdd.getNumPartitions()
-    return df.repartition(slots) if _SPLITS[path] < slots else df
+    return df.repartition(slots, df.columns[0]) if _SPLITS[path] < slots else df
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,19 +115,21 @@ def vulns_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state(spark: SparkSession, sf_dir: str, second_feed: bool = True) -> DataFrame:
-    """Keys delivered earlier: ``feed, item_id, seen_at`` (one row per key)."""
+    """Keys delivered earlier: ``feed, item_id, seen_at`` (one row per key).
+
+    Both feeds come out of one scan: each row is tagged with the feeds whose
+    snapshot it belongs to, then one aggregate keeps the newest sighting.
+    """
     k = vulns_keyed(spark, sf_dir)
-    first = (k.filter(F.col("snapshot_id") % 4 == 0).groupBy("vuln_key")
-             .agg(F.max("last_found").alias("seen_at"))
-             .select(F.lit(STATE_FEED).alias("feed"), F.col("vuln_key").alias("item_id"),
-                     F.col("seen_at").cast("timestamp").alias("seen_at")))
-    if not second_feed:
-        return first
-    second = (k.filter(F.col("snapshot_id") % 5 == 0).groupBy("vuln_key")
-              .agg(F.max("last_found").alias("seen_at"))
-              .select(F.lit(STATE_FEED_2).alias("feed"), F.col("vuln_key").alias("item_id"),
-                      F.col("seen_at").cast("timestamp").alias("seen_at")))
-    return first.unionByName(second)
+    sid = F.col("snapshot_id")
+    tags = [F.when(sid % 4 == 0, F.lit(STATE_FEED))]
+    if second_feed:
+        tags.append(F.when(sid % 5 == 0, F.lit(STATE_FEED_2)))
+    pre = (sid % 4 == 0) | (sid % 5 == 0) if second_feed else (sid % 4 == 0)
+    tagged = k.filter(pre).select(F.explode(F.array(*tags)).alias("feed"), "vuln_key", "last_found").filter(
+        F.col("feed").isNotNull())
+    return (tagged.groupBy("feed", "vuln_key").agg(F.max("last_found").alias("seen_at"))
+            .select("feed", F.col("vuln_key").alias("item_id"), F.col("seen_at").cast("timestamp").alias("seen_at")))
 
 
 def prev_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: i
         if batch.rdd.getNumPartitions() < slots:
             # few landed files in this trigger: spread the per-row work (and the
             # gzip outbox, one unsplittable file per task) over all slots
-            batch = batch.repartition(slots)
+            batch = batch.repartition(slots, "l_orderkey")
         current = S.load_version(spark, state_base, batch_id)   # pre-batch snapshot
         rows = feeds.extract(spec, vuln_records(batch))
         seen = S.active_keys(current, now, retention_days, feed=spec.feed_type)
