@@ -39,9 +39,10 @@ def completed_since(scans: DataFrame, mark: int, modified_col: str = "modified_e
 def compliance_tree(scans: DataFrame, hosts: DataFrame, items: DataFrame) -> DataFrame:
     """Scan x host x compliance item; scans without hosts and hosts without items drop out.
 
-    The item side is joined to hosts on ``(scan_id, host_id)`` first -- both big
-    sides shuffle once on the same keys -- and the already-filtered scan list is
-    joined last on ``scan_id``.
+    The (usually selective) scan list -- completed, newer than the mark -- is
+    joined to the hosts first, so the largest side, the items, is joined once to
+    an already-reduced host list on ``(scan_id, host_id)``; Spark's runtime
+    bloom-filter join can then prune the item scan before its shuffle.
     """
-    hi = items.join(hosts, ["scan_id", "host_id"])
-    return hi.join(scans.select("scan_id", "scan_name"), "scan_id")
+    sh = hosts.join(scans.select("scan_id", "scan_name"), "scan_id")
+    return items.join(sh, ["scan_id", "host_id"])

@@ -449,10 +449,8 @@ SELECT vuln_key, 'vulnerability_self_scan', 'vulnerabilities', 'vulnerability_se
        'Agent-Based Vulnerabilities', 'vm:vulnerability:self_scan'
 FROM v_vulns_keyed WHERE state = 'OPEN' AND COALESCE(asset_has_agent, false)""", "v_vulns_keyed"))
 def event_classified(spark, d):
-    src = vuln_source(spark, d)
-    parts = [feeds.extract(REGISTRY[f], src).select(F.col("item_id").alias("vuln_key"), F.lit(f).alias("feed"))
-             for f in ("vulnerability", "vulnerability_no_info", "vulnerability_self_scan")]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    specs = [REGISTRY[f] for f in ("vulnerability", "vulnerability_no_info", "vulnerability_self_scan")]
+    u = feeds.extract_many(specs, vuln_source(spark, d)).select(F.col("item_id").alias("vuln_key"), "feed")
     tagged = envelope.classify(u, registry_frame(spark))
     return tagged.select("vuln_key", "feed", "feed_group", "feed_type", "feed_name", "sourcetype")
 
@@ -551,9 +549,8 @@ SELECT o.feed, CAST(o.last_timestamp AS BIGINT) AS old_mark, CAST(COALESCE(e.n,
             AS BIGINT) AS new_mark
 FROM old o LEFT JOIN ev e ON o.feed = e.feed""", "v_vulns_keyed"))
 def watermark_clock(spark, d):
-    src = vuln_source(spark, d)
-    parts = [feeds.extract(REGISTRY[f], src, mark=m).select(F.lit(f).alias("feed")) for f, m in CLOCK_MARKS]
-    emitted = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    specs = [REGISTRY[f] for f, _ in CLOCK_MARKS]
+    emitted = feeds.extract_many(specs, vuln_source(spark, d), marks=dict(CLOCK_MARKS)).select("feed")
     old = spark.createDataFrame(list(CLOCK_MARKS), "feed string, last_timestamp bigint")
     return watermark.clock_mark(emitted, old, NOW)
 

@@ -24,6 +24,29 @@ def extract(spec: FeedSpec, source: DataFrame, mark: int | None = None, include_
     return df.transform(spec.transform) if spec.transform else df
 
 
+def extract_many(specs: list[FeedSpec], source: DataFrame, marks: dict[str, int] | None = None,
+                 include_unlicensed: bool = True, lateness_s: int = 0) -> DataFrame:
+    """Several feeds over one shared source in a single scan.
+
+    Each row is tagged with every feed whose predicates it meets (``explode`` of
+    a ``CASE`` array), and the feed's own key is computed per tag. A group of
+    feeds reads its export once instead of once per feed.
+    """
+    marks = marks or {}
+    tags, keys = [], None
+    for spec in specs:
+        preds = [spec.predicate() if spec.predicate else None]
+        if spec.source == "vulns":
+            preds.append(P.licensed(include_unlicensed))
+        if spec.mode == "incremental" and spec.epoch_col:
+            preds.append(P.since(spec.epoch_col, marks.get(spec.feed), lateness_s))
+        tags.append(F.when(P.all_of(*preds), F.lit(spec.feed)))
+        k = spec.key()
+        keys = F.when(F.col("feed") == spec.feed, k) if keys is None else keys.when(F.col("feed") == spec.feed, k)
+    tagged = source.withColumn("feed", F.explode(F.array(*tags))).filter(F.col("feed").isNotNull())
+    return tagged.withColumn("item_id", keys)
+
+
 def run_incremental(spec: FeedSpec, source: DataFrame, state: DataFrame, now: int, mark: int | None = None,
                     retention_days: int = S.DEFAULT_RETENTION_DAYS, include_unlicensed: bool = True,
                     max_events: int = 0, lateness_s: int = 0, within_run: str | None = None,
