@@ -47,27 +47,59 @@ def extract_many(specs: list[FeedSpec], source: DataFrame, marks: dict[str, int]
     return tagged.withColumn("item_id", keys)
 
 
+# Caps up to this size use Spark's top-k (TakeOrderedAndProject); larger caps rank
+# with the distributed ordinal so no single task merges the whole cap.
+TOPK_CAP = 100_000
+
+
+def cap_rows(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
+    """The first ``n`` rows in ``order_cols`` order (a total order)."""
+    if n <= TOPK_CAP:
+        return df.orderBy(*order_cols).limit(int(n))
+    from ..operators.ordinal import with_ordinal
+    return with_ordinal(df, order_cols, name="_cap_rn").filter(F.col("_cap_rn") <= n).drop("_cap_rn")
+
+
 def run_incremental(spec: FeedSpec, source: DataFrame, state: DataFrame, now: int, mark: int | None = None,
                     retention_days: int = S.DEFAULT_RETENTION_DAYS, include_unlicensed: bool = True,
                     max_events: int = 0, lateness_s: int = 0, within_run: str | None = None,
-                    order_cols: tuple[str, ...] = ()) -> DataFrame:
-    """New events of one incremental feed (``feed`` + ``item_id`` + the record columns)."""
+                    order_cols: tuple[str, ...] = (), version_col: str | None = None) -> DataFrame:
+    """New events of one incremental feed (``feed`` + ``item_id`` + the record columns).
+
+    ``version_col`` adds a change marker (e.g. ``updated_epoch``) to the dedup key so
+    a changed record is delivered again instead of waiting for its key to expire.
+    """
     rows = extract(spec, source, mark, include_unlicensed, lateness_s)
+    rows = dedup.identity_key(rows, "item_id", version_col)
     seen = S.active_keys(state, now, retention_days, feed=spec.feed_type)
     new = dedup.new_only(rows, seen, "item_id")
     if within_run == "first":
         keep = [c for c in new.columns if c not in ("item_id", *order_cols)]
         new = dedup.first_per_key(new, "item_id", list(order_cols), keep)
     if max_events and spec.honours_cap:
-        new = new.orderBy("item_id", *order_cols).limit(int(max_events))
+        new = cap_rows(new, int(max_events), ["item_id", *order_cols])
     return new.withColumn("feed", F.lit(spec.feed))
 
 
+class SnapshotTooSmall(RuntimeError):
+    """The current snapshot is implausibly small next to the previous one."""
+
+
 def run_snapshot_diff(spec: FeedSpec, source: DataFrame, state: DataFrame, now: int,
-                      retention_days: int = S.DEFAULT_RETENTION_DAYS) -> DataFrame:
-    """Keys in this feed's own state that the current snapshot lacks."""
+                      retention_days: int = S.DEFAULT_RETENTION_DAYS,
+                      min_snapshot_ratio: float | None = None) -> DataFrame:
+    """Keys in this feed's own state that the current snapshot lacks.
+
+    ``min_snapshot_ratio`` refuses to report deletions when the current snapshot
+    holds fewer than that share of the previous keys (an empty-but-successful
+    export would otherwise report everything gone). Off by default (parity).
+    """
     current = extract(spec, source).select(F.col("item_id").alias("k"))
     prev = S.active_keys(state, now, retention_days, feed=spec.feed_type).select(F.col("item_id").alias("k"))
+    if min_snapshot_ratio:
+        n_prev, n_curr = prev.count(), current.select("k").distinct().count()   # two scalars
+        if not diff.min_ratio_ok(n_prev, n_curr, min_snapshot_ratio):
+            raise SnapshotTooSmall(f"{spec.feed}: {n_curr} current keys vs {n_prev} previous")
     gone = diff.vanished(prev, current, "k")
     if spec.source == "assets":
         return diff.deletion_events(gone, now, "k")

@@ -39,6 +39,7 @@ class RunResult:
     new_mark: int
     truncated: bool
     seconds: float
+    skipped: bool = False
 
 
 def _old_mark(marks: DataFrame, feed: str) -> int:
@@ -49,24 +50,32 @@ def _old_mark(marks: DataFrame, feed: str) -> int:
 def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base: str, outbox_base: str,
              now: int, run_id: int, record_cols: list[str], *, retention_days: int = S.DEFAULT_RETENTION_DAYS,
              max_ids: int = S.DEFAULT_MAX_IDS, max_events: int = 0, batch_size: int = 5000,
-             transport: Transport = all_delivered) -> RunResult:
+             transport: Transport = all_delivered, version_col: str | None = None,
+             scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None) -> RunResult:
     t0 = time.time()
     current = S.load(spark, state_base)
     marks = S.load_marks(spark, state_base)
     old = _old_mark(marks, spec.feed)
+    last_full_scan = None
+    if spec.mode == "snapshot_diff" and scan_interval_h:
+        row = marks.filter(F.col("feed") == spec.feed).select("last_full_scan").first()
+        last_full_scan = int(row[0]) if row is not None and row[0] is not None else 0
+        if last_full_scan > 0 and (int(now) - last_full_scan) / 3600.0 < float(scan_interval_h):
+            return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
     if spec.mode == "snapshot_diff":
-        events = feeds.run_snapshot_diff(spec, source, current, now, retention_days)
+        events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio)
         key_col = "asset_id" if spec.source == "assets" else "vulnerability_key"
         events = events.withColumn("item_id", F.col(key_col))
         current_keys = feeds.extract(spec, source).select("item_id")
     else:
-        events = feeds.run_incremental(spec, source, current, now, mark=old, retention_days=retention_days)
+        events = feeds.run_incremental(spec, source, current, now, mark=old, retention_days=retention_days,
+                                       version_col=version_col)
         current_keys = None
     events = events.persist()
     available = events.count()
     truncated = bool(max_events and spec.honours_cap and available > max_events)
     if truncated:
-        events = events.orderBy("item_id").limit(int(max_events))
+        events = feeds.cap_rows(events, int(max_events), ["item_id"])
     n_events = min(available, max_events) if truncated else available
     n_batches = max(1, math.ceil(n_events / max(1, batch_size)))
     batched = events.withColumn("batch_id", F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(n_batches)))
@@ -99,7 +108,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     else:
         new_mark = old
     other = marks.filter(F.col("feed") != spec.feed)
-    mine = spark.createDataFrame([(spec.feed, new_mark, None, int(now))],
+    full_scan = int(now) if spec.mode == "snapshot_diff" else last_full_scan
+    mine = spark.createDataFrame([(spec.feed, new_mark, full_scan, int(now))],
                                  "feed string, last_timestamp bigint, last_full_scan bigint, last_cleanup bigint")
     version = (S.current_version(spark, state_base) or 0) + 1
     S.commit(merged, state_base, version, marks=other.unionByName(mine))
@@ -109,3 +119,36 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
 
 def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int, feed: str) -> DataFrame:
     return sink.read_outbox(spark, f"{outbox_base.rstrip('/')}/run={int(run_id)}/feed={feed}")
+
+
+def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str]]], state_base: str,
+             outbox_base: str, log_base: str, now: int, run_id: int, **kw) -> DataFrame:
+    """Run several feeds; a failing feed is recorded and does not stop the others.
+
+    Appends one ``run_log`` row per feed (status ``ok`` / ``skipped`` / ``error``)
+    and one ``error_log`` row per failure, then returns the run summary computed
+    from those logs.
+    """
+    import datetime as dt
+
+    from ..operators import metrics
+
+    runs, errors = [], []
+    ts = dt.datetime.fromtimestamp(int(now), dt.timezone.utc).replace(tzinfo=None)
+    for spec, source, cols in jobs:
+        try:
+            r = run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols, **kw)
+            runs.append((str(run_id), spec.feed, spec.group, r.events, float(r.seconds),
+                         "skipped" if r.skipped else "ok", ts))
+        except Exception as e:  # noqa: BLE001 -- recorded, the run goes on
+            runs.append((str(run_id), spec.feed, spec.group, 0, 0.0, "error", ts))
+            errors.append((spec.feed, f"{type(e).__name__}: {e}"[:2000], ts))
+    run_schema = ("run_id string, feed string, feed_group string, event_count bigint, duration double, "
+                  "status string, ts timestamp_ntz")
+    err_schema = "feed string, error string, ts timestamp_ntz"
+    spark.createDataFrame(runs, run_schema).write.mode("append").parquet(f"{log_base}/run_log")
+    spark.createDataFrame(errors, err_schema).write.mode("append").parquet(f"{log_base}/error_log")
+    run_log = spark.read.parquet(f"{log_base}/run_log").filter(F.col("run_id") == str(run_id))
+    error_log = spark.read.parquet(f"{log_base}/error_log").filter(F.col("ts") == F.lit(ts))
+    summary = metrics.run_summary(run_log.withColumnRenamed("duration", "duration_s"), error_log)
+    return summary.withColumn("failed_feeds", F.lit(sum(1 for r in runs if r[5] == "error")).cast("bigint"))
