@@ -47,3 +47,25 @@ def test_second_run_on_same_root_emits_nothing_new(spark, tmp_root):
     assert n1 > 0
     assert second["events"].count() == n1          # outbox holds only run-1 lines
     assert second["state"].count() == state1
+
+
+def test_daemon_mode_processes_new_files_until_stopped(spark, tmp_root):
+    from vigil.streaming.runner import _outputs, start_daemon
+
+    root = os.path.join(tmp_root, "daemon")
+    src = os.path.join(tmp_root, "landing")
+    os.makedirs(src)
+    t = pq.read_table(f"{SF}/lineitem.parquet")
+    pq.write_table(t.slice(0, 500), os.path.join(src, "part-0.parquet"))
+    q = start_daemon(spark, SF, 1, root, source_dir=src, source_glob="part-*.parquet")
+    try:
+        q.processAllAvailable()
+        first = _outputs(spark, f"{root}/outbox", f"{root}/state")["events"].count()
+        pq.write_table(t.slice(500, 500), os.path.join(src, "part-1.parquet"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = _outputs(spark, f"{root}/outbox", f"{root}/state")
+    assert 0 < first < out["events"].count()
+    keys = out["events"].select("vuln_key").distinct().count()
+    assert out["state"].count() == keys

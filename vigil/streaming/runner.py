@@ -100,7 +100,29 @@ def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool =
     q = (stream.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    env = sink.read_outbox(spark, outbox)
+    return _outputs(spark, outbox, state_base)
+
+
+def start_daemon(spark: SparkSession, sf_dir: str, interval_s: int, root: str, source_dir: str | None = None,
+                 source_glob: str = "lineitem.parquet", feed: str = "vulnerability", now: int = L.NOW_TPC,
+                 retention_days: int = L.STATE_RETENTION_DAYS, max_ids: int = S.DEFAULT_MAX_IDS):
+    """Continuous mode: the same commit protocol every ``interval_s`` seconds.
+
+    Returns the running ``StreamingQuery``; ``query.stop()`` is the shutdown (the
+    current micro-batch finishes; its state commit happens inside the batch).
+    """
+    spec = REGISTRY[feed]
+    state_base, outbox, ckpt = f"{root}/state", f"{root}/outbox", f"{root}/_checkpoint"
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", source_glob).parquet(source_dir or sf_dir)
+    record_cols = ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"]
+    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, record_cols)
+    return (stream.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
+            .trigger(processingTime=f"{int(interval_s)} seconds").start())
+
+
+def _outputs(spark: SparkSession, outbox: str, state_base: str) -> dict[str, DataFrame]:
+    env = sink.read_outbox(spark, outbox)   # every batch folder of this root
     schema = "vuln_key string, asset_uuid string, plugin_id bigint, port int, protocol string, severity string"
     ev = env.withColumn("ev", F.from_json("event", schema))
     events = ev.select("ev.vuln_key", "ev.asset_uuid", "ev.plugin_id", "ev.port", "ev.protocol", "ev.severity",
