@@ -44,3 +44,22 @@ def test_first_per_key_is_partial_aggregate(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     p = plan(dedup.first_per_key(df, "k", ["t"]))
     assert "partial_min" in p and "Window" not in p
+
+
+def test_incremental_mark_prunes_ingest_partitions(spark, tmp_root):
+    import json
+
+    from vigil.plans import feeds
+    from vigil.sources import readers
+
+    for day, ts in (("2026-01-01", "2026-01-01T10:00:00Z"), ("2026-01-05", "2026-01-05T10:00:00Z")):
+        d = os.path.join(tmp_root, "assets", f"ingest_date={day}")
+        os.makedirs(d)
+        with open(os.path.join(d, "part-0.json"), "w") as f:
+            f.write(json.dumps({"id": day, "updated_at": ts, "is_deleted": False}) + "\n")
+    a = readers.assets(spark, os.path.join(tmp_root, "assets"))
+    mark = 1767571200                                   # 2026-01-05 00:00:00
+    df = feeds.extract(R.REGISTRY["asset"], a, mark=mark)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in p and "ingest_date#" in p
+    assert [r.item_id for r in df.collect()] == ["2026-01-05"]

@@ -51,6 +51,20 @@ def since(epoch_col: str, mark: int | None, lateness_s: int = 0) -> Column | Non
     return F.col(epoch_col) > F.lit(int(mark) - int(lateness_s))
 
 
+INGEST_PARTITION = "ingest_date"
+
+
+def landed_since(columns, mark: int | None, lateness_s: int = 0) -> Column | None:
+    """Partition-pruning twin of ``since`` for a landing zone partitioned by ingest date.
+
+    A record changed after the mark was landed on or after the mark's date, so
+    whole ``ingest_date`` partitions before it are skipped at planning time.
+    """
+    if INGEST_PARTITION not in columns or not mark or int(mark) <= 0:
+        return None
+    return F.col(INGEST_PARTITION) >= F.to_date(F.timestamp_seconds(F.lit(int(mark) - int(lateness_s))))
+
+
 def all_of(*preds: Column | None) -> Column:
     out = None
     for p in preds:

@@ -166,12 +166,16 @@ def state_load(spark, d):
     return state_out(S.load(spark, base))
 
 
+LEGACY_PAGE = 1000
+
+
 @register("state_migrate_legacy", V(
     "SELECT feed, item_id, CAST(1007164800000000 AS BIGINT) AS seen_us FROM v_state", "v_state"))
 def state_migrate_legacy(spark, d):
     st = L.state(spark, d)
-    # legacy documents: one id list per feed, landed in pages of bounded size
-    legacy = st.groupBy("feed", F.pmod(F.xxhash64("item_id"), F.lit(64)).alias("page")).agg(
+    # legacy documents: one id list per feed, landed in pages of ~LEGACY_PAGE ids
+    n_pages = max(1, -(-st.count() // LEGACY_PAGE))                 # one scalar
+    legacy = st.groupBy("feed", F.pmod(F.xxhash64("item_id"), F.lit(n_pages)).alias("page")).agg(
         F.collect_list("item_id").alias("processed_ids"))
     return state_out(S.migrate_legacy(legacy, NOW))
 

@@ -19,6 +19,7 @@ def extract(spec: FeedSpec, source: DataFrame, mark: int | None = None, include_
         preds.append(P.licensed(include_unlicensed))
     if spec.mode == "incremental" and spec.epoch_col:
         preds.append(P.since(spec.epoch_col, mark, lateness_s))
+        preds.append(P.landed_since(source.columns, mark, lateness_s))
     df = source.filter(P.all_of(*preds))
     df = df.withColumn("item_id", spec.key())
     return df.transform(spec.transform) if spec.transform else df

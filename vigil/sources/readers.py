@@ -56,9 +56,15 @@ LEGACY_STATE_SCHEMA = StructType([StructField("feed", StringType()),
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON-lines documents -> parsed columns + ``raw`` (the original line)."""
+    """JSON-lines documents -> parsed columns + ``raw`` (the original line).
+
+    Partition folders of the landing zone (e.g. ``ingest_date=2026-01-05``) come
+    through as columns, so predicates on them prune whole folders.
+    """
     lines = spark.read.text(path)
-    return lines.select(F.from_json("value", schema).alias("d"), F.col("value").alias("raw")).select("d.*", "raw")
+    parts = [c for c in lines.columns if c != "value"]
+    return lines.select(F.from_json("value", schema).alias("d"), F.col("value").alias("raw"), *parts).select(
+        "d.*", "raw", *parts)
 
 
 def assets(spark: SparkSession, path: str) -> DataFrame:
