@@ -55,19 +55,9 @@ def vuln_source(spark: SparkSession, d: str) -> DataFrame:
     return L.nest_vulns(L.vulns(spark, d)).withColumn("last_found_epoch", X.epoch_seconds("last_found"))
 
 
-def vuln_cols(df: DataFrame) -> DataFrame:
-    return df.select(F.col("item_id").alias("vuln_key"), F.col("asset.uuid").alias("asset_uuid"),
-                     F.col("plugin.id").alias("plugin_id"), F.col("port.port").alias("port"),
-                     F.col("port.protocol").alias("protocol"), "severity")
-
-
 VULN_COLS_SQL = "vuln_key, asset_uuid, plugin_id, port, protocol, severity"
 
 
-def live_state_sql(feed: str = "vulnerability") -> str:
-    return f"SELECT item_id FROM v_state WHERE feed = '{feed}' AND seen_at > {CUTOFF_SQL}"
-
-
 def seen_us(col: str = "seen_at"):
     return X.epoch_micros(col).alias("seen_us")
 
@@ -224,6 +214,22 @@ def sink_outbox(spark, d):
     return envelope_scalars(sink.read_outbox(spark, path))
 
 
+@register("sink_delivery", V(f"""
+SELECT vuln_key, plugin_id, port, protocol, severity, {ENV_CONST_SQL}
+FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""", "v_vulns_keyed"))
+def sink_delivery(spark, d):
+    """Envelopes posted through the delivery data source (file transport), read back
+    from the delivered gzip batches; every delivery record must be a 200."""
+    from ..sources import event_sink
+
+    root = work_dir(spark, "delivery")
+    event_sink.deliver(active_wrapped(spark, d), f"file:{root}/posted", f"{root}/log", run_id="q")
+    failed = event_sink.read_delivery_log(spark, f"{root}/log").filter(F.col("status_code") != 200).count()
+    if failed:
+        raise RuntimeError(f"{failed} delivery batches failed")
+    return envelope_scalars(sink.read_outbox(spark, f"{root}/posted/*.json.gz"))
+
+
 @register("sink_event_overrides", V("""
 SELECT vuln_key,
        COALESCE(CASE WHEN state = 'FIXED' THEN 'vm:vulnerability:fixed' END, 'vm:vulnerability') AS sourcetype,

@@ -34,9 +34,22 @@ DEFAULT_MAX_RETRIES = 3
 # ---------------------------------------------------------------------------------------
 
 
+def resolve(uri: str):
+    """``(filesystem, path)`` for a local path or any URI pyarrow understands."""
+    from pyarrow import fs
+
+    if "://" in uri or uri.startswith("file:"):
+        if uri.startswith("file:") and not uri.startswith("file://"):
+            uri = "file://" + uri[len("file:"):]
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), os.path.abspath(uri)
+
+
 class FileTransport:
+    """Hand-off folder transport: one gzip file per batch, written then renamed."""
+
     def __init__(self, spec: str):
-        target = spec[len("file:"):]
+        target = spec[len("file:"):] if spec.startswith("file:") and not spec.startswith("file://") else spec
         self.fail_every = 0
         if "?" in target:
             target, query = target.split("?", 1)
@@ -44,8 +57,8 @@ class FileTransport:
                 k, _, v = part.partition("=")
                 if k == "fail":
                     self.fail_every = int(v)
-        self.dir = target
-        os.makedirs(self.dir, exist_ok=True)
+        self.fs, self.dir = resolve(target)
+        self.fs.create_dir(self.dir, recursive=True)
         self.calls = 0
 
     def post(self, batch_id: str, payload: bytes, n_events: int) -> int:
@@ -53,10 +66,10 @@ class FileTransport:
         seq = int(batch_id.rsplit("-", 1)[1])
         if self.fail_every and seq % self.fail_every == self.fail_every - 1:
             return 503
-        tmp = os.path.join(self.dir, f".{batch_id}.tmp")
-        with open(tmp, "wb") as f:
+        tmp, final = f"{self.dir}/.{batch_id}.tmp", f"{self.dir}/{batch_id}.json.gz"
+        with self.fs.open_output_stream(tmp) as f:
             f.write(payload)
-        os.replace(tmp, os.path.join(self.dir, f"{batch_id}.json.gz"))
+        self.fs.move(tmp, final)
         return 200
 
 
@@ -125,7 +138,6 @@ class EventBatchWriter(DataSourceArrowWriter):
         pid = ctx.partitionId() if ctx else 0
         transport = make_transport(self.transport_spec)
         records, seq, events, failed = [], 0, 0, 0
-        pending: list = []          # carry-over of the partition's lines across arrow batches
 
         def flush_slices(values, final: bool):
             nonlocal seq, events, failed
@@ -161,12 +173,12 @@ class EventBatchWriter(DataSourceArrowWriter):
 
         log_file = None
         if self.log_dir and records:
-            os.makedirs(self.log_dir, exist_ok=True)
+            lfs, ldir = resolve(self.log_dir)
+            lfs.create_dir(ldir, recursive=True)
             attempt = ctx.attemptNumber() if ctx else 0
-            log_file = os.path.join(self.log_dir, f"part-{self.run_id}-{pid:05d}-a{attempt}.json")
-            with open(log_file, "w") as f:
-                for r in records:
-                    f.write(json.dumps(r) + "\n")
+            log_file = f"{ldir}/part-{self.run_id}-{pid:05d}-a{attempt}.json"
+            with lfs.open_output_stream(log_file) as f:
+                f.write("".join(json.dumps(r) + "\n" for r in records).encode("utf-8"))
         return TaskSummary(pid, seq, events, failed, log_file)
 
     def commit(self, messages):
