@@ -67,3 +67,21 @@ def test_cap_rows_large_path(spark):
     finally:
         feeds.TOPK_CAP = old
     assert sorted(r.item_id for r in got) == sorted(str(i) for i in range(300))[:50]
+
+
+@pytest.mark.parametrize("emit,third", [("until_expiry", ["b", "c"]), ("once", [])])
+def test_snapshot_feed_reports_until_expiry_or_once(spark, tmp_root, emit, third):
+    spec = R.REGISTRY["deleted_asset"]
+    sb, ob = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
+    snap1 = readers.assets(spark, write_lines(os.path.join(tmp_root, "a1"), assets_docs(["a", "b", "c"])))
+    snap2 = readers.assets(spark, write_lines(os.path.join(tmp_root, "a2"), assets_docs(["a"])))
+    run_feed(spark, spec, snap1, sb, ob, NOW, 1, ["asset_id"], emit=emit)
+    assert run_feed(spark, spec, snap2, sb, ob, NOW + 100, 2, ["asset_id"], emit=emit).events == 2
+    r3 = run_feed(spark, spec, snap2, sb, ob, NOW + 200, 3, ["asset_id"], emit=emit)
+    assert r3.events == len(third)
+    # vanished keys keep their first-run stamp, so they expire on schedule
+    seen = {r.item_id: r.seen_at for r in S.load(spark, sb).collect()}
+    if emit == "until_expiry":
+        assert seen["b"] < seen["a"]
+    else:
+        assert "b" not in seen

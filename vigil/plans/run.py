@@ -51,7 +51,11 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
              now: int, run_id: int, record_cols: list[str], *, retention_days: int = S.DEFAULT_RETENTION_DAYS,
              max_ids: int = S.DEFAULT_MAX_IDS, max_events: int = 0, batch_size: int = 5000,
              transport: Transport = all_delivered, version_col: str | None = None,
-             scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None) -> RunResult:
+             scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None,
+             emit: str = "until_expiry") -> RunResult:
+    """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
+    keeps its old ``seen_at`` and is reported again each run until it expires
+    (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``)."""
     t0 = time.time()
     current = S.load(spark, state_base)
     marks = S.load_marks(spark, state_base)
@@ -91,11 +95,16 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     failed = written.join(sink.delivered_batches(log), "batch_id", "left_anti").count()
 
     seen = F.timestamp_seconds(F.lit(int(now)))
-    new_keys = delivered.select(F.lit(spec.feed_type).alias("feed"), "item_id", seen.alias("seen_at"))
-    if current_keys is not None:   # snapshot feeds refresh every current key
-        new_keys = new_keys.unionByName(current_keys.select(F.lit(spec.feed_type).alias("feed"), "item_id",
-                                                            seen.alias("seen_at")))
-    merged = S.flush(S.upsert(current, new_keys), now, retention_days, max_ids)
+    base_state = current
+    if current_keys is None:
+        new_keys = delivered.select(F.lit(spec.feed_type).alias("feed"), "item_id", seen.alias("seen_at"))
+    else:
+        # snapshot feeds: refresh every current key; reported keys are not refreshed
+        new_keys = current_keys.select(F.lit(spec.feed_type).alias("feed"), "item_id", seen.alias("seen_at"))
+        if emit == "once":
+            gone = delivered.select(F.lit(spec.feed_type).alias("feed"), "item_id")
+            base_state = current.join(gone, ["feed", "item_id"], "left_anti")
+    merged = S.flush(S.upsert(base_state, new_keys), now, retention_days, max_ids)
 
     if spec.mark_rule == "data" and spec.epoch_col:
         m = delivered_events.agg(F.max(spec.epoch_col)).first()[0]
