@@ -93,3 +93,16 @@ def test_stats(spark):
     marks = spark.createDataFrame([("a", 5, 6)], "feed string, last_timestamp bigint, last_cleanup bigint")
     r = S.stats(st, marks, NOW, 7).first()
     assert (r.total_tracked, r.active_ids, r.last_timestamp) == (2, 1, 5)
+
+
+def test_legacy_documents_from_json(spark, tmp_root):
+    import json
+
+    from conftest import write_lines
+    from vigil.sources import readers
+
+    path = write_lines(os.path.join(tmp_root, "legacy"), [
+        json.dumps({"feed": "asset", "processed_ids": ["a", "b"], "last_timestamp": 7}),
+        json.dumps({"feed": "plugin", "processed_ids": [], "last_timestamp": 0})])
+    st = S.migrate_legacy(readers.legacy_state(spark, path), NOW)
+    assert sorted((r.feed, r.item_id) for r in st.collect()) == [("asset", "a"), ("asset", "b")]
