@@ -1,17 +1,16 @@
 """One batch run of a feed with delivered-only commit.
 
-load state + marks -> extract / dedup (or snapshot diff) -> envelope -> outbox
-written in hash batches (one folder per batch id) -> delivery log from the
-transport -> keys of delivered batches upserted, retention + cap -> marks ->
-state snapshot, pointer last. Outcome is joined by batch id, never by
-position, and a failed batch leaves its keys out of state so they are re-sent.
+load state + marks -> extract / dedup (or snapshot diff) -> envelope -> posted
+through the delivery sink (partition-local count/byte batches, injected
+transport) -> the sink records, per task, the keys of batches that were
+delivered -> those keys are upserted, retention + cap -> marks -> state
+snapshot, pointer last. A failed batch leaves its keys out of state, so they are
+sent again by the next run; outcome is tied to the batch, never to a position.
 """
 
 from __future__ import annotations
 
-import math
 import time
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +18,11 @@ from pyspark.sql import functions as F
 
 from ..operators import sink
 from ..operators import state as S
+from ..sources import event_sink
 from . import feeds
 from .registry import FeedSpec
 
-Transport = Callable[[SparkSession, str, DataFrame], DataFrame]
-
-
-def all_delivered(spark: SparkSession, outbox: str, batches: DataFrame) -> DataFrame:
-    """Default transport stand-in: every written batch counts as delivered (HTTP 200)."""
-    return batches.select("batch_id", F.lit(200).alias("status_code"))
+DEFAULT_TRANSPORT = "file:{outbox}"     # hand-off folder; {outbox} is the run's outbox folder
 
 
 @dataclass
@@ -42,6 +37,10 @@ class RunResult:
     skipped: bool = False
 
 
+def _missing(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+
+
 def _old_mark(marks: DataFrame, feed: str) -> int:
     row = marks.filter(F.col("feed") == feed).select("last_timestamp").first()   # one-row mark
     return int(row[0]) if row is not None and row[0] is not None else 0
@@ -50,7 +49,7 @@ def _old_mark(marks: DataFrame, feed: str) -> int:
 def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base: str, outbox_base: str,
              now: int, run_id: int, record_cols: list[str], *, retention_days: int = S.DEFAULT_RETENTION_DAYS,
              max_ids: int = S.DEFAULT_MAX_IDS, max_events: int = 0, batch_size: int = 5000,
-             transport: Transport = all_delivered, version_col: str | None = None,
+             max_bytes: int = 1048576, transport: str = DEFAULT_TRANSPORT, version_col: str | None = None,
              scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None,
              emit: str = "until_expiry") -> RunResult:
     """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
@@ -81,18 +80,29 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     if truncated:
         events = feeds.cap_rows(events, int(max_events), ["item_id"])
     n_events = min(available, max_events) if truncated else available
-    n_batches = max(1, math.ceil(n_events / max(1, batch_size)))
-    batched = events.withColumn("batch_id", F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(n_batches)))
-    wrapped = feeds.wrap(batched, spec, now, record_cols)
-    outbox = f"{outbox_base.rstrip('/')}/run={int(run_id)}/feed={spec.feed}"
-    (wrapped.select("batch_id", F.col("json").alias("value")).repartition("batch_id")
-     .write.mode("overwrite").option("compression", "gzip").partitionBy("batch_id").text(outbox))
-    written = batched.select("batch_id").distinct()
-    log = transport(spark, outbox, written)
-    delivered = sink.committed_keys(batched, log, "item_id", "batch_id")
-    delivered_events = batched.join(sink.delivered_batches(log), "batch_id", "left_semi")
-    n_delivered = delivered_events.count()
-    failed = written.join(sink.delivered_batches(log), "batch_id", "left_anti").count()
+
+    root = f"{outbox_base.rstrip('/')}"
+    outbox = f"{root}/run={int(run_id)}/feed={spec.feed}"
+    book = f"{root}/_delivery/run={int(run_id)}/feed={spec.feed}"
+    wrapped = feeds.wrap(events, spec, now, record_cols)
+    event_sink.deliver(wrapped, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
+                       batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
+                       delivered_keys=f"{book}/keys")
+    try:
+        log = event_sink.read_delivery_log(spark, f"{book}/log")
+        n_delivered = int(log.filter(F.col("status_code") == 200).agg(F.sum("event_count")).first()[0] or 0)
+        failed = log.filter(F.col("status_code").isNull() | (F.col("status_code") != 200)).count()
+    except Exception as e:  # no batch was posted (no events)
+        if not _missing(e):
+            raise
+        n_delivered, failed = 0, 0
+    try:
+        delivered = spark.read.parquet(f"{book}/keys").filter(F.col("item_id").isNotNull()).distinct()
+    except Exception as e:
+        if not _missing(e):
+            raise
+        delivered = spark.createDataFrame([], "item_id string")
+    delivered_events = events.join(delivered, "item_id", "left_semi")
 
     seen = F.timestamp_seconds(F.lit(int(now)))
     base_state = current
@@ -127,7 +137,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
 
 
 def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int, feed: str) -> DataFrame:
-    return sink.read_outbox(spark, f"{outbox_base.rstrip('/')}/run={int(run_id)}/feed={feed}")
+    """Lines handed to the file transport in one run (``*.json.gz`` batches)."""
+    return sink.read_outbox(spark, f"{outbox_base.rstrip('/')}/run={int(run_id)}/feed={feed}/*.json.gz")
 
 
 def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str]]], state_base: str,

@@ -12,7 +12,8 @@ driver only sees per-task summaries.
 
 Transports (option ``transport``):
   ``file:<dir>``  write each batch to ``<dir>/<batch_id>.json.gz`` (tests, hand-off folders)
-  ``file:<dir>?fail=<k>``  same, but every k-th batch answers 503 (failure drills)
+  ``file:<dir>?fail=<k>``  same, but every k-th batch of a task answers 503 (failure drills)
+  ``file:<dir>?fail_match=<text>``  same, but a batch whose body contains ``text`` answers 503
 A network transport implements the same ``post(batch_id, gz_bytes, n_events) -> status`` call.
 """
 
@@ -50,13 +51,15 @@ class FileTransport:
 
     def __init__(self, spec: str):
         target = spec[len("file:"):] if spec.startswith("file:") and not spec.startswith("file://") else spec
-        self.fail_every = 0
+        self.fail_every, self.fail_match = 0, None
         if "?" in target:
             target, query = target.split("?", 1)
             for part in query.split("&"):
                 k, _, v = part.partition("=")
                 if k == "fail":
                     self.fail_every = int(v)
+                elif k == "fail_match":
+                    self.fail_match = v.encode("utf-8")
         self.fs, self.dir = resolve(target)
         self.fs.create_dir(self.dir, recursive=True)
         self.calls = 0
@@ -66,6 +69,8 @@ class FileTransport:
         seq = int(batch_id.rsplit("-", 1)[1])
         if self.fail_every and seq % self.fail_every == self.fail_every - 1:
             return 503
+        if self.fail_match is not None and self.fail_match in gzip.decompress(payload):
+            return 503
         tmp, final = f"{self.dir}/.{batch_id}.tmp", f"{self.dir}/{batch_id}.json.gz"
         with self.fs.open_output_stream(tmp) as f:
             f.write(payload)
@@ -115,6 +120,9 @@ class EventBatchWriter(DataSourceArrowWriter):
         self.column = options.get("column", "value")
         self.max_retries = int(options.get("max_retries", DEFAULT_MAX_RETRIES))
         self.backoff_s = float(options.get("backoff_s", 0.0))
+        # optional: a key column whose values are recorded for delivered batches only
+        self.key_column = options.get("key_column")
+        self.delivered_keys = options.get("delivered_keys")
 
     def _post(self, transport, batch_id: str, payload: bytes, n: int) -> tuple[int | None, int]:
         status, attempt = None, 0
@@ -138,8 +146,9 @@ class EventBatchWriter(DataSourceArrowWriter):
         pid = ctx.partitionId() if ctx else 0
         transport = make_transport(self.transport_spec)
         records, seq, events, failed = [], 0, 0, 0
+        kept_keys = []              # arrow slices of keys whose batch was delivered
 
-        def flush_slices(values, final: bool):
+        def flush_slices(values, keys, final: bool):
             nonlocal seq, events, failed
             lengths = pc.binary_length(pc.cast(values, pa.binary())).to_numpy(zero_copy_only=False)
             slices = greedy_batches(lengths, self.batch_size, self.max_bytes)
@@ -158,18 +167,34 @@ class EventBatchWriter(DataSourceArrowWriter):
                                 "event_count": b - a, "bytes": len(body), "ts": time.time()})
                 events += b - a
                 failed += status != 200
+                if status == 200 and keys is not None:
+                    kept_keys.append(keys.slice(a, b - a))
                 seq += 1
-            return values.slice(keep_from)
+            return values.slice(keep_from), (keys.slice(keep_from) if keys is not None else None)
 
-        carry = None
+        carry, carry_keys = None, None
         for rb in iterator:
-            col = rb.column(rb.schema.get_field_index(self.column))
-            col = pc.cast(col, pa.string())
-            col = col.filter(pc.is_valid(col))
-            values = pa.concat_arrays([carry, col]) if carry is not None and len(carry) else col
-            carry = flush_slices(values, final=False)
+            col = pc.cast(rb.column(rb.schema.get_field_index(self.column)), pa.string())
+            valid = pc.is_valid(col)
+            col = col.filter(valid)
+            keys = None
+            if self.key_column:
+                keys = pc.cast(rb.column(rb.schema.get_field_index(self.key_column)), pa.string()).filter(valid)
+            if carry is not None and len(carry):
+                col = pa.concat_arrays([carry, col])
+                keys = pa.concat_arrays([carry_keys, keys]) if keys is not None else None
+            carry, carry_keys = flush_slices(col, keys, final=False)
         if carry is not None and len(carry):
-            flush_slices(carry, final=True)
+            flush_slices(carry, carry_keys, final=True)
+
+        if self.delivered_keys and kept_keys:
+            import pyarrow.parquet as pq
+
+            kfs, kdir = resolve(self.delivered_keys)
+            kfs.create_dir(kdir, recursive=True)
+            attempt = ctx.attemptNumber() if ctx else 0
+            table = pa.table({"item_id": pa.concat_arrays(kept_keys)})
+            pq.write_table(table, f"{kdir}/part-{self.run_id}-{pid:05d}-a{attempt}.parquet", filesystem=kfs)
 
         log_file = None
         if self.log_dir and records:
@@ -204,12 +229,24 @@ def register(spark) -> None:
 
 
 def deliver(json_lines, transport: str, delivery_log: str, run_id: str = "0", batch_size: int = 5000,
-            max_bytes: int = 1048576, column: str = "json") -> None:
-    """Post a DataFrame's JSON column through the sink; delivery records land in ``delivery_log``."""
+            max_bytes: int = 1048576, column: str = "json", key_column: str | None = None,
+            delivered_keys: str | None = None, max_retries: int = DEFAULT_MAX_RETRIES) -> None:
+    """Post a DataFrame's JSON column through the sink; delivery records land in ``delivery_log``.
+
+    With ``key_column`` + ``delivered_keys`` every task also writes the keys of its
+    delivered batches (parquet), which is what a run commits to state.
+    """
     register(json_lines.sparkSession)
-    (json_lines.select(json_lines[column].alias("value")).write.format("vigil_events")
-     .option("transport", transport).option("delivery_log", delivery_log).option("run_id", run_id)
-     .option("batch_size", str(batch_size)).option("max_bytes", str(max_bytes)).mode("append").save())
+    cols = [json_lines[column].alias("value")]
+    if key_column:
+        cols.append(json_lines[key_column].cast("string").alias("_key"))
+    w = (json_lines.select(*cols).write.format("vigil_events")
+         .option("transport", transport).option("delivery_log", delivery_log).option("run_id", run_id)
+         .option("batch_size", str(batch_size)).option("max_bytes", str(max_bytes))
+         .option("max_retries", str(max_retries)))
+    if key_column and delivered_keys:
+        w = w.option("key_column", "_key").option("delivered_keys", delivered_keys)
+    w.mode("append").save()
 
 
 def read_delivery_log(spark, delivery_log: str):
