@@ -108,6 +108,20 @@ def to_json_keep_nulls(c: Column | str) -> Column:
     return F.to_json(_c(c), {"ignoreNullFields": "false"})
 
 
+def json_with_raw(base: Column, field: str, raw: Column | str) -> Column:
+    """``base`` (a non-empty struct) as JSON with one more field holding a raw JSON document."""
+    text = to_json_keep_nulls(base)
+    return F.concat(text.substr(F.lit(1), F.length(text) - F.lit(1)), F.lit(f',"{field}":'), _c(raw), F.lit("}"))
+
+
+def json_overlay(raw: Column | str, extra: Column) -> Column:
+    """A raw JSON object with ``extra``'s fields appended (a later duplicate key wins in
+    JSON readers, so this overwrites fields the document already has)."""
+    raw, text = _c(raw), to_json_keep_nulls(extra)
+    return F.concat(raw.substr(F.lit(1), F.length(raw) - F.lit(1)), F.lit(","),
+                    text.substr(F.lit(2), F.length(text)))
+
+
 def payload_chars(c: Column | str) -> Column:
     return F.length(_c(c))
 

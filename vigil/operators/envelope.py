@@ -42,6 +42,17 @@ def envelope_json(env: Column) -> Column:
     return X.to_json_keep_nulls(env)
 
 
+def envelope_json_raw(raw: Column, env: Column) -> Column:
+    """Envelope JSON with the original document spliced in as ``event``.
+
+    The landed document is passed through byte for byte (key order, numbers and
+    unknown fields intact) instead of being re-serialised from parsed columns;
+    the rest of the envelope is rendered by ``to_json`` and appended.
+    """
+    rest = X.to_json_keep_nulls(env.dropFields("event"))
+    return F.concat(F.lit('{"event":'), raw, F.lit(","), F.substring(rest, 2, 1 << 30))
+
+
 def classify(events: DataFrame, registry: DataFrame, feed_col: str = "feed") -> DataFrame:
     """Tag events with their feed's labels via a broadcast join to the static registry.
 

@@ -44,5 +44,6 @@ def compliance_tree(scans: DataFrame, hosts: DataFrame, items: DataFrame) -> Dat
     an already-reduced host list on ``(scan_id, host_id)``; Spark's runtime
     bloom-filter join can then prune the item scan before its shuffle.
     """
-    sh = hosts.join(scans.select("scan_id", "scan_name"), "scan_id")
+    keep = [c for c in ("scan_id", "scan_name", "status", "modified_epoch") if c in scans.columns]
+    sh = hosts.join(scans.select(*keep), "scan_id")
     return items.join(sh, ["scan_id", "host_id"])

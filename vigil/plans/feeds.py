@@ -17,7 +17,7 @@ def extract(spec: FeedSpec, source: DataFrame, mark: int | None = None, include_
     preds = [spec.predicate() if spec.predicate else None]
     if spec.source == "vulns":
         preds.append(P.licensed(include_unlicensed))
-    if spec.mode == "incremental" and spec.epoch_col:
+    if spec.mode in ("incremental", "flatten") and spec.epoch_col:
         preds.append(P.since(spec.epoch_col, mark, lateness_s))
         preds.append(P.landed_since(source.columns, mark, lateness_s))
     df = source.filter(P.all_of(*preds))
@@ -107,9 +107,18 @@ def run_snapshot_diff(spec: FeedSpec, source: DataFrame, state: DataFrame, now:
     return diff.fix_events(gone, now, "k")
 
 
-def wrap(events: DataFrame, spec: FeedSpec, now: int, record_cols: list[str], tagged: bool = True) -> DataFrame:
-    """Add the envelope struct ``env`` and its JSON text ``json``."""
+def wrap(events: DataFrame, spec: FeedSpec, now: int, record_cols: list[str], tagged: bool = True,
+         raw_col: str | None = None) -> DataFrame:
+    """Add the envelope struct ``env`` and its JSON text ``json``.
+
+    With ``raw_col`` the event is that column's JSON document, spliced into the
+    envelope unchanged; otherwise it is the struct of ``record_cols``.
+    """
+    event = F.col(raw_col) if raw_col else F.struct(*[F.col(c) for c in record_cols])
     env = envelope.envelope(
-        F.struct(*[F.col(c) for c in record_cols]), F.lit(spec.sourcetype), SOURCE, INDEX, HOST, now,
+        event, F.lit(spec.sourcetype), SOURCE, INDEX, HOST, now,
         F.lit(spec.feed_type) if tagged else None, F.lit(spec.label) if tagged else None)
-    return events.withColumn("env", env).withColumn("json", envelope.envelope_json(F.col("env")))
+    out = events.withColumn("env", env)
+    if raw_col:
+        return out.withColumn("json", envelope.envelope_json_raw(F.col(raw_col), F.col("env")))
+    return out.withColumn("json", envelope.envelope_json(F.col("env")))

@@ -91,8 +91,9 @@ _BEHAVIOUR = {
                                 mark_rule="none"),
     "plugin": dict(source="plugins", mode="flatten", key=lambda: F.col("plugin_id").cast("string"),
                    mark_rule="none"),
-    "compliance": dict(source="compliance", mode="flatten", key=lambda: X.compliance_key(
-        "scan_id", "host_id", "plugin_id"), epoch_col="modified_epoch", mark_rule="scans", honours_cap=False),
+    "compliance": dict(source="compliance", mode="flatten", predicate=lambda: F.col("status") == "completed",
+                       key=lambda: X.compliance_key("scan_id", "host_id", "plugin_id"), epoch_col="modified_epoch",
+                       mark_rule="scans", honours_cap=False),
 }
 
 REGISTRY: dict[str, FeedSpec] = {

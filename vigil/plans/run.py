@@ -51,7 +51,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
              max_ids: int = S.DEFAULT_MAX_IDS, max_events: int = 0, batch_size: int = 5000,
              max_bytes: int = 1048576, transport: str = DEFAULT_TRANSPORT, version_col: str | None = None,
              scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None,
-             emit: str = "until_expiry") -> RunResult:
+             emit: str = "until_expiry", raw_col: str | None = None) -> RunResult:
     """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
     keeps its old ``seen_at`` and is reported again each run until it expires
     (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``)."""
@@ -84,7 +84,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     root = f"{outbox_base.rstrip('/')}"
     outbox = f"{root}/run={int(run_id)}/feed={spec.feed}"
     book = f"{root}/_delivery/run={int(run_id)}/feed={spec.feed}"
-    wrapped = feeds.wrap(events, spec, now, record_cols)
+    wrapped = feeds.wrap(events, spec, now, record_cols, raw_col=raw_col if spec.mode != "snapshot_diff" else None)
     event_sink.deliver(wrapped, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
                        batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
                        delivered_keys=f"{book}/keys")
@@ -142,7 +142,8 @@ def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int, feed: st
 
 
 def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str]]], state_base: str,
-             outbox_base: str, log_base: str, now: int, run_id: int, **kw) -> DataFrame:
+             outbox_base: str, log_base: str, now: int, run_id: int, raw_cols: dict[str, str | None] | None = None,
+             **kw) -> DataFrame:
     """Run several feeds; a failing feed is recorded and does not stop the others.
 
     Appends one ``run_log`` row per feed (status ``ok`` / ``skipped`` / ``error``)
@@ -157,7 +158,8 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
     ts = dt.datetime.fromtimestamp(int(now), dt.timezone.utc).replace(tzinfo=None)
     for spec, source, cols in jobs:
         try:
-            r = run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols, **kw)
+            r = run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
+                         raw_col=(raw_cols or {}).get(spec.feed), **kw)
             runs.append((str(run_id), spec.feed, spec.group, r.events, float(r.seconds),
                          "skipped" if r.skipped else "ok", ts))
         except Exception as e:  # noqa: BLE001 -- recorded, the run goes on

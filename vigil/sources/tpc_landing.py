@@ -72,7 +72,11 @@ def assets_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vulns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return vulns_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def vulns_from_lineitem(li: DataFrame) -> DataFrame:
+    """Lineitem-shaped landing rows (batch or one micro-batch) -> flat vulnerability rows."""
     q = F.col("l_quantity")
     return li.select(
         F.col("l_orderkey").cast("string").alias("asset_uuid"),

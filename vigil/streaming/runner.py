@@ -24,21 +24,7 @@ from ..sources import tpc_landing as L
 
 def vuln_records(batch: DataFrame) -> DataFrame:
     """Raw lineitem-shaped landing rows -> nested vulnerability records (same rules as the batch view)."""
-    q = F.col("l_quantity")
-    flat = batch.select(
-        F.col("l_orderkey").cast("string").alias("asset_uuid"),
-        (F.col("l_orderkey") % 2 == 0).alias("asset_has_agent"),
-        F.col("l_partkey").alias("plugin_id"),
-        F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")).alias("port"),
-        F.when(F.col("l_returnflag") == "A", F.lit(None).cast("string"))
-        .when(F.col("l_linestatus") == "O", F.lit("tcp")).otherwise(F.lit("udp")).alias("protocol"),
-        F.when(q < 10, F.lit("info")).when(q < 20, F.lit("low")).when(q < 30, F.lit("medium"))
-        .when(q < 40, F.lit("high")).otherwise(F.lit("critical")).alias("severity"),
-        F.when(F.col("l_returnflag") == "R", F.lit("FIXED")).otherwise(F.lit("OPEN")).alias("state"),
-        (F.col("l_suppkey") % 10 != 0).alias("is_licensed"),
-        F.col("l_shipdate").alias("last_found"), F.col("l_suppkey").alias("snapshot_id"),
-        F.col("l_orderkey").alias("ord_a"), F.col("l_linenumber").cast("bigint").alias("ord_b"),
-        F.col("l_partkey").alias("ord_c"), F.col("l_suppkey").alias("ord_d"))
+    flat = L.vulns_from_lineitem(batch)
     return L.nest_vulns(flat).withColumn("last_found_epoch", X.epoch_seconds("last_found"))
 
 
