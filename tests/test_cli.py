@@ -86,3 +86,22 @@ def test_cli_rejects_unknown_feed(spark, tmp_root):
     with pytest.raises(ValueError):
         main(["run", "--landing", tmp_root, "--state", tmp_root, "--outbox", tmp_root, "--logs", tmp_root,
               "--feed", "asset,bogus", "--now", "1"], spark=spark)
+
+
+def test_cli_stream_once_is_incremental_across_runs(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    root = os.path.join(tmp_root, "stream")
+    write_lines(os.path.join(land, "vulns"), [json.dumps(v) for v in VULNS])
+    args = ["stream", "--landing", land, "--root", root, "--feed", "vulnerability", "--once", "--now", str(NOW)]
+    main(args, spark=spark)
+    sent = [json.loads(x) for p in glob.glob(os.path.join(root, "outbox", "run=*", "feed=vulnerability", "*.json.gz"))
+            for x in gzip.decompress(open(p, "rb").read()).decode().split("\n")]
+    assert sorted(e["event"]["plugin"]["id"] for e in sent) == [10, 11]
+    # a new file: one repeated document and one new key
+    new = dict(VULNS[0], plugin={"id": 99})
+    with open(os.path.join(land, "vulns", "part-1.json"), "w") as f:
+        f.write(json.dumps(VULNS[0]) + "\n" + json.dumps(new) + "\n")
+    main(args, spark=spark)
+    batch1 = [json.loads(x) for p in glob.glob(os.path.join(root, "outbox", "run=1", "feed=vulnerability", "*.json.gz"))
+              for x in gzip.decompress(open(p, "rb").read()).decode().split("\n")]
+    assert [e["event"]["plugin"]["id"] for e in batch1] == [99]

@@ -210,6 +210,15 @@ def load_version(spark: SparkSession, base: str, version: int) -> DataFrame:
         raise
 
 
+def load_marks_version(spark: SparkSession, base: str, version: int) -> DataFrame:
+    try:
+        return spark.read.schema(WATERMARK_SCHEMA).parquet(f"{base.rstrip('/')}/v={int(version)}/marks")
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return spark.createDataFrame([], WATERMARK_SCHEMA)
+        raise
+
+
 def load_marks(spark: SparkSession, base: str) -> DataFrame:
     v = current_version(spark, base)
     if v is None:

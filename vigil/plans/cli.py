@@ -77,9 +77,31 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--transport", default=DEFAULT_TRANSPORT)
     r.add_argument("--now", type=int, default=None, help="fixed clock (epoch seconds) for replays and tests")
     r.add_argument("--run-id", type=int, default=None)
+    st = sub.add_parser("stream", help="one feed as a Structured Streaming query over its landing folder")
+    st.add_argument("--landing", required=True)
+    st.add_argument("--root", required=True, help="folder for state, outbox and the stream checkpoint")
+    st.add_argument("--feed", required=True)
+    st.add_argument("--once", action="store_true", help="availableNow: process what has landed, then stop")
+    st.add_argument("--interval", type=int, default=60)
+    st.add_argument("--batch-size", type=int, default=5000)
+    st.add_argument("--max-bytes", type=int, default=1048576)
+    st.add_argument("--retention-days", type=int, default=7)
+    st.add_argument("--max-ids", type=int, default=500000)
+    st.add_argument("--transport", default=DEFAULT_TRANSPORT)
+    st.add_argument("--now", type=int, default=None)
     return ap.parse_args(argv)
 
 
+def stream(spark: SparkSession, a: argparse.Namespace):
+    from ..streaming.runner import stream_documents
+
+    spec = R.REGISTRY[R.select_feeds([a.feed])[0]]
+    folder = {"assets": "assets", "vulns": "vulns"}.get(spec.source, spec.source)
+    return stream_documents(spark, spec, f"{a.landing.rstrip('/')}/{folder}", a.root, once=a.once,
+                            interval_s=a.interval, now=a.now, batch_size=a.batch_size, max_bytes=a.max_bytes,
+                            retention_days=a.retention_days, max_ids=a.max_ids, transport=a.transport)
+
+
 def run_selected(spark: SparkSession, a: argparse.Namespace, run_id: int, now: int) -> DataFrame:
     names = R.select_feeds(a.feed)
     jobs, kw_by_feed = [], {}
@@ -99,6 +121,11 @@ def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
     if spark is None:
         from ..session import build_session
         spark = build_session()
+    if a.cmd == "stream":
+        q = stream(spark, a)
+        if not a.once:
+            q.awaitTermination()
+        return []
     stop = threading.Event()
     if a.daemon:
         for sig in (signal.SIGINT, signal.SIGTERM):

@@ -51,13 +51,17 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
              max_ids: int = S.DEFAULT_MAX_IDS, max_events: int = 0, batch_size: int = 5000,
              max_bytes: int = 1048576, transport: str = DEFAULT_TRANSPORT, version_col: str | None = None,
              scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None,
-             emit: str = "until_expiry", raw_col: str | None = None) -> RunResult:
+             emit: str = "until_expiry", raw_col: str | None = None, state_version: int | None = None,
+             commit_version: int | None = None, use_mark: bool = True) -> RunResult:
     """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
     keeps its old ``seen_at`` and is reported again each run until it expires
     (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``)."""
     t0 = time.time()
-    current = S.load(spark, state_base)
-    marks = S.load_marks(spark, state_base)
+    if state_version is None:
+        current, marks = S.load(spark, state_base), S.load_marks(spark, state_base)
+    else:   # a micro-batch reads the snapshot its batch id was built on (replay-safe)
+        current, marks = S.load_version(spark, state_base, state_version), S.load_marks_version(
+            spark, state_base, state_version)
     old = _old_mark(marks, spec.feed)
     last_full_scan = None
     if spec.mode == "snapshot_diff" and scan_interval_h:
@@ -71,8 +75,10 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         events = events.withColumn("item_id", F.col(key_col))
         current_keys = feeds.extract(spec, source).select("item_id")
     else:
-        events = feeds.run_incremental(spec, source, current, now, mark=old, retention_days=retention_days,
-                                       version_col=version_col)
+        # a file stream is incremental by its offsets; re-applying the clock mark would drop
+        # records that landed late, so streaming runs pass use_mark=False
+        events = feeds.run_incremental(spec, source, current, now, mark=old if use_mark else None,
+                                       retention_days=retention_days, version_col=version_col)
         current_keys = None
     events = events.persist()
     available = events.count()
@@ -130,7 +136,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     full_scan = int(now) if spec.mode == "snapshot_diff" else last_full_scan
     mine = spark.createDataFrame([(spec.feed, new_mark, full_scan, int(now))],
                                  "feed string, last_timestamp bigint, last_full_scan bigint, last_cleanup bigint")
-    version = (S.current_version(spark, state_base) or 0) + 1
+    version = commit_version if commit_version is not None else (S.current_version(spark, state_base) or 0) + 1
     S.commit(merged, state_base, version, marks=other.unionByName(mine))
     events.unpersist()
     return RunResult(n_events, n_delivered, failed, old, new_mark, truncated, round(time.time() - t0, 3))

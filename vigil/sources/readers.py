@@ -55,28 +55,45 @@ LEGACY_STATE_SCHEMA = StructType([StructField("feed", StringType()),
                                   StructField("last_timestamp", LongType())])
 
 
+def parse_documents(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Lines (``value`` + any partition columns) -> parsed columns + ``raw``.
+
+    Works on a batch read and on one streaming micro-batch alike.
+    """
+    parts = [c for c in lines.columns if c != "value"]
+    return lines.select(F.from_json("value", schema).alias("d"), F.col("value").alias("raw"), *parts).select(
+        "d.*", "raw", *parts)
+
+
 def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON-lines documents -> parsed columns + ``raw`` (the original line).
 
     Partition folders of the landing zone (e.g. ``ingest_date=2026-01-05``) come
     through as columns, so predicates on them prune whole folders.
     """
-    lines = spark.read.text(path)
-    parts = [c for c in lines.columns if c != "value"]
-    return lines.select(F.from_json("value", schema).alias("d"), F.col("value").alias("raw"), *parts).select(
-        "d.*", "raw", *parts)
+    return parse_documents(spark.read.text(path), schema)
 
 
-def assets(spark: SparkSession, path: str) -> DataFrame:
-    """Asset export with epoch columns (loose ISO / numeric timestamps)."""
-    a = read_documents(spark, path, ASSET_SCHEMA)
+def parse_assets(lines: DataFrame) -> DataFrame:
+    a = parse_documents(lines, ASSET_SCHEMA)
     return a.withColumn("updated_epoch", X.parse_timestamp("updated_at")).withColumn(
         "terminated_epoch", F.when(F.col("terminated_at").isNotNull(), X.parse_timestamp("terminated_at")))
 
 
+def parse_vulns(lines: DataFrame) -> DataFrame:
+    return parse_documents(lines, VULN_SCHEMA).withColumn("last_found_epoch", X.parse_timestamp("last_found"))
+
+
+def assets(spark: SparkSession, path: str) -> DataFrame:
+    """Asset export with epoch columns (loose ISO / numeric timestamps)."""
+    return parse_assets(spark.read.text(path))
+
+
 def vulns(spark: SparkSession, path: str) -> DataFrame:
-    v = read_documents(spark, path, VULN_SCHEMA)
-    return v.withColumn("last_found_epoch", X.parse_timestamp("last_found"))
+    return parse_vulns(spark.read.text(path))
+
+
+PARSERS = {"assets": parse_assets, "vulns": parse_vulns}
 
 
 def families(spark: SparkSession, path: str) -> DataFrame:
