@@ -64,6 +64,10 @@ def test_cli_runs_all_feeds_and_second_run_is_quiet(spark, tmp_root):
                    "vulnerability_no_info": 1, "vulnerability_self_scan": 1, "fixed_vulnerability": 0, "plugin": 1,
                    "compliance": 2}
     assert s1["total_events"] == 12
+    from vigil.operators import metrics
+    done = {r.feed: r for r in metrics.feed_completion(spark.read.parquet(os.path.join(dirs["logs"], "run_log")))
+            .collect()}
+    assert done["asset"].processed == 3 and done["asset"].sent == 3 and done["plugin"].sent == 1
 
     # the delivered event is the landed document, byte for byte
     asset_events = {e["event"]["id"]: e for e in lines(dirs["outbox"], 1, "asset")}

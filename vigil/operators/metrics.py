@@ -75,3 +75,12 @@ def progress_rows(run_log: DataFrame, interval: int, order_cols=("ts", "run_id")
     elapsed = (X.epoch_micros(ts_col) - F.lit(t0 if t0 is not None else 0)).cast("double") / F.lit(1e6)
     return marks.select(count_col, F.round(elapsed, 3).alias("elapsed_s"),
                         X.guarded_rate(F.col(count_col), elapsed, 2).alias("rate"))
+
+
+def feed_completion(run_log: DataFrame, duration_col: str = "duration") -> DataFrame:
+    """Per feed: processed vs sent (they differ when batches fail), minutes, events/s."""
+    agg = run_log.groupBy("feed").agg(F.sum("event_count").cast("bigint").alias("processed"),
+                                      F.sum("sent").cast("bigint").alias("sent"),
+                                      F.sum(duration_col).alias("_dur"))
+    return agg.select("feed", "processed", "sent", F.round(F.col("_dur") / 60.0, 1).alias("minutes"),
+                      X.guarded_rate("processed", "_dur", 0).alias("rate"))

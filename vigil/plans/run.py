@@ -166,17 +166,18 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
         try:
             r = run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
                          raw_col=(raw_cols or {}).get(spec.feed), **kw)
-            runs.append((str(run_id), spec.feed, spec.group, r.events, float(r.seconds),
+            runs.append((str(run_id), spec.feed, spec.group, r.events, r.delivered_events, float(r.seconds),
                          "skipped" if r.skipped else "ok", ts))
         except Exception as e:  # noqa: BLE001 -- recorded, the run goes on
-            runs.append((str(run_id), spec.feed, spec.group, 0, 0.0, "error", ts))
+            runs.append((str(run_id), spec.feed, spec.group, 0, 0, 0.0, "error", ts))
             errors.append((spec.feed, f"{type(e).__name__}: {e}"[:2000], ts))
-    run_schema = ("run_id string, feed string, feed_group string, event_count bigint, duration double, "
-                  "status string, ts timestamp_ntz")
+    # processed (event_count) and sent differ when batches fail
+    run_schema = ("run_id string, feed string, feed_group string, event_count bigint, sent bigint, "
+                  "duration double, status string, ts timestamp_ntz")
     err_schema = "feed string, error string, ts timestamp_ntz"
     spark.createDataFrame(runs, run_schema).write.mode("append").parquet(f"{log_base}/run_log")
     spark.createDataFrame(errors, err_schema).write.mode("append").parquet(f"{log_base}/error_log")
     run_log = spark.read.parquet(f"{log_base}/run_log").filter(F.col("run_id") == str(run_id))
     error_log = spark.read.parquet(f"{log_base}/error_log").filter(F.col("ts") == F.lit(ts))
     summary = metrics.run_summary(run_log.withColumnRenamed("duration", "duration_s"), error_log)
-    return summary.withColumn("failed_feeds", F.lit(sum(1 for r in runs if r[5] == "error")).cast("bigint"))
+    return summary.withColumn("failed_feeds", F.lit(sum(1 for r in runs if r[6] == "error")).cast("bigint"))
