@@ -72,7 +72,7 @@ def expire(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_D
 WINDOW_GROUP_LIMIT = 1000
 
 
-def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
+def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS, materialize: bool = True) -> DataFrame:
     """Keep the ``max_ids`` newest keys per feed (ties broken by key).
 
     Small caps use ``row_number`` with a partial ``WindowGroupLimit`` before the
@@ -85,8 +85,10 @@ def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
         w = Window.partitionBy("feed").orderBy(F.col("seen_at").desc(), F.col("item_id").asc())
         return state.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_ids).drop("_rk")
     # materialise once in the shared checkpoint folder: the per-feed count, the
-    # ranking and the snapshot write then read it instead of re-running the lineage
-    state = state.checkpoint(eager=True)
+    # ranking and the snapshot write then read it instead of re-running the lineage.
+    # Callers whose input is already materialised (a snapshot + persisted keys) skip it.
+    if materialize:
+        state = state.checkpoint(eager=True)
     over = [r["feed"] for r in state.groupBy("feed").count().filter(F.col("count") > max_ids).collect()]
     if not over:
         return state
@@ -116,9 +118,9 @@ def stamp(keys: DataFrame, order_cols: Sequence[str | Column], commit_us: int, f
 
 
 def flush(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_DAYS,
-          max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
+          max_ids: int = DEFAULT_MAX_IDS, materialize: bool = True) -> DataFrame:
     """What the reference applies before every write: retention, then the cap."""
-    return trim_newest(expire(state, now, retention_days), max_ids)
+    return trim_newest(expire(state, now, retention_days), max_ids, materialize)
 
 
 def sweep(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_DAYS,

@@ -120,7 +120,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         if emit == "once":
             gone = delivered.select(F.lit(spec.feed_type).alias("feed"), "item_id")
             base_state = current.join(gone, ["feed", "item_id"], "left_anti")
-    merged = S.flush(S.upsert(base_state, new_keys), now, retention_days, max_ids)
+    merged = S.flush(S.upsert(base_state, new_keys), now, retention_days, max_ids,
+                     materialize=current_keys is not None)   # delivered keys + snapshot are on disk
 
     if spec.mark_rule == "data" and spec.epoch_col:
         m = delivered_events.agg(F.max(spec.epoch_col)).first()[0]

@@ -49,7 +49,7 @@ def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: i
             sink.write_outbox(wrapped, f"{outbox_base}/batch={batch_id}")
             keys = wrapped.select(F.lit(spec.feed_type).alias("feed"), "item_id",
                                   F.timestamp_seconds(F.lit(int(now))).alias("seen_at"))
-            merged = S.flush(S.upsert(current, keys), now, retention_days, max_ids)
+            merged = S.flush(S.upsert(current, keys), now, retention_days, max_ids, materialize=False)
             S.commit(merged, state_base, version=batch_id + 1)
         finally:
             wrapped.unpersist()
