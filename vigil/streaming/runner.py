@@ -1,6 +1,7 @@
 """Structured Streaming runs: ``foreachBatch`` commit with delivered-only state.
 
-Each micro-batch: load current state -> drop already-delivered keys -> write the
+Each micro-batch: load the pre-batch state snapshot (version = batch id) -> drop
+already-delivered keys -> write the
 batch's outbox folder (overwrite by batch id) -> upsert + flush state -> write
 the next state snapshot, pointer last. A crash anywhere before the pointer moves
 only causes a re-send of that batch; re-running a batch id rewrites the same
