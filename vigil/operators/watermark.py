@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _with_old(old_mark: DataFrame, rows: DataFrame, by: str, value: str) -> DataFrame:
+    """Old marks and new rows side by side in one aggregate (a tagged union, no join)."""
+    olds = old_mark.select(F.col(by), F.col("last_timestamp").cast("bigint").alias("_old"),
+                           F.lit(None).cast("bigint").alias("_v"), F.lit(1).alias("_has_old"))
+    news = rows.select(F.col(by), F.lit(None).cast("bigint").alias("_old"), F.col(value).cast("bigint").alias("_v"),
+                       F.lit(0).alias("_has_old"))
+    return olds.unionByName(news)
+
+
 def data_mark(emitted: DataFrame, old_mark: DataFrame, epoch_col: str = "updated_epoch",
               by: str = "feed") -> DataFrame:
     """``max(epoch)`` over emitted rows per feed, kept only when above the old mark."""
-    new = emitted.groupBy(by).agg(F.max(epoch_col).alias("_max"))
-    j = old_mark.join(new, by, "left")
-    return j.select(by, F.col("last_timestamp").alias("old_mark"),
-                    F.greatest(F.coalesce("last_timestamp", F.lit(0)),
-                               F.coalesce("_max", F.lit(0))).cast("bigint").alias("new_mark"))
+    g = _with_old(old_mark, emitted, by, epoch_col).groupBy(by).agg(
+        F.max("_old").alias("old_mark"), F.max("_v").alias("_max"), F.max("_has_old").alias("_known"))
+    return g.filter(F.col("_known") == 1).select(
+        by, "old_mark", F.greatest(F.coalesce("old_mark", F.lit(0)), F.coalesce("_max", F.lit(0)))
+        .cast("bigint").alias("new_mark"))
 
 
 def clock_mark(emitted: DataFrame, old_mark: DataFrame, run_start: int, by: str = "feed",
@@ -23,16 +32,21 @@ def clock_mark(emitted: DataFrame, old_mark: DataFrame, run_start: int, by: str
     ``truncated`` (feed, truncated bool) keeps the old mark for feeds whose run was
     cut by an event cap, so skipped rows are fetched next time.
     """
-    counts = emitted.groupBy(by).agg(F.count(F.lit(1)).alias("n_events"))
-    j = old_mark.join(counts, by, "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)).cast("bigint"))
+    rows = emitted.select(by, F.lit(1).alias("_one"))
+    u = _with_old(old_mark, rows, by, "_one")
     if truncated is not None:
-        j = j.join(truncated, by, "left")
-        cut = F.coalesce(F.col("truncated"), F.lit(False))
+        u = u.withColumn("_cut", F.lit(None).cast("boolean")).unionByName(
+            truncated.select(by, F.lit(None).cast("bigint").alias("_old"), F.lit(None).cast("bigint").alias("_v"),
+                             F.lit(0).alias("_has_old"), F.col("truncated").alias("_cut")))
     else:
-        cut = F.lit(False)
-    old = F.coalesce(F.col("last_timestamp"), F.lit(0))
+        u = u.withColumn("_cut", F.lit(None).cast("boolean"))
+    g = u.groupBy(by).agg(F.max("_old").alias("old_mark"), F.count("_v").alias("n_events"),
+                          F.max("_has_old").alias("_known"), F.max(F.col("_cut").cast("int")).alias("_cut"))
+    old = F.coalesce(F.col("old_mark"), F.lit(0))
+    cut = F.coalesce(F.col("_cut"), F.lit(0)) == 1
     new = F.when(~cut & ((F.col("n_events") > 0) | (old == 0)), F.lit(int(run_start))).otherwise(old)
-    return j.select(by, F.col("last_timestamp").alias("old_mark"), "n_events", new.cast("bigint").alias("new_mark"))
+    return g.filter(F.col("_known") == 1).select(by, "old_mark", F.col("n_events").cast("bigint").alias("n_events"),
+                                                 new.cast("bigint").alias("new_mark"))
 
 
 def scan_mark(scans: DataFrame, old: int, modified_col: str = "modified_epoch") -> DataFrame:
