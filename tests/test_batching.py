@@ -64,3 +64,9 @@ def test_ordinal_global_and_null_group(spark):
     assert [x[2] for x in got] == [1, 2]
     allr = sorted(r.rn for r in with_ordinal(df, ["v"]).collect())
     assert allr == [1, 2, 3]
+
+
+def test_ordinal_and_batches_on_empty_input(spark):
+    empty = spark.createDataFrame([], "seq bigint, feed string, len bigint")
+    assert with_ordinal(empty, ["seq"], by=["feed"]).count() == 0
+    assert batching.byte_batches(empty, "len", ["seq"], by=["feed"], batch_size=5, max_bytes=10).count() == 0
