@@ -77,3 +77,15 @@ def test_scan_gate(spark):
     now = 1_000_000
     df = spark.createDataFrame([(0,), (now - 3600 * 23,), (now - 3600 * 24,), (None,)], "last bigint")
     assert [r.d for r in df.select(X.scan_due(now, "last", 24).alias("d")).collect()] == [True, False, True, True]
+
+
+def test_envelope_per_row_overrides(spark):
+    from vigil.operators import envelope as E
+
+    df = spark.createDataFrame([("a", None, None, None), ("b", "st:x", "src:x", 5)],
+                               "k string, st string, src string, t bigint")
+    env = E.envelope(F.struct("k"), F.coalesce("st", F.lit("st:default")), F.coalesce("src", F.lit("src:default")),
+                     "idx", "h", 42, time=F.col("t"))
+    rows = {r.k: r for r in df.select("k", env.alias("e")).select("k", "e.*").collect()}
+    assert (rows["a"].sourcetype, rows["a"].source, rows["a"].time) == ("st:default", "src:default", "42")
+    assert (rows["b"].sourcetype, rows["b"].source, rows["b"].time) == ("st:x", "src:x", "5")

@@ -20,14 +20,16 @@ ENVELOPE_SCHEMA = StructType([
 ])
 
 
-def envelope(event: Column, sourcetype: Column, source: str, index: str, host: str, now: int,
+def envelope(event: Column, sourcetype: Column, source: str | Column, index: str, host: str, now: int,
              feed_type: Column | None = None, feed_name: Column | None = None,
              time: Column | None = None) -> Column:
     """The delivered document as a struct (``fields`` only when the feed is tagged).
 
-    ``time`` overrides the clock per row when given and non-null.
+    ``time`` overrides the clock per row when given and non-null; ``sourcetype`` and
+    ``source`` may be per-row columns (e.g. ``coalesce(override, lit(default))``).
     """
-    parts = [event.alias("event"), sourcetype.alias("sourcetype"), F.lit(source).alias("source"),
+    src = source if isinstance(source, Column) else F.lit(source)
+    parts = [event.alias("event"), sourcetype.alias("sourcetype"), src.alias("source"),
              F.lit(index).alias("index")]
     if feed_type is not None:
         parts.append(F.struct(feed_type.alias("feed_type"),
