@@ -85,3 +85,14 @@ def test_snapshot_feed_reports_until_expiry_or_once(spark, tmp_root, emit, third
         assert seen["b"] < seen["a"]
     else:
         assert "b" not in seen
+
+
+def test_rerun_of_same_run_id_counts_once(spark, tmp_root):
+    spec = R.REGISTRY["asset"]
+    sb, ob = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
+    a = readers.assets(spark, write_lines(os.path.join(tmp_root, "a"), assets_docs(["x", "y", "z"])))
+    first = run_feed(spark, spec, a, sb, ob, NOW, 7, ["id"], state_version=0, commit_version=1)
+    again = run_feed(spark, spec, a, sb, ob, NOW, 7, ["id"], state_version=0, commit_version=1)
+    assert (first.events, first.delivered_events) == (3, 3)
+    assert (again.events, again.delivered_events, again.failed_batches) == (3, 3, 0)
+    assert S.load(spark, sb).count() == 3

@@ -95,7 +95,9 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
                        batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
                        delivered_keys=f"{book}/keys")
     try:
-        log = event_sink.read_delivery_log(spark, f"{book}/log")
+        # a re-run of the same run id posts the same batch ids again: keep the latest record per batch
+        log = event_sink.read_delivery_log(spark, f"{book}/log").groupBy("batch_id").agg(
+            F.max_by(F.struct("status_code", "event_count"), "ts").alias("last")).select("batch_id", "last.*")
         n_delivered = int(log.filter(F.col("status_code") == 200).agg(F.sum("event_count")).first()[0] or 0)
         failed = log.filter(F.col("status_code").isNull() | (F.col("status_code") != 200)).count()
     except Exception as e:  # no batch was posted (no events)
