@@ -190,11 +190,7 @@ def active_wrapped(spark, d, dedup_state: bool = False) -> DataFrame:
         ev = feeds.run_incremental(spec, src, L.state(spark, d), NOW, retention_days=RET)
     else:
         ev = feeds.extract(spec, src)
-    ev = ev.select("*", F.col("item_id").alias("vuln_key"), F.col("asset.uuid").alias("asset_uuid"),
-                   F.col("plugin.id").alias("plugin_id"), F.col("port.port").alias("port_no"),
-                   F.col("port.protocol").alias("protocol"))
-    ev = ev.drop("port").withColumnRenamed("port_no", "port")
-    return feeds.wrap(ev, spec, NOW, ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"])
+    return feeds.wrap(feeds.flat_vuln_event(ev), spec, NOW, feeds.VULN_EVENT_COLS)
 
 
 def envelope_scalars(env: DataFrame) -> DataFrame:

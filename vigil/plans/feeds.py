@@ -107,6 +107,17 @@ def run_snapshot_diff(spec: FeedSpec, source: DataFrame, state: DataFrame, now:
     return diff.fix_events(gone, now, "k")
 
 
+VULN_EVENT_COLS = ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"]
+
+
+def flat_vuln_event(df: DataFrame) -> DataFrame:
+    """Nested vulnerability record -> the flat event columns (one projection; ``port``
+    replaces the nested struct with its port number)."""
+    return df.withColumns({"vuln_key": F.col("item_id"), "asset_uuid": F.col("asset.uuid"),
+                           "plugin_id": F.col("plugin.id"), "protocol": F.col("port.protocol"),
+                           "port": F.col("port.port")})
+
+
 def wrap(events: DataFrame, spec: FeedSpec, now: int, record_cols: list[str], tagged: bool = True,
          raw_col: str | None = None) -> DataFrame:
     """Add the envelope struct ``env`` and its JSON text ``json``.

@@ -42,10 +42,7 @@ def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: i
         rows = feeds.extract(spec, vuln_records(batch))
         seen = S.active_keys(current, now, retention_days, feed=spec.feed_type)
         new = dedup.new_only(rows, seen, "item_id")
-        flat = new.select("*", F.col("item_id").alias("vuln_key"), F.col("asset.uuid").alias("asset_uuid"),
-                          F.col("plugin.id").alias("plugin_id"), F.col("port.port").alias("port_no"),
-                          F.col("port.protocol").alias("protocol")).drop("port").withColumnRenamed("port_no", "port")
-        wrapped = feeds.wrap(flat, spec, now, record_cols).persist()
+        wrapped = feeds.wrap(feeds.flat_vuln_event(new), spec, now, record_cols).persist()
         try:
             sink.write_outbox(wrapped, f"{outbox_base}/batch={batch_id}")
             keys = wrapped.select(F.lit(spec.feed_type).alias("feed"), "item_id",
@@ -82,8 +79,7 @@ def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool =
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(src_dir)
-    record_cols = ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"]
-    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, record_cols)
+    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, feeds.VULN_EVENT_COLS)
     q = (stream.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -102,8 +98,7 @@ def start_daemon(spark: SparkSession, sf_dir: str, interval_s: int, root: str, s
     state_base, outbox, ckpt = f"{root}/state", f"{root}/outbox", f"{root}/_checkpoint"
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", source_glob).parquet(source_dir or sf_dir)
-    record_cols = ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"]
-    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, record_cols)
+    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, feeds.VULN_EVENT_COLS)
     return (stream.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
             .trigger(processingTime=f"{int(interval_s)} seconds").start())
 
