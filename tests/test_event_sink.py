@@ -47,3 +47,21 @@ def test_sink_failures_are_logged_for_redelivery(spark, tmp_root):
     assert delivered + failed.agg(F.sum("event_count")).first()[0] == 300
     m = metrics.delivery_metrics(dl.withColumn("delay_ms", F.lit(0.0))).first()
     assert m.attempts == dl.count() and m.throttles == failed.count()
+
+
+def test_delivered_keys_spill_in_row_groups(spark, tmp_root):
+    import pyarrow.parquet as pq
+
+    out, log, keys = (os.path.join(tmp_root, x) for x in ("out", "log", "keys"))
+    df = spark.range(0, 500, numPartitions=2).select(F.to_json(F.struct("id")).alias("json"),
+                                                     F.col("id").cast("string").alias("k"))
+    ES.register(spark)
+    (df.select(F.col("json").alias("value"), F.col("k").alias("_key")).write.format("vigil_events")
+     .option("transport", f'file:{out}?fail_match="id":13}}').option("delivery_log", log).option("run_id", "k")
+     .option("batch_size", "10").option("key_column", "_key").option("delivered_keys", keys)
+     .option("key_flush_rows", "7").mode("append").save())
+    got = {int(r.item_id) for r in spark.read.parquet(keys).collect()}
+    missing = sorted(set(range(500)) - got)
+    assert 13 in missing and len(missing) <= 10                  # only the failed batch is left out
+    groups = sum(pq.ParquetFile(p).num_row_groups for p in glob.glob(os.path.join(keys, "*.parquet")))
+    assert groups > 2                                            # keys were written as they accumulated

@@ -34,6 +34,8 @@ GZIP_LEVEL = 6
 DEFAULT_MAX_RETRIES = 3
 # ---------------------------------------------------------------------------------------
 
+KEY_FLUSH_ROWS = 262144     # delivered keys buffered per task before a parquet row group is written
+
 
 def resolve(uri: str):
     """``(filesystem, path)`` for a local path or any URI pyarrow understands."""
@@ -123,6 +125,7 @@ class EventBatchWriter(DataSourceArrowWriter):
         # optional: a key column whose values are recorded for delivered batches only
         self.key_column = options.get("key_column")
         self.delivered_keys = options.get("delivered_keys")
+        self.key_flush_rows = int(options.get("key_flush_rows", KEY_FLUSH_ROWS))
 
     def _post(self, transport, batch_id: str, payload: bytes, n: int) -> tuple[int | None, int]:
         status, attempt = None, 0
@@ -146,10 +149,28 @@ class EventBatchWriter(DataSourceArrowWriter):
         pid = ctx.partitionId() if ctx else 0
         transport = make_transport(self.transport_spec)
         records, seq, events, failed = [], 0, 0, 0
-        kept_keys = []              # arrow slices of keys whose batch was delivered
+        kept_keys, kept_n = [], 0   # arrow slices of keys whose batch was delivered
+        key_writer = None           # parquet writer, opened on the first delivered batch
+
+        def spill_keys(force: bool = False):
+            """Write buffered delivered keys once enough have accumulated (bounded memory)."""
+            nonlocal kept_keys, kept_n, key_writer
+            if not kept_keys or (not force and kept_n < self.key_flush_rows):
+                return
+            import pyarrow.parquet as pq
+
+            table = pa.table({"item_id": pa.concat_arrays(kept_keys)})
+            if key_writer is None:
+                kfs, kdir = resolve(self.delivered_keys)
+                kfs.create_dir(kdir, recursive=True)
+                attempt = ctx.attemptNumber() if ctx else 0
+                key_writer = pq.ParquetWriter(f"{kdir}/part-{self.run_id}-{pid:05d}-a{attempt}.parquet",
+                                              table.schema, filesystem=kfs)
+            key_writer.write_table(table)
+            kept_keys, kept_n = [], 0
 
         def flush_slices(values, keys, final: bool):
-            nonlocal seq, events, failed
+            nonlocal seq, events, failed, kept_n
             lengths = pc.binary_length(pc.cast(values, pa.binary())).to_numpy(zero_copy_only=False)
             slices = greedy_batches(lengths, self.batch_size, self.max_bytes)
             if not final and slices:
@@ -167,8 +188,10 @@ class EventBatchWriter(DataSourceArrowWriter):
                                 "event_count": b - a, "bytes": len(body), "ts": time.time()})
                 events += b - a
                 failed += status != 200
-                if status == 200 and keys is not None:
+                if status == 200 and keys is not None and self.delivered_keys:
                     kept_keys.append(keys.slice(a, b - a))
+                    kept_n += b - a
+                    spill_keys()
                 seq += 1
             return values.slice(keep_from), (keys.slice(keep_from) if keys is not None else None)
 
@@ -187,14 +210,9 @@ class EventBatchWriter(DataSourceArrowWriter):
         if carry is not None and len(carry):
             flush_slices(carry, carry_keys, final=True)
 
-        if self.delivered_keys and kept_keys:
-            import pyarrow.parquet as pq
-
-            kfs, kdir = resolve(self.delivered_keys)
-            kfs.create_dir(kdir, recursive=True)
-            attempt = ctx.attemptNumber() if ctx else 0
-            table = pa.table({"item_id": pa.concat_arrays(kept_keys)})
-            pq.write_table(table, f"{kdir}/part-{self.run_id}-{pid:05d}-a{attempt}.parquet", filesystem=kfs)
+        spill_keys(force=True)
+        if key_writer is not None:
+            key_writer.close()
 
         log_file = None
         if self.log_dir and records:
