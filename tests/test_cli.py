@@ -109,3 +109,22 @@ def test_cli_stream_once_is_incremental_across_runs(spark, tmp_root):
     batch1 = [json.loads(x) for p in glob.glob(os.path.join(root, "outbox", "run=1", "feed=vulnerability", "*.json.gz"))
               for x in gzip.decompress(open(p, "rb").read()).decode().split("\n")]
     assert [e["event"]["plugin"]["id"] for e in batch1] == [99]
+
+
+def test_cli_daemon_stops_on_sigterm_and_restores_handlers(spark, tmp_root):
+    import signal
+    import threading
+
+    land = landing(os.path.join(tmp_root, "landing"))
+    args = ["run", "--landing", land, "--state", os.path.join(tmp_root, "s"), "--outbox",
+            os.path.join(tmp_root, "o"), "--logs", os.path.join(tmp_root, "g"), "--feed", "asset",
+            "--daemon", "1", "--now", str(NOW), "--run-id", "1"]
+    before = signal.getsignal(signal.SIGTERM)
+    timer = threading.Timer(3.0, lambda: os.kill(os.getpid(), signal.SIGTERM))
+    timer.start()
+    try:
+        summaries = main(args, spark=spark)
+    finally:
+        timer.cancel()
+    assert len(summaries) >= 1 and summaries[0]["total_events"] == 3
+    assert signal.getsignal(signal.SIGTERM) == before

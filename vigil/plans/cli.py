@@ -127,14 +127,19 @@ def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
             q.awaitTermination()
         return []
     stop = threading.Event()
-    if a.daemon:
+    previous = {}
+    if a.daemon:   # stop between runs; the current run finishes and commits
         for sig in (signal.SIGINT, signal.SIGTERM):
-            signal.signal(sig, lambda *_: stop.set())
+            previous[sig] = signal.signal(sig, lambda *_: stop.set())
     summaries, run_id = [], a.run_id if a.run_id is not None else int(time.time())
-    while True:
-        now = a.now if a.now is not None else int(time.time())
-        summaries.append(run_selected(spark, a, run_id, now).first().asDict())
-        print(summaries[-1], flush=True)
-        if not a.daemon or stop.wait(a.daemon):
-            return summaries
-        run_id += 1
+    try:
+        while True:
+            now = a.now if a.now is not None else int(time.time())
+            summaries.append(run_selected(spark, a, run_id, now).first().asDict())
+            print(summaries[-1], flush=True)
+            if not a.daemon or stop.wait(a.daemon):
+                return summaries
+            run_id += 1
+    finally:
+        for sig, handler in previous.items():
+            signal.signal(sig, handler)
