@@ -128,3 +128,21 @@ def test_cli_daemon_stops_on_sigterm_and_restores_handlers(spark, tmp_root):
         timer.cancel()
     assert len(summaries) >= 1 and summaries[0]["total_events"] == 3
     assert signal.getsignal(signal.SIGTERM) == before
+
+
+def test_cli_streams_compliance_from_new_host_details(spark, tmp_root):
+    land = landing(os.path.join(tmp_root, "landing"))
+    root = os.path.join(tmp_root, "stream")
+    args = ["stream", "--landing", land, "--root", root, "--feed", "compliance", "--once", "--now", str(NOW)]
+    main(args, spark=spark)
+    # a new host-detail document for the other host of the completed scan
+    with open(os.path.join(land, "host_details", "part-1.json"), "w") as f:
+        f.write(json.dumps({"scan_id": 1, "host_id": 8, "compliance": [{"plugin_id": 6, "x": 3}]}) + "\n")
+    main(args, spark=spark)
+    sent = {}
+    for run in (0, 1):
+        sent[run] = [json.loads(x)["event"] for p in glob.glob(os.path.join(root, "outbox", f"run={run}",
+                                                                            "feed=compliance", "*.json.gz"))
+                     for x in gzip.decompress(open(p, "rb").read()).decode().split("\n")]
+    assert sorted(e["compliance_data"]["x"] for e in sent[0]) == [1, 2]
+    assert [(e["host_id"], e["hostname"], e["compliance_data"]["x"]) for e in sent[1]] == [(8, "h8", 3)]

@@ -96,7 +96,7 @@ def stream(spark: SparkSession, a: argparse.Namespace):
     from ..streaming.runner import stream_documents
 
     spec = R.REGISTRY[R.select_feeds([a.feed])[0]]
-    folder = {"assets": "assets", "vulns": "vulns"}.get(spec.source, spec.source)
+    folder = {"assets": "assets", "vulns": "vulns", "compliance": "host_details"}.get(spec.source, spec.source)
     return stream_documents(spark, spec, f"{a.landing.rstrip('/')}/{folder}", a.root, once=a.once,
                             interval_s=a.interval, now=a.now, batch_size=a.batch_size, max_bytes=a.max_bytes,
                             retention_days=a.retention_days, max_ids=a.max_ids, transport=a.transport)

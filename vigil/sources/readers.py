@@ -125,7 +125,11 @@ def scan_hosts(spark: SparkSession, path: str) -> DataFrame:
 
 def host_items(spark: SparkSession, path: str) -> DataFrame:
     """Host details -> one row per compliance item; the item document stays raw JSON."""
-    lines = spark.read.text(path)
+    return parse_host_items(spark.read.text(path))
+
+
+def parse_host_items(lines: DataFrame) -> DataFrame:
+    """Host-detail lines (batch or one micro-batch) -> one row per compliance item."""
     parsed = lines.select(F.from_json("value", HOST_DETAIL_SCHEMA).alias("d"),
                           F.get_json_object("value", "$.compliance").alias("items_raw"))
     items = parsed.select("d.scan_id", "d.host_id",

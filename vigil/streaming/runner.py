@@ -115,7 +115,8 @@ def _outputs(spark: SparkSession, outbox: str, state_base: str) -> dict[str, Dat
 def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root: str, *, once: bool = True,
                      interval_s: int = 60, now: int | None = None, max_files_per_trigger: int | None = None,
                      **run_kw):
-    """Any incremental feed over a JSON-lines landing folder as a Structured Streaming query.
+    """An incremental feed (or the compliance feed, from new host details) over a JSON-lines
+    landing folder as a Structured Streaming query.
 
     Each micro-batch is one feed run (``plans.run.run_feed``) pinned to the state
     snapshot of its batch id and committing the next one, so a replayed batch
@@ -127,9 +128,28 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
     from ..plans.run import run_feed
     from ..sources import readers
 
-    if spec.mode != "incremental" or spec.source not in readers.PARSERS:
-        raise ValueError(f"{spec.feed}: only incremental asset/vulnerability feeds stream from documents")
-    parse = readers.PARSERS[spec.source]
+    raw_col = "raw"
+    if spec.source == "compliance":
+        # new host-detail documents are the stream; scans and scan details are read as
+        # static tables at each micro-batch (a stream-static join)
+        from ..operators import flatten
+
+        landing_root = landing_dir.rstrip("/").rsplit("/", 1)[0]
+        scans_dir, details_dir = f"{landing_root}/scans", f"{landing_root}/scan_details"
+
+        def parse(batch: DataFrame) -> DataFrame:
+            s = batch.sparkSession
+            tree = flatten.compliance_tree(readers.scans(s, scans_dir), readers.scan_hosts(s, details_dir),
+                                           readers.parse_host_items(batch))
+            return tree.withColumn("event_raw", X.json_with_raw(
+                F.struct("scan_id", "scan_name", "host_id", "hostname"), "compliance_data",
+                F.col("compliance_data")))
+        raw_col = "event_raw"
+    elif spec.mode != "incremental" or spec.source not in readers.PARSERS:
+        raise ValueError(f"{spec.feed}: only incremental asset/vulnerability feeds and the compliance feed "
+                         "stream from documents")
+    else:
+        parse = readers.PARSERS[spec.source]
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -138,7 +158,7 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         t = int(now) if now is not None else int(_time.time())
-        run_feed(batch.sparkSession, spec, parse(batch), state_base, outbox_base, t, batch_id, [], raw_col="raw",
+        run_feed(batch.sparkSession, spec, parse(batch), state_base, outbox_base, t, batch_id, [], raw_col=raw_col,
                  state_version=batch_id, commit_version=batch_id + 1, use_mark=False, **run_kw)
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}/_checkpoint")
