@@ -141,3 +141,17 @@ def test_registry_frame_and_custom_spec(spark):
     reg = R.register(spec)
     df = R.registry_frame(spark, reg)
     assert df.count() == 11 and df.filter(F.col("feed") == "x").first().sourcetype == R.SOURCETYPE_PREFIX + "x"
+
+
+def test_extract_many_equals_separate_extracts(spark, tmp_root):
+    docs = [vuln("u1", 10, 443, "tcp"), vuln("u1", 11, None, None, agent=True),
+            vuln("u2", 12, 80, "udp", sev="info"), vuln("u3", 13, 22, "tcp", sev="critical", agent=True,
+                                                        found="2026-03-01T00:00:00Z")]
+    v = readers.vulns(spark, write_lines(os.path.join(tmp_root, "v"), docs))
+    names = ["vulnerability", "vulnerability_no_info", "vulnerability_self_scan"]
+    marks = {"vulnerability": 1769904000}                      # 2026-02-01: only u3 is newer
+    one_scan = sorted((r.feed, r.item_id) for r in feeds.extract_many([R.REGISTRY[n] for n in names], v, marks)
+                      .select("feed", "item_id").collect())
+    separate = sorted((n, r.item_id) for n in names
+                      for r in feeds.extract(R.REGISTRY[n], v, mark=marks.get(n)).collect())
+    assert one_scan == separate and ("vulnerability", "u3_13_22_tcp") in one_scan
