@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import langid, mixing, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op5_weak_labels": weaklabel.query,
+    "op6_language_id": langid.query,
 }
 
 #: Only what SQL can express has an entry.
