@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, weaklabel
+from . import jaccard, langid, mixing, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_jaccard_join": jaccard.query,
     "op5_weak_labels": weaklabel.query,
     "op6_language_id": langid.query,
 }
