@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import jaccard, langid, mixing, weaklabel
+from . import decision_list, jaccard, langid, mixing, sharding, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_jaccard_join": jaccard.query,
     "op5_weak_labels": weaklabel.query,
     "op6_language_id": langid.query,
+    "op9_sharding": sharding.query,
+    "op10_decision_list": decision_list.query,
 }
 
 #: Only what SQL can express has an entry.
