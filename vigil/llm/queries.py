@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decision_list, jaccard, langid, mixing, sharding, weaklabel
+from . import decision_list, jaccard, langid, mixing, sharding, warc, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_jaccard_join": jaccard.query,
     "op5_weak_labels": weaklabel.query,
     "op6_language_id": langid.query,
+    "op7_warc": warc.query,
     "op9_sharding": sharding.query,
     "op10_decision_list": decision_list.query,
 }
