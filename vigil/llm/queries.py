@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decision_list, jaccard, langid, mixing, sharding, warc, weaklabel
+from . import decision_list, jaccard, langid, mixing, sharding, token_files, warc, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_jaccard_join": jaccard.query,
+    "op3_token_files": token_files.query,
     "op5_weak_labels": weaklabel.query,
     "op6_language_id": langid.query,
     "op7_warc": warc.query,
