@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decision_list, jaccard, langid, mixing, sharding, token_files, warc, weaklabel
+from . import decision_list, jaccard, langid, learned_index, mixing, sharding, token_files, warc, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_weak_labels": weaklabel.query,
     "op6_language_id": langid.query,
     "op7_warc": warc.query,
+    "op8_learned_index": learned_index.query,
     "op9_sharding": sharding.query,
     "op10_decision_list": decision_list.query,
 }
