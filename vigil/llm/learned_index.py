@@ -34,7 +34,7 @@ SAMPLE = 8192           # bound of the vectors the index is fitted on (a quarter
 PARTS = 64
 NEIGHBOURS = 16
 HIDDEN = 128
-TARGET = 0.94           # recall on held-back sample searches that sets the number of probed parts
+TARGET = 0.95           # recall on held-back sample searches that sets the number of probed parts
 BLOCK = 8192            # candidates of one part per block
 QUERY_BLOCK = 65536     # queries per block
 SEED = 7
