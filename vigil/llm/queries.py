@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decision_list, jaccard, langid, learned_index, mixing, sharding, token_files, warc, weaklabel
+from . import decision_list, jaccard, langid, lattice, learned_index, mixing, sharding, token_files, warc, weaklabel
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_jaccard_join": jaccard.query,
     "op3_token_files": token_files.query,
+    "op4_sentencepiece": lattice.query,
     "op5_weak_labels": weaklabel.query,
     "op6_language_id": langid.query,
     "op7_warc": warc.query,
