@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import work_dir
 
@@ -22,6 +24,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside named columns, whatever names it has itself."""
+    own = F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns]).alias("row")
+    return docs.select(own, *[c.alias(name) for name, c in columns.items()])
+
+
+def with_fields(schema: StructType, **types: str) -> StructType:
+    """``schema`` and further nullable fields, for the output of Arrow functions."""
+    return StructType([*schema.fields, *StructType.fromDDL(", ".join(f"{k} {v}" for k, v in types.items())).fields])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chargrams import code_points, fold_letters, gram_buckets, segment_sums
-from .common import text_slices
+from .common import packed, text_slices, with_fields
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -88,7 +88,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     langs = model.langs
     held = docs.sparkSession.sparkContext.broadcast((model.log_prob, model.log_prior))
     source = docs.select(F.when(has_letter(F.col(text_col)), F.col(text_col)).alias("_text"), *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
+    schema = with_fields(source.drop("_text").schema, lang_pred="string", score="double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_prob, log_prior = held.value
@@ -112,7 +112,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
                 [*batch.columns[1:], pa.array(names, pa.string()), pa.array(np.where(known, sure, 0.0))],
                 [*batch.schema.names[1:], "lang_pred", "score"])
 
-    return source.mapInArrow(score, f"{schema}, lang_pred string, score double")
+    return source.mapInArrow(score, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -128,5 +128,5 @@ def accept(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     model = train(docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("text", "lang"))
     if not model.langs:      # nothing to learn from: only texts without a letter are rejected
         return docs.filter(has_letter(F.col("text")))
-    told = predict(docs.withColumn("_body", F.col("text")), model, text_col="_body", keep=tuple(docs.columns))
-    return told.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+    told = predict(packed(docs, text=docs["text"]), model, keep=("row",))
+    return told.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordinal import with_ordinal
-from .common import WORD, stored
+from .common import WORD, packed, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
@@ -162,11 +162,10 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS,
     plan = mix(docs, weights=weights, max_repeat=max_repeat).select(
         F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
         "copies").dropDuplicates(["_id", "_source", "_size"]).filter(F.col("copies") > 0)
-    cols = docs.columns
-    sized = docs.withColumn("_n", n_words(F.col("text")))
-    return sized.join(plan, sized["doc_id"].eqNullSafe(plan["_id"]) & sized["source"].eqNullSafe(plan["_source"])
-                      & (sized["_n"] == plan["_size"])).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*cols)
+    rows = packed(docs, id=docs["doc_id"], source=docs["source"], size=n_words(docs["text"]))
+    return rows.join(plan, F.col("id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+                     & (F.col("size") == F.col("_size"))).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordinal import with_ordinal
-from .common import shuffle_partitions, stored
+from .common import packed, shuffle_partitions, stored
 
 SHARDS = 16
 BITS = 12                   # probes per boundary and round: 2 ** BITS
@@ -132,12 +132,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Whole rows of ``docs`` (doc_id, text, ...) as Parquet folders shard=0 .. shard=N-1, sorted by slot."""
-    carry = tuple(c for c in docs.columns if c not in ("doc_id",))
-    placed = shard(docs, shards, carry=carry).withColumnRenamed("id", "doc_id")
+    """Whole rows of ``docs`` (column row) and their slots as Parquet folders shard=0 .. shard=N-1, sorted by slot."""
+    rows = packed(docs, doc_id=docs["doc_id"], text=docs["text"])
+    placed = shard(rows, shards, carry=("row",))
     n = max(shards, shuffle_partitions(docs.sparkSession))
-    placed.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard").parquet(path)
+    placed.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").select(
+        "row", "slot", "shard").write.partitionBy("shard").parquet(path)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

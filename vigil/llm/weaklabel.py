@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chargrams import code_points, gram_buckets, segment_sums
-from .common import text_slices, word_hashes, word_spans
+from .common import packed, stored, text_slices, with_fields, word_hashes, word_spans
 
 FIT_ROWS = 8192                 # bound of the sample the linear scorer is fitted on
 BUCKETS = 1 << 13
@@ -217,7 +217,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_row
                 [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64()),
                  pa.nulls(len(seen), pa.binary())], ["pattern", "n", "features"])
 
-    from .common import stored
     looked = stored(docs.select(F.col(text_col).alias("t"), chosen.alias("use")).mapInArrow(
         look, "pattern long, n long, features binary"), "weak-votes")
     counts = looked.filter(F.col("features").isNull()).groupBy("pattern").agg(F.sum("n").alias("n")).toPandas()
@@ -239,7 +238,7 @@ def judge(docs: DataFrame, scorer: Scorer, text_col: str = "text", keep: tuple[s
     """``keep`` columns, ``posterior`` of the votes, ``score`` of the linear model, per row."""
     posterior, weights = scorer.labels.posterior, scorer.weights
     source = docs.select(F.col(text_col).alias("_text"), *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
+    schema = with_fields(source.drop("_text").schema, posterior="double", score="double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +257,7 @@ def judge(docs: DataFrame, scorer: Scorer, text_col: str = "text", keep: tuple[s
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(weak), pa.array(final)],
                                              [*batch.schema.names[1:], "posterior", "score"])
 
-    return source.mapInArrow(score, f"{schema}, posterior double, score double")
+    return source.mapInArrow(score, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -269,6 +268,5 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def accept(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that the scorer judges good; the others go."""
-    body = docs.withColumn("_body", F.col("text"))
-    told = judge(body, fit(docs.select("doc_id", "text")), text_col="_body", keep=tuple(docs.columns))
-    return told.filter(F.col("score") >= min_score).select(*docs.columns)
+    told = judge(packed(docs, text=docs["text"]), fit(docs.select("doc_id", "text")), keep=("row",))
+    return told.filter(F.col("score") >= min_score).select("row.*")
