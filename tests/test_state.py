@@ -32,7 +32,7 @@ def test_upsert_keeps_newest(spark):
 
 
 @pytest.mark.parametrize("cap", [3, 1500])
-def test_trim_newest_both_paths(spark, cap):
+def test_trim_newest(spark, cap):
     rows = [("hot", f"k{i:05d}", 1000 + i // 2) for i in range(cap + 40)] + [("cold", "x", 5)]
     st = mk(spark, rows)
     out = S.trim_newest(st, cap).collect()
@@ -58,7 +58,7 @@ def test_commit_load_roundtrip_and_missing(spark, tmp_root):
 def test_corrupt_state_fails(spark, tmp_root):
     base = os.path.join(tmp_root, "bad")
     S.commit(mk(spark, [("a", "1", 100)]), base, 1)
-    d = os.path.join(base, "v=1", "state")
+    d = os.path.join(base, "v=1", "feed=a")
     for f in os.listdir(d):
         if f.endswith(".parquet"):
             with open(os.path.join(d, f), "wb") as fh:
@@ -67,6 +67,68 @@ def test_corrupt_state_fails(spark, tmp_root):
         S.load(spark, base).collect()
 
 
+def test_lost_markers_or_data_raise(spark, tmp_root):
+    import shutil
+
+    base = os.path.join(tmp_root, "s")
+    S.commit(mk(spark, [("a", "1", 100)]), base, 1)
+    S.commit(mk(spark, [("a", "2", 100)]), base, 2, feeds=["a"], delta=True)
+    os.rename(os.path.join(base, "_commits"), os.path.join(base, "elsewhere"))
+    with pytest.raises(S.StateDamaged):
+        S.load(spark, base)
+    os.rename(os.path.join(base, "elsewhere"), os.path.join(base, "_commits"))
+    shutil.move(os.path.join(base, "v=1", "feed=a"), os.path.join(tmp_root, "gone"))
+    with pytest.raises(S.StateDamaged):
+        S.load(spark, base)
+    with pytest.raises(S.StateDamaged):
+        S.load_version(spark, os.path.join(tmp_root, "never"), 3)
+
+
+def test_commit_touches_only_its_feed(spark, tmp_root):
+    def listing(folder):
+        return sorted((os.path.join(d, f), os.stat(os.path.join(d, f)).st_mtime_ns)
+                      for d, _, fs in os.walk(folder) for f in fs if "feed=b" in os.path.join(d, f))
+
+    base = os.path.join(tmp_root, "s")
+    S.commit(mk(spark, [("a", "1", 100), ("b", "1", 100)]), base, 1,
+             marks=spark.createDataFrame([("a", 5, None, None), ("b", 6, None, None)], S.WATERMARK_SCHEMA))
+    before = listing(base)
+    S.commit(mk(spark, [("a", "2", 200)]), base, 2, feeds=["a"], delta=True,
+             marks=spark.createDataFrame([("a", 9, None, 3)], S.WATERMARK_SCHEMA))
+    assert listing(base) == before and before
+    assert sorted((r.feed, r.item_id) for r in S.load(spark, base).collect()) == [("a", "1"), ("a", "2"), ("b", "1")]
+    marks = {r.feed: (r.last_timestamp, r.last_cleanup) for r in S.load_marks(spark, base).collect()}
+    assert marks == {"a": (9, 3), "b": (6, None)}
+    assert S.load_version(spark, base, 1).count() == 2
+    S.commit(mk(spark, []), base, 3, feeds=["a"], delta=True)           # nothing new: the state stays
+    assert S.load(spark, base, "a").count() == 2
+
+
+def test_clear_sweep_legacy_and_vacuum_are_committed(spark, tmp_root):
+    base = os.path.join(tmp_root, "s")
+    S.commit(mk(spark, [("a", "1", NOW), ("a", "2", NOW - 30 * DAY), ("b", "1", NOW)]), base, 1,
+             marks=spark.createDataFrame([("a", 5, 6, 7)], S.WATERMARK_SCHEMA))
+    assert {r.feed: r.active_ids for r in S.commit_sweep(spark, base, NOW).collect()} == {"a": 1, "b": 1}
+    assert sorted((r.feed, r.item_id) for r in S.load(spark, base).collect()) == [("a", "1"), ("b", "1")]
+    assert {r.feed: r.last_cleanup for r in S.load_marks(spark, base).collect()}["a"] == NOW
+    S.commit_clear(spark, base, "a")
+    assert [r.feed for r in S.load(spark, base).collect()] == ["b"]
+    assert [r.last_timestamp for r in S.load_marks(spark, base).filter("feed = 'a'").collect()] == [None]
+    legacy = spark.createDataFrame([("c", ["x", "y"], 77)], "feed string, processed_ids array<string>, last_timestamp bigint")
+    S.commit_legacy(legacy, base, NOW)
+    assert S.load(spark, base, "c").count() == 2
+    assert S.load_marks(spark, base).filter("feed = 'c'").first().last_timestamp == 77
+    kept = sorted(map(tuple, S.load(spark, base).collect()))
+    assert S.vacuum(spark, base, keep=1)
+    assert sorted(map(tuple, S.load(spark, base).collect())) == kept
+    assert not os.path.exists(os.path.join(base, "v=1"))
+
+
+def test_cap_is_off_by_default(spark):
+    st = mk(spark, [("a", str(i), i) for i in range(50)])
+    assert S.flush(st, 60, 7).count() == 50 and S.flush(st, 60, 7, 5).count() == 5
+
+
 def test_stamp_order(spark):
     keys = spark.createDataFrame([("a", "z", 3), ("a", "y", 1), ("a", "x", 2), ("b", "q", 9)],
                                  "feed string, item_id string, pos int")

@@ -1,19 +1,33 @@
 """Keyed delivery state: ``feed STRING, item_id STRING, seen_at TIMESTAMP``.
 
 One row per delivered key, so state joins and scales like any other table
-(never a map column, never collected to the driver). Retention and the per-feed
-size cap are applied on write, exactly like the reference's flush.
+(never a map column, never collected to the driver).
+
+Store layout below a base folder::
+
+    v=<version>/feed=<feed>/*.parquet       keys that this version adds or, when full, holds
+    _commits/feed=<feed>/<version>.json     its marker: kind (full, delta, empty) and the feed's marks
+
+A version counts for a feed once its marker is there; the marker is renamed into place
+after the data, and holds the marks, so keys and marks move together. A feed's state is
+its last full version and the deltas since; every ``COMPACT_AFTER`` deltas a commit
+writes a full one. A commit touches only the feeds it names. Snapshots without a marker
+mean a damaged store and raise ``StateDamaged``; so does a marker whose data is gone.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions import exprs as X
+from ..sources import paths
 from .ordinal import with_ordinal
 
 STATE_SCHEMA = StructType([
@@ -31,9 +45,11 @@ WATERMARK_SCHEMA = StructType([
 
 # ---- fixed values: reference defaults -------------------------------------------
 DEFAULT_RETENTION_DAYS = 7
-DEFAULT_MAX_IDS = 500000
 # -----------------------------------------------------------------------------------
 
+DEFAULT_MAX_IDS = 0         # no cap: a trimmed key would be sent again, so a cap is asked for by name
+COMPACT_AFTER = 8           # deltas of a feed that are merged into one full snapshot
+
 
 def normalize(state: DataFrame) -> DataFrame:
     """Keys are compared as strings on both sides (``str(item_id)``)."""
@@ -67,28 +83,15 @@ def expire(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_D
     return active(state, now, retention_days)
 
 
-# Spark infers a partial ``WindowGroupLimit`` only up to this rank limit
-# (spark.sql.optimizer.windowGroupLimitThreshold default).
-WINDOW_GROUP_LIMIT = 1000
-
-
-def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS, materialize: bool = True) -> DataFrame:
-    """Keep the ``max_ids`` newest keys per feed (ties broken by key).
+def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
+    """Keep the ``max_ids`` newest keys per feed (ties broken by key); 0 keeps all.
 
-    Small caps use ``row_number`` with a partial ``WindowGroupLimit`` before the
-    shuffle (each map task ships at most ``max_ids`` rows per feed). Large caps
-    first count keys per feed (one row per feed reaches the driver); feeds under
-    the cap pass untouched and only feeds over it are ranked with the
-    distributed ordinal, so no feed's whole state is sorted inside one task.
+    Keys are counted per feed (one row per feed reaches the driver); feeds within the
+    cap pass untouched, the others are ranked with the distributed ordinal, so no
+    feed's state is sorted inside one task.
     """
-    if max_ids <= WINDOW_GROUP_LIMIT:
-        w = Window.partitionBy("feed").orderBy(F.col("seen_at").desc(), F.col("item_id").asc())
-        return state.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_ids).drop("_rk")
-    # materialise once in the shared checkpoint folder: the per-feed count, the
-    # ranking and the snapshot write then read it instead of re-running the lineage.
-    # Callers whose input is already materialised (a snapshot + persisted keys) skip it.
-    if materialize:
-        state = state.checkpoint(eager=True)
+    if not max_ids:
+        return state
     over = [r["feed"] for r in state.groupBy("feed").count().filter(F.col("count") > max_ids).collect()]
     if not over:
         return state
@@ -118,9 +121,9 @@ def stamp(keys: DataFrame, order_cols: Sequence[str | Column], commit_us: int, f
 
 
 def flush(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_DAYS,
-          max_ids: int = DEFAULT_MAX_IDS, materialize: bool = True) -> DataFrame:
-    """What the reference applies before every write: retention, then the cap."""
-    return trim_newest(expire(state, now, retention_days), max_ids, materialize)
+          max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
+    """Retention, then the cap when one is asked for."""
+    return trim_newest(expire(state, now, retention_days), max_ids)
 
 
 def sweep(state: DataFrame, now: int, retention_days: int = DEFAULT_RETENTION_DAYS,
@@ -156,78 +159,194 @@ def migrate_legacy(legacy: DataFrame, now: int) -> DataFrame:
                     F.timestamp_seconds(F.lit(int(now))).alias("seen_at")))
 
 
-# ---- versioned snapshot store ------------------------------------------------------
+# ---- versioned store ------------------------------------------------------------------
+
+class StateDamaged(RuntimeError):
+    """Snapshots and markers of a store do not fit together."""
+
+
+FEED_NAME = re.compile(r"[A-Za-z0-9_.-]+")
+MARKS = ("last_timestamp", "last_full_scan", "last_cleanup")
+
 
-def _pointer(base: str) -> str:
-    return f"{base.rstrip('/')}/_latest"
+def _root(base: str) -> str:
+    return base.rstrip("/")
 
 
-def commit(state: DataFrame, base: str, version: int, marks: DataFrame | None = None) -> str:
-    """Write snapshot ``version`` then move the pointer to it.
+def _markers(spark: SparkSession, base: str) -> dict[str, dict[int, str]]:
+    """{feed: {version: marker path}}; raises when snapshots lie there without any marker."""
+    root = _root(base)
+    out: dict[str, dict[int, str]] = {}
+    for folder in paths.names(spark, f"{root}/_commits"):
+        if folder.startswith("feed="):
+            found = {int(n[:-5]): f"{root}/_commits/{folder}/{n}"
+                     for n in paths.names(spark, f"{root}/_commits/{folder}") if n.endswith(".json") and n[0] != "."}
+            if found:
+                out[folder[5:]] = found
+    if not out and any(n.startswith("v=") for n in paths.names(spark, root)):
+        raise StateDamaged(f"{root}: snapshots without a commit marker")
+    return out
 
-    Re-running a version overwrites the same folder (idempotent by batch id); the
-    pointer is written last, so a crash leaves the previous snapshot current.
+
+def _marker(spark: SparkSession, path: str) -> dict:
+    return json.loads(paths.read_text(spark, path))
+
+
+def _chain(spark: SparkSession, markers: dict[int, str], upto: int | None) -> tuple[list[int], dict]:
+    """Versions whose data make up a feed's state (newest first), and the newest marker."""
+    versions = sorted((v for v in markers if upto is None or v <= upto), reverse=True)
+    chain, newest = [], {}
+    for v in versions:
+        m = _marker(spark, markers[v])
+        newest = newest or m
+        if m["kind"] != "empty":
+            chain.append(v)
+        if m["kind"] != "delta":
+            break
+    return chain, newest
+
+
+def _data(spark: SparkSession, root: str, feed: str, versions: list[int]) -> DataFrame:
+    folders = [f"{root}/v={v}/feed={feed}" for v in versions]
+    for f in folders:
+        if not paths.exists(spark, f):
+            raise StateDamaged(f"{f}: committed but gone")
+    keys = spark.read.schema("item_id string, seen_at timestamp").parquet(*folders)
+    if len(folders) > 1:
+        keys = keys.groupBy("item_id").agg(F.max("seen_at").alias("seen_at"))
+    return keys.select(F.lit(feed).alias("feed"), "item_id", "seen_at")
+
+
+def _marks_rows(state: dict[str, dict]) -> list[tuple]:
+    return [(feed, *[m.get("marks", {}).get(k) for k in MARKS]) for feed, m in sorted(state.items()) if m.get("marks")]
+
+
+def commit(state: DataFrame, base: str, version: int, marks: DataFrame | None = None,
+           feeds: Sequence[str] | None = None, delta: bool = False) -> str:
+    """Write ``version`` of the named feeds (all feeds of the store when none are named).
+
+    ``delta`` adds the rows to what the feed has; otherwise they are its whole state.
+    Re-running a version rewrites its folders, so it is idempotent by version. ``marks``
+    are a row per feed; a feed without one keeps the marks it had.
     """
     spark = state.sparkSession
-    root = base.rstrip("/")
-    path = f"{root}/v={int(version)}"
-    normalize(state).write.mode("overwrite").parquet(f"{path}/state")
-    if marks is not None:
-        marks.write.mode("overwrite").parquet(f"{path}/marks")
-    spark.createDataFrame([(int(version),)], "version bigint").coalesce(1).write.mode("overwrite").json(
-        _pointer(root))
-    return path
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    try:
-        rows = spark.read.schema("version bigint").json(_pointer(base)).collect()
-    except Exception as e:  # missing pointer = no state yet
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
-        raise
-    return max(r.version for r in rows) if rows else None
-
-
-def load(spark: SparkSession, base: str) -> DataFrame:
-    """Current snapshot, or empty state when none was committed. Corrupt state fails."""
-    v = current_version(spark, base)
-    if v is None:
-        return empty_state(spark)
-    return spark.read.schema(STATE_SCHEMA).parquet(f"{base.rstrip('/')}/v={v}/state")
-
-
-def load_version(spark: SparkSession, base: str, version: int) -> DataFrame:
-    """Snapshot ``version`` exactly (empty when it was never written).
-
-    A replayed micro-batch reads the same pre-batch snapshot again, so its output
-    and its next snapshot are identical to the first attempt.
+    root, version = _root(base), int(version)
+    known = _markers(spark, base)
+    given = {r["feed"]: {k: r[k] for k in MARKS if k in r.asDict()} for r in marks.collect()} if marks is not None else {}
+    rows = normalize(state)
+    if feeds is None:
+        feeds = sorted({*known, *given, *(r["feed"] for r in rows.select("feed").distinct().collect())})
+    else:
+        rows = rows.filter(F.col("feed").isin(*feeds))
+    for feed in feeds:
+        if not FEED_NAME.fullmatch(feed):
+            raise ValueError(f"feed name {feed!r} can't name a folder")
+        paths.delete(spark, f"{root}/v={version}/feed={feed}")
+    rows.write.mode("append").partitionBy("feed").parquet(f"{root}/v={version}")      # one write for all feeds
+    for feed in feeds:
+        before = {v: p for v, p in known.get(feed, {}).items() if v < version}
+        full = not paths.exists(spark, f"{root}/v={version}/feed={feed}")
+        kind = ("delta" if delta and before else "full") if not full else ("none" if delta and before else "empty")
+        old = _marker(spark, before[max(before)]) if before else {}
+        m = {"kind": kind, "marks": {**old.get("marks", {}), **given.get(feed, {})}}
+        if kind == "none":       # a delta without rows: the state stays, the marks move
+            m["kind"] = "delta"
+            spark.createDataFrame([], "item_id string, seen_at timestamp").write.parquet(f"{root}/v={version}/feed={feed}")
+        paths.write_text(spark, f"{root}/_commits/feed={feed}/{version}.json", json.dumps(m))
+    return f"{root}/v={version}"
+
+
+def deltas_since_full(spark: SparkSession, base: str, feed: str) -> int:
+    return max(0, len(_chain(spark, _markers(spark, base).get(feed, {}), None)[0]) - 1)
+
+
+def current_version(spark: SparkSession, base: str, feed: str | None = None) -> int | None:
+    """Newest committed version of the store, or of one feed."""
+    found = [v for f, m in _markers(spark, base).items() if feed in (None, f) for v in m]
+    return max(found) if found else None
+
+
+def load(spark: SparkSession, base: str, feed: str | None = None, version: int | None = None) -> DataFrame:
+    """State of all feeds or of one; empty when nothing was committed. Damaged state fails."""
+    parts = []
+    for name, markers in sorted(_markers(spark, base).items()):
+        if feed in (None, name):
+            chain, _ = _chain(spark, markers, version)
+            if chain:
+                parts.append(_data(spark, _root(base), name, chain))
+    return reduce(DataFrame.unionByName, parts) if parts else empty_state(spark)
+
+
+def load_version(spark: SparkSession, base: str, version: int, feed: str | None = None) -> DataFrame:
+    """State as of ``version``; a version above 0 that was never committed is an error.
+
+    A replayed micro-batch reads the same state again, so its output and its commit
+    are those of the first attempt.
     """
-    path = f"{base.rstrip('/')}/v={int(version)}/state"
-    try:
-        return spark.read.schema(STATE_SCHEMA).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return empty_state(spark)
-        raise
+    if version > 0 and not any(v <= version for f, m in _markers(spark, base).items() if feed in (None, f) for v in m):
+        raise StateDamaged(f"{_root(base)}: nothing was committed up to version {version}")
+    return load(spark, base, feed, int(version))
+
+
+def load_marks(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
+    """A row of marks per feed that has some."""
+    newest = {f: _chain(spark, m, version)[1] for f, m in _markers(spark, base).items()}
+    return spark.createDataFrame(_marks_rows(newest), WATERMARK_SCHEMA)
 
 
 def load_marks_version(spark: SparkSession, base: str, version: int) -> DataFrame:
-    try:
-        return spark.read.schema(WATERMARK_SCHEMA).parquet(f"{base.rstrip('/')}/v={int(version)}/marks")
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], WATERMARK_SCHEMA)
-        raise
-
-
-def load_marks(spark: SparkSession, base: str) -> DataFrame:
-    v = current_version(spark, base)
-    if v is None:
-        return spark.createDataFrame([], WATERMARK_SCHEMA)
-    try:
-        return spark.read.schema(WATERMARK_SCHEMA).parquet(f"{base.rstrip('/')}/v={v}/marks")
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], WATERMARK_SCHEMA)
-        raise
+    return load_marks(spark, base, int(version))
+
+
+def commit_clear(spark: SparkSession, base: str, feed: str) -> int:
+    """Forget a feed's keys and marks; other feeds are not touched."""
+    version = (current_version(spark, base) or 0) + 1
+    gone = spark.createDataFrame([(feed, None, None, None)], WATERMARK_SCHEMA)
+    commit(empty_state(spark), base, version, marks=gone, feeds=[feed])
+    return version
+
+
+def commit_sweep(spark: SparkSession, base: str, now: int, retention_days: int = DEFAULT_RETENTION_DAYS,
+                 max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
+    """Retention and cap over all feeds, committed; (feed, active_ids) of what is left."""
+    names = sorted(_markers(spark, base))
+    version = (current_version(spark, base) or 0) + 1
+    marks = load_marks(spark, base).withColumn("last_cleanup", F.lit(int(now)).cast("bigint"))
+    commit(flush(load(spark, base), now, retention_days, max_ids), base, version, marks=marks, feeds=names)
+    return load(spark, base).groupBy("feed").agg(F.count(F.lit(1)).alias("active_ids"))
+
+
+def commit_legacy(legacy: DataFrame, base: str, now: int) -> int:
+    """Take over legacy documents: ids stamped ``now`` and, where they have one, ``last_timestamp``."""
+    spark = legacy.sparkSession
+    version = (current_version(spark, base) or 0) + 1
+    marks = None
+    if "last_timestamp" in legacy.columns:
+        marks = legacy.groupBy("feed").agg(F.max("last_timestamp").cast("bigint").alias("last_timestamp"))
+    moved = migrate_legacy(legacy, now)
+    names = [r["feed"] for r in legacy.select("feed").distinct().collect()]      # one row per feed
+    commit(upsert(load(spark, base).filter(F.col("feed").isin(*names)), moved), base, version, marks=marks, feeds=names)
+    return version
+
+
+def vacuum(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
+    """Delete versions that neither the state nor the last ``keep`` versions of any feed need."""
+    root, needed, dropped = _root(base), set(), []
+    markers = _markers(spark, base)
+    for feed, found in markers.items():
+        last = sorted(found)[-max(1, keep):]
+        for v in last:
+            needed.update((feed, c) for c in _chain(spark, found, v)[0])
+        needed.update((feed, v) for v in last)
+        # markers between a kept version and its full one stay with their data
+    for feed, found in markers.items():
+        for v, path in found.items():
+            if (feed, v) not in needed:
+                paths.delete(spark, path)
+                folder = f"{root}/v={v}/feed={feed}"
+                paths.delete(spark, folder)
+                dropped.append(folder)
+    for name in paths.names(spark, root):
+        if name.startswith("v=") and not [n for n in paths.names(spark, f"{root}/{name}") if n.startswith("feed=")]:
+            paths.delete(spark, f"{root}/{name}")
+    return dropped
