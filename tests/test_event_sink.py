@@ -40,13 +40,52 @@ def test_sink_failures_are_logged_for_redelivery(spark, tmp_root):
     df = spark.range(0, 300, numPartitions=2).select(F.to_json(F.struct("id")).alias("json"))
     ES.deliver(df, f"file:{out}?fail=3", log, run_id="r2", batch_size=20, max_bytes=100000)
     dl = ES.read_delivery_log(spark, log)
-    failed = dl.filter(F.col("status_code") == 503)
+    failed = dl.filter((F.col("status_code") == 503) & F.col("final"))
     assert failed.count() > 0
-    assert failed.agg(F.min("attempts")).first()[0] == 4      # first try + 3 retries
+    assert failed.agg(F.min("attempt")).first()[0] == 4       # first try + 3 retries, a row each
     delivered = dl.filter(F.col("status_code") == 200).agg(F.sum("event_count")).first()[0]
     assert delivered + failed.agg(F.sum("event_count")).first()[0] == 300
-    m = metrics.delivery_metrics(dl.withColumn("delay_ms", F.lit(0.0))).first()
-    assert m.attempts == dl.count() and m.throttles == failed.count()
+    m = metrics.delivery_metrics(dl).first()
+    assert m.attempts == dl.count() and m.throttles == 4 * failed.count()
+    assert metrics.throughput_profile(dl).count() == 1
+
+
+def test_success_at_third_attempt_counts_its_retries(spark, tmp_root):
+    out, log = os.path.join(tmp_root, "out"), os.path.join(tmp_root, "log")
+    df = spark.range(0, 10, numPartitions=1).select(F.to_json(F.struct("id")).alias("json"))
+    ES.deliver(df, f'file:{out}?fail_match="id":3&times=2', log, run_id="r", batch_size=5, backoff_s=0.001)
+    m = metrics.delivery_metrics(ES.read_delivery_log(spark, log)).first()
+    assert (m.attempts, m.retries, m.events_sent) == (4, 2, 10)
+    delays = [r.delay_ms for r in ES.read_delivery_log(spark, log).filter("batch_id = 'r-0-0'").orderBy("attempt").collect()]
+    assert delays == [0.0, 1.0, 2.0]
+
+
+def test_keys_stay_together_and_refused_batches_become_dead_letters(spark, tmp_root):
+    assert ES.greedy_batches([1] * 6, 4, 100, ["a", "a", "a", "b", "b", "c"]) == [(0, 3), (3, 6)]
+    assert ES.greedy_batches([1] * 6, 2, 100, ["a"] * 5 + ["b"]) == [(0, 2), (2, 4), (4, 6)]
+    out, log, keys, bad, dead = (os.path.join(tmp_root, x) for x in ("out", "log", "keys", "bad", "dead"))
+    df = spark.range(0, 60).select(F.to_json(F.struct("id")).alias("json"), (F.col("id") % 20).cast("string").alias("k"))
+    ES.deliver(df, f'file:{out}?fail_match="id":13}}&status=400', log, run_id="r", batch_size=4, key_column="k",
+               delivered_keys=keys, failed_keys=bad, dead_letters=dead)
+    assert not os.path.exists(bad)
+    lost = spark.read.parquet(dead).collect()
+    assert any('"id":13' in r.event for r in lost) and {r.status_code for r in lost} == {400}
+    # the events of a key went out in one batch
+    for path in glob.glob(os.path.join(out, "*.json.gz")):
+        ids = [int(x.split(":")[1][:-1]) for x in gzip.decompress(open(path, "rb").read()).decode().split("\n")]
+        assert all(sum(i % 20 == k for i in ids) == 3 for k in {i % 20 for i in ids})
+    assert spark.read.parquet(keys).distinct().count() == 20        # refused events are settled
+
+
+def test_same_input_same_batches(spark, tmp_root):
+    df = spark.range(0, 500).select(F.to_json(F.struct("id")).alias("json"), (F.col("id") % 70).cast("string").alias("k"))
+    bodies = []
+    for name, frame in (("a", df), ("b", df.orderBy(F.rand(3)))):
+        out = os.path.join(tmp_root, name)
+        ES.deliver(frame, f"file:{out}", os.path.join(tmp_root, name + "l"), run_id="r", batch_size=20, key_column="k",
+                   delivered_keys=os.path.join(tmp_root, name + "k"))
+        bodies.append({os.path.basename(p): gzip.decompress(open(p, "rb").read()) for p in glob.glob(out + "/*.gz")})
+    assert bodies[0] == bodies[1]
 
 
 def test_delivered_keys_spill_in_row_groups(spark, tmp_root):

@@ -4,16 +4,20 @@ Each task packs its own partition into delivery batches -- at most
 ``batch_size`` events and ``max_bytes`` of newline-joined JSON (an event longer
 than the limit travels alone) -- gzips each batch and hands it to an injected
 transport. Batch boundaries are partition-local (no global numbering, no
-funnel); the size limits are the contract. Batch ids are
-``<run>-<partition>-<n>``, deterministic for a deterministic input, so a
-retried task re-posts under the same ids and an idempotent receiver ignores
-the duplicates. Each task writes its delivery records next to the data; the
-driver only sees per-task summaries.
+funnel); the size limits are the contract. ``deliver`` clusters events by key and
+sorts them, so events of one key share a batch where they fit, and a retried task
+posts the same events under the same ids ``<run>-<partition>-<n>``.
+
+Each task writes beside the data: a log row per attempt, the keys of delivered and of
+undelivered batches, and the lines of batches that the receiver refused for good
+(dead letters). The driver sees per-task summaries only; on commit it removes what
+attempts that did not win have left.
 
 Transports (option ``transport``):
   ``file:<dir>``  write each batch to ``<dir>/<batch_id>.json.gz`` (tests, hand-off folders)
   ``file:<dir>?fail=<k>``  same, but every k-th batch of a task answers 503 (failure drills)
   ``file:<dir>?fail_match=<text>``  same, but a batch whose body contains ``text`` answers 503
+  (``&status=<code>`` answers that code instead, ``&times=<n>`` only on the first n attempts)
 A network transport implements the same ``post(batch_id, gz_bytes, n_events) -> status`` call.
 """
 
@@ -28,6 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..functions.exprs import RETRYABLE_STATUS
+from .paths import require_shared
 
 # ---- fixed values: reference defaults ------------------------------------------------
 GZIP_LEVEL = 6
@@ -53,7 +58,7 @@ class FileTransport:
 
     def __init__(self, spec: str):
         target = spec[len("file:"):] if spec.startswith("file:") and not spec.startswith("file://") else spec
-        self.fail_every, self.fail_match = 0, None
+        self.fail_every, self.fail_match, self.fail_status, self.fail_times = 0, None, 503, 1 << 30
         if "?" in target:
             target, query = target.split("?", 1)
             for part in query.split("&"):
@@ -62,17 +67,21 @@ class FileTransport:
                     self.fail_every = int(v)
                 elif k == "fail_match":
                     self.fail_match = v.encode("utf-8")
+                elif k == "status":
+                    self.fail_status = int(v)
+                elif k == "times":
+                    self.fail_times = int(v)
         self.fs, self.dir = resolve(target)
         self.fs.create_dir(self.dir, recursive=True)
-        self.calls = 0
+        self.failed: dict[str, int] = {}
 
     def post(self, batch_id: str, payload: bytes, n_events: int) -> int:
-        self.calls += 1
         seq = int(batch_id.rsplit("-", 1)[1])
-        if self.fail_every and seq % self.fail_every == self.fail_every - 1:
-            return 503
-        if self.fail_match is not None and self.fail_match in gzip.decompress(payload):
-            return 503
+        if self.fail_every and seq % self.fail_every == self.fail_every - 1 or (
+                self.fail_match is not None and self.fail_match in gzip.decompress(payload)):
+            self.failed[batch_id] = self.failed.get(batch_id, 0) + 1
+            if self.failed[batch_id] <= self.fail_times:
+                return self.fail_status
         tmp, final = f"{self.dir}/.{batch_id}.tmp", f"{self.dir}/{batch_id}.json.gz"
         with self.fs.open_output_stream(tmp) as f:
             f.write(payload)
@@ -86,20 +95,38 @@ def make_transport(spec: str):
     raise ValueError(f"unsupported transport {spec!r}")
 
 
-def greedy_batches(lengths, batch_size: int, max_bytes: int) -> list[tuple[int, int]]:
+def greedy_batches(lengths, batch_size: int, max_bytes: int, keys=None) -> list[tuple[int, int]]:
     """``[start, end)`` slices: close a batch at ``batch_size`` events or when adding
-    the next event would pass ``max_bytes`` (newline separators counted)."""
-    out, start, cur = [], 0, 0
-    for i, n in enumerate(lengths):
-        n = int(n)
-        count = i - start
-        if count and (count >= batch_size or cur + 1 + n > max_bytes):
-            out.append((start, i))
-            start, cur = i, 0
-            count = 0
-        cur = n if count == 0 else cur + 1 + n
-    if start < len(lengths):
-        out.append((start, len(lengths)))
+    the next event would pass ``max_bytes`` (newline separators counted).
+
+    With ``keys`` (sorted), a run of one key that fits a batch is not cut: the batch
+    before it is closed instead.
+    """
+    n = len(lengths)
+    ends = []           # where a group ends; a group is an event, or all events of a key
+    if keys is None:
+        ends = list(range(1, n + 1))
+    else:
+        ends = [i for i in range(1, n + 1) if i == n or keys[i] != keys[i - 1]]
+    out, start, cur, at = [], 0, 0, 0
+    for end in ends:
+        size = sum(int(x) for x in lengths[at:end]) + (end - at - 1)
+        whole = end - at <= batch_size and size <= max_bytes
+        if whole and at > start and (end - start > batch_size or cur + 1 + size > max_bytes):
+            out.append((start, at))
+            start, cur = at, 0
+        if whole:
+            cur = size if at == start else cur + 1 + size
+        else:
+            for i in range(at, end):
+                x = int(lengths[i])
+                if i > start and (i - start >= batch_size or cur + 1 + x > max_bytes):
+                    out.append((start, i))
+                    start, cur = i, 0
+                cur = x if i == start else cur + 1 + x
+        at = end
+    if start < n:
+        out.append((start, n))
     return out
 
 
@@ -109,7 +136,7 @@ class TaskSummary(WriterCommitMessage):
     batches: int
     events: int
     failed_batches: int
-    log_file: str | None
+    files: tuple[str, ...]          # what this attempt wrote beside the data
 
 
 class EventBatchWriter(DataSourceArrowWriter):
@@ -125,73 +152,91 @@ class EventBatchWriter(DataSourceArrowWriter):
         # optional: a key column whose values are recorded for delivered batches only
         self.key_column = options.get("key_column")
         self.delivered_keys = options.get("delivered_keys")
+        self.failed_keys = options.get("failed_keys")
+        self.dead_letters = options.get("dead_letters")
         self.key_flush_rows = int(options.get("key_flush_rows", KEY_FLUSH_ROWS))
 
-    def _post(self, transport, batch_id: str, payload: bytes, n: int) -> tuple[int | None, int]:
-        status, attempt = None, 0
+    def _post(self, transport, batch_id: str, payload: bytes, n: int, size: int) -> tuple[int | None, list[dict]]:
+        """Final status and a log row per attempt (``delay_ms``: the wait before it)."""
+        status, rows, delay = None, [], 0.0
         for attempt in range(1, self.max_retries + 2):
+            if delay:
+                time.sleep(delay)
             try:
                 status = transport.post(batch_id, payload, n)
             except (TimeoutError, ConnectionError):
                 status = None
-            if status == 200 or (status is not None and status not in RETRYABLE_STATUS):
+            final = status == 200 or (status is not None and status not in RETRYABLE_STATUS) or (
+                attempt == self.max_retries + 1)
+            rows.append({"batch_id": batch_id, "attempt": attempt, "status_code": status, "event_count": n,
+                         "bytes": size, "delay_ms": delay * 1000.0, "final": final, "ts": time.time()})
+            if final:
                 break
-            if self.backoff_s:
-                time.sleep(self.backoff_s * (2 ** (attempt - 1)))
-        return status, attempt
+            delay = self.backoff_s * (2 ** (attempt - 1))
+        return status, rows
 
     def write(self, iterator):
         import pyarrow as pa
         import pyarrow.compute as pc
+        import pyarrow.parquet as pq
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        pid = ctx.partitionId() if ctx else 0
+        pid, attempt = (ctx.partitionId(), ctx.attemptNumber()) if ctx else (0, 0)
         transport = make_transport(self.transport_spec)
         records, seq, events, failed = [], 0, 0, 0
-        kept_keys, kept_n = [], 0   # arrow slices of keys whose batch was delivered
-        key_writer = None           # parquet writer, opened on the first delivered batch
+        writers: dict[str, tuple] = {}      # folder -> (parquet writer, file), opened on first use
+        held: dict[str, list] = {}
+        held_rows: dict[str, int] = {}
 
-        def spill_keys(force: bool = False):
-            """Write buffered delivered keys once enough have accumulated (bounded memory)."""
-            nonlocal kept_keys, kept_n, key_writer
-            if not kept_keys or (not force and kept_n < self.key_flush_rows):
+        def keep(folder: str | None, table, force: bool = False):
+            """Buffer rows for a side table and write a row group once enough have come (bounded memory)."""
+            if not folder:
                 return
-            import pyarrow.parquet as pq
-
-            table = pa.table({"item_id": pa.concat_arrays(kept_keys)})
-            if key_writer is None:
-                kfs, kdir = resolve(self.delivered_keys)
-                kfs.create_dir(kdir, recursive=True)
-                attempt = ctx.attemptNumber() if ctx else 0
-                key_writer = pq.ParquetWriter(f"{kdir}/part-{self.run_id}-{pid:05d}-a{attempt}.parquet",
-                                              table.schema, filesystem=kfs)
-            key_writer.write_table(table)
-            kept_keys, kept_n = [], 0
+            if table is not None:
+                held.setdefault(folder, []).append(table)
+                held_rows[folder] = held_rows.get(folder, 0) + len(table)
+            if held.get(folder) and (force or held_rows[folder] >= self.key_flush_rows):
+                rows = pa.concat_tables(held.pop(folder))
+                held_rows[folder] = 0
+                if folder not in writers:
+                    fs, path = resolve(folder)
+                    fs.create_dir(path, recursive=True)
+                    name = f"part-{self.run_id}-{pid:05d}-a{attempt}.parquet"
+                    writers[folder] = (pq.ParquetWriter(f"{path}/{name}", rows.schema, filesystem=fs), f"{folder}/{name}")
+                writers[folder][0].write_table(rows)
 
         def flush_slices(values, keys, final: bool):
-            nonlocal seq, events, failed, kept_n
+            nonlocal seq, events, failed
             lengths = pc.binary_length(pc.cast(values, pa.binary())).to_numpy(zero_copy_only=False)
-            slices = greedy_batches(lengths, self.batch_size, self.max_bytes)
+            named = keys.to_pylist() if keys is not None else None
+            slices = greedy_batches(lengths, self.batch_size, self.max_bytes, named)
             if not final and slices:
                 keep_from = slices[-1][0]          # last batch may still grow: carry it over
                 slices = slices[:-1]
             else:
                 keep_from = len(values)
             for a, b in slices:
-                lines = values.slice(a, b - a).to_pylist()
-                body = "\n".join(lines).encode("utf-8")
-                payload = gzip.compress(body, compresslevel=GZIP_LEVEL)
+                lines = values.slice(a, b - a)
+                body = "\n".join(lines.to_pylist()).encode("utf-8")
+                payload = gzip.compress(body, compresslevel=GZIP_LEVEL, mtime=0)
                 batch_id = f"{self.run_id}-{pid}-{seq}"
-                status, attempts = self._post(transport, batch_id, payload, b - a)
-                records.append({"batch_id": batch_id, "attempts": attempts, "status_code": status,
-                                "event_count": b - a, "bytes": len(body), "ts": time.time()})
+                status, rows = self._post(transport, batch_id, payload, b - a, len(body))
+                records.extend(rows)
                 events += b - a
                 failed += status != 200
-                if status == 200 and keys is not None and self.delivered_keys:
-                    kept_keys.append(keys.slice(a, b - a))
-                    kept_n += b - a
-                    spill_keys()
+                own = keys.slice(a, b - a) if keys is not None else pa.nulls(b - a, pa.string())
+                refused = status is not None and status != 200 and status not in RETRYABLE_STATUS
+                if status == 200 or refused:
+                    # a refused event is settled too: it is kept as a dead letter, not sent again
+                    if keys is not None:
+                        keep(self.delivered_keys, pa.table({"item_id": own}))
+                    if refused:
+                        keep(self.dead_letters, pa.table({
+                            "batch_id": pa.array([batch_id] * (b - a)), "item_id": own, "event": lines,
+                            "status_code": pa.array([status] * (b - a), pa.int32())}))
+                elif keys is not None:
+                    keep(self.failed_keys, pa.table({"item_id": own}))
                 seq += 1
             return values.slice(keep_from), (keys.slice(keep_from) if keys is not None else None)
 
@@ -210,27 +255,40 @@ class EventBatchWriter(DataSourceArrowWriter):
         if carry is not None and len(carry):
             flush_slices(carry, carry_keys, final=True)
 
-        spill_keys(force=True)
-        if key_writer is not None:
-            key_writer.close()
-
-        log_file = None
+        for folder in (self.delivered_keys, self.failed_keys, self.dead_letters):
+            keep(folder, None, force=True)
+        files = []
+        for writer, path in writers.values():
+            writer.close()
+            files.append(path)
         if self.log_dir and records:
             lfs, ldir = resolve(self.log_dir)
             lfs.create_dir(ldir, recursive=True)
-            attempt = ctx.attemptNumber() if ctx else 0
-            log_file = f"{ldir}/part-{self.run_id}-{pid:05d}-a{attempt}.json"
-            with lfs.open_output_stream(log_file) as f:
+            name = f"part-{self.run_id}-{pid:05d}-a{attempt}.json"
+            with lfs.open_output_stream(f"{ldir}/{name}") as f:
                 f.write("".join(json.dumps(r) + "\n" for r in records).encode("utf-8"))
-        return TaskSummary(pid, seq, events, failed, log_file)
+            files.append(f"{self.log_dir}/{name}")
+        return TaskSummary(pid, seq, events, failed, tuple(files))
+
+    def _clean(self, keep: set[str]) -> None:
+        """Remove side files of this run's attempts other than those in ``keep``."""
+        for folder in (self.delivered_keys, self.failed_keys, self.dead_letters, self.log_dir):
+            if not folder:
+                continue
+            from pyarrow import fs as pafs
+
+            fs, path = resolve(folder)
+            for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+                name = info.path.rsplit("/", 1)[-1]
+                if name.startswith(f"part-{self.run_id}-") and f"{folder}/{name}" not in keep:
+                    fs.delete_file(info.path)
 
     def commit(self, messages):
-        self.summary = {"tasks": len(messages), "batches": sum(m.batches for m in messages),
-                        "events": sum(m.events for m in messages),
-                        "failed_batches": sum(m.failed_batches for m in messages)}
+        done = [m for m in messages if m is not None]
+        self._clean({f for m in done for f in m.files})
 
     def abort(self, messages):
-        pass
+        self._clean(set())
 
 
 class EventSink(DataSource):
@@ -248,28 +306,47 @@ def register(spark) -> None:
 
 def deliver(json_lines, transport: str, delivery_log: str, run_id: str = "0", batch_size: int = 5000,
             max_bytes: int = 1048576, column: str = "json", key_column: str | None = None,
-            delivered_keys: str | None = None, max_retries: int = DEFAULT_MAX_RETRIES) -> None:
-    """Post a DataFrame's JSON column through the sink; delivery records land in ``delivery_log``.
+            delivered_keys: str | None = None, failed_keys: str | None = None, dead_letters: str | None = None,
+            max_retries: int = DEFAULT_MAX_RETRIES, backoff_s: float = 0.0) -> None:
+    """Post a DataFrame's JSON column through the sink; a log row per attempt lands in ``delivery_log``.
 
-    With ``key_column`` + ``delivered_keys`` every task also writes the keys of its
-    delivered batches (parquet), which is what a run commits to state.
+    With ``key_column`` the events are clustered by key (skewed keys are split by the
+    rebalance) and every task also writes the keys of its delivered and of its
+    undelivered batches (parquet): a run commits the former without the latter.
     """
-    register(json_lines.sparkSession)
+    spark = json_lines.sparkSession
+    for what, path in (("delivery_log", delivery_log), ("delivered_keys", delivered_keys),
+                       ("failed_keys", failed_keys), ("dead_letters", dead_letters)):
+        if path:
+            require_shared(spark, path, what)
+    if transport.startswith("file:"):
+        require_shared(spark, transport[len("file:"):] if not transport.startswith("file:/") else transport, "transport")
+    register(spark)
     cols = [json_lines[column].alias("value")]
     if key_column:
         cols.append(json_lines[key_column].cast("string").alias("_key"))
-    w = (json_lines.select(*cols).write.format("vigil_events")
+    lines = json_lines.select(*cols)
+    if key_column:
+        lines = lines.hint("rebalance", "_key").sortWithinPartitions("_key", "value")
+    w = (lines.write.format("vigil_events")
          .option("transport", transport).option("delivery_log", delivery_log).option("run_id", run_id)
          .option("batch_size", str(batch_size)).option("max_bytes", str(max_bytes))
-         .option("max_retries", str(max_retries)))
-    if key_column and delivered_keys:
-        w = w.option("key_column", "_key").option("delivered_keys", delivered_keys)
+         .option("max_retries", str(max_retries)).option("backoff_s", str(backoff_s)))
+    if key_column:
+        w = w.option("key_column", "_key")
+    for name, path in (("delivered_keys", delivered_keys), ("failed_keys", failed_keys), ("dead_letters", dead_letters)):
+        if path:
+            w = w.option(name, path)
     w.mode("append").save()
 
 
+DELIVERY_LOG_SCHEMA = ("batch_id string, attempt int, status_code int, event_count bigint, bytes bigint, "
+                       "delay_ms double, final boolean, ts double")
+
+
 def read_delivery_log(spark, delivery_log: str):
+    """A row per delivery attempt; ``final`` marks the last one of a batch."""
     from pyspark.sql import functions as F
 
-    schema = "batch_id string, attempts int, status_code int, event_count bigint, bytes bigint, ts double"
-    log = spark.read.schema(schema).json(delivery_log)
+    log = spark.read.schema(DELIVERY_LOG_SCHEMA).json(delivery_log)
     return log.withColumn("ts", F.timestamp_micros((F.col("ts") * 1e6).cast("bigint")))
