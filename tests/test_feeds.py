@@ -69,7 +69,7 @@ def test_two_runs_emit_only_new_keys_and_failed_batches_are_resent(spark, tmp_ro
     r1 = run_feed(spark, spec, v1, state_base, outbox, NOW, 1, cols, batch_size=5,
                   transport='file:{outbox}?fail_match="u3_3_443_tcp"')
     assert r1.events == 20 and r1.failed_batches == 1 and 0 < r1.delivered_events < 20
-    assert r1.new_mark == NOW
+    assert r1.new_mark == 0                          # the mark never passes an event that was not sent
     sent1 = read_outbox_run(spark, outbox, 1, spec.feed)
     assert sent1.count() == r1.delivered_events      # only delivered batches reached the hand-off folder
     ev = sent1.first()
@@ -78,12 +78,93 @@ def test_two_runs_emit_only_new_keys_and_failed_batches_are_resent(spark, tmp_ro
     assert committed == r1.delivered_events
 
     v2 = readers.vulns(spark, write_lines(os.path.join(tmp_root, "r2"), run2))
-    # mark = run-1 clock; move the documents' time past it so the incremental predicate keeps them
-    v2 = v2.withColumn("last_found_epoch", F.lit(NOW + 10))
     r2 = run_feed(spark, spec, v2, state_base, outbox, NOW + 100, 2, cols, batch_size=5)
     # new keys + the keys of the failed batch, nothing else
     assert r2.events == 5 + (20 - r1.delivered_events)
-    assert S.load(spark, state_base).count() == 25
+    assert S.load(spark, state_base).count() == 25 and r2.new_mark == NOW + 100
+
+
+@pytest.mark.parametrize("feed", ["asset", "vulnerability", "compliance"])
+def test_same_landing_resends_exactly_what_failed(spark, tmp_root, feed):
+    """Data, clock and scan marks: a failed batch goes out with the next run over the same landing."""
+    spec = R.REGISTRY[feed]
+    if feed == "asset":
+        docs = [json.dumps({"id": f"a{i:02d}", "updated_at": f"2026-01-{20 - i:02d}T00:00:00Z", "is_deleted": False})
+                for i in range(12)]
+        src, raw = readers.assets(spark, write_lines(os.path.join(tmp_root, "in"), docs)), "raw"
+    elif feed == "vulnerability":
+        docs = [vuln(f"a{i:02d}", i, 443, "tcp") for i in range(12)] * 2          # every key twice
+        src, raw = readers.vulns(spark, write_lines(os.path.join(tmp_root, "in"), docs)), "raw"
+    else:
+        src = spark.createDataFrame([(i // 3, 7, i % 2, f'{{"n":"a{i:02d}"}}', "completed", 100 + i) for i in range(12)],
+                                    "scan_id long, host_id long, plugin_id long, raw string, status string, modified_epoch long")
+        raw = "raw"
+    state, outbox = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
+    r1 = run_feed(spark, spec, src, state, outbox, NOW, 1, [], raw_col=raw, batch_size=4,
+                  transport='file:{outbox}?fail_match="a03"')
+    assert r1.failed_batches == 1 and r1.new_mark == 0 and 0 < r1.delivered_events < r1.events
+    r2 = run_feed(spark, spec, src, state, outbox, NOW + 5, 2, [], raw_col=raw, batch_size=4)
+    assert r2.events == r1.events - r1.delivered_events and r2.failed_batches == 0 and r2.new_mark > 0
+    sent = [x for run in (1, 2) for x in (r.event for r in read_outbox_run(spark, outbox, run, feed).collect())]
+    assert len(sent) == r1.events
+    assert run_feed(spark, spec, src, state, outbox, NOW + 9, 3, [], raw_col=raw).events == 0
+
+
+def test_cap_loses_nothing_with_a_data_mark(spark, tmp_root):
+    docs = [json.dumps({"id": f"a{i}", "updated_at": f"2026-01-0{9 - i}T00:00:00Z", "is_deleted": False}) for i in range(3)]
+    a = readers.assets(spark, write_lines(os.path.join(tmp_root, "in"), docs))
+    state, outbox = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
+    seen = []
+    for run in range(1, 4):
+        r = run_feed(spark, R.REGISTRY["asset"], a, state, outbox, NOW + run, run, [], raw_col="raw", max_events=1)
+        assert r.events == 1 and (r.truncated, r.new_mark > 0) == ((True, False) if run < 3 else (False, True))
+        seen += [json.loads(x.event)["id"] for x in read_outbox_run(spark, outbox, run, "asset").collect()]
+    assert sorted(seen) == ["a0", "a1", "a2"]
+
+
+def test_refused_events_do_not_pin_the_mark(spark, tmp_root):
+    v = readers.vulns(spark, write_lines(os.path.join(tmp_root, "v"), [vuln(f"u{i}", i, 1, "tcp") for i in range(6)]))
+    state, outbox = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
+    r = run_feed(spark, R.REGISTRY["vulnerability"], v, state, outbox, NOW, 1, [], raw_col="raw", batch_size=2,
+                 transport='file:{outbox}?fail_match="u3"&status=400')
+    assert r.failed_batches == 0 and r.dead_letters > 0 and r.new_mark == NOW
+    dead = spark.read.parquet(f"{outbox}/_dead_letters/run=1/feed=vulnerability").collect()
+    assert len(dead) == r.dead_letters == r.events - r.delivered_events
+    assert run_feed(spark, R.REGISTRY["vulnerability"], v, state, outbox, NOW + 1, 2, [], raw_col="raw").events == 0
+
+
+def test_no_cache_is_left_after_a_capped_run(spark, tmp_root):
+    v = readers.vulns(spark, write_lines(os.path.join(tmp_root, "v"), [vuln(f"u{i}", i, 1, "tcp") for i in range(6)]))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    run_feed(spark, R.REGISTRY["vulnerability"], v, os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o"), NOW, 1, [],
+             raw_col="raw", max_events=2)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_torn_lines_go_to_rejects(spark, tmp_root):
+    lines = [vuln("u1", 1, 1, "tcp"), '{"asset": {"uuid": "u2"', "", "not json",
+             json.dumps({"asset": {"uuid": "u3"}, "plugin": {"id": "odd"}, "severity": "high", "state": "OPEN"})]
+    path = write_lines(os.path.join(tmp_root, "v"), lines)
+    got = readers.land(spark, "vulns", path, os.path.join(tmp_root, "typed"), os.path.join(tmp_root, "rej"))
+    assert sorted(r.asset.uuid for r in got.collect()) == ["u1", "u3"]       # an odd field type is only null
+    assert sorted(r.raw for r in spark.read.parquet(os.path.join(tmp_root, "rej")).collect()) == ["not json", lines[1]]
+    plan = feeds.extract(R.REGISTRY["vulnerability"], got).select("item_id")._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan.lower() and "jsontostructs" not in plan.lower() and "In(severity" in plan
+
+
+def test_family_is_written_over_the_document(spark):
+    from vigil.functions import exprs as X
+    docs = ['{"id":1,"family_name":"old","x":{"a":[1,"b"]}}', "{}", '{"id":2, "y":1.50}', '{"family_id":9}']
+    df = spark.createDataFrame([(d, "Web", 3) for d in docs], "raw string, family_name string, family_id int")
+    out = [r.o for r in df.select(X.json_overlay("raw", F.struct("family_name", "family_id"), ["family_name", "family_id"])
+                                  .alias("o")).collect()]
+    for text in out:
+        pairs = json.loads(text, object_pairs_hook=list)
+        assert len({k for k, _ in pairs}) == len(pairs) and dict(pairs)["family_name"] == "Web"
+    assert json.loads(out[0])["x"] == {"a": [1, "b"]} and out[2].startswith('{"id":2, "y":1.50,')
+    got = df.select(F.get_json_object(X.json_overlay("raw", F.struct("family_name", "family_id"), [
+        "family_name", "family_id"]), "$.family_name").alias("n")).collect()
+    assert {r.n for r in got} == {"Web"}
 
 
 def test_cap_truncation_keeps_clock_mark(spark, tmp_root):

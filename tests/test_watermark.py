@@ -12,8 +12,8 @@ def test_clock_mark_rules(spark):
     old = spark.createDataFrame([("busy", 10), ("idle", 10), ("new", 0), ("cut", 10)],
                                 "feed string, last_timestamp bigint")
     ev = spark.createDataFrame([("busy",), ("busy",), ("cut",)], "feed string")
-    trunc = spark.createDataFrame([("cut", True)], "feed string, truncated boolean")
-    got = {r.feed: (r.n_events, r.new_mark) for r in W.clock_mark(ev, old, 99, truncated=trunc).collect()}
+    trunc = spark.createDataFrame([("cut", True)], "feed string, held boolean")
+    got = {r.feed: (r.n_events, r.new_mark) for r in W.clock_mark(ev, old, 99, held=trunc).collect()}
     # events -> run start; no events -> unchanged; no previous mark -> run start; truncated -> unchanged
     assert got == {"busy": (2, 99), "idle": (0, 10), "new": (0, 99), "cut": (1, 10)}
 

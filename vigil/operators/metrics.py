@@ -22,18 +22,23 @@ def events_rollup(run_log: DataFrame) -> DataFrame:
         F.sum("event_count").cast("bigint").alias("events"))
 
 
-def run_summary(run_log: DataFrame, error_log: DataFrame) -> DataFrame:
-    """Feeds, events, errors, elapsed and rate in one aggregate over both logs."""
-    runs = run_log.select("feed", "event_count", "duration_s", F.lit(0).alias("_err"))
+def run_summary(run_log: DataFrame, error_log: DataFrame, elapsed_s: float | None = None) -> DataFrame:
+    """Feeds, events, errors, elapsed and rate in one aggregate over both logs.
+
+    ``elapsed_s`` is the run's wall time; without it the feeds' durations are summed.
+    The rate divides by the exact elapsed time; only the shown column is in whole seconds.
+    """
+    runs = run_log.select("feed", "event_count", F.col("duration_s").cast("double").alias("duration_s"),
+                          F.lit(0).alias("_err"))
     errs = error_log.select(F.lit(None).cast("string").alias("feed"), F.lit(None).cast("bigint").alias("event_count"),
-                            F.lit(None).cast("bigint").alias("duration_s"), F.lit(1).alias("_err"))
+                            F.lit(None).cast("double").alias("duration_s"), F.lit(1).alias("_err"))
+    elapsed = F.coalesce(F.sum("duration_s"), F.lit(0.0)) if elapsed_s is None else F.lit(float(elapsed_s))
     agg = runs.unionByName(errs).agg(
         F.countDistinct("feed").alias("feeds"),
         F.coalesce(F.sum("event_count"), F.lit(0)).cast("bigint").alias("total_events"),
-        F.sum("_err").cast("bigint").alias("total_errors"),
-        F.coalesce(F.sum("duration_s"), F.lit(0)).cast("bigint").alias("elapsed_s"))
-    return agg.select("feeds", "total_events", "total_errors", "elapsed_s",
-                      X.floored_rate("total_events", "elapsed_s", 2).alias("events_per_sec"))
+        F.sum("_err").cast("bigint").alias("total_errors"), elapsed.alias("_elapsed"))
+    return agg.select("feeds", "total_events", "total_errors", F.col("_elapsed").cast("bigint").alias("elapsed_s"),
+                      X.floored_rate("total_events", "_elapsed", 2).alias("events_per_sec"))
 
 
 def errors_per_feed(error_log: DataFrame, feed_col: str = "feed_no") -> DataFrame:
@@ -77,10 +82,10 @@ def progress_rows(run_log: DataFrame, interval: int, order_cols=("ts", "run_id")
                         X.guarded_rate(F.col(count_col), elapsed, 2).alias("rate"))
 
 
-def feed_completion(run_log: DataFrame, duration_col: str = "duration") -> DataFrame:
-    """Per feed: processed vs sent (they differ when batches fail), minutes, events/s."""
+def feed_completion(run_log: DataFrame, duration_col: str = "duration", digits: int = 0) -> DataFrame:
+    """Per feed: processed vs sent (they differ when batches fail), minutes, events/s (whole, or ``digits``)."""
     agg = run_log.groupBy("feed").agg(F.sum("event_count").cast("bigint").alias("processed"),
                                       F.sum("sent").cast("bigint").alias("sent"),
                                       F.sum(duration_col).alias("_dur"))
-    return agg.select("feed", "processed", "sent", F.round(F.col("_dur") / 60.0, 1).alias("minutes"),
-                      X.guarded_rate("processed", "_dur", 0).alias("rate"))
+    return agg.select("feed", "processed", "sent", F.round(F.col("_dur").cast("double") / 60.0, 1).alias("minutes"),
+                      X.guarded_rate("processed", "_dur", digits).alias("rate"))

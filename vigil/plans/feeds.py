@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -48,15 +48,19 @@ def extract_many(specs: list[FeedSpec], source: DataFrame, marks: dict[str, int]
     return tagged.withColumn("item_id", keys)
 
 
-# Caps up to this size use Spark's top-k (TakeOrderedAndProject); larger caps rank
-# with the distributed ordinal so no single task merges the whole cap.
-TOPK_CAP = 100_000
+def cap_order(df: DataFrame) -> list[str | Column]:
+    """A total order for caps: the key, then the whole row for events that share a key."""
+    from pyspark.sql.types import MapType
 
+    rest = [c for c in df.columns if c != "item_id" and not isinstance(df.schema[c].dataType, MapType)]
+    return ["item_id", F.to_json(F.struct(*[F.col(c) for c in rest]))]
 
-def cap_rows(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
-    """The first ``n`` rows in ``order_cols`` order (a total order)."""
-    if n <= TOPK_CAP:
-        return df.orderBy(*order_cols).limit(int(n))
+
+def cap_rows(df: DataFrame, n: int, order_cols: list[str | Column]) -> DataFrame:
+    """The first ``n`` rows in ``order_cols`` order (a total order).
+
+    Ranked with the distributed ordinal, so no single task merges the whole cap.
+    """
     from ..operators.ordinal import with_ordinal
     return with_ordinal(df, order_cols, name="_cap_rn").filter(F.col("_cap_rn") <= n).drop("_cap_rn")
 
@@ -72,13 +76,14 @@ def run_incremental(spec: FeedSpec, source: DataFrame, state: DataFrame, now: in
     """
     rows = extract(spec, source, mark, include_unlicensed, lateness_s)
     rows = dedup.identity_key(rows, "item_id", version_col)
-    seen = S.active_keys(state, now, retention_days, feed=spec.feed_type)
+    seen = S.active_keys(state, now, retention_days, feed=spec.feed)
     new = dedup.new_only(rows, seen, "item_id")
     if within_run == "first":
+        # the whole row breaks ties, so the row that stays is fixed
         keep = [c for c in new.columns if c not in ("item_id", *order_cols)]
         new = dedup.first_per_key(new, "item_id", list(order_cols), keep)
     if max_events and spec.honours_cap:
-        new = cap_rows(new, int(max_events), ["item_id", *order_cols])
+        new = cap_rows(new, int(max_events), ["item_id", *order_cols, *cap_order(new)[1:]])
     return new.withColumn("feed", F.lit(spec.feed))
 
 
@@ -96,7 +101,7 @@ def run_snapshot_diff(spec: FeedSpec, source: DataFrame, state: DataFrame, now:
     export would otherwise report everything gone). Off by default (parity).
     """
     current = extract(spec, source).select(F.col("item_id").alias("k"))
-    prev = S.active_keys(state, now, retention_days, feed=spec.feed_type).select(F.col("item_id").alias("k"))
+    prev = S.active_keys(state, now, retention_days, feed=spec.feed).select(F.col("item_id").alias("k"))
     if min_snapshot_ratio:
         n_prev, n_curr = prev.count(), current.select("k").distinct().count()   # two scalars
         if not diff.min_ratio_ok(n_prev, n_curr, min_snapshot_ratio):

@@ -1,11 +1,13 @@
 """One batch run of a feed with delivered-only commit.
 
-load state + marks -> extract / dedup (or snapshot diff) -> envelope -> posted
-through the delivery sink (partition-local count/byte batches, injected
-transport) -> the sink records, per task, the keys of batches that were
-delivered -> those keys are upserted, retention + cap -> marks -> state
-snapshot, pointer last. A failed batch leaves its keys out of state, so they are
-sent again by the next run; outcome is tied to the batch, never to a position.
+load the feed's state + marks -> extract / dedup (or snapshot diff) -> envelope ->
+posted through the delivery sink (clustered by key, partition-local count/byte
+batches, injected transport) -> the sink records the keys of delivered and of
+undelivered batches -> delivered keys without an undelivered event are committed as
+a delta of this feed only. While a batch failed or a cap cut the run, the feed's mark
+stays where it was, so the next run over the same landing sends exactly what is
+missing: what was sent is in the state. Events that the receiver refused for good
+are written to the dead-letter table and count as settled.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import sink
+from ..functions import exprs as X
+from ..operators import metrics, sink, watermark
 from ..operators import state as S
-from ..sources import event_sink
+from ..sources import event_sink, paths
 from . import feeds
 from .registry import FeedSpec
 
@@ -35,15 +38,21 @@ class RunResult:
     truncated: bool
     seconds: float
     skipped: bool = False
+    dead_letters: int = 0
+    retries: int = 0
+    trimmed: int = 0
 
 
-def _missing(e: Exception) -> bool:
-    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+def _mark(marks: DataFrame, feed: str, name: str) -> int:
+    row = marks.filter(F.col("feed") == feed).select(name).first()   # one-row mark
+    return int(row[0]) if row is not None and row[0] is not None else 0
 
 
-def _old_mark(marks: DataFrame, feed: str) -> int:
-    row = marks.filter(F.col("feed") == feed).select("last_timestamp").first()   # one-row mark
-    return int(row[0]) if row is not None and row[0] is not None else 0
+def _keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys that the sink's tasks wrote; a folder that no task opened has none."""
+    if not paths.exists(spark, folder):
+        return spark.createDataFrame([], "item_id string")
+    return spark.read.schema("item_id string").parquet(folder).filter(F.col("item_id").isNotNull()).distinct()
 
 
 def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base: str, outbox_base: str,
@@ -52,22 +61,27 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
              max_bytes: int = 1048576, transport: str = DEFAULT_TRANSPORT, version_col: str | None = None,
              scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None,
              emit: str = "until_expiry", raw_col: str | None = None, state_version: int | None = None,
-             commit_version: int | None = None, use_mark: bool = True) -> RunResult:
+             commit_version: int | None = None, use_mark: bool = True, include_unlicensed: bool = True,
+             lateness_s: int = 0, within_run: str | None = None, backoff_s: float = 0.0,
+             shape=None) -> RunResult:
     """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
     keeps its old ``seen_at`` and is reported again each run until it expires
-    (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``)."""
+    (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``).
+    ``shape`` maps the new events to their record columns before the envelope."""
     t0 = time.time()
+    for what, path in (("state", state_base), ("outbox", outbox_base)):
+        paths.require_shared(spark, path, what)
     if state_version is None:
-        current, marks = S.load(spark, state_base), S.load_marks(spark, state_base)
-    else:   # a micro-batch reads the snapshot its batch id was built on (replay-safe)
-        current, marks = S.load_version(spark, state_base, state_version), S.load_marks_version(
-            spark, state_base, state_version)
-    old = _old_mark(marks, spec.feed)
+        current, marks = S.load(spark, state_base, spec.feed), S.load_marks(spark, state_base)
+    else:   # a micro-batch reads the state its batch id was built on (replay-safe)
+        current = S.load_version(spark, state_base, state_version, spec.feed)
+        marks = S.load_marks_version(spark, state_base, state_version)
+    old = _mark(marks, spec.feed, "last_timestamp")
     last_full_scan = None
     if spec.mode == "snapshot_diff" and scan_interval_h:
-        row = marks.filter(F.col("feed") == spec.feed).select("last_full_scan").first()
-        last_full_scan = int(row[0]) if row is not None and row[0] is not None else 0
-        if last_full_scan > 0 and (int(now) - last_full_scan) / 3600.0 < float(scan_interval_h):
+        last_full_scan = _mark(marks, spec.feed, "last_full_scan")
+        due = spark.range(1).select(X.scan_due(now, F.lit(last_full_scan), scan_interval_h)).first()[0]
+        if not due:
             return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
     if spec.mode == "snapshot_diff":
         events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio)
@@ -78,71 +92,81 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         # a file stream is incremental by its offsets; re-applying the clock mark would drop
         # records that landed late, so streaming runs pass use_mark=False
         events = feeds.run_incremental(spec, source, current, now, mark=old if use_mark else None,
-                                       retention_days=retention_days, version_col=version_col)
+                                       retention_days=retention_days, include_unlicensed=include_unlicensed,
+                                       lateness_s=lateness_s, within_run=within_run, version_col=version_col)
         current_keys = None
-    events = events.persist()
-    available = events.count()
-    truncated = bool(max_events and spec.honours_cap and available > max_events)
-    if truncated:
-        events = feeds.cap_rows(events, int(max_events), ["item_id"])
-    n_events = min(available, max_events) if truncated else available
-
-    root = f"{outbox_base.rstrip('/')}"
-    outbox = f"{root}/run={int(run_id)}/feed={spec.feed}"
-    book = f"{root}/_delivery/run={int(run_id)}/feed={spec.feed}"
-    wrapped = feeds.wrap(events, spec, now, record_cols, raw_col=raw_col if spec.mode != "snapshot_diff" else None)
-    event_sink.deliver(wrapped, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
-                       batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
-                       delivered_keys=f"{book}/keys")
+    all_events = events.persist()
     try:
-        # a re-run of the same run id posts the same batch ids again: keep the latest record per batch
-        log = event_sink.read_delivery_log(spark, f"{book}/log").groupBy("batch_id").agg(
-            F.max_by(F.struct("status_code", "event_count"), "ts").alias("last")).select("batch_id", "last.*")
-        n_delivered = int(log.filter(F.col("status_code") == 200).agg(F.sum("event_count")).first()[0] or 0)
-        failed = log.filter(F.col("status_code").isNull() | (F.col("status_code") != 200)).count()
-    except Exception as e:  # no batch was posted (no events)
-        if not _missing(e):
-            raise
-        n_delivered, failed = 0, 0
-    try:
-        delivered = spark.read.parquet(f"{book}/keys").filter(F.col("item_id").isNotNull()).distinct()
-    except Exception as e:
-        if not _missing(e):
-            raise
-        delivered = spark.createDataFrame([], "item_id string")
-    delivered_events = events.join(delivered, "item_id", "left_semi")
-
-    seen = F.timestamp_seconds(F.lit(int(now)))
-    base_state = current
-    if current_keys is None:
-        new_keys = delivered.select(F.lit(spec.feed_type).alias("feed"), "item_id", seen.alias("seen_at"))
-    else:
-        # snapshot feeds: refresh every current key; reported keys are not refreshed
-        new_keys = current_keys.select(F.lit(spec.feed_type).alias("feed"), "item_id", seen.alias("seen_at"))
-        if emit == "once":
-            gone = delivered.select(F.lit(spec.feed_type).alias("feed"), "item_id")
-            base_state = current.join(gone, ["feed", "item_id"], "left_anti")
-    merged = S.flush(S.upsert(base_state, new_keys), now, retention_days, max_ids,
-                     materialize=current_keys is not None)   # delivered keys + snapshot are on disk
-
-    if spec.mark_rule == "data" and spec.epoch_col:
-        m = delivered_events.agg(F.max(spec.epoch_col)).first()[0]
-        new_mark = max(old, int(m)) if m is not None else old
-    elif spec.mark_rule == "clock":
-        new_mark = int(now) if (not truncated and (n_events > 0 or old == 0)) else old
-    elif spec.mark_rule == "scans" and spec.epoch_col:
-        m = delivered_events.agg(F.max(spec.epoch_col)).first()[0]
-        new_mark = max(old, int(m)) if m is not None else old
-    else:
-        new_mark = old
-    other = marks.filter(F.col("feed") != spec.feed)
-    full_scan = int(now) if spec.mode == "snapshot_diff" else last_full_scan
-    mine = spark.createDataFrame([(spec.feed, new_mark, full_scan, int(now))],
-                                 "feed string, last_timestamp bigint, last_full_scan bigint, last_cleanup bigint")
-    version = commit_version if commit_version is not None else (S.current_version(spark, state_base) or 0) + 1
-    S.commit(merged, state_base, version, marks=other.unionByName(mine))
-    events.unpersist()
-    return RunResult(n_events, n_delivered, failed, old, new_mark, truncated, round(time.time() - t0, 3))
+        available = all_events.count()
+        truncated = bool(max_events and spec.honours_cap and available > max_events)
+        events = feeds.cap_rows(all_events, int(max_events), feeds.cap_order(all_events)) if truncated else all_events
+        n_events = min(available, max_events) if truncated else available
+
+        root = f"{outbox_base.rstrip('/')}"
+        outbox = f"{root}/run={int(run_id)}/feed={spec.feed}"
+        book = f"{root}/_delivery/run={int(run_id)}/feed={spec.feed}"
+        shaped = events.transform(shape) if shape else events
+        wrapped = feeds.wrap(shaped, spec, now, record_cols, raw_col=raw_col if spec.mode != "snapshot_diff" else None)
+        event_sink.deliver(wrapped, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
+                           batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
+                           delivered_keys=f"{book}/keys", failed_keys=f"{book}/failed",
+                           dead_letters=f"{root}/_dead_letters/run={int(run_id)}/feed={spec.feed}", backoff_s=backoff_s)
+        n_delivered = failed = retries = refused = 0
+        if n_events:
+            if not paths.exists(spark, f"{book}/log"):
+                raise S.StateDamaged(f"{book}/log: {n_events} events were handed to the sink, which left no log")
+            log = event_sink.read_delivery_log(spark, f"{book}/log")
+            m = log.select("*", X.delivery_outcome("status_code").alias("outcome")).agg(
+                F.sum(F.when(F.col("status_code") == 200, F.col("event_count"))),
+                F.sum(F.when(F.col("final") & (F.col("outcome") == "retryable"), 1)),
+                F.sum(F.when(~F.col("final"), 1)),
+                F.sum(F.when(F.col("final") & (F.col("outcome") == "dropped"), F.col("event_count")))).first()
+            n_delivered, failed, retries, refused = (int(x or 0) for x in m)
+
+        # a key with an event in an undelivered batch is not committed, whatever else was sent of it
+        delivered = _keys(spark, f"{book}/keys").join(_keys(spark, f"{book}/failed"), "item_id", "left_anti")
+        delivered_events = events.join(delivered, "item_id", "left_semi")
+        seen = F.timestamp_seconds(F.lit(int(now)))
+        if current_keys is not None:
+            # snapshot feeds: refresh every current key; reported keys are not refreshed
+            new_keys = current_keys.select(F.lit(spec.feed).alias("feed"), "item_id", seen.alias("seen_at"))
+        elif max_ids:
+            # under a cap the order of the records decides which keys are the newest
+            ranked = delivered_events.groupBy("item_id").agg(F.min(spec.epoch_col or "item_id").alias("_at")).select(
+                F.lit(spec.feed).alias("feed"), "item_id", "_at")
+            new_keys = S.stamp(ranked, ["_at", "item_id"], int(now) * 1_000_000)
+        else:
+            new_keys = delivered.select(F.lit(spec.feed).alias("feed"), "item_id", seen.alias("seen_at"))
+
+        new_mark = watermark.next_mark(spec.mark_rule, spec.feed, events, delivered_events, old, now, spec.epoch_col,
+                                       held=truncated or failed > 0)
+        full_scan = int(now) if spec.mode == "snapshot_diff" else None
+        mine = spark.createDataFrame([(spec.feed, new_mark, full_scan, int(now))], S.WATERMARK_SCHEMA)
+        if full_scan is None:
+            mine = mine.drop("last_full_scan")
+        version = commit_version if commit_version is not None else (S.current_version(spark, state_base) or 0) + 1
+        drop_reported = current_keys is not None and emit == "once"
+        whole = (bool(max_ids) or drop_reported or state_version is None
+                 and S.deltas_since_full(spark, state_base, spec.feed) >= S.COMPACT_AFTER
+                 or state_version is not None and int(version) % S.COMPACT_AFTER == 0)
+        trimmed = 0
+        if whole:
+            base_state = current
+            if drop_reported:
+                base_state = current.join(delivered.withColumn("feed", F.lit(spec.feed)), ["feed", "item_id"], "left_anti")
+            merged = S.upsert(base_state, new_keys)
+            if max_ids:
+                merged = S.expire(merged, now, retention_days).persist()
+                trimmed = max(0, merged.count() - int(max_ids))
+            S.commit(S.flush(merged, now, retention_days, max_ids), state_base, version, marks=mine, feeds=[spec.feed])
+            merged.unpersist()
+        else:
+            S.commit(S.upsert(new_keys, S.empty_state(spark)), state_base, version, marks=mine, feeds=[spec.feed],
+                     delta=True)
+    finally:
+        all_events.unpersist()
+    return RunResult(n_events, n_delivered, failed, old, new_mark, truncated, round(time.time() - t0, 3),
+                     dead_letters=refused, retries=retries, trimmed=trimmed)
 
 
 def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int, feed: str) -> DataFrame:
@@ -150,6 +174,12 @@ def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int, feed: st
     return sink.read_outbox(spark, f"{outbox_base.rstrip('/')}/run={int(run_id)}/feed={feed}/*.json.gz")
 
 
+RUN_SCHEMA = ("run_id string, feed string, feed_group string, event_count bigint, sent bigint, duration double, "
+              "status string, retries bigint, failed_batches bigint, dead_letters bigint, trimmed bigint, "
+              "ts timestamp_ntz")
+ERROR_SCHEMA = "error_id bigint, run_id string, feed string, error string, ts timestamp_ntz"
+
+
 def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str]]], state_base: str,
              outbox_base: str, log_base: str, now: int, run_id: int, raw_cols: dict[str, str | None] | None = None,
              **kw) -> DataFrame:
@@ -161,26 +191,32 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
     """
     import datetime as dt
 
-    from ..operators import metrics
-
-    runs, errors = [], []
+    paths.require_shared(spark, log_base, "logs")
+    runs, errors, started = [], [], time.time()
     ts = dt.datetime.fromtimestamp(int(now), dt.timezone.utc).replace(tzinfo=None)
     for spec, source, cols in jobs:
         try:
             r = run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
                          raw_col=(raw_cols or {}).get(spec.feed), **kw)
             runs.append((str(run_id), spec.feed, spec.group, r.events, r.delivered_events, float(r.seconds),
-                         "skipped" if r.skipped else "ok", ts))
+                         "skipped" if r.skipped else "ok", r.retries, r.failed_batches, r.dead_letters, r.trimmed, ts))
         except Exception as e:  # noqa: BLE001 -- recorded, the run goes on
-            runs.append((str(run_id), spec.feed, spec.group, 0, 0, 0.0, "error", ts))
-            errors.append((spec.feed, f"{type(e).__name__}: {e}"[:2000], ts))
+            runs.append((str(run_id), spec.feed, spec.group, 0, 0, 0.0, "error", 0, 0, 0, 0, ts))
+            errors.append((len(errors) + 1, str(run_id), spec.feed, f"{type(e).__name__}: {e}", ts))
     # processed (event_count) and sent differ when batches fail
-    run_schema = ("run_id string, feed string, feed_group string, event_count bigint, sent bigint, "
-                  "duration double, status string, ts timestamp_ntz")
-    err_schema = "feed string, error string, ts timestamp_ntz"
-    spark.createDataFrame(runs, run_schema).write.mode("append").parquet(f"{log_base}/run_log")
-    spark.createDataFrame(errors, err_schema).write.mode("append").parquet(f"{log_base}/error_log")
+    spark.createDataFrame(runs, RUN_SCHEMA).write.mode("append").parquet(f"{log_base}/run_log")
+    spark.createDataFrame(errors, ERROR_SCHEMA).write.mode("append").parquet(f"{log_base}/error_log")
     run_log = spark.read.parquet(f"{log_base}/run_log").filter(F.col("run_id") == str(run_id))
-    error_log = spark.read.parquet(f"{log_base}/error_log").filter(F.col("ts") == F.lit(ts))
-    summary = metrics.run_summary(run_log.withColumnRenamed("duration", "duration_s"), error_log)
-    return summary.withColumn("failed_feeds", F.lit(sum(1 for r in runs if r[6] == "error")).cast("bigint"))
+    error_log = spark.read.parquet(f"{log_base}/error_log").filter(F.col("run_id") == str(run_id))
+    summary = metrics.run_summary(run_log.withColumnRenamed("duration", "duration_s"), error_log,
+                                  elapsed_s=time.time() - started)
+    per_feed = F.array_sort(F.collect_list(F.struct("feed", "event_count", "sent", "retries", "failed_batches",
+                                                    "dead_letters", "trimmed", "status")))
+    more = run_log.agg(F.sum("retries").alias("retries"), F.sum("failed_batches").alias("failed_batches"),
+                       F.sum("dead_letters").alias("dead_letters"), F.sum("trimmed").alias("trimmed"),
+                       per_feed.alias("per_feed"))      # a row per feed of one run
+    recent = metrics.errors_recent(error_log).agg(F.array_sort(F.collect_list(F.struct(
+        "error_id", "feed", "error"))).alias("recent_errors"))
+    failed = F.lit(sum(1 for r in runs if r[6] == "error")).cast("bigint")
+    # three one-row tables side by side
+    return summary.join(more, F.lit(True)).join(recent, F.lit(True)).withColumn("failed_feeds", failed)
