@@ -114,12 +114,24 @@ def json_with_raw(base: Column, field: str, raw: Column | str) -> Column:
     return F.concat(text.substr(F.lit(1), F.length(text) - F.lit(1)), F.lit(f',"{field}":'), _c(raw), F.lit("}"))
 
 
-def json_overlay(raw: Column | str, extra: Column) -> Column:
-    """A raw JSON object with ``extra``'s fields appended (a later duplicate key wins in
-    JSON readers, so this overwrites fields the document already has)."""
+def json_overlay(raw: Column | str, extra: Column, names: list[str]) -> Column:
+    """A raw JSON object with the fields ``names`` of struct ``extra`` written over its own.
+
+    A document without those names is kept byte for byte and ``extra`` is appended. Otherwise its
+    other members are written out again beside ``extra``, so that no name occurs twice.
+    """
     raw, text = _c(raw), to_json_keep_nulls(extra)
-    return F.concat(raw.substr(F.lit(1), F.length(raw) - F.lit(1)), F.lit(","),
-                    text.substr(F.lit(2), F.length(text)))
+    own = F.json_object_keys(raw)
+    keys = F.array_distinct(F.filter(own, lambda k: ~k.isin(*names)))
+    plain = ~F.arrays_overlap(own, F.array(*[F.lit(n) for n in names])) & (F.size(own) > 0)
+    spliced = F.concat(F.rtrim(raw).substr(F.lit(1), F.length(F.rtrim(raw)) - F.lit(1)), F.lit(","),
+                       text.substr(F.lit(2), F.length(text)))
+    typed = F.from_json(raw, "map<string,variant>")
+    kept = F.transform(keys, lambda k: F.concat(F.to_json(F.array(k)).substr(F.lit(2), F.length(F.to_json(F.array(k))) - 2),
+                                                F.lit(":"), F.to_json(F.element_at(typed, k))))
+    rebuilt = F.concat(F.lit("{"), F.array_join(kept, ","), F.when(F.size(keys) > 0, F.lit(",")).otherwise(F.lit("")),
+                       text.substr(F.lit(2), F.length(text)))
+    return F.when(plain, spliced).otherwise(rebuilt)
 
 
 def payload_chars(c: Column | str) -> Column:

@@ -58,11 +58,12 @@ def landed_since(columns, mark: int | None, lateness_s: int = 0) -> Column | Non
     """Partition-pruning twin of ``since`` for a landing zone partitioned by ingest date.
 
     A record changed after the mark was landed on or after the mark's date, so
-    whole ``ingest_date`` partitions before it are skipped at planning time.
+    whole ``ingest_date`` partitions before it are skipped at planning time. Folders may
+    be dated in any time zone, so the day before the mark's UTC date still counts.
     """
     if INGEST_PARTITION not in columns or not mark or int(mark) <= 0:
         return None
-    return F.col(INGEST_PARTITION) >= F.to_date(F.timestamp_seconds(F.lit(int(mark) - int(lateness_s))))
+    return F.col(INGEST_PARTITION) >= F.date_sub(F.to_date(F.timestamp_seconds(F.lit(int(mark) - int(lateness_s)))), 1)
 
 
 def all_of(*preds: Column | None) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
+
 
 def explode_family_details(family_details: DataFrame) -> DataFrame:
     """``family_id, plugins[]`` documents -> ``family_id, plugin_id`` rows."""
@@ -24,6 +26,12 @@ def plugin_catalog(families: DataFrame, family_details: DataFrame, plugin_detail
     return fp.join(fams, "family_id").join(detail, "plugin_id")
 
 
+def enriched_documents(catalog: DataFrame, raw_col: str = "raw") -> DataFrame:
+    """``event_raw``: each detail document with its family written over any it names."""
+    return catalog.withColumn("event_raw", X.json_overlay(raw_col, F.struct("family_name", "family_id"),
+                                                          ["family_name", "family_id"]))
+
+
 def enrich_detail(detail_struct_df: DataFrame, families_by_plugin: DataFrame) -> DataFrame:
     """Write ``family_name``/``family_id`` into a nested ``detail`` struct (overwrite)."""
     j = detail_struct_df.join(families_by_plugin, "plugin_id")

@@ -2,6 +2,7 @@
 
     python -m vigil run --landing L --state S --outbox O --logs G [--feed all|a,b]
                         [--daemon SECONDS] [--max-events N] [--batch-size N] ...
+    python -m vigil state list|stats|clear|sweep|migrate|vacuum --state S ...
 
 Landing layout (JSON-lines export documents, optionally partitioned by
 ``ingest_date=YYYY-MM-DD``): ``assets/ vulns/ families/ family_details/
@@ -11,6 +12,7 @@ plugin_details/ scans/ scan_details/ host_details/``.
 from __future__ import annotations
 
 import argparse
+import importlib
 import signal
 import threading
 import time
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import flatten
+from ..operators import state as S
 from ..sources import readers
 from . import registry as R
 from .run import DEFAULT_TRANSPORT, run_once
@@ -29,20 +32,19 @@ SNAPSHOT_RECORDS = {"assets": ["asset_id", "event_type", "detected_at"],
                               "detected_at"]}
 
 
-def feed_source(spark: SparkSession, landing: str, spec: R.FeedSpec) -> tuple[DataFrame, list[str], str | None]:
-    """(source DataFrame, record columns, raw event column) for one feed."""
+def feed_source(spark: SparkSession, landing: str, spec: R.FeedSpec,
+                landed: dict[str, DataFrame] | None = None) -> tuple[DataFrame, list[str], str | None]:
+    """(source DataFrame, record columns, raw event column) for one feed; ``landed`` has exports parsed before."""
     root = landing.rstrip("/")
-    if spec.source == "assets":
-        src = readers.assets(spark, f"{root}/assets")
-    elif spec.source == "vulns":
-        src = readers.vulns(spark, f"{root}/vulns")
+    if spec.source in ("assets", "vulns"):
+        src = (landed or {}).get(spec.source)
+        if src is None:
+            src = readers.good(readers.PARSERS[spec.source](spark.read.text(f"{root}/{spec.source}")))
     elif spec.source == "plugins":
         cat = flatten.plugin_catalog(readers.families(spark, f"{root}/families"),
                                      readers.family_details(spark, f"{root}/family_details"),
                                      readers.plugin_details(spark, f"{root}/plugin_details"))
-        # the detail document with the family written onto it
-        src = cat.withColumn("event_raw", X.json_overlay("raw", F.struct("family_name", "family_id")))
-        return src, [], "event_raw"
+        return flatten.enriched_documents(cat), [], "event_raw"
     elif spec.source == "compliance":
         tree = flatten.compliance_tree(readers.scans(spark, f"{root}/scans"),
                                        readers.scan_hosts(spark, f"{root}/scan_details"),
@@ -57,6 +59,33 @@ def feed_source(spark: SparkSession, landing: str, spec: R.FeedSpec) -> tuple[Da
     return src, [], "raw"
 
 
+def load_registry(target: str | None) -> dict[str, R.FeedSpec]:
+    """The built-in feeds, and those that ``module:name`` (a spec, a list of specs or a registry) adds."""
+    reg = dict(R.REGISTRY)
+    if target:
+        module, _, name = target.partition(":")
+        added = getattr(importlib.import_module(module), name or "REGISTRY")
+        specs = added.values() if isinstance(added, dict) else [added] if isinstance(added, R.FeedSpec) else added
+        for spec in specs:
+            reg = R.register(spec, reg)
+    return reg
+
+
+def _run_options(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--batch-size", type=int, default=5000)
+    p.add_argument("--max-bytes", type=int, default=1048576)
+    p.add_argument("--retention-days", type=int, default=7)
+    p.add_argument("--max-ids", type=int, default=0, help="keep only the newest N keys per feed (0: all)")
+    p.add_argument("--transport", default=DEFAULT_TRANSPORT)
+    p.add_argument("--now", type=int, default=None, help="fixed clock (epoch seconds) for replays and tests")
+    p.add_argument("--licensed-only", action="store_true", help="leave out vulnerabilities of unlicensed assets")
+    p.add_argument("--lateness", type=int, default=0, help="seconds below the mark that are looked at again")
+    p.add_argument("--within-run", choices=["first"], default=None, help="one event per key and run")
+    p.add_argument("--version-col", default=None, help="column that makes a changed record a new key")
+    p.add_argument("--emit", choices=["until_expiry", "once"], default="until_expiry")
+    p.add_argument("--registry", default=None, help="module:name with further feed specs")
+
+
 def parse(argv=None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="vigil")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -68,14 +97,9 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--feed", default="all", help="'all' or a comma-separated list of feed names")
     r.add_argument("--daemon", type=int, default=0, help="repeat every N seconds until interrupted")
     r.add_argument("--max-events", type=int, default=0)
-    r.add_argument("--batch-size", type=int, default=5000)
-    r.add_argument("--max-bytes", type=int, default=1048576)
-    r.add_argument("--retention-days", type=int, default=7)
-    r.add_argument("--max-ids", type=int, default=500000)
+    _run_options(r)
     r.add_argument("--scan-interval-hours", type=float, default=24.0)
     r.add_argument("--min-snapshot-ratio", type=float, default=None)
-    r.add_argument("--transport", default=DEFAULT_TRANSPORT)
-    r.add_argument("--now", type=int, default=None, help="fixed clock (epoch seconds) for replays and tests")
     r.add_argument("--run-id", type=int, default=None)
     st = sub.add_parser("stream", help="one feed as a Structured Streaming query over its landing folder")
     st.add_argument("--landing", required=True)
@@ -83,37 +107,73 @@ def parse(argv=None) -> argparse.Namespace:
     st.add_argument("--feed", required=True)
     st.add_argument("--once", action="store_true", help="availableNow: process what has landed, then stop")
     st.add_argument("--interval", type=int, default=60)
-    st.add_argument("--batch-size", type=int, default=5000)
-    st.add_argument("--max-bytes", type=int, default=1048576)
-    st.add_argument("--retention-days", type=int, default=7)
-    st.add_argument("--max-ids", type=int, default=500000)
-    st.add_argument("--transport", default=DEFAULT_TRANSPORT)
-    st.add_argument("--now", type=int, default=None)
+    _run_options(st)
+    sp = sub.add_parser("state", help="look after a state store: list, stats, clear, sweep, migrate, vacuum")
+    sp.add_argument("action", choices=["list", "stats", "clear", "sweep", "migrate", "vacuum"])
+    sp.add_argument("--state", required=True)
+    sp.add_argument("--feed", default=None, help="feed to clear")
+    sp.add_argument("--legacy", default=None, help="folder of legacy documents to migrate")
+    sp.add_argument("--retention-days", type=int, default=7)
+    sp.add_argument("--max-ids", type=int, default=0)
+    sp.add_argument("--keep", type=int, default=3, help="versions per feed that vacuum keeps")
+    sp.add_argument("--now", type=int, default=None)
     return ap.parse_args(argv)
 
 
+def run_kw(a: argparse.Namespace) -> dict:
+    return dict(batch_size=a.batch_size, max_bytes=a.max_bytes, retention_days=a.retention_days, max_ids=a.max_ids,
+                transport=a.transport, include_unlicensed=not a.licensed_only, lateness_s=a.lateness,
+                within_run=a.within_run, version_col=a.version_col, emit=a.emit)
+
+
+def state_command(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
+    """Rows per feed; clear, sweep and migrate commit what they do."""
+    now = a.now if a.now is not None else int(time.time())
+    if a.action == "clear":
+        if not a.feed:
+            raise ValueError("--feed names the feed to clear")
+        S.commit_clear(spark, a.state, a.feed)
+    elif a.action == "migrate":
+        if not a.legacy:
+            raise ValueError("--legacy names the folder of legacy documents")
+        S.commit_legacy(readers.legacy_state(spark, a.legacy), a.state, now)
+    elif a.action == "vacuum":
+        return [{"dropped": x} for x in S.vacuum(spark, a.state, a.keep)]
+    elif a.action == "sweep":
+        return [r.asDict() for r in S.commit_sweep(spark, a.state, now, a.retention_days, a.max_ids).collect()]
+    state = S.load(spark, a.state)
+    if a.action == "list":
+        return [r.asDict() for r in S.feeds(state).orderBy("feed").collect()]
+    return [r.asDict() for r in S.stats(state, S.load_marks(spark, a.state), now, a.retention_days).orderBy("feed").collect()]
+
+
 def stream(spark: SparkSession, a: argparse.Namespace):
     from ..streaming.runner import stream_documents
 
-    spec = R.REGISTRY[R.select_feeds([a.feed])[0]]
+    reg = load_registry(a.registry)
+    spec = reg[R.select_feeds([a.feed], reg)[0]]
     folder = {"assets": "assets", "vulns": "vulns", "compliance": "host_details"}.get(spec.source, spec.source)
     return stream_documents(spark, spec, f"{a.landing.rstrip('/')}/{folder}", a.root, once=a.once,
-                            interval_s=a.interval, now=a.now, batch_size=a.batch_size, max_bytes=a.max_bytes,
-                            retention_days=a.retention_days, max_ids=a.max_ids, transport=a.transport)
+                            interval_s=a.interval, now=a.now, **run_kw(a))
 
 
 def run_selected(spark: SparkSession, a: argparse.Namespace, run_id: int, now: int) -> DataFrame:
-    names = R.select_feeds(a.feed)
+    reg = load_registry(a.registry)
+    names = R.select_feeds(a.feed, reg)
+    root = a.landing.rstrip("/")
+    # each export is parsed once for all its feeds
+    landed = {src: readers.land(spark, src, f"{root}/{src}", f"{a.state.rstrip('/')}/_landed/{src}",
+                                f"{a.outbox.rstrip('/')}/_rejects/run={run_id}/{src}")
+              for src in sorted({reg[n].source for n in names} & set(readers.PARSERS))}
     jobs, kw_by_feed = [], {}
     for name in names:
-        spec = R.REGISTRY[name]
-        src, cols, raw = feed_source(spark, a.landing, spec)
+        spec = reg[name]
+        src, cols, raw = feed_source(spark, a.landing, spec, landed)
         jobs.append((spec, src, cols))
         kw_by_feed[name] = raw
     return run_once(spark, jobs, a.state, a.outbox, a.logs, now, run_id, raw_cols=kw_by_feed,
-                    retention_days=a.retention_days, max_ids=a.max_ids, max_events=a.max_events,
-                    batch_size=a.batch_size, max_bytes=a.max_bytes, transport=a.transport,
-                    scan_interval_h=a.scan_interval_hours, min_snapshot_ratio=a.min_snapshot_ratio)
+                    max_events=a.max_events, scan_interval_h=a.scan_interval_hours,
+                    min_snapshot_ratio=a.min_snapshot_ratio, **run_kw(a))
 
 
 def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
@@ -126,6 +186,11 @@ def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
         if not a.once:
             q.awaitTermination()
         return []
+    if a.cmd == "state":
+        rows = state_command(spark, a)
+        for row in rows:
+            print(row, flush=True)
+        return rows
     stop = threading.Event()
     previous = {}
     if a.daemon:   # stop between runs; the current run finishes and commits

@@ -3,7 +3,8 @@
 Each reader declares the schema of the fields the feeds touch and keeps the
 untouched document as ``raw`` (read as text, parsed with ``from_json``), so the
 delivered event is the original document, not a re-serialised struct. No schema
-inference at run time; Catalyst prunes and pushes filters on the parsed columns.
+inference at run time. Nothing is pushed into a text scan, so ``land`` parses an
+export once into a typed table whose scan does take column pruning and predicates.
 """
 
 from __future__ import annotations
@@ -56,22 +57,52 @@ LEGACY_STATE_SCHEMA = StructType([StructField("feed", StringType()),
 
 
 def parse_documents(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Lines (``value`` + any partition columns) -> parsed columns + ``raw``.
+    """Lines (``value`` + any partition columns) -> parsed columns, ``raw`` and ``bad``.
 
-    Works on a batch read and on one streaming micro-batch alike.
+    ``bad`` marks lines that are no JSON object (torn or foreign text); a field of an
+    unexpected type is only null. Blank lines are passed by. Works on a batch read and
+    on one streaming micro-batch alike.
     """
     parts = [c for c in lines.columns if c != "value"]
-    return lines.select(F.from_json("value", schema).alias("d"), F.col("value").alias("raw"), *parts).select(
-        "d.*", "raw", *parts)
+    flagged = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = lines.filter(F.trim("value") != "").select(
+        F.from_json("value", flagged, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"),
+        F.col("value").alias("raw"), *parts)
+    # only lines that the parser complains about are looked at a second time
+    bad = F.when(F.col("d").isNull() | F.col("d._corrupt").isNotNull(), F.json_object_keys("raw").isNull()).otherwise(False)
+    return parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in schema.fields], "raw", bad.alias("bad"), *parts)
+
+
+def good(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~F.col("bad")).drop("bad")
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    """The unparseable lines, whole."""
+    return parsed.filter(F.col("bad")).select("raw")
+
+
+def land(spark: SparkSession, source: str, path: str, table: str, reject_path: str) -> DataFrame:
+    """Parse an export once into a typed Parquet table and put its bad lines aside.
+
+    All feeds of the export read the table: one parse per line, pruned columns, and
+    predicates pushed to the scan. Partition columns of the landing zone stay columns.
+    """
+    PARSERS[source](spark.read.text(path)).write.mode("overwrite").parquet(table)
+    landed = spark.read.parquet(table)
+    bad = rejects(landed)
+    if bad.limit(1).count():
+        bad.write.mode("overwrite").parquet(reject_path)
+    return good(landed)
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON-lines documents -> parsed columns + ``raw`` (the original line).
+    """JSON-lines documents -> parsed columns + ``raw`` (the original line), without bad lines.
 
     Partition folders of the landing zone (e.g. ``ingest_date=2026-01-05``) come
     through as columns, so predicates on them prune whole folders.
     """
-    return parse_documents(spark.read.text(path), schema)
+    return good(parse_documents(spark.read.text(path), schema))
 
 
 def parse_assets(lines: DataFrame) -> DataFrame:
@@ -86,11 +117,11 @@ def parse_vulns(lines: DataFrame) -> DataFrame:
 
 def assets(spark: SparkSession, path: str) -> DataFrame:
     """Asset export with epoch columns (loose ISO / numeric timestamps)."""
-    return parse_assets(spark.read.text(path))
+    return good(parse_assets(spark.read.text(path)))
 
 
 def vulns(spark: SparkSession, path: str) -> DataFrame:
-    return parse_vulns(spark.read.text(path))
+    return good(parse_vulns(spark.read.text(path)))
 
 
 PARSERS = {"assets": parse_assets, "vulns": parse_vulns}
@@ -98,7 +129,7 @@ PARSERS = {"assets": parse_assets, "vulns": parse_vulns}
 
 def families(spark: SparkSession, path: str) -> DataFrame:
     f = read_documents(spark, path, FAMILY_SCHEMA)
-    return f.select(F.col("id").alias("family_id"), F.col("name").alias("family_name"))
+    return f.select(F.col("id").alias("family_id"), X.with_default("name", "Unknown").alias("family_name"))
 
 
 def family_details(spark: SparkSession, path: str) -> DataFrame:
@@ -112,7 +143,7 @@ def plugin_details(spark: SparkSession, path: str) -> DataFrame:
 
 def scans(spark: SparkSession, path: str) -> DataFrame:
     s = read_documents(spark, path, SCAN_SCHEMA)
-    return s.select(F.col("id").alias("scan_id"), F.col("name").alias("scan_name"), "status",
+    return s.select(F.col("id").alias("scan_id"), X.with_default("name", "Unknown").alias("scan_name"), "status",
                     F.col("last_modification_date").alias("modified_epoch"))
 
 
@@ -120,7 +151,7 @@ def scan_hosts(spark: SparkSession, path: str) -> DataFrame:
     """Scan details -> one row per (scan, host)."""
     d = read_documents(spark, path, SCAN_DETAIL_SCHEMA)
     return d.select("scan_id", F.explode("hosts").alias("h")).select(
-        "scan_id", F.col("h.host_id").alias("host_id"), F.col("h.hostname").alias("hostname"))
+        "scan_id", F.col("h.host_id").alias("host_id"), X.with_default("h.hostname", "unknown").alias("hostname"))
 
 
 def host_items(spark: SparkSession, path: str) -> DataFrame:
@@ -130,10 +161,9 @@ def host_items(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_host_items(lines: DataFrame) -> DataFrame:
     """Host-detail lines (batch or one micro-batch) -> one row per compliance item."""
-    parsed = lines.select(F.from_json("value", HOST_DETAIL_SCHEMA).alias("d"),
-                          F.get_json_object("value", "$.compliance").alias("items_raw"))
-    items = parsed.select("d.scan_id", "d.host_id",
-                          F.from_json("items_raw", "array<string>").alias("items"))
+    parsed = good(parse_documents(lines.select("value"), HOST_DETAIL_SCHEMA))
+    items = parsed.select("scan_id", "host_id", F.from_json(F.get_json_object("raw", "$.compliance"), "array<string>").alias(
+        "items"))
     return items.select("scan_id", "host_id", F.explode("items").alias("compliance_data")).select(
         "scan_id", "host_id", F.get_json_object("compliance_data", "$.plugin_id").cast("bigint").alias("plugin_id"),
         "compliance_data")
