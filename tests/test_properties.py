@@ -58,10 +58,10 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_root):
     cols = ["vuln_key", "asset_uuid", "plugin_id", "port", "protocol", "severity"]
     h = make_batch_handler(REGISTRY["vulnerability"], state_base, outbox, 1007164800, 365, 500000, cols)
     h(batch, 0)
-    first_out = sorted(r.value for r in spark.read.text(f"{outbox}/batch=0").collect())
+    first_out = sorted(r.value for r in spark.read.text(f"{outbox}/run=0/feed=vulnerability").collect())
     first_state = sorted(tuple(r) for r in S.load(spark, state_base).collect())
     h(batch, 0)                                   # the same batch id again (crash before offset commit)
-    assert sorted(r.value for r in spark.read.text(f"{outbox}/batch=0").collect()) == first_out
+    assert sorted(r.value for r in spark.read.text(f"{outbox}/run=0/feed=vulnerability").collect()) == first_out
     assert sorted(tuple(r) for r in S.load(spark, state_base).collect()) == first_state
     assert len(first_out) > 0
     h(batch, 1)                                   # the next batch with the same rows emits nothing new

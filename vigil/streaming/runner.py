@@ -1,21 +1,21 @@
-"""Structured Streaming runs: ``foreachBatch`` commit with delivered-only state.
-
-Each micro-batch: load the pre-batch state snapshot (version = batch id) -> drop
-already-delivered keys -> write the
-batch's outbox folder (overwrite by batch id) -> upsert + flush state -> write
-the next state snapshot, pointer last. A crash anywhere before the pointer moves
-only causes a re-send of that batch; re-running a batch id rewrites the same
-folders (idempotent). ``trigger(availableNow=True)`` is one incremental run;
-``processingTime`` makes it a daemon.
+"""Structured Streaming runs: every micro-batch is one feed run with delivered-only commit.
+
+Each micro-batch reads the feed's state as of its batch id, posts the new events through
+the delivery sink and commits a delta of delivered keys as the next version, marker last.
+A crash anywhere before the marker only causes a re-send of that batch; re-running a batch
+id rewrites the same version (idempotent). ``trigger(availableNow=True)`` is one incremental
+run; ``processingTime`` makes it a daemon.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import dedup, sink
+from ..operators import sink
 from ..operators import state as S
 from ..plans import feeds
 from ..plans.registry import REGISTRY, FeedSpec
@@ -29,28 +29,16 @@ def vuln_records(batch: DataFrame) -> DataFrame:
     return L.nest_vulns(flat).withColumn("last_found_epoch", X.epoch_seconds("last_found"))
 
 
-def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: int, retention_days: int,
+def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: int | None, retention_days: int,
                        max_ids: int, record_cols: list[str]):
+    """A micro-batch is one ``run_feed`` pinned to the state of its batch id."""
+    from ..plans.run import run_feed
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        slots = spark.sparkContext.defaultParallelism
-        if batch.rdd.getNumPartitions() < slots:
-            # few landed files in this trigger: spread the per-row work (and the
-            # gzip outbox, one unsplittable file per task) over all slots
-            batch = batch.repartition(slots, "l_orderkey")
-        current = S.load_version(spark, state_base, batch_id)   # pre-batch snapshot
-        rows = feeds.extract(spec, vuln_records(batch))
-        seen = S.active_keys(current, now, retention_days, feed=spec.feed_type)
-        new = dedup.new_only(rows, seen, "item_id")
-        wrapped = feeds.wrap(feeds.flat_vuln_event(new), spec, now, record_cols).persist()
-        try:
-            sink.write_outbox(wrapped, f"{outbox_base}/batch={batch_id}")
-            keys = wrapped.select(F.lit(spec.feed_type).alias("feed"), "item_id",
-                                  F.timestamp_seconds(F.lit(int(now))).alias("seen_at"))
-            merged = S.flush(S.upsert(current, keys), now, retention_days, max_ids, materialize=False)
-            S.commit(merged, state_base, version=batch_id + 1)
-        finally:
-            wrapped.unpersist()
+        t = int(now) if now is not None else int(time.time())
+        run_feed(batch.sparkSession, spec, vuln_records(batch), state_base, outbox_base, t, batch_id, record_cols,
+                 retention_days=retention_days, max_ids=max_ids, state_version=batch_id, commit_version=batch_id + 1,
+                 use_mark=False, shape=feeds.flat_vuln_event)
     return handle
 
 
@@ -70,7 +58,7 @@ def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool =
     state_base, outbox, ckpt = f"{root}/state", f"{root}/outbox", f"{root}/_checkpoint"
     if S.current_version(spark, state_base) is None:   # first run on this root
         if initial_state is not None:
-            S.commit(initial_state, state_base, version=0)
+            S.commit(initial_state, state_base, version=0, feeds=[spec.feed])
         elif with_state:
             S.commit(L.state(spark, sf_dir), state_base, version=0)
     src_dir = source_dir or sf_dir
@@ -83,14 +71,15 @@ def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool =
     q = (stream.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _outputs(spark, outbox, state_base)
+    return _outputs(spark, outbox, state_base, now, retention_days)
 
 
 def start_daemon(spark: SparkSession, sf_dir: str, interval_s: int, root: str, source_dir: str | None = None,
-                 source_glob: str = "lineitem.parquet", feed: str = "vulnerability", now: int = L.NOW_TPC,
-                 retention_days: int = L.STATE_RETENTION_DAYS, max_ids: int = S.DEFAULT_MAX_IDS):
+                 source_glob: str = "lineitem.parquet", feed: str = "vulnerability", now: int | None = None,
+                 retention_days: int = S.DEFAULT_RETENTION_DAYS, max_ids: int = S.DEFAULT_MAX_IDS):
     """Continuous mode: the same commit protocol every ``interval_s`` seconds.
 
+    Without ``now`` every micro-batch runs at its own wall-clock time, so retention advances.
     Returns the running ``StreamingQuery``; ``query.stop()`` is the shutdown (the
     current micro-batch finishes; its state commit happens inside the batch).
     """
@@ -103,13 +92,15 @@ def start_daemon(spark: SparkSession, sf_dir: str, interval_s: int, root: str, s
             .trigger(processingTime=f"{int(interval_s)} seconds").start())
 
 
-def _outputs(spark: SparkSession, outbox: str, state_base: str) -> dict[str, DataFrame]:
-    env = sink.read_outbox(spark, outbox)   # every batch folder of this root
+def _outputs(spark: SparkSession, outbox: str, state_base: str, now: int | None = None,
+             retention_days: int = S.DEFAULT_RETENTION_DAYS) -> dict[str, DataFrame]:
+    env = sink.read_outbox(spark, f"{outbox}/run=*/feed=*/*.json.gz")   # every delivered batch of this root
     schema = "vuln_key string, asset_uuid string, plugin_id bigint, port int, protocol string, severity string"
     ev = env.withColumn("ev", F.from_json("event", schema))
     events = ev.select("ev.vuln_key", "ev.asset_uuid", "ev.plugin_id", "ev.port", "ev.protocol", "ev.severity",
                        "sourcetype", "time")
-    return {"events": events, "state": S.load(spark, state_base)}
+    state = S.load(spark, state_base)
+    return {"events": events, "state": S.active(state, now, retention_days) if now is not None else state}
 
 
 def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root: str, *, once: bool = True,
@@ -123,43 +114,68 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
     rebuilds the same snapshot; only keys of delivered batches enter state.
     ``once`` = ``availableNow`` (one incremental run), else ``processingTime``.
     """
-    import time as _time
-
     from ..plans.run import run_feed
     from ..sources import readers
 
-    raw_col = "raw"
+    state_base, outbox_base = f"{root}/state", f"{root}/outbox"
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    clock = lambda: int(now) if now is not None else int(time.time())
+
+    def run(s: SparkSession, source: DataFrame, batch_id: int, raw_col: str) -> None:
+        run_feed(s, spec, source, state_base, outbox_base, clock(), batch_id, [], raw_col=raw_col,
+                 state_version=batch_id, commit_version=batch_id + 1, use_mark=False, **run_kw)
+
     if spec.source == "compliance":
-        # new host-detail documents are the stream; scans and scan details are read as
-        # static tables at each micro-batch (a stream-static join)
         from ..operators import flatten
+        from ..sources import paths
 
+        # new host details and new scan documents both start a micro-batch; scans and scan details
+        # are read as static tables, and host details of scans that have not completed stay pending
         landing_root = landing_dir.rstrip("/").rsplit("/", 1)[0]
         scans_dir, details_dir = f"{landing_root}/scans", f"{landing_root}/scan_details"
+        stream = reader.load(f"{landing_root}/{{{landing_dir.rstrip('/').rsplit('/', 1)[1]},scans}}").select(
+            "value", F.col("_metadata.file_path").alias("_file"))
 
-        def parse(batch: DataFrame) -> DataFrame:
+        def handle(batch: DataFrame, batch_id: int) -> None:
             s = batch.sparkSession
-            tree = flatten.compliance_tree(readers.scans(s, scans_dir), readers.scan_hosts(s, details_dir),
-                                           readers.parse_host_items(batch))
-            return tree.withColumn("event_raw", X.json_with_raw(
-                F.struct("scan_id", "scan_name", "host_id", "hostname"), "compliance_data",
-                F.col("compliance_data")))
-        raw_col = "event_raw"
+            lines = batch.filter(~F.col("_file").contains("/scans/")).select("value")
+            waiting = f"{root}/pending/v={batch_id}"
+            if paths.exists(s, waiting):
+                lines = lines.unionByName(s.read.schema("value string").parquet(waiting))
+            done = readers.scans(s, scans_dir).groupBy("scan_id").agg(F.max_by(F.struct(
+                "scan_name", "status", "modified_epoch"), F.coalesce("modified_epoch", F.lit(0))).alias("x")).select(
+                "scan_id", "x.*").filter(F.col("status") == "completed")
+            scan = F.get_json_object("value", "$.scan_id").cast("bigint")
+            lines = lines.withColumn("_scan", scan).persist()
+            try:
+                later = lines.join(done.select(F.col("scan_id").alias("_scan")), "_scan", "left_anti").filter(
+                    F.col("_scan").isNotNull())
+                later.select("value").write.mode("overwrite").parquet(f"{root}/pending/v={batch_id + 1}")
+                ready = lines.join(done.select(F.col("scan_id").alias("_scan")), "_scan", "left_semi").select("value")
+                tree = flatten.compliance_tree(done, readers.scan_hosts(s, details_dir), readers.parse_host_items(ready))
+                run(s, tree.withColumn("event_raw", X.json_with_raw(
+                    F.struct("scan_id", "scan_name", "host_id", "hostname"), "compliance_data",
+                    F.col("compliance_data"))), batch_id, "event_raw")
+            finally:
+                lines.unpersist()
     elif spec.mode != "incremental" or spec.source not in readers.PARSERS:
         raise ValueError(f"{spec.feed}: only incremental asset/vulnerability feeds and the compliance feed "
                          "stream from documents")
     else:
-        parse = readers.PARSERS[spec.source]
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.load(landing_dir)
-    state_base, outbox_base = f"{root}/state", f"{root}/outbox"
+        stream = reader.load(landing_dir)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        t = int(now) if now is not None else int(_time.time())
-        run_feed(batch.sparkSession, spec, parse(batch), state_base, outbox_base, t, batch_id, [], raw_col=raw_col,
-                 state_version=batch_id, commit_version=batch_id + 1, use_mark=False, **run_kw)
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            s = batch.sparkSession
+            parsed = readers.PARSERS[spec.source](batch).persist()      # one parse for rejects and feed
+            try:
+                bad = readers.rejects(parsed)
+                if bad.limit(1).count():
+                    bad.write.mode("overwrite").parquet(f"{root}/rejects/batch={batch_id}")
+                run(s, readers.good(parsed), batch_id, "raw")
+            finally:
+                parsed.unpersist()
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}/_checkpoint")
     if once:
