@@ -226,6 +226,44 @@ def sink_delivery(spark, d):
     return envelope_scalars(sink.read_outbox(spark, f"{root}/posted/*.json.gz"))
 
 
+@register("failed_batch_resend", V(f"""
+SELECT vuln_key, plugin_id, port, protocol, severity, {ENV_CONST_SQL}
+FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""", "v_vulns_keyed"))
+def failed_batch_resend(spark, d):
+    """Two runs over the same landing, the first with every third batch failing: together
+    they send every event exactly once, events that share a key included."""
+    from .run import run_feed
+
+    spec, root = REGISTRY["vulnerability"], work_dir(spark, "resend")
+    src = vuln_source(spark, d)
+    for run_id, failing in ((1, "?fail=3"), (2, "")):
+        run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", NOW, run_id, feeds.VULN_EVENT_COLS,
+                 retention_days=RET, batch_size=100, transport="file:{outbox}" + failing, shape=feeds.flat_vuln_event)
+    return envelope_scalars(sink.read_outbox(spark, f"{root}/outbox/run=*/feed=*/*.json.gz"))
+
+
+@register("landing_run", V(f"""
+SELECT vuln_key, plugin_id, port, protocol, severity FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""",
+                           "v_vulns_keyed"))
+def landing_run(spark, d):
+    """The JSON landing path end to end: export lines written, parsed once into the typed table, one
+    feed run through sink and state, and the delivered documents read back."""
+    from ..sources import readers
+    from .run import run_feed
+
+    spec, root = REGISTRY["vulnerability"], work_dir(spark, "landing")
+    doc = vuln_source(spark, d).select(F.to_json(F.struct(
+        "asset", "plugin", "port", "severity", "state", "is_licensed",
+        F.col("last_found_epoch").cast("string").alias("last_found"))).alias("value"))
+    doc.write.text(f"{root}/vulns")
+    src = readers.land(spark, "vulns", f"{root}/vulns", f"{root}/typed", f"{root}/rejects")
+    run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", NOW, 1, [], retention_days=RET, raw_col="raw")
+    sent = readers.good(readers.parse_vulns(sink.read_outbox(spark, f"{root}/outbox/run=1/feed={spec.feed}/*.json.gz")
+                                            .select(F.col("event").alias("value"))))
+    return sent.select(spec.key().alias("vuln_key"), F.col("plugin.id").alias("plugin_id"),
+                       F.col("port.port").alias("port"), F.col("port.protocol").alias("protocol"), "severity")
+
+
 @register("sink_event_overrides", V("""
 SELECT vuln_key,
        COALESCE(CASE WHEN state = 'FIXED' THEN 'vm:vulnerability:fixed' END, 'vm:vulnerability') AS sourcetype,
@@ -284,7 +322,11 @@ def state_commit(spark, d):
 @register("state_clear", V(
     "SELECT feed, item_id, epoch_us(seen_at) AS seen_us FROM v_state WHERE feed <> 'vulnerability'", "v_state"))
 def state_clear(spark, d):
-    return state_out(S.clear(L.state(spark, d), "vulnerability"))
+    """Commit the state, clear a feed in the store, read the store back."""
+    base = work_dir(spark, "state-clear")
+    S.commit(L.state(spark, d), base, version=1)
+    S.commit_clear(spark, base, "vulnerability")
+    return state_out(S.load(spark, base))
 
 
 @register("commit_delivered_only", V(f"""
@@ -346,10 +388,15 @@ def _feed_events(spark, d, feed: str, state=None, **kw) -> DataFrame:
     return feeds.run_incremental(spec, vuln_source(spark, d), st, NOW, retention_days=RET, **kw)
 
 
-@register("vulns_info", V("SELECT vuln_key, plugin_id, severity FROM v_vulns_keyed WHERE severity = 'info'",
-                          "v_vulns_keyed"))
+@register("vulns_info", V(f"""
+SELECT vuln_key, plugin_id, severity FROM v_vulns_keyed k
+WHERE severity = 'info' AND NOT EXISTS (
+  SELECT 1 FROM v_state s WHERE s.feed = 'fixed_vulnerability' AND s.seen_at > {CUTOFF_SQL} AND s.item_id = k.vuln_key)""",
+                          "v_vulns_keyed", "v_state"))
 def vulns_info(spark, d):
-    ev = _feed_events(spark, d, "vulnerability_no_info", L.state(spark, d))
+    """Run with state of its own feed (the fixture's second key set under this feed's name)."""
+    own = L.state(spark, d).filter(F.col("feed") == L.STATE_FEED_2).withColumn("feed", F.lit("vulnerability_no_info"))
+    ev = _feed_events(spark, d, "vulnerability_no_info", own)
     return ev.select(F.col("item_id").alias("vuln_key"), F.col("plugin.id").alias("plugin_id"), "severity")
 
 
@@ -396,10 +443,8 @@ FEED_SELECTION = ("click", "signup")
 @register("feed_select", V("""
 SELECT run_id, feed, feed_group, event_count FROM v_run_log WHERE feed IN ('click', 'signup')""", "v_run_log"))
 def feed_select(spark, d):
-    known = {f: i for i, f in enumerate(RUN_LOG_FEEDS)}
-    chosen = [f for f in FEED_SELECTION if f in known]
-    if len(chosen) != len(FEED_SELECTION):
-        raise ValueError(f"Unknown feed type: {set(FEED_SELECTION) - set(known)}")
+    reg = {f: FeedSpec(f, "", f, f, f, i, source="events") for i, f in enumerate(RUN_LOG_FEEDS)}
+    chosen = select_feeds(",".join(FEED_SELECTION), reg)
     return L.run_log(spark, d).filter(F.col("feed").isin(*chosen)).select("run_id", "feed", "feed_group",
                                                                           "event_count")
 
@@ -432,14 +477,15 @@ SELECT d.plugin_id, d.plugin_name, d.plugin_type, d.plugin_size, f.family_id, f.
 FROM v_family_plugins fp JOIN v_families f ON fp.family_id = f.family_id
 JOIN v_plugin_details d ON d.plugin_id = fp.plugin_id""", "v_family_plugins", "v_families", "v_plugin_details"))
 def plugin_enriched(spark, d):
-    det = L.plugin_details(spark, d)
-    doc = det.select("plugin_id", F.struct("plugin_id", "plugin_name", "plugin_type", "plugin_size",
-                                           F.lit("stale").alias("family_name"),
-                                           F.lit(-1).alias("family_id")).alias("detail"))
-    fam = flatten.explode_family_details(L.family_details(spark, d)).join(L.families(spark, d), "family_id")
-    e = flatten.enrich_detail(doc, fam)
-    return e.select("detail.plugin_id", "detail.plugin_name", "detail.plugin_type", "detail.plugin_size",
-                    "detail.family_id", "detail.family_name")
+    """The catalogue's detail documents as the plugin feed sends them, stale family fields written over."""
+    doc = F.struct("plugin_id", "plugin_name", "plugin_type", "plugin_size", F.lit("stale").alias("family_name"),
+                   F.lit(-1).alias("family_id"))
+    details = L.plugin_details(spark, d).select("plugin_id", F.to_json(doc).alias("raw"))
+    cat = flatten.plugin_catalog(L.families(spark, d), L.family_details(spark, d), details)
+    sent = flatten.enriched_documents(cat).select(F.from_json("event_raw", (
+        "plugin_id bigint, plugin_name string, plugin_type string, plugin_size int, family_id int, family_name string"
+    )).alias("e"))
+    return sent.select("e.*")
 
 
 @register("event_classified", V("""
@@ -480,10 +526,11 @@ WHERE COALESCE(p.has_plugin_results, false) AND p.id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM v_assets c WHERE NOT COALESCE(c.is_deleted, false) AND c.id = p.id)""",
                               "v_assets"))
 def assets_deleted(spark, d):
+    spec = REGISTRY["deleted_asset"]
     a = L.assets_native(spark, d)
-    prev = a.filter(P.scanned_assets()).select("id")
-    curr = a.filter(P.live_assets()).select("id")
-    return diff.deletion_events(diff.vanished(prev, curr, "id"), NOW, "id")
+    before = a.filter(P.scanned_assets()).select(F.lit(spec.feed).alias("feed"), F.col("id").alias("item_id"),
+                                                 F.timestamp_seconds(F.lit(NOW)).alias("seen_at"))
+    return feeds.run_snapshot_diff(spec, a.filter(P.live_assets()), before, NOW, RET)
 
 
 FIX_SQL_COLS = """vuln_key AS vulnerability_key,
@@ -498,8 +545,11 @@ SELECT {FIX_SQL_COLS}, 'vulnerability_fixed' AS event_type, CAST(1007164800 AS B
 FROM v_prev_keys p WHERE NOT EXISTS (SELECT 1 FROM v_curr_keys c WHERE c.vuln_key = p.vuln_key)""",
                            "v_prev_keys", "v_curr_keys"))
 def vulns_fixed(spark, d):
-    gone = diff.vanished(L.prev_keys(spark, d), L.curr_keys(spark, d), "vuln_key")
-    return diff.fix_events(gone, NOW, "vuln_key")
+    spec = REGISTRY["fixed_vulnerability"]
+    before = L.prev_keys(spark, d).select(F.lit(spec.feed).alias("feed"), F.col("vuln_key").alias("item_id"),
+                                          F.timestamp_seconds(F.lit(NOW)).alias("seen_at"))
+    now = L.nest_vulns(L.vulns(spark, d).filter(F.col("snapshot_id") % 2 == 0))
+    return feeds.run_snapshot_diff(spec, now, before, NOW, RET)
 
 
 @register("plugin_catalog_flat", V("""
@@ -661,13 +711,9 @@ FROM v_run_log r LEFT JOIN v_delivery_log dl ON dl.batch_id = r.run_id
 GROUP BY r.feed""", "v_run_log", "v_delivery_log"))
 def feed_completion(spark, d):
     ok = L.delivery_log(spark, d).select(F.col("batch_id").alias("run_id"), "status_code")
-    j = L.run_log(spark, d).join(ok, "run_id", "left")
-    agg = j.groupBy("feed").agg(
-        F.sum("event_count").cast("bigint").alias("processed"),
-        F.sum(F.when(F.col("status_code") == 200, F.col("event_count")).otherwise(0)).cast("bigint").alias("sent"),
-        F.sum("duration_s").alias("_dur"))
-    return agg.select("feed", "processed", "sent", F.round(F.col("_dur").cast("double") / 60.0, 1).alias("minutes"),
-                      X.guarded_rate("processed", "_dur", 2).alias("rate"))
+    log = L.run_log(spark, d).join(ok, "run_id", "left").withColumn(
+        "sent", F.when(F.col("status_code") == 200, F.col("event_count")).otherwise(0))
+    return metrics.feed_completion(log, "duration_s", digits=2)
 
 
 SWEEP_MAX_IDS = 1000
@@ -677,7 +723,10 @@ SWEEP_MAX_IDS = 1000
 SELECT feed, CAST(LEAST(COUNT(*), {SWEEP_MAX_IDS}) AS BIGINT) AS active_ids
 FROM v_state WHERE seen_at > {CUTOFF_SQL} GROUP BY feed""", "v_state"))
 def state_sweep(spark, d):
-    return S.sweep(L.state(spark, d), NOW, RET, SWEEP_MAX_IDS)
+    """Commit the state, sweep the store, count what the store then holds."""
+    base = work_dir(spark, "state-sweep")
+    S.commit(L.state(spark, d), base, version=1)
+    return S.commit_sweep(spark, base, NOW, RET, SWEEP_MAX_IDS)
 
 
 # ---- 2.6 windows / top-k / limits --------------------------------------------------------

@@ -8,27 +8,31 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "vigil") -> SparkSession:
     """Session with the settings every job in this package assumes.
 
     UTC session time (epoch arithmetic on timestamps), AQE on (runtime
     broadcast conversion, partition coalescing, skew-join splitting), UI off.
+    Sizes (shuffle partitions, driver memory) are left to ``spark-submit`` and the
+    cluster's defaults unless given here.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("VIGIL_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # a daemon checkpoints every run: drop checkpoint files once nothing references them
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if "VIGIL_DRIVER_MEMORY" in os.environ:
+        builder = builder.config("spark.driver.memory", os.environ["VIGIL_DRIVER_MEMORY"])
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
@@ -38,10 +42,11 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only when unset.
+    """Return the shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/DBFS) folder and is
-    used as is; only an unset session (tests, local runs) gets a fresh scratch folder.
+    used as is; without it a cluster job fails here. Only a local session (tests) gets
+    a fresh scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,12 +55,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder")
         conf_dir = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver imported it from."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    here = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_vigil_shipped", False) or os.path.dirname(here) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as z:
+        for folder, _, files in os.walk(here):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    path = os.path.join(tempfile.mkdtemp(prefix="vigil-pkg-"), "vigil_package.zip")
+    with open(path, "wb") as f:
+        f.write(body.getvalue())
+    sc.addPyFile(path)      # Spark serves it to every executor
+    sc._vigil_shipped = True
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     import uuid

@@ -22,25 +22,20 @@ STATE_FEED_2 = "fixed_vulnerability"
 # -----------------------------------------------------------------------------------
 
 
-_SPLITS: dict[str, int] = {}
+REBALANCE = "spark.vigil.rebalanceLanding"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A landed table; rebalanced only when it yields fewer splits than task slots.
-
-    A large landing zone has far more splits than slots and is read as is. A
-    small one (few files, one row group each) would leave most slots idle for
-    every per-row stage before the first shuffle. Hash-partitioning on the first
-    (key) column spreads it deterministically -- a retried task sees the same
-    rows -- without the full local sort a deterministic round-robin needs.
-    Column pruning and filters still push below the repartition into the scan.
+    """A landed table, read as it is.
+
+    With the session setting ``spark.vigil.rebalanceLanding`` (the benchmark sets it: its
+    tables are one row group each, so one task would do all work before the first
+    shuffle) rows are first hash-partitioned by the key column.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    slots = spark.sparkContext.defaultParallelism
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
-    return df.repartition(slots, df.columns[0]) if _SPLITS[path] < slots else df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spark.conf.get(REBALANCE, "false") == "true":
+        return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
