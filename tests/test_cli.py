@@ -146,3 +146,121 @@ def test_cli_streams_compliance_from_new_host_details(spark, tmp_root):
                      for x in gzip.decompress(open(p, "rb").read()).decode().split("\n")]
     assert sorted(e["compliance_data"]["x"] for e in sent[0]) == [1, 2]
     assert [(e["host_id"], e["hostname"], e["compliance_data"]["x"]) for e in sent[1]] == [(8, "h8", 3)]
+
+
+EXTRA = None    # set by the test below; read by --registry
+
+
+def _dirs(root):
+    return ["--state", os.path.join(root, "s"), "--outbox", os.path.join(root, "o"), "--logs", os.path.join(root, "g")]
+
+
+def test_cli_run_options_reach_the_feed(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    v = dict(VULNS[0], is_licensed=True)
+    write_lines(os.path.join(land, "vulns"), [json.dumps(x) for x in (
+        v, v, dict(VULNS[1], is_licensed=False), dict(v, plugin={"id": 77}, last_found="2026-01-01T00:00:10Z"))]
+        + ['{"asset": {"uuid": "torn'])
+    args = ["run", "--landing", land, "--feed", "vulnerability", "--now", str(NOW), "--run-id", "1"]
+    first = main(args + _dirs(os.path.join(tmp_root, "a")) + ["--licensed-only", "--within-run", "first"], spark=spark)[0]
+    assert first["total_events"] == 2                       # no unlicensed one, one per key, no torn line
+    assert os.path.exists(os.path.join(tmp_root, "a", "o", "_rejects", "run=1", "vulns"))
+    assert main(args + _dirs(os.path.join(tmp_root, "b")), spark=spark)[0]["total_events"] == 4
+    # lateness looks below the mark again; the state still keeps what was sent
+    late = _dirs(os.path.join(tmp_root, "c"))
+    main(["run", "--landing", land, "--feed", "vulnerability", "--now", "1767225605", "--run-id", "1", *late], spark=spark)
+    write_lines(os.path.join(land, "vulns"), [json.dumps(dict(v, plugin={"id": 99}))])
+    again = ["run", "--landing", land, "--feed", "vulnerability", "--now", str(NOW), "--run-id", "2", *late]
+    assert main(again, spark=spark)[0]["total_events"] == 0
+    again[again.index("2")] = "3"
+    assert main([*again, "--lateness", "60"], spark=spark)[0]["total_events"] == 1
+
+
+def test_cli_cap_keeps_the_newest_and_counts_the_trimmed(spark, tmp_root):
+    from vigil.operators import state as S
+
+    land, dirs = os.path.join(tmp_root, "landing"), _dirs(tmp_root)
+    write_lines(os.path.join(land, "vulns"), [json.dumps(dict(VULNS[0], plugin={"id": i}, last_found=f"2026-01-0{9 - i}T00:00:00Z"))
+                                              for i in range(1, 9)])
+    s = main(["run", "--landing", land, "--feed", "vulnerability", "--now", str(NOW), "--run-id", "1", "--max-ids", "3", *dirs],
+             spark=spark)[0]
+    assert s["trimmed"] == 5 and s["per_feed"][0]["trimmed"] == 5
+    assert sorted(r.item_id for r in S.load(spark, dirs[1]).collect()) == [f"u1_{i}_443_tcp" for i in (1, 2, 3)]
+
+
+def test_cli_versions_and_further_feeds(spark, tmp_root):
+    import sys
+
+    from pyspark.sql import functions as F
+
+    from vigil.plans import registry as R
+
+    land, dirs = os.path.join(tmp_root, "landing"), _dirs(tmp_root)
+    write_lines(os.path.join(land, "assets"), [json.dumps({"id": "x", "updated_at": "2026-01-02T00:00:00Z"})])
+    args = ["run", "--landing", land, "--feed", "asset", "--version-col", "updated_epoch", *dirs]
+    assert main(args + ["--now", str(NOW), "--run-id", "1"], spark=spark)[0]["total_events"] == 1
+    write_lines(os.path.join(land, "assets"), [json.dumps({"id": "x", "updated_at": "2026-01-03T00:00:00Z"})])
+    assert main(args + ["--now", str(NOW + 1), "--run-id", "2"], spark=spark)[0]["total_events"] == 1
+    module = sys.modules[__name__]
+    module.EXTRA = R.FeedSpec("agents", "assets", "agents", "Agents", "agents", 20, source="assets",
+                              predicate=lambda: F.col("id") == "x", key=lambda: F.col("id"), epoch_col="updated_epoch")
+    got = main(["run", "--landing", land, "--feed", "agents", "--registry", f"{__name__}:EXTRA", "--now", str(NOW),
+                "--run-id", "3", *dirs], spark=spark)[0]
+    assert got["total_events"] == 1 and got["per_feed"][0]["feed"] == "agents"
+
+
+def test_cli_summary_has_retries_and_errors(spark, tmp_root):
+    land, dirs = landing(os.path.join(tmp_root, "landing")), _dirs(tmp_root)
+    s = main(["run", "--landing", land, "--feed", "vulnerability,plugin", "--now", str(NOW), "--run-id", "1",
+              "--transport", "file:{outbox}?fail_match=u1_", *dirs], spark=spark)[0]
+    assert s["failed_batches"] == 0 and s["recent_errors"] == []
+    s = main(["run", "--landing", land, "--feed", "vulnerability_no_info", "--now", str(NOW), "--run-id", "2",
+              "--transport", 'file:{outbox}?fail_match="u2"', *dirs], spark=spark)[0]
+    assert (s["retries"], s["failed_batches"]) == (3, 1)
+    s = main(["run", "--landing", land, "--feed", "vulnerability", "--now", str(NOW), "--run-id", "3",
+              "--transport", "bogus:x", "--lateness", "999999999", *_dirs(os.path.join(tmp_root, "n"))], spark=spark)[0]
+    assert s["failed_feeds"] == 1 and len(s["recent_errors"]) == 1 and s["recent_errors"][0]["error_id"] == 1
+
+
+def test_cli_state_commands(spark, tmp_root):
+    from vigil.operators import state as S
+
+    land, dirs = landing(os.path.join(tmp_root, "landing")), _dirs(tmp_root)
+    main(["run", "--landing", land, "--feed", "asset,vulnerability,vulnerability_no_info", "--now", str(NOW), "--run-id", "1",
+          *dirs], spark=spark)
+    state = ["--state", dirs[1], "--now", str(NOW)]
+    assert [r["feed"] for r in main(["state", "list", *state], spark=spark)] == ["asset", "vulnerability", "vulnerability_no_info"]
+    stats = {r["feed"]: r for r in main(["state", "stats", *state], spark=spark)}
+    assert stats["vulnerability_no_info"]["last_timestamp"] == NOW and stats["asset"]["active_ids"] == 3
+    main(["state", "clear", "--feed", "asset", *state], spark=spark)
+    assert sorted(r.feed for r in S.feeds(S.load(spark, dirs[1])).collect()) == ["vulnerability", "vulnerability_no_info"]
+    swept = main(["state", "sweep", "--state", dirs[1], "--now", str(NOW + 30 * 86400)], spark=spark)
+    assert swept == [] and S.load(spark, dirs[1]).count() == 0
+    old = write_lines(os.path.join(tmp_root, "legacy"), [json.dumps({"feed": "asset", "processed_ids": ["q"], "last_timestamp": 7})])
+    main(["state", "migrate", "--legacy", old, *state], spark=spark)
+    assert {r["feed"]: r["last_timestamp"] for r in main(["state", "stats", *state], spark=spark)} == {"asset": 7}
+    assert main(["state", "vacuum", "--keep", "1", *state], spark=spark)
+    assert S.load(spark, dirs[1]).count() == 1
+
+
+def test_compliance_stream_waits_for_its_scan(spark, tmp_root):
+    land, root = landing(os.path.join(tmp_root, "landing")), os.path.join(tmp_root, "r")
+    host = {"scan_id": 3, "host_id": 7, "compliance": [{"plugin_id": 5, "x": 9}]}
+    with open(os.path.join(land, "host_details", "part-1.json"), "w") as f:
+        f.write(json.dumps(host) + "\n")
+    with open(os.path.join(land, "scan_details", "part-1.json"), "w") as f:
+        f.write(json.dumps({"scan_id": 3, "hosts": [{"host_id": 7}]}) + "\n")
+    args = ["stream", "--landing", land, "--root", root, "--feed", "compliance", "--once", "--now", str(NOW)]
+
+    def sent():
+        return sorted((e["event"]["scan_id"], e["event"]["compliance_data"]["x"], e["event"]["hostname"])
+                      for p in glob.glob(os.path.join(root, "outbox", "run=*", "feed=compliance", "*.json.gz"))
+                      for e in map(json.loads, gzip.decompress(open(p, "rb").read()).decode().split("\n")))
+    main(args, spark=spark)
+    assert sent() == [(1, 1, "h7"), (1, 2, "h7")]
+    with open(os.path.join(land, "scans", "part-1.json"), "w") as f:
+        f.write(json.dumps({"id": 3, "name": "s3", "status": "completed", "last_modification_date": 300}) + "\n")
+    main(args, spark=spark)
+    assert sent() == [(1, 1, "h7"), (1, 2, "h7"), (3, 9, "unknown")]
+    main(args, spark=spark)
+    assert len(sent()) == 3

@@ -14,10 +14,13 @@ from ..functions import exprs as X
 from .envelope import ENVELOPE_SCHEMA
 
 
-def write_outbox(envelopes_json: DataFrame, path: str, json_col: str = "json") -> None:
-    """One JSON document per line, gzip-compressed, one file per task (no funnel)."""
+def write_outbox(envelopes_json: DataFrame, path: str, json_col: str = "json",
+                 max_records_per_file: int = 1_000_000) -> None:
+    """One JSON document per line, gzip-compressed; each task starts a new file after
+    ``max_records_per_file`` lines, since a gzip file can't be split by its readers."""
     (envelopes_json.select(F.col(json_col).alias("value"))
-     .write.mode("overwrite").option("compression", "gzip").text(path))
+     .write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", str(max_records_per_file))
+     .text(path))
 
 
 def read_outbox(spark: SparkSession, path: str, event_schema: StructType | None = None) -> DataFrame:
