@@ -92,6 +92,8 @@ def trim_newest(state: DataFrame, max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
     """
     if not max_ids:
         return state
+    # the count, the ranking and the write then read one copy instead of running the lineage again
+    state = state.checkpoint(eager=True)
     over = [r["feed"] for r in state.groupBy("feed").count().filter(F.col("count") > max_ids).collect()]
     if not over:
         return state
