@@ -35,7 +35,7 @@ PARTS = 64
 NEIGHBOURS = 16
 HIDDEN = 128
 TARGET = 0.95           # recall on held-back sample searches that sets the number of probed parts
-BLOCK = 8192            # candidates of one part per block
+BLOCK = 32768           # candidates of one part per block
 QUERY_BLOCK = 65536     # queries per block
 SEED = 7
 

@@ -49,7 +49,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_r
                                              F.count(F.lit(1)).alias("n_docs"))
     per_source = per_source.withColumn("_null", F.col("source").isNull().cast("int")) \
         .withColumn("_key", F.coalesce(F.col("source"), F.lit("")))
-    ranked = with_ordinal(per_source, ["_null", "_key"], name="_rank", partitions=1)
+    ranked = with_ordinal(per_source, ["_null", "_key"], name="_rank")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
                      (F.pmod(F.col("_rank") - 1, F.lit(len(weights))) + 1).cast("int"))
     table = stored(ranked.select("source", "source_size", "n_docs", w.alias("weight")), "mix-sources")
