@@ -13,14 +13,20 @@ from pyspark.sql.types import StructType
 from ..session import work_dir
 
 WORD = r"[^\x20\x09-\x0D]+"         # a word of every contract here; the rest is white space
-SLICE_BYTES = 4 << 20               # numpy works on slices of this many bytes, whatever the Arrow batch holds
+SLICE_BYTES = 1 << 20               # numpy works on slices of this many bytes, whatever the Arrow batch holds
+BATCH_ROWS = 1000                   # texts per Arrow batch: the default of 10,000 long rows fills a worker's memory
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
+    """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage).
+
+    The shuffles behind it are then of no use; Spark's cleaner removes their files once the
+    driver's JVM has collected what refers to them, so a collection is asked for.
+    """
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -35,31 +41,46 @@ def with_fields(schema: StructType, **types: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(", ".join(f"{k} {v}" for k, v in types.items())).fields])
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts small for the rest of the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def open_output(uri: str):
-    """Binary output stream for a shared path (file:, hdfs:, s3: or a bare local path)."""
+def _resolve(uri: str):
+    """pyarrow file system and path of a shared path (file:, hdfs:, s3: or a bare local path)."""
     from pyarrow import fs
 
     if "://" in uri or uri.startswith("file:"):
-        system, path = fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
-    else:
-        system, path = fs.LocalFileSystem(), uri
+        return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
+    return fs.LocalFileSystem(), uri
+
+
+def open_output(uri: str):
+    """Binary output stream; the folder is made."""
+    system, path = _resolve(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
     return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):
-    """Random-access binary file of a shared path."""
+    """Random-access binary file."""
+    system, path = _resolve(uri)
+    return system.open_input_file(path)
+
+
+def list_files(uri: str, suffix: str) -> list[str]:
+    """Files of a folder that Spark wrote, by name."""
     from pyarrow import fs
 
-    if "://" in uri or uri.startswith("file:"):
-        system, path = fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
-    else:
-        system, path = fs.LocalFileSystem(), uri
-    return system.open_input_file(path)
+    system, path = _resolve(uri)
+    found = sorted(i.base_name for i in system.get_file_info(fs.FileSelector(path)) if i.base_name.endswith(suffix))
+    return [f"{uri.rstrip('/')}/{name}" for name in found]
 
 
 def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chargrams import code_points, fold_letters, gram_buckets, segment_sums
-from .common import packed, text_slices, with_fields
+from .common import packed, text_batches, text_slices, with_fields
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -49,6 +49,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Model from all rows with a label; counts are exact whatever the partitioning."""
+    text_batches(rows.sparkSession)
     rows = rows.filter(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.when(has_letter(F.col(text_col)), F.col(text_col)).alias("text"))
     per_lang = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -85,6 +86,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``lang_pred`` and ``score`` (posterior of the predicted language) per row."""
+    text_batches(docs.sparkSession)
     langs = model.langs
     held = docs.sparkSession.sparkContext.broadcast((model.log_prob, model.log_prior))
     source = docs.select(F.when(has_letter(F.col(text_col)), F.col(text_col)).alias("_text"), *keep)

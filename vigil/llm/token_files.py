@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from .common import open_input, open_output, shuffle_partitions, stored
+from .common import open_input, open_output, shuffle_partitions, stored, text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -173,6 +173,7 @@ class TokenFile:
 def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
           vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Encode and write all rows; returns (part, path, n_docs, n_tokens) of the finished files."""
+    text_batches(docs.sparkSession)
     path = vocabulary or vocabulary_path()
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = shuffle_partitions(docs.sparkSession)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chargrams import code_points, gram_buckets, segment_sums
-from .common import packed, stored, text_slices, with_fields, word_hashes, word_spans
+from .common import packed, stored, text_batches, text_slices, with_fields, word_hashes, word_spans
 
 FIT_ROWS = 8192                 # bound of the sample the linear scorer is fitted on
 BUCKETS = 1 << 13
@@ -189,6 +189,7 @@ class Scorer:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> Scorer:
     """Vote patterns over all rows, EM, and the linear scorer from the bounded sample."""
+    text_batches(docs.sparkSession)
     total = docs.count()
     share = min(1.0, fit_rows / max(total, 1))
     chosen = F.pmod(F.xxhash64(F.lit(5), F.col(id_col)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
@@ -236,6 +237,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_row
 
 def judge(docs: DataFrame, scorer: Scorer, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``posterior`` of the votes, ``score`` of the linear model, per row."""
+    text_batches(docs.sparkSession)
     posterior, weights = scorer.labels.posterior, scorer.weights
     source = docs.select(F.col(text_col).alias("_text"), *keep)
     schema = with_fields(source.drop("_text").schema, posterior="double", score="double")
