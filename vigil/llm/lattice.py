@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
 A text becomes its SentencePiece form (a leading word mark, spaces as word marks) and is
-cut into units: word marks with the characters up to the next mark or line break. No piece
-of the table spans such a cut, so each distinct unit is segmented once:
+cut into units: word marks with a run of letters, or with a run of other characters, and line
+breaks. No piece of the table spans such a cut (``load_pieces`` checks it), so each distinct
+unit is segmented once:
 
 1. tasks count the distinct units of their texts, Spark sums the counts;
 2. the substrings of up to the longest piece's length of every unit are exploded and
@@ -11,11 +12,12 @@ of the table spans such a cut, so each distinct unit is segmented once:
 3. edges are grouped by unit and a higher-order aggregate folds the best path (highest sum
    of piece scores, at equal sums the longer last piece); unknown characters turn into
    their byte pieces;
-4. ids go back to the texts: units among the ``FREQUENT`` most frequent ones are looked up
-   in a broadcast of bounded size, all other units come by a join on (text, unit).
+4. ids go back to the texts: the most frequent units (``FREQUENT`` at most) are one small
+   file that every worker loads from the shared folder, all other units come by a join on
+   (text, unit), for which the texts move compressed.
 
-Scores are those of the model file. A run of more than ``MAX_RUN`` characters without a word
-mark or line break is segmented in pieces of that length.
+Scores are those of the model file. A run of more than ``MAX_RUN`` letters (or other
+characters) is segmented in stretches of that length.
 
 Edge cases: null and empty texts have no ids and decode to the empty text; a word mark
 that is itself in a text decodes to a space, as the format has it; repeated rows are encoded
@@ -25,29 +27,41 @@ alike; an empty table gives an empty result; other columns are passed by.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from ..session import work_dir
+from .common import list_files, open_input, stored, text_batches
 
 MODEL = "piece_bpe_32k.model"
 MAX_PIECES = 1 << 20
-FREQUENT = 1 << 18
+FREQUENT = 1 << 17
 MAX_RUN = 96
-FLUSH_UNITS = 200_000           # distinct units that a task holds before it hands them on
+FLUSH_UNITS = 100_000           # distinct units that a task holds before it hands them on
+CHUNKS = 1 << 16                # stretches between spaces whose units a task remembers
 MARK = "▁"
-UNIT = re.compile(f"{MARK}{{0,16}}[^{MARK}\n]{{1,{MAX_RUN}}}|{MARK}{{1,16}}|\n")
+LETTERS, OTHERS = r"[^\W\d_²]", rf"(?:[^\w{MARK}\n]|[\d_²])"     # a piece joins ² and a full stop
+UNIT = re.compile(f"{MARK}{{0,16}}{LETTERS}{{1,{MAX_RUN}}}|{MARK}{{0,16}}{OTHERS}{{1,{MAX_RUN}}}|{MARK}{{1,16}}|\n")
+#: The same rule for texts of ASCII and Latin letters only, in plain ranges (a fifth faster)
+PLAIN = re.compile("[\n -~À-ÖØ-öø-ɏ▁]*")
+PLAIN_UNIT = re.compile(f"{MARK}{{0,16}}[A-Za-zÀ-ÖØ-öø-ɏ]{{1,{MAX_RUN}}}|{MARK}{{0,16}}[!-@\\[-`{{-~]{{1,{MAX_RUN}}}"
+                        f"|{MARK}{{1,16}}|\n")
 UNKNOWN_PENALTY = 10.0          # below the lowest score of the table
 
 
+Finish = tuple[str, Callable[[pa.RecordBatch], pa.RecordBatch]]
+
+
 @dataclass
 class Pieces:
     """Piece table: (piece, id, score) of ordinary pieces, and the id of each byte."""
@@ -86,32 +100,56 @@ def load_pieces(path: str) -> Pieces:
             if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
     if len(rows) > MAX_PIECES:
         raise ValueError(f"more than {MAX_PIECES} pieces")
-    if any(MARK in p.lstrip(MARK) or "\n" in p for p, _, _ in rows):
-        raise ValueError("a piece spans word marks or line breaks")
+    if any(UNIT.findall(p) != [p] for p, _, _ in rows):
+        raise ValueError("a piece spans units: letters and other characters, word marks or line breaks")
     return Pieces(rows, byte_ids)
 
 
 def units_of(text: str | None) -> list[str]:
-    return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+    if not text:
+        return []
+    return (PLAIN_UNIT if PLAIN.fullmatch(text) else UNIT).findall(MARK + text.replace(" ", MARK))
+
+
+def chunks_of(text: str) -> list[str] | None:
+    """The stretches between single spaces, each cut into units on its own; None where spaces meet."""
+    if MARK in text or text.startswith(" ") or "  " in text:
+        return None
+    return text.split(" ")
+
+
+def units_of_chunk(chunk: str) -> list[str]:
+    return (PLAIN_UNIT if PLAIN.fullmatch(chunk) else UNIT).findall(MARK + chunk)
 
 
 def distinct_units(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(unit, n) over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        chunks: Counter[str] = Counter()
+        odd: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()),
-                                              pa.array(list(seen.values()), pa.int64())], ["unit", "n"])
-            seen.clear()
+            for chunk, n in chunks.items():
+                for u in units_of_chunk(chunk):
+                    odd[u] += n
+            out = pa.RecordBatch.from_arrays([pa.array(list(odd), pa.string()),
+                                              pa.array(list(odd.values()), pa.int64())], ["unit", "n"])
+            chunks.clear()
+            odd.clear()
             return out
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(units_of(text))
-                if len(seen) > FLUSH_UNITS:
+                if not text:
+                    continue
+                found = chunks_of(text)
+                if found is None:
+                    odd.update(units_of(text))
+                else:
+                    chunks.update(found)
+                if len(chunks) + len(odd) > FLUSH_UNITS:
                     yield flush()
-        if seen:
+        if chunks or odd:
             yield flush()
 
     return docs.select(text_col).mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
@@ -173,65 +211,136 @@ def segment(units: DataFrame, pieces: Pieces) -> DataFrame:
     return path.select("unit", "n", ids.alias("ids"))
 
 
+def _frequent_file(known: DataFrame, most: int) -> str:
+    """Write the most frequent units (whole classes of log-count, ``most`` in all) to one shared file."""
+    spark = known.sparkSession
+    step = F.floor(F.log2("n") * 16).cast("int")
+    sizes = sorted(known.groupBy(step.alias("s")).count().collect(), reverse=True)      # some hundred classes
+    least, total = None, 0
+    for s, n in sizes:
+        total += n
+        if total > most:
+            break
+        least = s
+    chosen = known.filter(step >= least) if least is not None else known.limit(0)
+    path = work_dir(spark, "lattice-frequent")
+    chosen.select("unit", "ids").coalesce(1).write.parquet(path)
+    return path
+
+
+@lru_cache(maxsize=1)
+def _load_frequent(path: str) -> dict:
+    """Unit -> ids, once per worker; at most FREQUENT entries."""
+    import pyarrow.parquet as pq
+
+    out: dict[str, bytes] = {}
+    for name in list_files(path, ".parquet"):
+        with open_input(name) as f:
+            for part in pq.ParquetFile(f).iter_batches(65536, columns=["unit", "ids"]):
+                for unit, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    out[unit] = _id_bytes(ids)
+    return out
+
+
+def _id_bytes(ids: str) -> bytes:
+    return struct.pack(f"<{ids.count(' ') + 1}i", *map(int, ids.split(" ")))
+
+
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text",
-           frequent: int = FREQUENT) -> DataFrame:
-    """(id, text, ids) for every row of ``docs``."""
-    spark = docs.sparkSession
+           frequent: int = FREQUENT, finish: Finish | None = None) -> DataFrame:
+    """(id, text, ids) for every row of ``docs``.
+
+    ``finish`` (output columns beside the id, and a function from an Arrow batch of these three to
+    those columns) runs in the task that made the ids, so that they need not leave it.
+    """
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = stored(segment(distinct_units(rows), pieces).withColumn("ids", F.array_join("ids", " ")), "lattice-units")
-    top = known.orderBy(F.desc("n"), "unit").limit(frequent).select("unit", "ids").toPandas()
-    held = spark.sparkContext.broadcast(dict(zip(top["unit"], top["ids"], strict=True)))
-    del top
+    table = _frequent_file(known, frequent)
     keyed = rows.withColumn("k", F.xxhash64(F.lit(9), "id", "text"))
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = held.value
+        common = _load_frequent(table)
+
+        def out(keys: list, units: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(units, pa.string())], ["k", "unit"])
+        keys, units = [], []
+        rare_of: dict[str, tuple[str, ...]] = {}
         for batch in batches:
-            keys, units = [], []
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = [u for u in set(units_of(text)) if u not in common]
+                if not text:
+                    continue
+                found = chunks_of(text)
+                if found is None:
+                    own = {u for u in units_of(text) if u not in common}
+                else:
+                    own = set()
+                    for chunk in set(found):
+                        few = rare_of.get(chunk)
+                        if few is None:
+                            if len(rare_of) >= CHUNKS:
+                                rare_of.clear()
+                            few = rare_of[chunk] = tuple(u for u in units_of_chunk(chunk) if u not in common)
+                        own.update(few)
                 keys += [k] * len(own)
                 units += own
-                if len(units) > FLUSH_UNITS:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(units, pa.string())], ["k", "unit"])
+                if len(units) > FLUSH_UNITS // 4:
+                    yield out(keys, units)
                     keys, units = [], []
-            if units:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(units, pa.string())], ["k", "unit"])
+        if units:
+            yield out(keys, units)
 
-    named = keyed.select("k", "text").mapInArrow(rare, "k long, unit string").join(known.select("unit", "ids"), "unit")
+    named = stored(keyed.select("k", "text").mapInArrow(rare, "k long, unit string").join(
+        known.select("unit", "ids"), "unit"), "lattice-rare")
     per_text = named.groupBy("k").agg(F.collect_set(F.struct("unit", "ids")).alias("own"))
-    joined = keyed.join(per_text, "k", "left").select(
-        "id", "text", F.transform("own", lambda x: x["unit"]).alias("units"),
-        F.transform("own", lambda x: x["ids"]).alias("unit_ids"))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common: dict[str, np.ndarray | str] = dict(held.value)
-
-        def ids_of(unit: str, own: dict[str, str]) -> np.ndarray:
-            got = common.get(unit)
-            if got is None:
-                return np.array(own[unit].split(" "), np.int32)
-            if isinstance(got, str):
-                got = common[unit] = np.array(got.split(" "), np.int32)
-            return got
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                some = batch.slice(lo, 512)
-                out = []
-                for text, units, own in zip(*[some.column(c).to_pylist() for c in (1, 2, 3)], strict=True):
-                    mine = dict(zip(units, own, strict=True)) if units else {}
-                    parts = [ids_of(u, mine) for u in units_of(text)]
-                    out.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(out, pa.list_(pa.int32()))],
-                                                 ["id", "text", "ids"])
+            body = [zip_.compress(t.encode()) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(body, pa.binary())], ["id", "k", "body"])
 
-    return joined.mapInArrow(fill, f"id {kind}, text string, ids array<int>")
+    pressed = keyed.select("id", "k", "text").mapInArrow(press, f"id {kind}, k long, body binary")
+    joined = pressed.join(per_text, "k", "left").select(
+        "id", "body", F.transform("own", lambda x: x["unit"]).alias("units"),
+        F.transform("own", lambda x: x["ids"]).alias("unit_ids"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, unzip = _load_frequent(table), zstandard.ZstdDecompressor()
+        ids_of: dict[str, bytes] = {}
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                some = batch.slice(lo, 256)
+                texts, out = [], []
+                for body, units, own in zip(*[some.column(c).to_pylist() for c in (1, 2, 3)], strict=True):
+                    text = unzip.decompress(body).decode()
+                    mine = {u: _id_bytes(i) for u, i in zip(units, own, strict=True)} if units else {}
+                    found = chunks_of(text) if text else []
+                    if found is None:
+                        parts = [common.get(u) or mine[u] for u in units_of(text)]
+                    else:
+                        parts = list(map(ids_of.get, found))
+                        for at, part in enumerate(parts):
+                            if part is None:
+                                chunk, cut = found[at], units_of_chunk(found[at])
+                                parts[at] = b"".join([common.get(u) or mine[u] for u in cut])
+                                if all(u in common for u in cut):       # the same in every text
+                                    if len(ids_of) >= CHUNKS:
+                                        ids_of.clear()
+                                    ids_of[chunk] = parts[at]
+                    texts.append(text)
+                    out.append(np.frombuffer(b"".join(parts), "<i4"))
+                made = pa.RecordBatch.from_arrays([some.column(0), pa.array(texts, pa.string()),
+                                                   pa.array(out, pa.list_(pa.int32()))], ["id", "text", "ids"])
+                yield finish[1](made) if finish else made
+
+    return joined.mapInArrow(fill, f"id {kind}, " + (finish[0] if finish else "text string, ids array<int>"))
 
 
 def decode_ids(ids: np.ndarray, table: dict[int, bytes]) -> str:
     """Text of a sequence of piece ids; the leading word mark goes."""
-    text = b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "replace").replace(MARK, " ")
+    text = b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(MARK, " ")
     return text[1:] if text.startswith(" ") else text
 
 
@@ -246,29 +355,34 @@ def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     return encoded.withColumn("decoded", back("ids"))
 
 
-def digests(encoded: DataFrame, pieces: Pieces) -> DataFrame:
-    """(id, n_tokens, ids_crc32, round_trip) from real ids and their decoded text, in one pass."""
+def digest_columns(pieces: Pieces) -> Finish:
+    """n_tokens, ids_crc32 and round_trip from real ids and their decoded text."""
     table = pieces.as_bytes
-    kind = encoded.schema["id"].dataType.simpleString()
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, crc, same = [], [], []
-            for text, ids in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                ids = np.asarray(ids.values, np.int32)
-                n.append(len(ids))
-                crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                same.append(decode_ids(ids, table) == text.replace(MARK, " "))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
-                                              pa.array(same, pa.bool_())], ["id", "n_tokens", "ids_crc32", "round_trip"])
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, crc, same = [], [], []
+        for text, ids in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            ids = np.asarray(ids.values, np.int32)
+            n.append(len(ids))
+            crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+            same.append(decode_ids(ids, table) == text.replace(MARK, " "))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
+                                           pa.array(same, pa.bool_())], ["id", "n_tokens", "ids_crc32", "round_trip"])
+
+    return "n_tokens long, ids_crc32 long, round_trip boolean", look
 
-    return encoded.mapInArrow(look, f"id {kind}, n_tokens long, ids_crc32 long, round_trip boolean")
+
+def digests(encoded: DataFrame, pieces: Pieces) -> DataFrame:
+    """(id, n_tokens, ids_crc32, round_trip) of encoded rows."""
+    columns, look = digest_columns(pieces)
+    kind = encoded.schema["id"].dataType.simpleString()
+    return encoded.select("id", "text", "ids").mapInArrow(lambda batches: map(look, batches), f"id {kind}, {columns}")
 
 
 def encoded_documents(docs: DataFrame) -> DataFrame:
     """Digest columns (doc_id, n_tokens, ids_crc32, round_trip) of every row of ``docs``."""
     pieces = load_pieces(model_path())
-    return digests(encode(docs.select("doc_id", "text"), pieces), pieces).withColumnRenamed("id", "doc_id")
+    return encode(docs.select("doc_id", "text"), pieces, finish=digest_columns(pieces)).withColumnRenamed("id", "doc_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
