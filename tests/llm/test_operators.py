@@ -233,6 +233,34 @@ def test_lattice_against_plain_search_and_library(docs, rows):
     assert all(r.round_trip for r in lattice.digests(lattice.encode(docs, pieces), pieces).collect())
 
 
+def _whole_text_ids(text, table, pieces):
+    out = []
+    for part, ident in _viterbi("▁" + text.replace(" ", "▁"), table, pieces.unknown, pieces.longest):
+        out += [ident] if ident >= 0 else [pieces.byte_ids[b] for b in part.encode()]
+    return out
+
+
+def test_long_runs_against_search_over_the_uncut_text(spark):
+    """Runs of letters, other characters and blanks of any length: the path is that of the whole text."""
+    rng = random.Random(4)
+    letters, cyrillic, han = "etaoinshrdlucmfw", "оеаинтсрвлкмдпу", "的一是不了人我在有他这中大来上国"
+    texts = []
+    for n in (95, 96, 97, 100, 193, 218, 294, 1000, 5000):
+        texts += ["-" * n, "=" * n + " end", "x" * n, " " * n, " " * n + "the end", "a " + " " * n + "\n" + " " * n + "--",
+                  "".join(rng.choice(letters) for _ in range(n)), "see " + "".join(rng.choice(cyrillic) for _ in range(n)),
+                  "".join(rng.choice(han) for _ in range(n)) + " 🙂" * 3, "🙂" * n,
+                  "".join(rng.choice("0123456789+/=_") for _ in range(n)), "".join(T.GERMAN[k % 12] for k in range(n // 6))]
+    texts += [" " * n + rng.choice(["the", "x", "--", ""]) for n in range(15, 60)]
+    pieces = lattice.load_pieces(lattice.model_path())
+    table = {p: (i, s) for p, i, s in pieces.rows}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.id: r for r in lattice.encode(df, pieces, frequent=20).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].ids == _whole_text_ids(text, table, pieces), text[:30]
+        assert lattice.decode_ids(np.array(got[i].ids, int), pieces.as_bytes) == text
+    assert len(got[texts.index("-" * 100)].ids) == 14
+
+
 # quality classifier, language
 
 def test_language_by_held_out_rows(docs):

@@ -16,8 +16,10 @@ unit is segmented once:
    file that every worker loads from the shared folder, all other units come by a join on
    (text, unit), for which the texts move compressed.
 
-Scores are those of the model file. A run of more than ``MAX_RUN`` letters (or other
-characters) is segmented in stretches of that length.
+Scores are those of the model file. Runs are never cut: the few units of more than
+``MAX_RUN`` characters (unspaced letters, ruled lines, long blanks) stay out of steps 1 to 3
+and of the join, and the task that writes a text's ids folds their best path itself, over the
+whole unit and by the same rule (``best_ids``).
 
 Edge cases: null and empty texts have no ids and decode to the empty text; a word mark
 that is itself in a text decodes to a space, as the format has it; repeated rows are encoded
@@ -29,6 +31,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -46,16 +49,16 @@ from .common import list_files, open_input, stored, text_batches
 MODEL = "piece_bpe_32k.model"
 MAX_PIECES = 1 << 20
 FREQUENT = 1 << 17
-MAX_RUN = 96
+MAX_RUN = 96                    # characters of a unit that goes through the relational lattice
+LONG_KEPT = 4096                # long units whose ids a task remembers, each of that many characters at most
 FLUSH_UNITS = 100_000           # distinct units that a task holds before it hands them on
 CHUNKS = 1 << 16                # stretches between spaces whose units a task remembers
 MARK = "▁"
 LETTERS, OTHERS = r"[^\W\d_²]", rf"(?:[^\w{MARK}\n]|[\d_²])"     # a piece joins ² and a full stop
-UNIT = re.compile(f"{MARK}{{0,16}}{LETTERS}{{1,{MAX_RUN}}}|{MARK}{{0,16}}{OTHERS}{{1,{MAX_RUN}}}|{MARK}{{1,16}}|\n")
+UNIT = re.compile(f"{MARK}*{LETTERS}+|{MARK}*{OTHERS}+|{MARK}+|\n")
 #: The same rule for texts of ASCII and Latin letters only, in plain ranges (a fifth faster)
 PLAIN = re.compile("[\n -~À-ÖØ-öø-ɏ▁]*")
-PLAIN_UNIT = re.compile(f"{MARK}{{0,16}}[A-Za-zÀ-ÖØ-öø-ɏ]{{1,{MAX_RUN}}}|{MARK}{{0,16}}[!-@\\[-`{{-~]{{1,{MAX_RUN}}}"
-                        f"|{MARK}{{1,16}}|\n")
+PLAIN_UNIT = re.compile(f"{MARK}*[A-Za-zÀ-ÖØ-öø-ɏ]+|{MARK}*[!-@\\[-`{{-~]+|{MARK}+|\n")
 UNKNOWN_PENALTY = 10.0          # below the lowest score of the table
 
 
@@ -76,6 +79,15 @@ class Pieces:
     def unknown(self) -> float:
         return min(s for _, _, s in self.rows) - UNKNOWN_PENALTY
 
+    @cached_property
+    def table(self) -> dict[str, tuple[int, float]]:
+        return {p: (i, s) for p, i, s in self.rows}
+
+    @cached_property
+    def beginnings(self) -> set[str]:
+        """Every beginning of a piece: behind a substring that is none, no longer piece starts."""
+        return {p[:k] for p in self.table for k in range(1, len(p) + 1)}
+
     @cached_property
     def as_bytes(self) -> dict[int, bytes]:
         out = {i: p.encode() for p, i, _ in self.rows}
@@ -132,7 +144,8 @@ def distinct_units(docs: DataFrame, text_col: str = "text") -> DataFrame:
         def flush() -> pa.RecordBatch:
             for chunk, n in chunks.items():
                 for u in units_of_chunk(chunk):
-                    odd[u] += n
+                    if len(u) <= MAX_RUN:
+                        odd[u] += n
             out = pa.RecordBatch.from_arrays([pa.array(list(odd), pa.string()),
                                               pa.array(list(odd.values()), pa.int64())], ["unit", "n"])
             chunks.clear()
@@ -144,7 +157,7 @@ def distinct_units(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     continue
                 found = chunks_of(text)
                 if found is None:
-                    odd.update(units_of(text))
+                    odd.update(u for u in units_of(text) if len(u) <= MAX_RUN)
                 else:
                     chunks.update(found)
                 if len(chunks) + len(odd) > FLUSH_UNITS:
@@ -211,6 +224,38 @@ def segment(units: DataFrame, pieces: Pieces) -> DataFrame:
     return path.select("unit", "n", ids.alias("ids"))
 
 
+def best_ids(unit: str, pieces: Pieces) -> np.ndarray:
+    """Ids of one whole unit of any length: the fold of ``segment`` in time and memory linear in its length.
+
+    Places come in order, so at equal sums the edge from the earliest start (the longer piece) stays.
+    """
+    table, beginnings, size = pieces.table, pieces.beginnings, len(unit)
+    score, back, ident = np.full(size + 1, -np.inf), np.zeros(size + 1, np.int64), np.full(size + 1, -1, np.int32)
+    score[0] = 0.0
+    score, back, ident = array("d", score.tobytes()), array("q", back.tobytes()), array("i", ident.tobytes())
+    unknown = (-1, pieces.unknown)
+    for b in range(size):
+        here, e = score[b], b + 1
+        part = unit[b]
+        found = table.get(part, unknown)
+        while True:
+            if found is not None and here + found[1] > score[e]:
+                score[e], back[e], ident[e] = here + found[1], b, found[0]
+            e += 1
+            part = unit[b:e]
+            if e > size or part not in beginnings:
+                break
+            found = table.get(part)
+    out, e = array("i"), size
+    while e:
+        if ident[e] >= 0:
+            out.append(ident[e])
+        else:
+            out.extend(pieces.byte_ids[x] for x in reversed(unit[back[e]:e].encode()))
+        e = back[e]
+    return np.frombuffer(out, np.int32)[::-1].astype("<i4")
+
+
 def _frequent_file(known: DataFrame, most: int) -> str:
     """Write the most frequent units (whole classes of log-count, ``most`` in all) to one shared file."""
     spark = known.sparkSession
@@ -272,7 +317,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                     continue
                 found = chunks_of(text)
                 if found is None:
-                    own = {u for u in units_of(text) if u not in common}
+                    own = {u for u in units_of(text) if len(u) <= MAX_RUN and u not in common}
                 else:
                     own = set()
                     for chunk in set(found):
@@ -280,7 +325,8 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                         if few is None:
                             if len(rare_of) >= CHUNKS:
                                 rare_of.clear()
-                            few = rare_of[chunk] = tuple(u for u in units_of_chunk(chunk) if u not in common)
+                            few = rare_of[chunk] = tuple(u for u in units_of_chunk(chunk)
+                                                                 if len(u) <= MAX_RUN and u not in common)
                         own.update(few)
                 keys += [k] * len(own)
                 units += own
@@ -294,6 +340,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         known.select("unit", "ids"), "unit"), "lattice-rare")
     per_text = named.groupBy("k").agg(F.collect_set(F.struct("unit", "ids")).alias("own"))
     kind = docs.schema[id_col].dataType.simpleString()
+    held = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=3)
@@ -309,6 +356,19 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, unzip = _load_frequent(table), zstandard.ZstdDecompressor()
         ids_of: dict[str, bytes] = {}
+        long_of: dict[str, bytes] = {}
+
+        def long_ids(unit: str) -> bytes:
+            if len(unit) <= MAX_RUN:
+                raise KeyError(unit)
+            ids = long_of.get(unit)
+            if ids is None:
+                ids = best_ids(unit, held.value).tobytes()
+                if len(unit) <= LONG_KEPT:
+                    if len(long_of) >= LONG_KEPT:
+                        long_of.clear()
+                    long_of[unit] = ids
+            return ids
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 some = batch.slice(lo, 256)
@@ -318,13 +378,13 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                     mine = {u: _id_bytes(i) for u, i in zip(units, own, strict=True)} if units else {}
                     found = chunks_of(text) if text else []
                     if found is None:
-                        parts = [common.get(u) or mine[u] for u in units_of(text)]
+                        parts = [common.get(u) or mine.get(u) or long_ids(u) for u in units_of(text)]
                     else:
                         parts = list(map(ids_of.get, found))
                         for at, part in enumerate(parts):
                             if part is None:
                                 chunk, cut = found[at], units_of_chunk(found[at])
-                                parts[at] = b"".join([common.get(u) or mine[u] for u in cut])
+                                parts[at] = b"".join([common.get(u) or mine.get(u) or long_ids(u) for u in cut])
                                 if all(u in common for u in cut):       # the same in every text
                                     if len(ids_of) >= CHUNKS:
                                         ids_of.clear()
