@@ -119,6 +119,46 @@ def test_hot_family_and_threshold(spark):
     assert {r.id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()} == want
 
 
+def _links(rows, percent=75):
+    """Pairs of smallest ids of different linked sets, and {(id, set): number of linked (id, set)}."""
+    holders = {}
+    for i, t in rows:
+        s = T.shingles(t)
+        if i is not None and s:
+            holders.setdefault(s, set()).add(i)
+    sets = list(holders)
+    pairs, count = set(), {s: len(holders[s]) - 1 for s in sets}
+    for k, a in enumerate(sets):
+        for b in sets[:k]:
+            if 100 * len(a & b) >= percent * len(a | b):
+                pairs.add(tuple(sorted((min(holders[a]), min(holders[b])))))
+                count[a] += len(holders[b])
+                count[b] += len(holders[a])
+    return {(a, b) for a, b in pairs if a != b}, count
+
+
+@pytest.mark.parametrize("block", [1 << 15, 200])
+def test_every_link_of_a_family(spark, rows, monkeypatch, block):
+    """Links inside components count too, whether a component is one tile or many."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(8)
+    texts = [(i, t) for i, t, _ in rows] + [(3, "another text of the same id, " * 9)]
+    base = [f"w{i}" for i in range(120)]
+    for k in range(70):
+        w = list(base[:rng.randint(90, 120)])
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10 ** 6)}"
+        texts.append((1000 + k, " ".join(w)))
+    texts += [(1200 + k, texts[-1][1]) for k in range(5)]
+    texts += [(1300 + k, " ".join(f"c{i}" for i in range(k, 40 + k))) for k in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    pairs, count = _links(texts)
+    got = jaccard.links(df).collect()
+    assert len(got) == len(pairs) and {(r.a, r.b) for r in got} == pairs
+    want = Counter((i, len(T.shingles(t)), count.get(T.shingles(t), 0) if i is not None else 0) for i, t in texts)
+    assert Counter((r.id, r.n_shingles, r.n_links) for r in jaccard.linked(df).collect()) == want
+
+
 def test_parts_of_long_lists(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "PART", 3)
     texts = [(k, " ".join(f"c{i}" for i in range(k, 40 + k))) for k in range(60)]
