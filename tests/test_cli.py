@@ -5,7 +5,7 @@ import glob
 import json
 import os
 
-from conftest import write_lines
+from landing_files import write_lines
 from vigil.plans.cli import main
 
 NOW = 1_800_000_000

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_lines
+from landing_files import write_lines
 from vigil.operators import flatten, state as S
 from vigil.plans import feeds, registry as R
 from vigil.plans.run import read_outbox_run, run_feed

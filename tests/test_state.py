@@ -160,7 +160,7 @@ def test_stats(spark):
 def test_legacy_documents_from_json(spark, tmp_root):
     import json
 
-    from conftest import write_lines
+    from landing_files import write_lines
     from vigil.sources import readers
 
     path = write_lines(os.path.join(tmp_root, "legacy"), [
