@@ -2,8 +2,9 @@
 
 ``LABELLERS`` are overlapping heuristics over whole texts; each votes good, bad or
 nothing. Spark counts the vote patterns of all documents (at most 3 ** labellers
-rows), expectation-maximisation estimates how often each labeller is right and
-gives every pattern a posterior, and the posteriors of a bounded sample
+rows), expectation-maximisation over one good class and one bad class per group of
+labellers that agree estimates how often each labeller is right and gives every pattern a
+posterior, and the posteriors of a bounded sample
 (``FIT_ROWS`` documents, those with the smallest id hashes) train a linear scorer
 over hashed features. The scorer then judges every document from its text alone.
 
@@ -30,6 +31,7 @@ FIT_ROWS = 8192                 # bound of the sample the linear scorer is fitte
 BUCKETS = 1 << 13
 STAT_BINS = 12
 SCALE = 24.0                    # conditioning of the frequency features
+TOGETHER = 0.4                  # share of common bad votes that puts two labellers into one group
 STATS = ("symbols", "capitals", "shouts", "repeats", "short_words", "line_ends", "word_length")
 #: (statistic, bad from, good below) or, where a low value is bad, (statistic, bad below, good from)
 LABELLERS = (
@@ -121,29 +123,56 @@ class WeakLabels:
     share_good: float
 
 
+def reasons(bad: np.ndarray, voted: np.ndarray, weight: np.ndarray) -> list[list[int]]:
+    """Groups of labellers that tend to say bad of the same documents.
+
+    Two labellers are grouped when, where both vote, ``TOGETHER`` of the rarer one's bad votes
+    meet one of the other; groups are the connected sets. Junk comes in kinds (shouting, symbols,
+    one word over and over), and the labellers of one kind say nothing about another.
+    """
+    k = bad.shape[1]
+    groups = [{j} for j in range(k) if (weight @ bad[:, j]) > 0]
+    for i in range(k):
+        for j in range(i):
+            both = voted[:, i] & voted[:, j]
+            rarer = min(weight @ (bad[:, i] & both), weight @ (bad[:, j] & both))
+            if rarer > 0 and weight @ (bad[:, i] & bad[:, j]) >= TOGETHER * rarer:
+                met = [g for g in groups if i in g or j in g]
+                groups = [g for g in groups if g not in met] + [set().union(*met)]
+    return sorted(sorted(g) for g in groups) or [list(range(k))]
+
+
 def expectation_maximisation(numbers: np.ndarray, counts: np.ndarray, rounds: int = 50) -> WeakLabels:
-    """Class share and vote tables per labeller from pattern counts (smoothed, started at the majority)."""
+    """Class share and vote tables per labeller from pattern counts (smoothed, started at the majority).
+
+    One class of good documents and one of bad ones per group of ``reasons``: with a single bad class,
+    votes that most bad documents share would outweigh the bad votes of a rarer kind of junk.
+    """
     seen = numbers >= 0
     vote, weight = _unpack(numbers[seen]), counts[seen].astype(float)
-    good, bad = (vote == 1).sum(axis=1), (vote == 2).sum(axis=1)
-    q = np.where(bad > 0, np.where(good > 2 * bad, 0.6, 0.1), 0.95)
+    good, bad = vote == 1, vote == 2
     k = vote.shape[1]
-    tables = np.zeros((2, k, 3))
-    share = 0.5
+    groups = reasons(bad, vote > 0, weight)
+    n_bad = bad.sum(axis=1)
+    q = np.where(n_bad > 0, np.where(good.sum(axis=1) > 2 * n_bad, 0.6, 0.1), 0.95)
+    by_group = np.column_stack([bad[:, g].sum(axis=1) for g in groups]).astype(float)
+    by_group[n_bad == 0] = 1.0
+    part = np.column_stack([q, (1 - q)[:, None] * by_group / by_group.sum(axis=1, keepdims=True)])
+    share = np.full(len(groups) + 1, 0.5)
     for _ in range(rounds if len(q) else 0):
-        share = (weight @ q + 1.0) / (weight.sum() + 2.0)
-        for v in range(3):
-            for c, p in enumerate((1 - q, q)):
-                tables[c, :, v] = ((weight * p) @ (vote == v) + (0.5 if v else 0.1))
+        share = weight @ part + 1.0
+        share /= share.sum()
+        tables = np.stack([(weight[:, None] * part).T @ (vote == v) + (0.5 if v else 0.1) for v in range(3)], axis=2)
         tables /= tables.sum(axis=2, keepdims=True)
-        logs = [np.log(tables[c][np.arange(k), vote]).sum(axis=1) for c in (0, 1)]
-        gap = np.clip(logs[0] + np.log1p(-share) - logs[1] - np.log(share), -500, 500)
-        q = 1.0 / (1.0 + np.exp(gap))
-    right = [float((weight @ (((vote[:, j] == 1) * q) + ((vote[:, j] == 2) * (1 - q)))) /
-                   max(weight @ (vote[:, j] > 0), 1e-9)) for j in range(k)]
+        logs = np.log(tables)[:, np.arange(k), vote].sum(axis=2).T + np.log(share)
+        part = np.exp(logs - logs.max(axis=1, keepdims=True))
+        part /= part.sum(axis=1, keepdims=True)
+    q = part[:, 0]
+    right = [float((weight @ (good[:, j] * q + bad[:, j] * (1 - q))) / max(weight @ (vote[:, j] > 0), 1e-9))
+             for j in range(k)]
     posterior = dict(zip(numbers[seen].tolist(), q.tolist(), strict=True))
     posterior[-1] = 0.0
-    return WeakLabels(posterior, right, float(share))
+    return WeakLabels(posterior, right, float(share[0]))
 
 
 def _hashed(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
