@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decision_list, jaccard, langid, lattice, learned_index, mixing, sharding, token_files, warc, weaklabel
+from . import (decision_list, filter_audit, jaccard, langid, lattice, learned_index, mixing, sharding, token_files,
+               warc, weaklabel)
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,7 +16,10 @@ QUERIES = {
     "op8_learned_index": learned_index.query,
     "op9_sharding": sharding.query,
     "op10_decision_list": decision_list.query,
+    "op11_filter_audit": filter_audit.query,
 }
 
 #: Only what SQL can express has an entry.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+}
