@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (decision_list, divergence, filter_audit, jaccard, langid, lattice, learned_index, mixing, sharding,
-               token_files, warc, weaklabel)
+from . import (decision_list, divergence, exact_topk, filter_audit, jaccard, langid, lattice, learned_index,
+               mixing, sharding, token_files, warc, weaklabel)
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -18,10 +18,12 @@ QUERIES = {
     "op10_decision_list": decision_list.query,
     "op11_filter_audit": filter_audit.query,
     "op12_source_divergence": divergence.query,
+    "op13_exact_topk": exact_topk.query,
 }
 
 #: Only what SQL can express has an entry.
 ORACLE: dict[str, str] = {
     "op11_filter_audit": filter_audit.ORACLE_SQL,
     "op12_source_divergence": divergence.ORACLE_SQL,
+    "op13_exact_topk": exact_topk.ORACLE_SQL,
 }
