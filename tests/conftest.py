@@ -22,6 +22,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
+    s.sparkContext.addPyFile(os.path.join(os.path.dirname(os.path.abspath(__file__)), "failing_transport.py"))
     yield s
     s.stop()
 

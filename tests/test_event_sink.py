@@ -38,7 +38,7 @@ def test_sink_delivers_every_event_once_within_limits(spark, tmp_root):
 def test_sink_failures_are_logged_for_redelivery(spark, tmp_root):
     out, log = os.path.join(tmp_root, "out"), os.path.join(tmp_root, "log")
     df = spark.range(0, 300, numPartitions=2).select(F.to_json(F.struct("id")).alias("json"))
-    ES.deliver(df, f"file:{out}?fail=3", log, run_id="r2", batch_size=20, max_bytes=100000)
+    ES.deliver(df, f"python:failing_transport:FailingFolder:{out}?fail=3", log, run_id="r2", batch_size=20, max_bytes=100000)
     dl = ES.read_delivery_log(spark, log)
     failed = dl.filter((F.col("status_code") == 503) & F.col("final"))
     assert failed.count() > 0
@@ -53,7 +53,7 @@ def test_sink_failures_are_logged_for_redelivery(spark, tmp_root):
 def test_success_at_third_attempt_counts_its_retries(spark, tmp_root):
     out, log = os.path.join(tmp_root, "out"), os.path.join(tmp_root, "log")
     df = spark.range(0, 10, numPartitions=1).select(F.to_json(F.struct("id")).alias("json"))
-    ES.deliver(df, f'file:{out}?fail_match="id":3&times=2', log, run_id="r", batch_size=5, backoff_s=0.001)
+    ES.deliver(df, f'python:failing_transport:FailingFolder:{out}?fail_match="id":3&times=2', log, run_id="r", batch_size=5, backoff_s=0.001)
     m = metrics.delivery_metrics(ES.read_delivery_log(spark, log)).first()
     assert (m.attempts, m.retries, m.events_sent) == (4, 2, 10)
     delays = [r.delay_ms for r in ES.read_delivery_log(spark, log).filter("batch_id = 'r-0-0'").orderBy("attempt").collect()]
@@ -65,7 +65,7 @@ def test_keys_stay_together_and_refused_batches_become_dead_letters(spark, tmp_r
     assert ES.greedy_batches([1] * 6, 2, 100, ["a"] * 5 + ["b"]) == [(0, 2), (2, 4), (4, 6)]
     out, log, keys, bad, dead = (os.path.join(tmp_root, x) for x in ("out", "log", "keys", "bad", "dead"))
     df = spark.range(0, 60).select(F.to_json(F.struct("id")).alias("json"), (F.col("id") % 20).cast("string").alias("k"))
-    ES.deliver(df, f'file:{out}?fail_match="id":13}}&status=400', log, run_id="r", batch_size=4, key_column="k",
+    ES.deliver(df, f'python:failing_transport:FailingFolder:{out}?fail_match="id":13}}&status=400', log, run_id="r", batch_size=4, key_column="k",
                delivered_keys=keys, failed_keys=bad, dead_letters=dead)
     assert not os.path.exists(bad)
     lost = spark.read.parquet(dead).collect()
@@ -96,7 +96,7 @@ def test_delivered_keys_spill_in_row_groups(spark, tmp_root):
                                                      F.col("id").cast("string").alias("k"))
     ES.register(spark)
     (df.select(F.col("json").alias("value"), F.col("k").alias("_key")).write.format("vigil_events")
-     .option("transport", f'file:{out}?fail_match="id":13}}').option("delivery_log", log).option("run_id", "k")
+     .option("transport", f'python:failing_transport:FailingFolder:{out}?fail_match="id":13}}').option("delivery_log", log).option("run_id", "k")
      .option("batch_size", "10").option("key_column", "_key").option("delivered_keys", keys)
      .option("key_flush_rows", "7").mode("append").save())
     got = {int(r.item_id) for r in spark.read.parquet(keys).collect()}

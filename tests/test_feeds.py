@@ -67,7 +67,7 @@ def test_two_runs_emit_only_new_keys_and_failed_batches_are_resent(spark, tmp_ro
 
     # the batch holding u3's event answers 503 (after retries): its keys must not be committed
     r1 = run_feed(spark, spec, v1, state_base, outbox, NOW, 1, cols, batch_size=5,
-                  transport='file:{outbox}?fail_match="u3_3_443_tcp"')
+                  transport='python:failing_transport:FailingFolder:{outbox}?fail_match="u3_3_443_tcp"')
     assert r1.events == 20 and r1.failed_batches == 1 and 0 < r1.delivered_events < 20
     assert r1.new_mark == 0                          # the mark never passes an event that was not sent
     sent1 = read_outbox_run(spark, outbox, 1, spec.feed)
@@ -101,7 +101,7 @@ def test_same_landing_resends_exactly_what_failed(spark, tmp_root, feed):
         raw = "raw"
     state, outbox = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
     r1 = run_feed(spark, spec, src, state, outbox, NOW, 1, [], raw_col=raw, batch_size=4,
-                  transport='file:{outbox}?fail_match="a03"')
+                  transport='python:failing_transport:FailingFolder:{outbox}?fail_match="a03"')
     assert r1.failed_batches == 1 and r1.new_mark == 0 and 0 < r1.delivered_events < r1.events
     r2 = run_feed(spark, spec, src, state, outbox, NOW + 5, 2, [], raw_col=raw, batch_size=4)
     assert r2.events == r1.events - r1.delivered_events and r2.failed_batches == 0 and r2.new_mark > 0
@@ -126,7 +126,7 @@ def test_refused_events_do_not_pin_the_mark(spark, tmp_root):
     v = readers.vulns(spark, write_lines(os.path.join(tmp_root, "v"), [vuln(f"u{i}", i, 1, "tcp") for i in range(6)]))
     state, outbox = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
     r = run_feed(spark, R.REGISTRY["vulnerability"], v, state, outbox, NOW, 1, [], raw_col="raw", batch_size=2,
-                 transport='file:{outbox}?fail_match="u3"&status=400')
+                 transport='python:failing_transport:FailingFolder:{outbox}?fail_match="u3"&status=400')
     assert r.failed_batches == 0 and r.dead_letters > 0 and r.new_mark == NOW
     dead = spark.read.parquet(f"{outbox}/_dead_letters/run=1/feed=vulnerability").collect()
     assert len(dead) == r.dead_letters == r.events - r.delivered_events

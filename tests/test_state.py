@@ -58,7 +58,7 @@ def test_commit_load_roundtrip_and_missing(spark, tmp_root):
 def test_corrupt_state_fails(spark, tmp_root):
     base = os.path.join(tmp_root, "bad")
     S.commit(mk(spark, [("a", "1", 100)]), base, 1)
-    d = os.path.join(base, "v=1", "feed=a")
+    d = os.path.join(base, "keys", "v=1", "feed=a")
     for f in os.listdir(d):
         if f.endswith(".parquet"):
             with open(os.path.join(d, f), "wb") as fh:
@@ -67,23 +67,32 @@ def test_corrupt_state_fails(spark, tmp_root):
         S.load(spark, base).collect()
 
 
-def test_lost_markers_or_data_raise(spark, tmp_root):
+def test_lost_marks_or_data_raise(spark, tmp_root):
     import shutil
 
     base = os.path.join(tmp_root, "s")
     S.commit(mk(spark, [("a", "1", 100)]), base, 1)
-    S.commit(mk(spark, [("a", "2", 100)]), base, 2, feeds=["a"], delta=True)
-    os.rename(os.path.join(base, "_commits"), os.path.join(base, "elsewhere"))
+    os.rename(os.path.join(base, "marks"), os.path.join(base, "elsewhere"))
     with pytest.raises(S.StateDamaged):
         S.load(spark, base)
-    os.rename(os.path.join(base, "elsewhere"), os.path.join(base, "_commits"))
-    shutil.move(os.path.join(base, "v=1", "feed=a"), os.path.join(tmp_root, "gone"))
+    os.rename(os.path.join(base, "elsewhere"), os.path.join(base, "marks"))
+    shutil.move(os.path.join(base, "keys", "v=1", "feed=a"), os.path.join(tmp_root, "gone"))
     with pytest.raises(S.StateDamaged):
         S.load(spark, base)
     with pytest.raises(S.StateDamaged):
         S.load_version(spark, os.path.join(tmp_root, "never"), 3)
 
 
+def test_torn_commit_is_not_seen(spark, tmp_root):
+    """Keys whose marks row was never written belong to no version."""
+    base = os.path.join(tmp_root, "s")
+    S.commit(mk(spark, [("a", "1", 100)]), base, 1)
+    S._write_keys(S.normalize(mk(spark, [("a", "1", 100), ("a", "2", 100)])), base, 2, ["a"], 0)
+    assert S.current_version(spark, base) == 1 and [r.item_id for r in S.load(spark, base).collect()] == ["1"]
+    S.commit(mk(spark, [("a", "3", 100)]), base, 2)
+    assert [r.item_id for r in S.load(spark, base).collect()] == ["3"]
+
+
 def test_commit_touches_only_its_feed(spark, tmp_root):
     def listing(folder):
         return sorted((os.path.join(d, f), os.stat(os.path.join(d, f)).st_mtime_ns)
@@ -93,18 +102,31 @@ def test_commit_touches_only_its_feed(spark, tmp_root):
     S.commit(mk(spark, [("a", "1", 100), ("b", "1", 100)]), base, 1,
              marks=spark.createDataFrame([("a", 5, None, None), ("b", 6, None, None)], S.WATERMARK_SCHEMA))
     before = listing(base)
-    S.commit(mk(spark, [("a", "2", 200)]), base, 2, feeds=["a"], delta=True,
-             marks=spark.createDataFrame([("a", 9, None, 3)], S.WATERMARK_SCHEMA))
+    both = mk(spark, [("a", "1", 100), ("a", "2", 200)])
+    S.commit(both, base, 2, feeds=["a"], marks=spark.createDataFrame([("a", 9, None, 3)], S.WATERMARK_SCHEMA))
     assert listing(base) == before and before
     assert sorted((r.feed, r.item_id) for r in S.load(spark, base).collect()) == [("a", "1"), ("a", "2"), ("b", "1")]
     marks = {r.feed: (r.last_timestamp, r.last_cleanup) for r in S.load_marks(spark, base).collect()}
     assert marks == {"a": (9, 3), "b": (6, None)}
     assert S.load_version(spark, base, 1).count() == 2
-    S.commit(mk(spark, []), base, 3, feeds=["a"], delta=True)           # nothing new: the state stays
-    assert S.load(spark, base, "a").count() == 2
 
 
-def test_clear_sweep_legacy_and_vacuum_are_committed(spark, tmp_root):
+def test_marks_move_without_rewriting_keys_and_old_snapshots_go(spark, tmp_root):
+    base = os.path.join(tmp_root, "s")
+    S.commit(mk(spark, [("a", "1", 100), ("b", "1", 100)]), base, 1)
+    for v in range(2, 8):
+        S.commit_marks(spark, base, v, spark.createDataFrame([("a", v, None, None)], S.WATERMARK_SCHEMA))
+    assert sorted(os.listdir(os.path.join(base, "keys"))) == ["v=1"] and S.load(spark, base).count() == 2
+    assert {r.feed: r.last_timestamp for r in S.load_marks(spark, base).collect()} == {"a": 7, "b": None}
+    for v in range(8, 13):
+        S.commit(mk(spark, [("a", str(v), 100)]), base, v, feeds=["a"])
+    kept = {d for d in os.listdir(os.path.join(base, "keys")) if os.path.exists(os.path.join(base, "keys", d, "feed=a"))}
+    assert kept == {"v=10", "v=11", "v=12"}
+    assert sorted((r.feed, r.item_id) for r in S.load(spark, base).collect()) == [("a", "12"), ("b", "1")]
+    assert [r.item_id for r in S.load_version(spark, base, 10, "a").collect()] == ["10"]
+
+
+def test_clear_sweep_and_legacy_are_committed(spark, tmp_root):
     base = os.path.join(tmp_root, "s")
     S.commit(mk(spark, [("a", "1", NOW), ("a", "2", NOW - 30 * DAY), ("b", "1", NOW)]), base, 1,
              marks=spark.createDataFrame([("a", 5, 6, 7)], S.WATERMARK_SCHEMA))
@@ -118,10 +140,6 @@ def test_clear_sweep_legacy_and_vacuum_are_committed(spark, tmp_root):
     S.commit_legacy(legacy, base, NOW)
     assert S.load(spark, base, "c").count() == 2
     assert S.load_marks(spark, base).filter("feed = 'c'").first().last_timestamp == 77
-    kept = sorted(map(tuple, S.load(spark, base).collect()))
-    assert S.vacuum(spark, base, keep=1)
-    assert sorted(map(tuple, S.load(spark, base).collect())) == kept
-    assert not os.path.exists(os.path.join(base, "v=1"))
 
 
 def test_cap_is_off_by_default(spark):

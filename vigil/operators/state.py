@@ -3,22 +3,20 @@
 One row per delivered key, so state joins and scales like any other table
 (never a map column, never collected to the driver).
 
-Store layout below a base folder::
+A commit writes the whole state of the feeds it names as Parquet, the marks last::
 
-    v=<version>/feed=<feed>/*.parquet       keys that this version adds or, when full, holds
-    _commits/feed=<feed>/<version>.json     its marker: kind (full, delta, empty) and the feed's marks
+    keys/v=<version>/feed=<feed>/     the feed's keys as of this version, optionally in hash buckets
+    marks/v=<version>/feed=<feed>/    its one row of marks, written once the keys are whole
 
-A version counts for a feed once its marker is there; the marker is renamed into place
-after the data, and holds the marks, so keys and marks move together. A feed's state is
-its last full version and the deltas since; every ``COMPACT_AFTER`` deltas a commit
-writes a full one. A commit touches only the feeds it names. Snapshots without a marker
-mean a damaged store and raise ``StateDamaged``; so does a marker whose data is gone.
+A version counts for a feed once its marks row is there, so keys and marks move together and
+a torn commit is not seen. The newest one is read; a few older ones stay for readers at work.
+Keys without any marks, or marks whose keys are gone, raise ``StateDamaged``.
 """
 
 from __future__ import annotations
 
-import json
 import re
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -48,7 +46,7 @@ DEFAULT_RETENTION_DAYS = 7
 # -----------------------------------------------------------------------------------
 
 DEFAULT_MAX_IDS = 0         # no cap: a trimmed key would be sent again, so a cap is asked for by name
-COMPACT_AFTER = 8           # deltas of a feed that are merged into one full snapshot
+KEEP_VERSIONS = 3           # snapshots of a feed that stay
 
 
 def normalize(state: DataFrame) -> DataFrame:
@@ -161,145 +159,179 @@ def migrate_legacy(legacy: DataFrame, now: int) -> DataFrame:
                     F.timestamp_seconds(F.lit(int(now))).alias("seen_at")))
 
 
-# ---- versioned store ------------------------------------------------------------------
+# ---- snapshots ------------------------------------------------------------------------
 
 class StateDamaged(RuntimeError):
-    """Snapshots and markers of a store do not fit together."""
+    """Snapshots and marks of a store do not fit together."""
 
 
 FEED_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 MARKS = ("last_timestamp", "last_full_scan", "last_cleanup")
+STREAM_MARKS = ("last_batch", "pending")
+MARKS_DDL = ("last_timestamp bigint, last_full_scan bigint, last_cleanup bigint, last_batch bigint, pending string, "
+             "keys_v bigint, buckets int")
+KEYS_DDL = "item_id string, seen_at timestamp"
 
 
 def _root(base: str) -> str:
     return base.rstrip("/")
 
 
-def _markers(spark: SparkSession, base: str) -> dict[str, dict[int, str]]:
-    """{feed: {version: marker path}}; raises when snapshots lie there without any marker."""
+def _heads(spark: SparkSession, base: str, upto: int | None = None) -> dict[str, dict]:
+    """{feed: its newest committed marks row up to a version}; a row per feed and kept version is read."""
     root = _root(base)
-    out: dict[str, dict[int, str]] = {}
-    for folder in paths.names(spark, f"{root}/_commits"):
-        if folder.startswith("feed="):
-            found = {int(n[:-5]): f"{root}/_commits/{folder}/{n}"
-                     for n in paths.names(spark, f"{root}/_commits/{folder}") if n.endswith(".json") and n[0] != "."}
-            if found:
-                out[folder[5:]] = found
-    if not out and any(n.startswith("v=") for n in paths.names(spark, root)):
-        raise StateDamaged(f"{root}: snapshots without a commit marker")
-    return out
-
-
-def _marker(spark: SparkSession, path: str) -> dict:
-    return json.loads(paths.read_text(spark, path))
-
-
-def _chain(spark: SparkSession, markers: dict[int, str], upto: int | None) -> tuple[list[int], dict]:
-    """Versions whose data make up a feed's state (newest first), and the newest marker."""
-    versions = sorted((v for v in markers if upto is None or v <= upto), reverse=True)
-    chain, newest = [], {}
-    for v in versions:
-        m = _marker(spark, markers[v])
-        newest = newest or m
-        if m["kind"] != "empty":
-            chain.append(v)
-        if m["kind"] != "delta":
-            break
-    return chain, newest
-
-
-def _data(spark: SparkSession, root: str, feed: str, versions: list[int]) -> DataFrame:
-    folders = [f"{root}/v={v}/feed={feed}" for v in versions]
-    for f in folders:
-        if not paths.exists(spark, f):
-            raise StateDamaged(f"{f}: committed but gone")
-    keys = spark.read.schema("item_id string, seen_at timestamp").parquet(*folders)
-    if len(folders) > 1:
-        keys = keys.groupBy("item_id").agg(F.max("seen_at").alias("seen_at"))
-    return keys.select(F.lit(feed).alias("feed"), "item_id", "seen_at")
-
-
-def _marks_rows(state: dict[str, dict]) -> list[tuple]:
-    return [(feed, *[m.get("marks", {}).get(k) for k in MARKS]) for feed, m in sorted(state.items()) if m.get("marks")]
+    if not paths.exists(spark, f"{root}/marks"):
+        if paths.exists(spark, f"{root}/keys"):
+            raise StateDamaged(f"{root}: snapshots without marks")
+        return {}
+    rows = spark.read.schema(f"{MARKS_DDL}, v bigint, feed string").parquet(f"{root}/marks")
+    rows = rows if upto is None else rows.filter(F.col("v") <= int(upto))
+    newest = rows.groupBy("feed").agg(F.max_by(F.struct("*"), "v").alias("m")).select("m.*").collect()
+    return {r["feed"]: r.asDict() for r in newest}
+
+
+def _folder(root: str, head: dict) -> str:
+    return f"{root}/keys/v={head['keys_v']}/feed={head['feed']}"
+
+
+def _bucketed_table(spark: SparkSession, folder: str, buckets: int) -> DataFrame:
+    """Files that ``bucketBy`` wrote, as a table that knows its buckets (the catalog entry goes, the files stay)."""
+    name = f"vigil_state_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({KEYS_DDL}) USING parquet CLUSTERED BY (item_id) SORTED BY (item_id) "
+              f"INTO {int(buckets)} BUCKETS LOCATION '{folder}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _keys(spark: SparkSession, root: str, head: dict) -> DataFrame:
+    folder = _folder(root, head)
+    if not paths.exists(spark, folder):
+        raise StateDamaged(f"{folder}: committed but gone")
+    keys = _bucketed_table(spark, folder, head["buckets"]) if head["buckets"] else (
+        spark.read.schema(KEYS_DDL).parquet(folder))
+    return keys.select(F.lit(head["feed"]).alias("feed"), "item_id", "seen_at")
+
+
+def _write_keys(rows: DataFrame, root: str, version: int, feeds: Sequence[str], buckets: int) -> None:
+    spark = rows.sparkSession
+    for feed in feeds:
+        paths.delete(spark, f"{root}/keys/v={version}/feed={feed}")
+    if not buckets:
+        rows.write.mode("append").partitionBy("feed").parquet(f"{root}/keys/v={version}")      # one write for all feeds
+        return
+    for feed in feeds:
+        name = f"vigil_state_{uuid.uuid4().hex}"
+        # clustered first, so that each bucket is one file
+        (rows.filter(F.col("feed") == feed).select("item_id", "seen_at").repartition(int(buckets), "item_id").write
+         .bucketBy(int(buckets), "item_id").sortBy("item_id").option("path", f"{root}/keys/v={version}/feed={feed}")
+         .format("parquet").saveAsTable(name))
+        spark.sql(f"DROP TABLE {name}")
 
 
 def commit(state: DataFrame, base: str, version: int, marks: DataFrame | None = None,
-           feeds: Sequence[str] | None = None, delta: bool = False) -> str:
-    """Write ``version`` of the named feeds (all feeds of the store when none are named).
+           feeds: Sequence[str] | None = None, buckets: int = 0, stream: dict | None = None) -> str:
+    """Write ``version`` of the named feeds, each as a whole (all feeds of the store when none are named).
 
-    ``delta`` adds the rows to what the feed has; otherwise they are its whole state.
-    Re-running a version rewrites its folders, so it is idempotent by version. ``marks``
-    are a row per feed; a feed without one keeps the marks it had.
+    Re-running a version rewrites it, so it is idempotent by version. ``marks`` are a row per
+    feed; a feed without one keeps the marks it had. ``stream`` (``last_batch``, ``pending``) is set for the named
+    feeds. With ``buckets`` the keys are written in hash buckets of ``item_id``, which an anti-join
+    reads without moving them.
     """
     spark = state.sparkSession
     root, version = _root(base), int(version)
-    known = _markers(spark, base)
+    heads = _heads(spark, base, version - 1)
     given = {r["feed"]: {k: r[k] for k in MARKS if k in r.asDict()} for r in marks.collect()} if marks is not None else {}
     rows = normalize(state)
     if feeds is None:
-        feeds = sorted({*known, *given, *(r["feed"] for r in rows.select("feed").distinct().collect())})
+        feeds = sorted({*heads, *given, *(r["feed"] for r in rows.select("feed").distinct().collect())})
     else:
         rows = rows.filter(F.col("feed").isin(*feeds))
     for feed in feeds:
         if not FEED_NAME.fullmatch(feed):
             raise ValueError(f"feed name {feed!r} can't name a folder")
-        paths.delete(spark, f"{root}/v={version}/feed={feed}")
-    rows.write.mode("append").partitionBy("feed").parquet(f"{root}/v={version}")      # one write for all feeds
-    for feed in feeds:
-        before = {v: p for v, p in known.get(feed, {}).items() if v < version}
-        full = not paths.exists(spark, f"{root}/v={version}/feed={feed}")
-        kind = ("delta" if delta and before else "full") if not full else ("none" if delta and before else "empty")
-        old = _marker(spark, before[max(before)]) if before else {}
-        m = {"kind": kind, "marks": {**old.get("marks", {}), **given.get(feed, {})}}
-        if kind == "none":       # a delta without rows: the state stays, the marks move
-            m["kind"] = "delta"
-            spark.createDataFrame([], "item_id string, seen_at timestamp").write.parquet(f"{root}/v={version}/feed={feed}")
-        paths.write_text(spark, f"{root}/_commits/feed={feed}/{version}.json", json.dumps(m))
-    return f"{root}/v={version}"
+        paths.delete(spark, f"{root}/marks/v={version}/feed={feed}")        # until the new keys are whole
+    _write_keys(rows, root, version, feeds, buckets)
+    keys_v = {f: version if paths.exists(spark, f"{root}/keys/v={version}/feed={f}") else None for f in feeds}
+    _write_marks(spark, root, version, heads, {f: given.get(f, {}) | (stream or {}) | {
+        "keys_v": keys_v[f], "buckets": int(buckets)} for f in feeds})
+    return f"{root}/keys/v={version}"
 
 
-def deltas_since_full(spark: SparkSession, base: str, feed: str) -> int:
-    return max(0, len(_chain(spark, _markers(spark, base).get(feed, {}), None)[0]) - 1)
+def commit_marks(spark: SparkSession, base: str, version: int, marks: DataFrame, stream: dict | None = None) -> None:
+    """A version that only moves marks: the keys stay those of the version before."""
+    root, version = _root(base), int(version)
+    given = {r["feed"]: {k: r[k] for k in MARKS if k in r.asDict()} for r in marks.collect()}     # a row per feed
+    for feed in given:
+        paths.delete(spark, f"{root}/marks/v={version}/feed={feed}")
+        paths.delete(spark, f"{root}/keys/v={version}/feed={feed}")
+    _write_marks(spark, root, version, _heads(spark, base, version - 1), {f: m | (stream or {}) for f, m in given.items()})
+
+
+def _write_marks(spark: SparkSession, root: str, version: int, heads: dict[str, dict], changed: dict[str, dict]) -> None:
+    names = (*MARKS, *STREAM_MARKS, "keys_v", "buckets")
+    rows = [tuple(({k: heads.get(feed, {}).get(k) for k in names} | m)[k] for k in names) + (feed,)
+            for feed, m in changed.items()]
+    if rows:
+        frame = spark.createDataFrame(rows, f"{MARKS_DDL}, feed string").coalesce(1)
+        frame.write.mode("append").partitionBy("feed").parquet(f"{root}/marks/v={version}")
+        _drop_old(spark, root, version, list(changed))
+
+
+def _drop_old(spark: SparkSession, root: str, version: int, feeds: Sequence[str]) -> None:
+    """Only the newest ``KEEP_VERSIONS`` snapshots of a feed stay (readers of an older one finish on theirs)."""
+    rows = spark.read.schema(f"{MARKS_DDL}, v bigint, feed string").parquet(f"{root}/marks").filter(
+        F.col("feed").isin(*feeds) & (F.col("v") <= version)).select("feed", "v", "keys_v").collect()
+    for feed in feeds:
+        mine = sorted((r["v"], r["keys_v"]) for r in rows if r["feed"] == feed)
+        needed = {k for _, k in mine[-KEEP_VERSIONS:]}
+        for v, keys_v in mine[:-KEEP_VERSIONS]:
+            paths.delete(spark, f"{root}/marks/v={v}/feed={feed}")
+            if keys_v is not None and keys_v not in needed:
+                paths.delete(spark, f"{root}/keys/v={keys_v}/feed={feed}")
 
 
 def current_version(spark: SparkSession, base: str, feed: str | None = None) -> int | None:
     """Newest committed version of the store, or of one feed."""
-    found = [v for f, m in _markers(spark, base).items() if feed in (None, f) for v in m]
+    found = [m["v"] for f, m in _heads(spark, base).items() if feed in (None, f)]
     return max(found) if found else None
 
 
 def load(spark: SparkSession, base: str, feed: str | None = None, version: int | None = None) -> DataFrame:
     """State of all feeds or of one; empty when nothing was committed. Damaged state fails."""
-    parts = []
-    for name, markers in sorted(_markers(spark, base).items()):
-        if feed in (None, name):
-            chain, _ = _chain(spark, markers, version)
-            if chain:
-                parts.append(_data(spark, _root(base), name, chain))
+    parts = [_keys(spark, _root(base), m) for f, m in sorted(_heads(spark, base, version).items())
+             if feed in (None, f) and m["keys_v"] is not None]
     return reduce(DataFrame.unionByName, parts) if parts else empty_state(spark)
 
 
 def load_version(spark: SparkSession, base: str, version: int, feed: str | None = None) -> DataFrame:
     """State as of ``version``; a version above 0 that was never committed is an error.
 
-    A replayed micro-batch reads the same state again, so its output and its commit
+    A replayed run reads the same state again, so its output and its commit
     are those of the first attempt.
     """
-    if version > 0 and not any(v <= version for f, m in _markers(spark, base).items() if feed in (None, f) for v in m):
+    if version > 0 and not any(feed in (None, f) for f in _heads(spark, base, version)):
         raise StateDamaged(f"{_root(base)}: nothing was committed up to version {version}")
     return load(spark, base, feed, int(version))
 
 
 def load_marks(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
-    """A row of marks per feed that has some."""
-    newest = {f: _chain(spark, m, version)[1] for f, m in _markers(spark, base).items()}
-    return spark.createDataFrame(_marks_rows(newest), WATERMARK_SCHEMA)
+    """A row of marks per committed feed."""
+    rows = [(f, *[m[k] for k in MARKS]) for f, m in sorted(_heads(spark, base, version).items())]
+    return spark.createDataFrame(rows, WATERMARK_SCHEMA)
 
 
 def load_marks_version(spark: SparkSession, base: str, version: int) -> DataFrame:
     return load_marks(spark, base, int(version))
 
 
+def stream_marks(spark: SparkSession, base: str, feed: str) -> dict:
+    """``last_batch``: newest micro-batch in the state; ``pending``: folder of its undelivered events."""
+    head = _heads(spark, base).get(feed, {})
+    return {k: head.get(k) for k in STREAM_MARKS}
+
+
 def commit_clear(spark: SparkSession, base: str, feed: str) -> int:
     """Forget a feed's keys and marks; other feeds are not touched."""
     version = (current_version(spark, base) or 0) + 1
@@ -311,7 +343,7 @@ def commit_clear(spark: SparkSession, base: str, feed: str) -> int:
 def commit_sweep(spark: SparkSession, base: str, now: int, retention_days: int = DEFAULT_RETENTION_DAYS,
                  max_ids: int = DEFAULT_MAX_IDS) -> DataFrame:
     """Retention and cap over all feeds, committed; (feed, active_ids) of what is left."""
-    names = sorted(_markers(spark, base))
+    names = sorted(_heads(spark, base))
     version = (current_version(spark, base) or 0) + 1
     marks = load_marks(spark, base).withColumn("last_cleanup", F.lit(int(now)).cast("bigint"))
     commit(flush(load(spark, base), now, retention_days, max_ids), base, version, marks=marks, feeds=names)
@@ -329,26 +361,3 @@ def commit_legacy(legacy: DataFrame, base: str, now: int) -> int:
     names = [r["feed"] for r in legacy.select("feed").distinct().collect()]      # one row per feed
     commit(upsert(load(spark, base).filter(F.col("feed").isin(*names)), moved), base, version, marks=marks, feeds=names)
     return version
-
-
-def vacuum(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
-    """Delete versions that neither the state nor the last ``keep`` versions of any feed need."""
-    root, needed, dropped = _root(base), set(), []
-    markers = _markers(spark, base)
-    for feed, found in markers.items():
-        last = sorted(found)[-max(1, keep):]
-        for v in last:
-            needed.update((feed, c) for c in _chain(spark, found, v)[0])
-        needed.update((feed, v) for v in last)
-        # markers between a kept version and its full one stay with their data
-    for feed, found in markers.items():
-        for v, path in found.items():
-            if (feed, v) not in needed:
-                paths.delete(spark, path)
-                folder = f"{root}/v={v}/feed={feed}"
-                paths.delete(spark, folder)
-                dropped.append(folder)
-    for name in paths.names(spark, root):
-        if name.startswith("v=") and not [n for n in paths.names(spark, f"{root}/{name}") if n.startswith("feed=")]:
-            paths.delete(spark, f"{root}/{name}")
-    return dropped

@@ -226,20 +226,47 @@ def sink_delivery(spark, d):
     return envelope_scalars(sink.read_outbox(spark, f"{root}/posted/*.json.gz"))
 
 
+RECORDED_BATCHES = 1000
+
+
+def recorded_delivery(spark: SparkSession, d: str):
+    """Delivery as the event log recorded it: a batch (the plugins with one remainder) that has no 200 there is
+    answered 503. Takes the arguments of ``event_sink.deliver`` and leaves the same tables, as Spark jobs."""
+    answers = L.delivery_log(spark, d).filter("status_code = 200").select("batch_id").distinct().withColumn("ok", F.lit(True))
+
+    def deliver(lines, transport, delivery_log, *, delivered_keys, failed_keys, retry_lines=None, **_):
+        batch = F.coalesce(F.split("item_id", "_")[1].try_cast("bigint") % RECORDED_BATCHES, F.lit(0).cast("bigint"))
+        told = lines.select(F.col("item_id").cast("string").alias("item_id"), "json", batch.alias("batch_id")).join(
+            answers, "batch_id", "left").checkpoint()
+        sent, lost = told.filter("ok"), told.filter("ok IS NULL")
+        sink.write_outbox(sent, transport.removeprefix("file:"))
+        sent.select("item_id").write.mode("overwrite").parquet(delivered_keys)
+        lost.select("item_id").write.mode("overwrite").parquet(failed_keys)
+        if retry_lines:
+            lost.select(F.col("batch_id").cast("string").alias("batch_id"), "item_id", F.col("json").alias(
+                "event")).write.mode("overwrite").parquet(retry_lines)
+        told.groupBy("batch_id", "ok").agg(F.count(F.lit(1)).alias("event_count")).select(
+            F.col("batch_id").cast("string").alias("batch_id"), F.lit(1).alias("attempt"),
+            F.when(F.col("ok"), 200).otherwise(503).alias("status_code"), "event_count", F.lit(True).alias("final"),
+            F.lit(float(NOW)).alias("ts")).write.mode("overwrite").json(delivery_log)
+    return deliver
+
+
 @register("failed_batch_resend", V(f"""
 SELECT vuln_key, plugin_id, port, protocol, severity, {ENV_CONST_SQL}
 FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""", "v_vulns_keyed"))
 def failed_batch_resend(spark, d):
-    """Two runs over the same landing, the first with every third batch failing: together
+    """Two runs over the same landing, the first answered as the event log has it: together
     they send every event exactly once, events that share a key included."""
     from .run import run_feed
 
     spec, root = REGISTRY["vulnerability"], work_dir(spark, "resend")
     src = vuln_source(spark, d)
-    for run_id, failing in ((1, "?fail=3"), (2, "")):
+    for run_id, how in ((1, {"deliver": recorded_delivery(spark, d)}), (2, {})):
         run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", NOW, run_id, feeds.VULN_EVENT_COLS,
-                 retention_days=RET, batch_size=100, transport="file:{outbox}" + failing, shape=feeds.flat_vuln_event)
-    return envelope_scalars(sink.read_outbox(spark, f"{root}/outbox/run=*/feed=*/*.json.gz"))
+                 retention_days=RET, shape=feeds.flat_vuln_event, **how)
+    return envelope_scalars(sink.read_outbox(spark, [f"{root}/outbox/run=1/feed={spec.feed}/*.gz",
+                                                     f"{root}/outbox/run=2/feed={spec.feed}/*.gz"]))
 
 
 @register("landing_run", V(f"""
@@ -293,9 +320,6 @@ def delivery_outcome(spark, d):
     return sink.outcome(L.delivery_log(spark, d)).select("batch_id", "status_code", "outcome")
 
 
-STATE_COMMIT_MAX_IDS = 5000
-
-
 @register("state_commit", V(f"""
 WITH {NEW_ACTIVE_SQL},
 merged AS (
@@ -303,19 +327,16 @@ merged AS (
     SELECT feed, item_id, seen_at FROM v_state
     UNION ALL
     SELECT 'vulnerability', vuln_key, TIMESTAMP '2001-12-01 00:00:00' FROM new_active) u
-  GROUP BY feed, item_id),
-kept AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY feed ORDER BY seen_at DESC, item_id) AS rk
-         FROM merged WHERE seen_at > {CUTOFF_SQL})
-SELECT feed, item_id, epoch_us(seen_at) AS seen_us FROM kept WHERE rk <= {STATE_COMMIT_MAX_IDS}""",
+  GROUP BY feed, item_id)
+SELECT feed, item_id, epoch_us(seen_at) AS seen_us FROM merged WHERE seen_at > {CUTOFF_SQL}""",
                              "v_vulns_keyed", "v_state"))
 def state_commit(spark, d):
-    """Upsert delivered keys, apply retention + cap, write the snapshot, read it back."""
+    """Upsert delivered keys, apply retention, write the snapshot, read it back."""
     st = L.state(spark, d)
     new = new_active(spark, d, st).select(F.lit("vulnerability").alias("feed"), "item_id",
                                           F.timestamp_seconds(F.lit(NOW)).alias("seen_at"))
-    merged = S.flush(S.upsert(st, new), NOW, RET, STATE_COMMIT_MAX_IDS)
     base = work_dir(spark, "state-commit")
-    S.commit(merged, base, version=1)
+    S.commit(S.flush(S.upsert(st, new), NOW, RET), base, version=1, feeds=["vulnerability", "fixed_vulnerability"])
     return state_out(S.load(spark, base))
 
 
@@ -716,17 +737,14 @@ def feed_completion(spark, d):
     return metrics.feed_completion(log, "duration_s", digits=2)
 
 
-SWEEP_MAX_IDS = 1000
-
-
 @register("state_sweep", V(f"""
-SELECT feed, CAST(LEAST(COUNT(*), {SWEEP_MAX_IDS}) AS BIGINT) AS active_ids
+SELECT feed, CAST(COUNT(*) AS BIGINT) AS active_ids
 FROM v_state WHERE seen_at > {CUTOFF_SQL} GROUP BY feed""", "v_state"))
 def state_sweep(spark, d):
     """Commit the state, sweep the store, count what the store then holds."""
     base = work_dir(spark, "state-sweep")
     S.commit(L.state(spark, d), base, version=1)
-    return S.commit_sweep(spark, base, NOW, RET, SWEEP_MAX_IDS)
+    return S.commit_sweep(spark, base, NOW, RET)
 
 
 # ---- 2.6 windows / top-k / limits --------------------------------------------------------
@@ -1038,6 +1056,26 @@ def stream_commit(spark, d):
     return state_out(_stream(spark, d, with_state=True)["state"])
 
 
+@register("stream_resend", V(f"""
+SELECT {VULN_COLS_SQL}, EXISTS (SELECT 1 FROM v_delivery_log dl
+                                WHERE dl.batch_id = plugin_id % {RECORDED_BATCHES} AND dl.status_code = 200) AS first_try
+FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""", "v_vulns_keyed", "v_delivery_log"))
+def stream_resend(spark, d):
+    """A streaming run answered as the event log has it, and a second one over the unchanged files: the
+    second sends the retry table, and nothing else."""
+    from ..streaming.runner import run_feed_available_now
+
+    root = work_dir(spark, "stream-resend")
+    for how in ({"deliver": recorded_delivery(spark, d)}, {}):
+        run_feed_available_now(spark, d, with_state=False, root=root, **how)
+
+    def sent(run: str, first: bool) -> DataFrame:
+        env = sink.read_outbox(spark, f"{root}/outbox/run={run}/feed=vulnerability/*.gz")
+        ev = env.select(F.from_json("event", EVENT_SCHEMA).alias("ev"))
+        return ev.select(*[F.col(f"ev.{c}") for c in feeds.VULN_EVENT_COLS], F.lit(first).alias("first_try"))
+    return sent("0", True).unionByName(sent("resend-*", False))
+
+
 @register("snapshot_diff_sequence", V("""
 SELECT 2 AS run_no, vuln_key FROM v_snap0 a WHERE NOT EXISTS (SELECT 1 FROM v_snap1 b WHERE b.vuln_key = a.vuln_key)
 UNION ALL

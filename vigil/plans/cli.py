@@ -2,7 +2,7 @@
 
     python -m vigil run --landing L --state S --outbox O --logs G [--feed all|a,b]
                         [--daemon SECONDS] [--max-events N] [--batch-size N] ...
-    python -m vigil state list|stats|clear|sweep|migrate|vacuum --state S ...
+    python -m vigil state list|stats|clear|sweep|migrate --state S ...
 
 Landing layout (JSON-lines export documents, optionally partitioned by
 ``ingest_date=YYYY-MM-DD``): ``assets/ vulns/ families/ family_details/
@@ -72,6 +72,7 @@ def load_registry(target: str | None) -> dict[str, R.FeedSpec]:
 
 
 def _run_options(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--max-events", type=int, default=0, help="events that a run sends at most; the rest waits")
     p.add_argument("--batch-size", type=int, default=5000)
     p.add_argument("--max-bytes", type=int, default=1048576)
     p.add_argument("--retention-days", type=int, default=7)
@@ -96,7 +97,6 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--logs", required=True)
     r.add_argument("--feed", default="all", help="'all' or a comma-separated list of feed names")
     r.add_argument("--daemon", type=int, default=0, help="repeat every N seconds until interrupted")
-    r.add_argument("--max-events", type=int, default=0)
     _run_options(r)
     r.add_argument("--scan-interval-hours", type=float, default=24.0)
     r.add_argument("--min-snapshot-ratio", type=float, default=None)
@@ -108,20 +108,19 @@ def parse(argv=None) -> argparse.Namespace:
     st.add_argument("--once", action="store_true", help="availableNow: process what has landed, then stop")
     st.add_argument("--interval", type=int, default=60)
     _run_options(st)
-    sp = sub.add_parser("state", help="look after a state store: list, stats, clear, sweep, migrate, vacuum")
-    sp.add_argument("action", choices=["list", "stats", "clear", "sweep", "migrate", "vacuum"])
+    sp = sub.add_parser("state", help="look after a state store: list, stats, clear, sweep, migrate")
+    sp.add_argument("action", choices=["list", "stats", "clear", "sweep", "migrate"])
     sp.add_argument("--state", required=True)
     sp.add_argument("--feed", default=None, help="feed to clear")
     sp.add_argument("--legacy", default=None, help="folder of legacy documents to migrate")
     sp.add_argument("--retention-days", type=int, default=7)
     sp.add_argument("--max-ids", type=int, default=0)
-    sp.add_argument("--keep", type=int, default=3, help="versions per feed that vacuum keeps")
     sp.add_argument("--now", type=int, default=None)
     return ap.parse_args(argv)
 
 
 def run_kw(a: argparse.Namespace) -> dict:
-    return dict(batch_size=a.batch_size, max_bytes=a.max_bytes, retention_days=a.retention_days, max_ids=a.max_ids,
+    return dict(max_events=a.max_events, batch_size=a.batch_size, max_bytes=a.max_bytes, retention_days=a.retention_days, max_ids=a.max_ids,
                 transport=a.transport, include_unlicensed=not a.licensed_only, lateness_s=a.lateness,
                 within_run=a.within_run, version_col=a.version_col, emit=a.emit)
 
@@ -137,8 +136,6 @@ def state_command(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
         if not a.legacy:
             raise ValueError("--legacy names the folder of legacy documents")
         S.commit_legacy(readers.legacy_state(spark, a.legacy), a.state, now)
-    elif a.action == "vacuum":
-        return [{"dropped": x} for x in S.vacuum(spark, a.state, a.keep)]
     elif a.action == "sweep":
         return [r.asDict() for r in S.commit_sweep(spark, a.state, now, a.retention_days, a.max_ids).collect()]
     state = S.load(spark, a.state)
@@ -172,7 +169,7 @@ def run_selected(spark: SparkSession, a: argparse.Namespace, run_id: int, now: i
         jobs.append((spec, src, cols))
         kw_by_feed[name] = raw
     return run_once(spark, jobs, a.state, a.outbox, a.logs, now, run_id, raw_cols=kw_by_feed,
-                    max_events=a.max_events, scan_interval_h=a.scan_interval_hours,
+                    scan_interval_h=a.scan_interval_hours,
                     min_snapshot_ratio=a.min_snapshot_ratio, **run_kw(a))
 
 

@@ -1,13 +1,16 @@
-"""One batch run of a feed with delivered-only commit.
+"""One run of a feed with delivered-only commit.
 
 load the feed's state + marks -> extract / dedup (or snapshot diff) -> envelope ->
 posted through the delivery sink (clustered by key, partition-local count/byte
 batches, injected transport) -> the sink records the keys of delivered and of
-undelivered batches -> delivered keys without an undelivered event are committed as
-a delta of this feed only. While a batch failed or a cap cut the run, the feed's mark
-stays where it was, so the next run over the same landing sends exactly what is
-missing: what was sent is in the state. Events that the receiver refused for good
-are written to the dead-letter table and count as settled.
+undelivered batches -> delivered keys without an undelivered event are committed with the
+state. While a batch failed or a cap cut a batch run, the feed's mark stays where it
+was, so the next run over the same landing sends exactly what is missing: what was
+sent is in the state. A file stream never looks at a file twice, so a streaming run
+keeps its undelivered and capped events in a retry table instead: their finished
+envelopes, by batch id and key. The commit of a run names the retry table of that run; the
+next run sends its events first, and its own commit replaces it. Events that the receiver
+refused for good are written to the dead-letter table and count as settled.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import metrics, sink, watermark
+from ..operators import dedup, metrics, sink, watermark
 from ..operators import state as S
+from ..operators.ordinal import with_ordinal
 from ..sources import event_sink, paths
 from . import feeds
 from .registry import FeedSpec
@@ -41,6 +45,7 @@ class RunResult:
     dead_letters: int = 0
     retries: int = 0
     trimmed: int = 0
+    pending: int = 0
 
 
 def _mark(marks: DataFrame, feed: str, name: str) -> int:
@@ -55,123 +60,175 @@ def _keys(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("item_id string").parquet(folder).filter(F.col("item_id").isNotNull()).distinct()
 
 
+RETRY_DDL = "batch_id string, item_id string, event string"
+
+
+def pending_events(spark: SparkSession, book: str | None) -> DataFrame:
+    """(batch_id, item_id, event) that the run with the delivery folder ``book`` left unsent."""
+    folders = [f for f in (f"{book}/retry", f"{book}/over_cap") if book and paths.exists(spark, f)]
+    return spark.read.schema(RETRY_DDL).parquet(*folders) if folders else spark.createDataFrame([], RETRY_DDL)
+
+
+def has_pending(spark: SparkSession, state_base: str, feed: str) -> bool:
+    book = S.stream_marks(spark, state_base, feed)["pending"]
+    return bool(pending_events(spark, book).limit(1).count())
+
+
 def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base: str, outbox_base: str,
-             now: int, run_id: int, record_cols: list[str], *, retention_days: int = S.DEFAULT_RETENTION_DAYS,
+             now: int, run_id: int | str, record_cols: list[str], *, retention_days: int = S.DEFAULT_RETENTION_DAYS,
              max_ids: int = S.DEFAULT_MAX_IDS, max_events: int = 0, batch_size: int = 5000,
              max_bytes: int = 1048576, transport: str = DEFAULT_TRANSPORT, version_col: str | None = None,
              scan_interval_h: float | None = None, min_snapshot_ratio: float | None = None,
              emit: str = "until_expiry", raw_col: str | None = None, state_version: int | None = None,
-             commit_version: int | None = None, use_mark: bool = True, include_unlicensed: bool = True,
+             commit_version: int | None = None, include_unlicensed: bool = True,
              lateness_s: int = 0, within_run: str | None = None, backoff_s: float = 0.0,
-             shape=None) -> RunResult:
+             shape=None, stream_batch: int | None = None, deliver=event_sink.deliver, buckets: int = 0) -> RunResult:
     """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
     keeps its old ``seen_at`` and is reported again each run until it expires
     (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``).
-    ``shape`` maps the new events to their record columns before the envelope."""
+    ``shape`` maps the new events to their record columns before the envelope.
+
+    ``stream_batch`` makes it a streaming run: the source holds new files only, so no mark is applied
+    and unsent events go through the retry table. A batch id that the state has
+    already taken in is done: nothing is sent again (-1 sends the retry table only).
+    ``deliver`` takes the arguments of ``event_sink.deliver``. ``buckets`` writes the state in hash buckets."""
     t0 = time.time()
     for what, path in (("state", state_base), ("outbox", outbox_base)):
         paths.require_shared(spark, path, what)
     if state_version is None:
         current, marks = S.load(spark, state_base, spec.feed), S.load_marks(spark, state_base)
-    else:   # a micro-batch reads the state its batch id was built on (replay-safe)
+    else:   # a run pinned to a version reads that state again when it is repeated
         current = S.load_version(spark, state_base, state_version, spec.feed)
         marks = S.load_marks_version(spark, state_base, state_version)
     old = _mark(marks, spec.feed, "last_timestamp")
+    streaming = stream_batch is not None
+    taken = S.stream_marks(spark, state_base, spec.feed) if streaming else {}
+    if streaming and 0 <= stream_batch <= (-1 if taken["last_batch"] is None else taken["last_batch"]):
+        return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
     last_full_scan = None
-    if spec.mode == "snapshot_diff" and scan_interval_h:
-        last_full_scan = _mark(marks, spec.feed, "last_full_scan")
-        due = spark.range(1).select(X.scan_due(now, F.lit(last_full_scan), scan_interval_h)).first()[0]
-        if not due:
-            return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
     if spec.mode == "snapshot_diff":
+        last_full_scan = _mark(marks, spec.feed, "last_full_scan")
+        if scan_interval_h:
+            due = spark.range(1).select(X.scan_due(now, F.lit(last_full_scan), scan_interval_h)).first()[0]
+            if not due:
+                return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
         events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio)
         key_col = "asset_id" if spec.source == "assets" else "vulnerability_key"
         events = events.withColumn("item_id", F.col(key_col))
         current_keys = feeds.extract(spec, source).select("item_id")
     else:
         # a file stream is incremental by its offsets; re-applying the clock mark would drop
-        # records that landed late, so streaming runs pass use_mark=False
-        events = feeds.run_incremental(spec, source, current, now, mark=old if use_mark else None,
+        # records that landed late, so streaming runs use none
+        events = feeds.run_incremental(spec, source, current, now, mark=None if streaming else old,
                                        retention_days=retention_days, include_unlicensed=include_unlicensed,
                                        lateness_s=lateness_s, within_run=within_run, version_col=version_col)
         current_keys = None
-    all_events = events.persist()
+    root = outbox_base.rstrip("/")
+    outbox = f"{root}/run={run_id}/feed={spec.feed}"
+    book = f"{root}/_delivery/run={run_id}/feed={spec.feed}"
+    for part in ("retry", "over_cap"):      # what an attempt that was not committed left under this run id
+        paths.delete(spark, f"{book}/{part}")
+    waiting = pending_events(spark, taken.get("pending"))
+    if streaming:   # a key that waits to be sent counts as seen
+        events = dedup.new_only(events, waiting)
+    events = events.persist()
+    capped = bool(max_events and spec.honours_cap)
+    held = None
     try:
-        available = all_events.count()
-        truncated = bool(max_events and spec.honours_cap and available > max_events)
-        events = feeds.cap_rows(all_events, int(max_events), feeds.cap_order(all_events)) if truncated else all_events
+        if capped and not streaming:
+            available = events.count()
+            truncated = available > max_events
+            sent = feeds.cap_rows(events, int(max_events), feeds.cap_order(events)) if truncated else events
+        else:
+            available, truncated, sent = None, False, events
+        shaped = sent.transform(shape) if shape else sent
+        lines = feeds.wrap(shaped, spec, now, record_cols, raw_col=raw_col if spec.mode != "snapshot_diff" else None)
+        if streaming:
+            old_lines = waiting.select(F.col("item_id"), F.col("event").alias("json"), F.lit(0).alias("_age"))
+            lines = held = old_lines.unionByName(lines.select(
+                F.col("item_id").cast("string").alias("item_id"), "json", F.lit(1).alias("_age"))).persist()
+            available = held.count()
+            if capped and available > max_events:       # what waited longest goes first
+                truncated = True
+                ranked = with_ordinal(lines, ["_age", "item_id", "json"], name="_cap_rn")
+                ranked.filter(F.col("_cap_rn") > max_events).select(
+                    F.lit(None).cast("string").alias("batch_id"), "item_id", F.col("json").alias("event")).write.mode(
+                    "overwrite").parquet(f"{book}/over_cap")
+                lines = ranked.filter(F.col("_cap_rn") <= max_events)
+        if available is None:
+            available = events.count()
         n_events = min(available, max_events) if truncated else available
-
-        root = f"{outbox_base.rstrip('/')}"
-        outbox = f"{root}/run={int(run_id)}/feed={spec.feed}"
-        book = f"{root}/_delivery/run={int(run_id)}/feed={spec.feed}"
-        shaped = events.transform(shape) if shape else events
-        wrapped = feeds.wrap(shaped, spec, now, record_cols, raw_col=raw_col if spec.mode != "snapshot_diff" else None)
-        event_sink.deliver(wrapped, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
-                           batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
-                           delivered_keys=f"{book}/keys", failed_keys=f"{book}/failed",
-                           dead_letters=f"{root}/_dead_letters/run={int(run_id)}/feed={spec.feed}", backoff_s=backoff_s)
-        n_delivered = failed = retries = refused = 0
+        deliver(lines, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
+                batch_size=batch_size, max_bytes=max_bytes, key_column="item_id",
+                delivered_keys=f"{book}/keys", failed_keys=f"{book}/failed",
+                retry_lines=f"{book}/retry" if streaming else None,
+                dead_letters=f"{root}/_dead_letters/run={run_id}/feed={spec.feed}", backoff_s=backoff_s)
+        n_delivered = failed = retries = refused = unsent = 0
         if n_events:
             if not paths.exists(spark, f"{book}/log"):
                 raise S.StateDamaged(f"{book}/log: {n_events} events were handed to the sink, which left no log")
             log = event_sink.read_delivery_log(spark, f"{book}/log")
+            last = F.col("final") & (F.col("outcome") == "retryable")
             m = log.select("*", X.delivery_outcome("status_code").alias("outcome")).agg(
-                F.sum(F.when(F.col("status_code") == 200, F.col("event_count"))),
-                F.sum(F.when(F.col("final") & (F.col("outcome") == "retryable"), 1)),
+                F.sum(F.when(F.col("status_code") == 200, F.col("event_count"))), F.sum(F.when(last, 1)),
                 F.sum(F.when(~F.col("final"), 1)),
-                F.sum(F.when(F.col("final") & (F.col("outcome") == "dropped"), F.col("event_count")))).first()
-            n_delivered, failed, retries, refused = (int(x or 0) for x in m)
+                F.sum(F.when(F.col("final") & (F.col("outcome") == "dropped"), F.col("event_count"))),
+                F.sum(F.when(last, F.col("event_count")))).first()
+            n_delivered, failed, retries, refused, unsent = (int(x or 0) for x in m)
 
         # a key with an event in an undelivered batch is not committed, whatever else was sent of it
-        delivered = _keys(spark, f"{book}/keys").join(_keys(spark, f"{book}/failed"), "item_id", "left_anti")
-        delivered_events = events.join(delivered, "item_id", "left_semi")
+        delivered = _keys(spark, f"{book}/keys").join(_keys(spark, f"{book}/failed"), "item_id", "left_anti").join(
+            _keys(spark, f"{book}/over_cap"), "item_id", "left_anti")
+        delivered_events = sent.join(delivered, "item_id", "left_semi")
         seen = F.timestamp_seconds(F.lit(int(now)))
         if current_keys is not None:
             # snapshot feeds: refresh every current key; reported keys are not refreshed
             new_keys = current_keys.select(F.lit(spec.feed).alias("feed"), "item_id", seen.alias("seen_at"))
         elif max_ids:
             # under a cap the order of the records decides which keys are the newest
-            ranked = delivered_events.groupBy("item_id").agg(F.min(spec.epoch_col or "item_id").alias("_at")).select(
-                F.lit(spec.feed).alias("feed"), "item_id", "_at")
+            first = sent.groupBy(F.col("item_id").cast("string").alias("item_id")).agg(
+                F.min(spec.epoch_col or "item_id").alias("_at"))
+            ranked = delivered.join(first, "item_id", "left").select(F.lit(spec.feed).alias("feed"), "item_id", "_at")
             new_keys = S.stamp(ranked, ["_at", "item_id"], int(now) * 1_000_000)
         else:
             new_keys = delivered.select(F.lit(spec.feed).alias("feed"), "item_id", seen.alias("seen_at"))
 
-        new_mark = watermark.next_mark(spec.mark_rule, spec.feed, events, delivered_events, old, now, spec.epoch_col,
+        new_mark = watermark.next_mark(spec.mark_rule, spec.feed, sent, delivered_events, old, now, spec.epoch_col,
                                        held=truncated or failed > 0)
-        full_scan = int(now) if spec.mode == "snapshot_diff" else None
-        mine = spark.createDataFrame([(spec.feed, new_mark, full_scan, int(now))], S.WATERMARK_SCHEMA)
-        if full_scan is None:
+        mine = spark.createDataFrame([(spec.feed, new_mark, last_full_scan or None, int(now))], S.WATERMARK_SCHEMA)
+        if spec.mode != "snapshot_diff":
             mine = mine.drop("last_full_scan")
+        elif not failed:        # events that were not sent must not wait for the next full scan
+            mine = mine.withColumn("last_full_scan", F.lit(int(now)).cast("bigint"))
         version = commit_version if commit_version is not None else (S.current_version(spark, state_base) or 0) + 1
-        drop_reported = current_keys is not None and emit == "once"
-        whole = (bool(max_ids) or drop_reported or state_version is None
-                 and S.deltas_since_full(spark, state_base, spec.feed) >= S.COMPACT_AFTER
-                 or state_version is not None and int(version) % S.COMPACT_AFTER == 0)
+        stream_state = {"last_batch": max(stream_batch, -1 if taken["last_batch"] is None else taken["last_batch"]),
+                        "pending": book} if streaming else None
         trimmed = 0
-        if whole:
+        if current_keys is None and not max_ids and state_version is None and new_keys.isEmpty():
+            S.commit_marks(spark, state_base, version, mine, stream=stream_state)     # a quiet run rewrites no keys
+        else:
             base_state = current
-            if drop_reported:
+            if current_keys is not None and emit == "once":
                 base_state = current.join(delivered.withColumn("feed", F.lit(spec.feed)), ["feed", "item_id"], "left_anti")
-            merged = S.upsert(base_state, new_keys)
+            merged = S.expire(S.upsert(base_state, new_keys), now, retention_days)
             if max_ids:
-                merged = S.expire(merged, now, retention_days).persist()
+                merged = merged.persist()
                 trimmed = max(0, merged.count() - int(max_ids))
-            S.commit(S.flush(merged, now, retention_days, max_ids), state_base, version, marks=mine, feeds=[spec.feed])
+            S.commit(S.trim_newest(merged, max_ids), state_base, version, marks=mine, feeds=[spec.feed],
+                     buckets=buckets, stream=stream_state)
             merged.unpersist()
-        else:
-            S.commit(S.upsert(new_keys, S.empty_state(spark)), state_base, version, marks=mine, feeds=[spec.feed],
-                     delta=True)
     finally:
-        all_events.unpersist()
+        events.unpersist()
+        if held is not None:
+            held.unpersist()
+    over = available - n_events if streaming else 0
     return RunResult(n_events, n_delivered, failed, old, new_mark, truncated, round(time.time() - t0, 3),
-                     dead_letters=refused, retries=retries, trimmed=trimmed)
+                     dead_letters=refused, retries=retries, trimmed=trimmed, pending=(unsent if streaming else 0) + over)
 
 
-def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int, feed: str) -> DataFrame:
+def read_outbox_run(spark: SparkSession, outbox_base: str, run_id: int | str, feed: str) -> DataFrame:
     """Lines handed to the file transport in one run (``*.json.gz`` batches)."""
-    return sink.read_outbox(spark, f"{outbox_base.rstrip('/')}/run={int(run_id)}/feed={feed}/*.json.gz")
+    return sink.read_outbox(spark, f"{outbox_base.rstrip('/')}/run={run_id}/feed={feed}/*.json.gz")
 
 
 RUN_SCHEMA = ("run_id string, feed string, feed_group string, event_count bigint, sent bigint, duration double, "

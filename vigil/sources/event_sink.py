@@ -9,21 +9,20 @@ sorts them, so events of one key share a batch where they fit, and a retried tas
 posts the same events under the same ids ``<run>-<partition>-<n>``.
 
 Each task writes beside the data: a log row per attempt, the keys of delivered and of
-undelivered batches, and the lines of batches that the receiver refused for good
-(dead letters). The driver sees per-task summaries only; on commit it removes what
-attempts that did not win have left.
+undelivered batches, the lines of undelivered batches (the retry table of streams), and the
+lines of batches that the receiver refused for good (dead letters). The driver sees per-task
+summaries only; on commit it removes what attempts that did not win have left.
 
 Transports (option ``transport``):
   ``file:<dir>``  write each batch to ``<dir>/<batch_id>.json.gz`` (tests, hand-off folders)
-  ``file:<dir>?fail=<k>``  same, but every k-th batch of a task answers 503 (failure drills)
-  ``file:<dir>?fail_match=<text>``  same, but a batch whose body contains ``text`` answers 503
-  (``&status=<code>`` answers that code instead, ``&times=<n>`` only on the first n attempts)
-A network transport implements the same ``post(batch_id, gz_bytes, n_events) -> status`` call.
+  ``python:<module>:<class>:<argument>``  a client of one's own: ``class(argument)`` with
+  ``post(batch_id, gz_bytes, n_events) -> status``, importable on the executors
 """
 
 from __future__ import annotations
 
 import gzip
+import importlib
 import json
 import os
 import time
@@ -56,32 +55,11 @@ def resolve(uri: str):
 class FileTransport:
     """Hand-off folder transport: one gzip file per batch, written then renamed."""
 
-    def __init__(self, spec: str):
-        target = spec[len("file:"):] if spec.startswith("file:") and not spec.startswith("file://") else spec
-        self.fail_every, self.fail_match, self.fail_status, self.fail_times = 0, None, 503, 1 << 30
-        if "?" in target:
-            target, query = target.split("?", 1)
-            for part in query.split("&"):
-                k, _, v = part.partition("=")
-                if k == "fail":
-                    self.fail_every = int(v)
-                elif k == "fail_match":
-                    self.fail_match = v.encode("utf-8")
-                elif k == "status":
-                    self.fail_status = int(v)
-                elif k == "times":
-                    self.fail_times = int(v)
+    def __init__(self, target: str):
         self.fs, self.dir = resolve(target)
         self.fs.create_dir(self.dir, recursive=True)
-        self.failed: dict[str, int] = {}
 
     def post(self, batch_id: str, payload: bytes, n_events: int) -> int:
-        seq = int(batch_id.rsplit("-", 1)[1])
-        if self.fail_every and seq % self.fail_every == self.fail_every - 1 or (
-                self.fail_match is not None and self.fail_match in gzip.decompress(payload)):
-            self.failed[batch_id] = self.failed.get(batch_id, 0) + 1
-            if self.failed[batch_id] <= self.fail_times:
-                return self.fail_status
         tmp, final = f"{self.dir}/.{batch_id}.tmp", f"{self.dir}/{batch_id}.json.gz"
         with self.fs.open_output_stream(tmp) as f:
             f.write(payload)
@@ -91,7 +69,10 @@ class FileTransport:
 
 def make_transport(spec: str):
     if spec.startswith("file:"):
-        return FileTransport(spec)
+        return FileTransport(spec[len("file:"):] if not spec.startswith("file://") else spec)
+    if spec.startswith("python:"):
+        _, module, name, argument = spec.split(":", 3)
+        return getattr(importlib.import_module(module), name)(argument)
     raise ValueError(f"unsupported transport {spec!r}")
 
 
@@ -153,6 +134,7 @@ class EventBatchWriter(DataSourceArrowWriter):
         self.key_column = options.get("key_column")
         self.delivered_keys = options.get("delivered_keys")
         self.failed_keys = options.get("failed_keys")
+        self.retry_lines = options.get("retry_lines")
         self.dead_letters = options.get("dead_letters")
         self.key_flush_rows = int(options.get("key_flush_rows", KEY_FLUSH_ROWS))
 
@@ -235,8 +217,11 @@ class EventBatchWriter(DataSourceArrowWriter):
                         keep(self.dead_letters, pa.table({
                             "batch_id": pa.array([batch_id] * (b - a)), "item_id": own, "event": lines,
                             "status_code": pa.array([status] * (b - a), pa.int32())}))
-                elif keys is not None:
-                    keep(self.failed_keys, pa.table({"item_id": own}))
+                else:
+                    if keys is not None:
+                        keep(self.failed_keys, pa.table({"item_id": own}))
+                    keep(self.retry_lines, pa.table({
+                        "batch_id": pa.array([batch_id] * (b - a)), "item_id": own, "event": lines}))
                 seq += 1
             return values.slice(keep_from), (keys.slice(keep_from) if keys is not None else None)
 
@@ -255,7 +240,7 @@ class EventBatchWriter(DataSourceArrowWriter):
         if carry is not None and len(carry):
             flush_slices(carry, carry_keys, final=True)
 
-        for folder in (self.delivered_keys, self.failed_keys, self.dead_letters):
+        for folder in (self.delivered_keys, self.failed_keys, self.retry_lines, self.dead_letters):
             keep(folder, None, force=True)
         files = []
         for writer, path in writers.values():
@@ -272,7 +257,7 @@ class EventBatchWriter(DataSourceArrowWriter):
 
     def _clean(self, keep: set[str]) -> None:
         """Remove side files of this run's attempts other than those in ``keep``."""
-        for folder in (self.delivered_keys, self.failed_keys, self.dead_letters, self.log_dir):
+        for folder in (self.delivered_keys, self.failed_keys, self.retry_lines, self.dead_letters, self.log_dir):
             if not folder:
                 continue
             from pyarrow import fs as pafs
@@ -306,17 +291,18 @@ def register(spark) -> None:
 
 def deliver(json_lines, transport: str, delivery_log: str, run_id: str = "0", batch_size: int = 5000,
             max_bytes: int = 1048576, column: str = "json", key_column: str | None = None,
-            delivered_keys: str | None = None, failed_keys: str | None = None, dead_letters: str | None = None,
-            max_retries: int = DEFAULT_MAX_RETRIES, backoff_s: float = 0.0) -> None:
+            delivered_keys: str | None = None, failed_keys: str | None = None, retry_lines: str | None = None,
+            dead_letters: str | None = None, max_retries: int = DEFAULT_MAX_RETRIES, backoff_s: float = 0.0) -> None:
     """Post a DataFrame's JSON column through the sink; a log row per attempt lands in ``delivery_log``.
 
     With ``key_column`` the events are clustered by key (skewed keys are split by the
     rebalance) and every task also writes the keys of its delivered and of its
-    undelivered batches (parquet): a run commits the former without the latter.
+    undelivered batches (parquet): a run commits the former without the latter. ``retry_lines``
+    receives the undelivered events themselves (batch_id, item_id, event).
     """
     spark = json_lines.sparkSession
     for what, path in (("delivery_log", delivery_log), ("delivered_keys", delivered_keys),
-                       ("failed_keys", failed_keys), ("dead_letters", dead_letters)):
+                       ("failed_keys", failed_keys), ("retry_lines", retry_lines), ("dead_letters", dead_letters)):
         if path:
             require_shared(spark, path, what)
     if transport.startswith("file:"):
@@ -334,7 +320,8 @@ def deliver(json_lines, transport: str, delivery_log: str, run_id: str = "0", ba
          .option("max_retries", str(max_retries)).option("backoff_s", str(backoff_s)))
     if key_column:
         w = w.option("key_column", "_key")
-    for name, path in (("delivered_keys", delivered_keys), ("failed_keys", failed_keys), ("dead_letters", dead_letters)):
+    for name, path in (("delivered_keys", delivered_keys), ("failed_keys", failed_keys), ("retry_lines", retry_lines),
+                       ("dead_letters", dead_letters)):
         if path:
             w = w.option(name, path)
     w.mode("append").save()

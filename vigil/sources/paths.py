@@ -27,29 +27,6 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target, then rename over it: readers see the old file or the whole new one."""
-    fs, p = _fs(spark, path)
-    fs.mkdirs(p.getParent())
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"{path}: rename failed")
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-    finally:
-        stream.close()
-
-
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
 
