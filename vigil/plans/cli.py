@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import flatten
 from ..operators import state as S
-from ..sources import readers
+from ..sources import landing, readers
 from . import registry as R
 from .run import DEFAULT_TRANSPORT, run_once
 
@@ -34,10 +34,11 @@ SNAPSHOT_RECORDS = {"assets": ["asset_id", "event_type", "detected_at"],
 
 def feed_source(spark: SparkSession, landing: str, spec: R.FeedSpec,
                 landed: dict[str, DataFrame] | None = None) -> tuple[DataFrame, list[str], str | None]:
-    """(source DataFrame, record columns, raw event column) for one feed; ``landed`` has exports parsed before."""
+    """(source DataFrame, record columns, raw event column) for one feed; ``landed`` has the typed tables of exports."""
     root = landing.rstrip("/")
     if spec.source in ("assets", "vulns"):
-        src = (landed or {}).get(spec.source)
+        # a snapshot feed compares with the export as it lies there now
+        src = (landed or {}).get(spec.source) if spec.mode == "incremental" else None
         if src is None:
             src = readers.good(readers.PARSERS[spec.source](spark.read.text(f"{root}/{spec.source}")))
     elif spec.source == "plugins":
@@ -158,10 +159,10 @@ def run_selected(spark: SparkSession, a: argparse.Namespace, run_id: int, now: i
     reg = load_registry(a.registry)
     names = R.select_feeds(a.feed, reg)
     root = a.landing.rstrip("/")
-    # each export is parsed once for all its feeds
-    landed = {src: readers.land(spark, src, f"{root}/{src}", f"{a.state.rstrip('/')}/_landed/{src}",
-                                f"{a.outbox.rstrip('/')}/_rejects/run={run_id}/{src}")
-              for src in sorted({reg[n].source for n in names} & set(readers.PARSERS))}
+    # new files of an export are parsed once, for all its incremental feeds and all later runs
+    landed = {src: landing.land_new(spark, src, f"{root}/{src}", f"{a.state.rstrip('/')}/_landed/{src}",
+                                    f"{a.outbox.rstrip('/')}/_rejects/run={run_id}/{src}")
+              for src in sorted({reg[n].source for n in names if reg[n].mode == "incremental"} & set(readers.PARSERS))}
     jobs, kw_by_feed = [], {}
     for name in names:
         spec = reg[name]
