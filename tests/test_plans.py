@@ -73,3 +73,30 @@ def test_incremental_mark_prunes_ingest_partitions(spark, tmp_root):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in p and "ingest_date#" in p
     assert [r.item_id for r in df.collect()] == ["2026-01-05"]
+
+
+def test_bucketed_state_is_not_moved(spark, tmp_root):
+    """Neither the anti-join nor the merge of a commit exchanges the state; the merged rows go back bucket by bucket."""
+    base = os.path.join(tmp_root, "s")
+    state = spark.range(500).select(F.lit("a").alias("feed"), F.col("id").cast("string").alias("item_id"),
+                                    F.timestamp_seconds(F.col("id") + 1000).alias("seen_at"))
+    S.commit(state, base, 1, buckets=4)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = spark.range(400, 600).select(F.col("id").cast("string").alias("k"))
+        new = dedup.new_only(events, S.active_keys(S.load(spark, base, "a"), 1100, 1), "k")
+        p = plan(new)
+        assert "SortMergeJoin" in p and p.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in p
+        assert sorted(int(r.k) for r in new.collect()) == list(range(500, 600))
+        fresh = events.select(F.lit("a").alias("feed"), F.col("k").alias("item_id"), F.timestamp_seconds(F.lit(5000)).alias("seen_at"))
+        stays = S.unrenewed(S.load(spark, base, "a"), fresh)
+        p = plan(stays.repartition(4, "item_id"))
+        assert p.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in p and "REPARTITION" not in p
+        S.commit(stays, base, 2, feeds=["a"], buckets=4, added=fresh)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert sorted(map(tuple, S.load(spark, base).collect())) == sorted(map(tuple, S.upsert(state, fresh).collect()))
+    files = [f for f in os.listdir(os.path.join(base, "keys", "v=2", "feed=a")) if f.endswith(".parquet")]
+    assert len(files) == 8          # a file per bucket and part
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("vigil_state")]

@@ -87,7 +87,7 @@ def test_torn_commit_is_not_seen(spark, tmp_root):
     """Keys whose marks row was never written belong to no version."""
     base = os.path.join(tmp_root, "s")
     S.commit(mk(spark, [("a", "1", 100)]), base, 1)
-    S._write_keys(S.normalize(mk(spark, [("a", "1", 100), ("a", "2", 100)])), base, 2, ["a"], 0)
+    S._write_keys([S.normalize(mk(spark, [("a", "1", 100), ("a", "2", 100)]))], base, 2, ["a"], 0)
     assert S.current_version(spark, base) == 1 and [r.item_id for r in S.load(spark, base).collect()] == ["1"]
     S.commit(mk(spark, [("a", "3", 100)]), base, 2)
     assert [r.item_id for r in S.load(spark, base).collect()] == ["3"]

@@ -111,6 +111,12 @@ def upsert(state: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy("feed", "item_id").agg(F.max("seen_at").alias("seen_at"))
 
 
+def unrenewed(state: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of one feed's state that ``new`` does not replace; a state in hash buckets stays where it is."""
+    return state.join(new.select(F.col("item_id").cast("string").alias("item_id")), "item_id", "left_anti").select(
+        *state.columns)
+
+
 def stamp(keys: DataFrame, order_cols: Sequence[str | Column], commit_us: int, feed_col: str = "feed",
           key_col: str = "item_id") -> DataFrame:
     """Order-preserving microsecond stamps: the i-th key of a feed's batch gets ``commit + i`` us."""
@@ -214,30 +220,33 @@ def _keys(spark: SparkSession, root: str, head: dict) -> DataFrame:
     return keys.select(F.lit(head["feed"]).alias("feed"), "item_id", "seen_at")
 
 
-def _write_keys(rows: DataFrame, root: str, version: int, feeds: Sequence[str], buckets: int) -> None:
-    spark = rows.sparkSession
+def _write_keys(parts: Sequence[DataFrame], root: str, version: int, feeds: Sequence[str], buckets: int) -> None:
+    spark = parts[0].sparkSession
     for feed in feeds:
         paths.delete(spark, f"{root}/keys/v={version}/feed={feed}")
     if not buckets:
-        rows.write.mode("append").partitionBy("feed").parquet(f"{root}/keys/v={version}")      # one write for all feeds
+        for rows in parts:
+            rows.write.mode("append").partitionBy("feed").parquet(f"{root}/keys/v={version}")  # one write for all feeds
         return
     for feed in feeds:
         name = f"vigil_state_{uuid.uuid4().hex}"
-        # clustered first, so that each bucket is one file
-        (rows.filter(F.col("feed") == feed).select("item_id", "seen_at").repartition(int(buckets), "item_id").write
-         .bucketBy(int(buckets), "item_id").sortBy("item_id").option("path", f"{root}/keys/v={version}/feed={feed}")
-         .format("parquet").saveAsTable(name))
+        for rows in parts:
+            # clustered, so that a task writes one bucket; rows that come in these buckets are not moved for it
+            (rows.filter(F.col("feed") == feed).select("item_id", "seen_at").repartition(int(buckets), "item_id").write
+             .bucketBy(int(buckets), "item_id").sortBy("item_id").option("path", f"{root}/keys/v={version}/feed={feed}")
+             .format("parquet").mode("append").saveAsTable(name))
         spark.sql(f"DROP TABLE {name}")
 
 
 def commit(state: DataFrame, base: str, version: int, marks: DataFrame | None = None,
-           feeds: Sequence[str] | None = None, buckets: int = 0, stream: dict | None = None) -> str:
+           feeds: Sequence[str] | None = None, buckets: int = 0, stream: dict | None = None,
+           added: DataFrame | None = None) -> str:
     """Write ``version`` of the named feeds, each as a whole (all feeds of the store when none are named).
 
     Re-running a version rewrites it, so it is idempotent by version. ``marks`` are a row per
     feed; a feed without one keeps the marks it had. ``stream`` (``last_batch``, ``pending``) is set for the named
     feeds. With ``buckets`` the keys are written in hash buckets of ``item_id``, which an anti-join
-    reads without moving them.
+    reads without moving them. ``added`` holds further rows of other keys, written beside ``state``.
     """
     spark = state.sparkSession
     root, version = _root(base), int(version)
@@ -252,7 +261,8 @@ def commit(state: DataFrame, base: str, version: int, marks: DataFrame | None =
         if not FEED_NAME.fullmatch(feed):
             raise ValueError(f"feed name {feed!r} can't name a folder")
         paths.delete(spark, f"{root}/marks/v={version}/feed={feed}")        # until the new keys are whole
-    _write_keys(rows, root, version, feeds, buckets)
+    more = [normalize(added).filter(F.col("feed").isin(*feeds))] if added is not None else []
+    _write_keys([rows, *more], root, version, feeds, buckets)
     keys_v = {f: version if paths.exists(spark, f"{root}/keys/v={version}/feed={f}") else None for f in feeds}
     _write_marks(spark, root, version, heads, {f: given.get(f, {}) | (stream or {}) | {
         "keys_v": keys_v[f], "buckets": int(buckets)} for f in feeds})

@@ -581,6 +581,22 @@ def dedup_new_only(spark, d):
         "vuln_key", "snapshot_id", "severity", "state")
 
 
+STATE_BUCKETS = 16
+
+
+@register("dedup_bucketed", V(f"""
+SELECT vuln_key, snapshot_id, severity, state FROM v_vulns_keyed k
+WHERE NOT EXISTS (SELECT 1 FROM v_state s WHERE s.feed = 'vulnerability' AND s.seen_at > {CUTOFF_SQL}
+                  AND s.item_id = k.vuln_key)""", "v_vulns_keyed", "v_state"))
+def dedup_bucketed(spark, d):
+    """The anti-join against a state that was committed in hash buckets: only the events are moved."""
+    base = work_dir(spark, "state-bucketed")
+    S.commit(L.state(spark, d), base, version=1, buckets=STATE_BUCKETS)
+    seen = S.active_keys(S.load(spark, base, "vulnerability"), NOW, RET)
+    return dedup.new_only(L.vulns_keyed(spark, d), seen, "vuln_key").select(
+        "vuln_key", "snapshot_id", "severity", "state")
+
+
 @register("assets_deleted", V("""
 SELECT DISTINCT p.id AS asset_id, 'asset_deleted' AS event_type, CAST(1007164800 AS BIGINT) AS detected_at
 FROM v_assets p
@@ -932,6 +948,39 @@ def all_feeds_union(spark, d):
     return a.unionByName(v).unionByName(p)
 
 
+GROUP_FEEDS = ("vulnerability", "vulnerability_no_info", "vulnerability_self_scan", "fixed_vulnerability")
+
+
+@register("group_run", V(f"""
+WITH live AS (SELECT feed, item_id FROM v_state WHERE seen_at > {CUTOFF_SQL})
+SELECT 'vulnerability' AS feed_type, vuln_key, 'vm:vulnerability' AS sourcetype FROM v_vulns_keyed k
+WHERE severity IN {ACTIVE_SQL}
+  AND NOT EXISTS (SELECT 1 FROM live s WHERE s.feed = 'vulnerability' AND s.item_id = k.vuln_key)
+UNION ALL
+SELECT 'vulnerability_info', vuln_key, 'vm:vulnerability:info' FROM v_vulns_keyed WHERE severity = 'info'
+UNION ALL
+SELECT 'vulnerability_self_scan', vuln_key, 'vm:vulnerability:self_scan' FROM v_vulns_keyed
+WHERE state = 'OPEN' AND COALESCE(asset_has_agent, false)
+UNION ALL
+SELECT 'fixed_vulnerability', item_id, 'vm:vulnerability:fixed' FROM live s
+WHERE feed = 'fixed_vulnerability'
+  AND NOT EXISTS (SELECT 1 FROM v_vulns_keyed k WHERE k.state = 'OPEN' AND k.vuln_key = s.item_id)""",
+                         "v_vulns_keyed", "v_state"))
+def group_run(spark, d):
+    """The four vulnerability feeds in one pass: one scan, one delivery, a state per feed; what was sent."""
+    from .group import run_group
+
+    root = work_dir(spark, "group-run")
+    S.commit(L.state(spark, d), f"{root}/state", 1)
+    src = vuln_source(spark, d).withColumn("doc", F.to_json(F.struct(
+        X.vuln_key("asset.uuid", "plugin.id", "port.port", "port.protocol").alias("vuln_key"), "severity")))
+    run_group(spark, [REGISTRY[f] for f in GROUP_FEEDS], src, f"{root}/state", f"{root}/outbox", NOW, 1, "doc",
+              retention_days=RET)
+    env = sink.read_outbox(spark, f"{root}/outbox/run=1/group=vulnerabilities/*.gz")
+    key = F.coalesce(F.get_json_object("event", "$.vuln_key"), F.get_json_object("event", "$.vulnerability_key"))
+    return env.select(F.col("fields.feed_type").alias("feed_type"), key.alias("vuln_key"), "sourcetype")
+
+
 # ---- 2.8 scalar functions ----------------------------------------------------------------
 
 RAW_TS_SQL = """CASE o_orderkey % 8

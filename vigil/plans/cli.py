@@ -25,13 +25,9 @@ from ..operators import flatten
 from ..operators import state as S
 from ..sources import landing, readers
 from . import registry as R
+from .group import SNAPSHOT_RECORDS
 from .run import DEFAULT_TRANSPORT, run_once
 
-SNAPSHOT_RECORDS = {"assets": ["asset_id", "event_type", "detected_at"],
-                    "vulns": ["vulnerability_key", "asset_uuid", "plugin_id", "port", "protocol", "event_type",
-                              "detected_at"]}
-
-
 def feed_source(spark: SparkSession, landing: str, spec: R.FeedSpec,
                 landed: dict[str, DataFrame] | None = None) -> tuple[DataFrame, list[str], str | None]:
     """(source DataFrame, record columns, raw event column) for one feed; ``landed`` has the typed tables of exports."""
@@ -78,6 +74,7 @@ def _run_options(p: argparse.ArgumentParser) -> None:
     p.add_argument("--max-bytes", type=int, default=1048576)
     p.add_argument("--retention-days", type=int, default=7)
     p.add_argument("--max-ids", type=int, default=0, help="keep only the newest N keys per feed (0: all)")
+    p.add_argument("--state-buckets", type=int, default=0, help="hash buckets of the state; joins then leave it in place")
     p.add_argument("--transport", default=DEFAULT_TRANSPORT)
     p.add_argument("--now", type=int, default=None, help="fixed clock (epoch seconds) for replays and tests")
     p.add_argument("--licensed-only", action="store_true", help="leave out vulnerabilities of unlicensed assets")
@@ -99,6 +96,7 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--feed", default="all", help="'all' or a comma-separated list of feed names")
     r.add_argument("--daemon", type=int, default=0, help="repeat every N seconds until interrupted")
     _run_options(r)
+    r.add_argument("--one-pass", action="store_true", help="feeds of one export share a scan, a delivery and a commit")
     r.add_argument("--scan-interval-hours", type=float, default=24.0)
     r.add_argument("--min-snapshot-ratio", type=float, default=None)
     r.add_argument("--run-id", type=int, default=None)
@@ -122,7 +120,7 @@ def parse(argv=None) -> argparse.Namespace:
 
 def run_kw(a: argparse.Namespace) -> dict:
     return dict(max_events=a.max_events, batch_size=a.batch_size, max_bytes=a.max_bytes, retention_days=a.retention_days, max_ids=a.max_ids,
-                transport=a.transport, include_unlicensed=not a.licensed_only, lateness_s=a.lateness,
+                transport=a.transport, buckets=a.state_buckets, include_unlicensed=not a.licensed_only, lateness_s=a.lateness,
                 within_run=a.within_run, version_col=a.version_col, emit=a.emit)
 
 
@@ -170,7 +168,7 @@ def run_selected(spark: SparkSession, a: argparse.Namespace, run_id: int, now: i
         jobs.append((spec, src, cols))
         kw_by_feed[name] = raw
     return run_once(spark, jobs, a.state, a.outbox, a.logs, now, run_id, raw_cols=kw_by_feed,
-                    scan_interval_h=a.scan_interval_hours,
+                    one_pass=a.one_pass, scan_interval_h=a.scan_interval_hours,
                     min_snapshot_ratio=a.min_snapshot_ratio, **run_kw(a))
 
 

@@ -31,19 +31,24 @@ def extract_many(specs: list[FeedSpec], source: DataFrame, marks: dict[str, int]
 
     Each row is tagged with every feed whose predicates it meets (``explode`` of
     a ``CASE`` array), and the feed's own key is computed per tag. A group of
-    feeds reads its export once instead of once per feed.
+    feeds reads its export once instead of once per feed. Records that no feed wants are
+    left out by the scan, and days before the oldest mark with them.
     """
     marks = marks or {}
-    tags, keys = [], None
+    tags, keys, wanted = [], None, None
     for spec in specs:
         preds = [spec.predicate() if spec.predicate else None]
         if spec.source == "vulns":
             preds.append(P.licensed(include_unlicensed))
         if spec.mode == "incremental" and spec.epoch_col:
             preds.append(P.since(spec.epoch_col, marks.get(spec.feed), lateness_s))
-        tags.append(F.when(P.all_of(*preds), F.lit(spec.feed)))
+        met = P.all_of(*preds)
+        wanted = met if wanted is None else wanted | met
+        tags.append(F.when(met, F.lit(spec.feed)))
         k = spec.key()
         keys = F.when(F.col("feed") == spec.feed, k) if keys is None else keys.when(F.col("feed") == spec.feed, k)
+    oldest = min((marks.get(s.feed) or 0) if s.mode == "incremental" else 0 for s in specs)
+    source = source.filter(P.all_of(wanted, P.landed_since(source.columns, oldest, lateness_s)))
     tagged = source.withColumn("feed", F.explode(F.array(*tags))).filter(F.col("feed").isNotNull())
     return tagged.withColumn("item_id", keys)
 

@@ -210,12 +210,17 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             base_state = current
             if current_keys is not None and emit == "once":
                 base_state = current.join(delivered.withColumn("feed", F.lit(spec.feed)), ["feed", "item_id"], "left_anti")
-            merged = S.expire(S.upsert(base_state, new_keys), now, retention_days)
+            added = None
+            if buckets and not max_ids and current_keys is None:
+                # the delivered keys are distinct and the newest: what they don't renew stays in its buckets
+                merged, added = S.expire(S.unrenewed(base_state, new_keys), now, retention_days), new_keys
+            else:
+                merged = S.expire(S.upsert(base_state, new_keys), now, retention_days)
             if max_ids:
                 merged = merged.persist()
                 trimmed = max(0, merged.count() - int(max_ids))
             S.commit(S.trim_newest(merged, max_ids), state_base, version, marks=mine, feeds=[spec.feed],
-                     buckets=buckets, stream=stream_state)
+                     buckets=buckets, stream=stream_state, added=added)
             merged.unpersist()
     finally:
         events.unpersist()
@@ -237,29 +242,53 @@ RUN_SCHEMA = ("run_id string, feed string, feed_group string, event_count bigint
 ERROR_SCHEMA = "error_id bigint, run_id string, feed string, error string, ts timestamp_ntz"
 
 
+def _jobs_in_one_pass(jobs: list[tuple[FeedSpec, DataFrame, list[str]]], raw_cols: dict[str, str | None],
+                      kw: dict) -> list[list[tuple[FeedSpec, DataFrame, list[str]]]]:
+    """Jobs that read the same export with the same document column side by side; all others alone."""
+    out: dict = {}
+    for job in jobs:
+        spec, source, _ = job
+        alike = raw_cols.get(spec.feed) and spec.mode == "incremental" and spec.transform is None and not (
+            kw.get("within_run") or kw.get("version_col"))
+        out.setdefault((spec.group, id(source), raw_cols[spec.feed]) if alike else spec.feed, []).append(job)
+    return list(out.values())
+
+
 def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str]]], state_base: str,
              outbox_base: str, log_base: str, now: int, run_id: int, raw_cols: dict[str, str | None] | None = None,
-             **kw) -> DataFrame:
+             one_pass: bool = False, **kw) -> DataFrame:
     """Run several feeds; a failing feed is recorded and does not stop the others.
 
-    Appends one ``run_log`` row per feed (status ``ok`` / ``skipped`` / ``error``)
+    With ``one_pass`` incremental feeds of one export run as a group (``plans.group``): one scan, one delivery
+    and one commit. Appends one ``run_log`` row per feed (status ``ok`` / ``skipped`` / ``error``)
     and one ``error_log`` row per failure, then returns the run summary computed
-    from those logs.
+    from those logs, with totals per feed group.
     """
     import datetime as dt
 
+    from .group import run_group
+
     paths.require_shared(spark, log_base, "logs")
     runs, errors, started = [], [], time.time()
     ts = dt.datetime.fromtimestamp(int(now), dt.timezone.utc).replace(tzinfo=None)
-    for spec, source, cols in jobs:
+    raw_cols = raw_cols or {}
+    for batch in _jobs_in_one_pass(jobs, raw_cols, kw) if one_pass else [[j] for j in jobs]:
+        specs, (spec, source, cols) = [j[0] for j in batch], batch[0]
         try:
-            r = run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
-                         raw_col=(raw_cols or {}).get(spec.feed), **kw)
-            runs.append((str(run_id), spec.feed, spec.group, r.events, r.delivered_events, float(r.seconds),
-                         "skipped" if r.skipped else "ok", r.retries, r.failed_batches, r.dead_letters, r.trimmed, ts))
+            if len(batch) > 1:
+                own = {k: v for k, v in kw.items() if k not in ("within_run", "version_col")}
+                done = run_group(spark, specs, source, state_base, outbox_base, now, run_id, raw_cols[spec.feed], **own)
+            else:
+                done = {spec.feed: run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
+                                            raw_col=raw_cols.get(spec.feed), **kw)}
+            for s in specs:
+                r = done[s.feed]
+                runs.append((str(run_id), s.feed, s.group, r.events, r.delivered_events, float(r.seconds),
+                             "skipped" if r.skipped else "ok", r.retries, r.failed_batches, r.dead_letters, r.trimmed, ts))
         except Exception as e:  # noqa: BLE001 -- recorded, the run goes on
-            runs.append((str(run_id), spec.feed, spec.group, 0, 0, 0.0, "error", 0, 0, 0, 0, ts))
-            errors.append((len(errors) + 1, str(run_id), spec.feed, f"{type(e).__name__}: {e}", ts))
+            for s in specs:
+                runs.append((str(run_id), s.feed, s.group, 0, 0, 0.0, "error", 0, 0, 0, 0, ts))
+                errors.append((len(errors) + 1, str(run_id), s.feed, f"{type(e).__name__}: {e}", ts))
     # processed (event_count) and sent differ when batches fail
     spark.createDataFrame(runs, RUN_SCHEMA).write.mode("append").parquet(f"{log_base}/run_log")
     spark.createDataFrame(errors, ERROR_SCHEMA).write.mode("append").parquet(f"{log_base}/error_log")
@@ -275,5 +304,8 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
     recent = metrics.errors_recent(error_log).agg(F.array_sort(F.collect_list(F.struct(
         "error_id", "feed", "error"))).alias("recent_errors"))
     failed = F.lit(sum(1 for r in runs if r[6] == "error")).cast("bigint")
-    # three one-row tables side by side
-    return summary.join(more, F.lit(True)).join(recent, F.lit(True)).withColumn("failed_feeds", failed)
+    totals = metrics.events_rollup(run_log).filter("level = 1").agg(F.array_sort(F.collect_list(F.struct(
+        "feed_group", F.col("runs").alias("feeds"), "events"))).alias("per_group"))      # a row per group of feeds
+    # four one-row tables side by side
+    return summary.join(more, F.lit(True)).join(totals, F.lit(True)).join(recent, F.lit(True)).withColumn(
+        "failed_feeds", failed)
