@@ -91,3 +91,29 @@ def test_rerun_of_same_run_id_counts_once(spark, tmp_root):
     assert (first.events, first.delivered_events) == (3, 3)
     assert (again.events, again.delivered_events, again.failed_batches) == (3, 3, 0)
     assert S.load(spark, sb).count() == 3
+
+
+def test_bucketed_state_gives_the_same_runs(spark, tmp_root):
+    spec = R.REGISTRY["asset"]
+    dirs = {n: (os.path.join(tmp_root, f"s{n}"), os.path.join(tmp_root, f"o{n}")) for n in (0, 3)}
+    for run, ids in ((1, "abc"), (2, "bcde"), (3, "bcde")):
+        ts = f"2026-01-0{run}T00:00:00Z"
+        a = readers.assets(spark, write_lines(os.path.join(tmp_root, f"a{run}"), assets_docs(list(ids), ts)))
+        got = {n: run_feed(spark, spec, a, *dirs[n], NOW + run, run, ["id"], buckets=n) for n in dirs}
+        assert (got[0].events, got[0].new_mark) == (got[3].events, got[3].new_mark) and got[3].events == {1: 3, 2: 2, 3: 0}[run]
+    assert sorted(map(tuple, S.load(spark, dirs[3][0]).collect())) == sorted(map(tuple, S.load(spark, dirs[0][0]).collect()))
+    assert S.load(spark, dirs[3][0]).count() == 5
+
+
+def test_failed_snapshot_feed_is_due_again(spark, tmp_root):
+    """A refused batch does not wait for the next full scan."""
+    spec = R.REGISTRY["deleted_asset"]
+    sb, ob = os.path.join(tmp_root, "s"), os.path.join(tmp_root, "o")
+    snap1 = readers.assets(spark, write_lines(os.path.join(tmp_root, "a1"), assets_docs(["a", "b"])))
+    snap2 = readers.assets(spark, write_lines(os.path.join(tmp_root, "a2"), assets_docs(["a"])))
+    run_feed(spark, spec, snap1, sb, ob, NOW, 1, ["asset_id"], scan_interval_h=24)
+    failed = run_feed(spark, spec, snap2, sb, ob, NOW + 25 * 3600, 2, ["asset_id"], scan_interval_h=24,
+                      transport="python:failing_transport:FailingFolder:{outbox}?fail=1")
+    assert (failed.events, failed.delivered_events, failed.failed_batches) == (1, 0, 1)
+    again = run_feed(spark, spec, snap2, sb, ob, NOW + 26 * 3600, 3, ["asset_id"], scan_interval_h=24)
+    assert not again.skipped and again.delivered_events == 1

@@ -8,6 +8,7 @@ Times leave as epoch seconds / microseconds so both engines hash them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1176,6 +1177,39 @@ def snapshot_diff_sequence(spark, d):
     return diff.diff_sequence(snaps, "vuln_key", emit="until_expiry")
 
 
+@register("stream_snapshot_diff", V("""
+SELECT 3 AS run_no, vuln_key FROM v_snap0 a WHERE NOT EXISTS (SELECT 1 FROM v_snap1 b WHERE b.vuln_key = a.vuln_key)""",
+                                    "v_snap0", "v_snap1"))
+def stream_snapshot_diff(spark, d):
+    """Two snapshots land as files: the first whole, half of the second, then its rest and its manifest. Keys are
+    reported as gone in the third run, when the second snapshot is complete, and not before."""
+    from ..sources import paths
+    from ..streaming.runner import stream_documents
+
+    spec, root = REGISTRY["fixed_vulnerability"], work_dir(spark, "stream-snapshots")
+    doc = vuln_source(spark, d).select("snapshot_id", "ord_b", F.to_json(F.struct(
+        "asset", "plugin", "port", "severity", "state")).alias("value"))
+    snap = {n: doc.filter(F.col("snapshot_id") % 3 == n - 1) for n in (1, 2)}
+    half = F.col("ord_b") <= 3
+
+    def put(n: int, lines: DataFrame, part: str) -> None:
+        lines.select("value").write.text(f"{root}/vulns/snapshot={n}/{part}")
+
+    def manifest(n: int) -> None:
+        paths.write_text(spark, f"{root}/vulns/snapshot={n}/manifest.json", f'{{"records": {snap[n].count()}}}')
+
+    sent = []
+    for run_no, land in ((1, lambda: (put(1, snap[1], "a"), manifest(1))), (2, lambda: put(2, snap[2].filter(half), "a")),
+                         (3, lambda: (put(2, snap[2].filter(~half), "b"), manifest(2)))):
+        land()
+        stream_documents(spark, spec, f"{root}/vulns", f"{root}/run", now=NOW + run_no, retention_days=RET)
+        out = f"{root}/run/outbox/run={run_no - 1}/feed={spec.feed}"
+        if any(n.endswith(".gz") for n in paths.names(spark, out)):
+            sent.append(sink.read_outbox(spark, f"{out}/*.gz").select(F.lit(run_no).alias("run_no"), F.get_json_object(
+                "event", "$.vulnerability_key").alias("vuln_key")))
+    return reduce(DataFrame.unionByName, sent) if sent else spark.createDataFrame([], "run_no int, vuln_key string")
+
+
 LATENESS_S = 7 * 86400
 
 

@@ -90,7 +90,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
 
     ``stream_batch`` makes it a streaming run: the source holds new files only, so no mark is applied
     and unsent events go through the retry table. A batch id that the state has
-    already taken in is done: nothing is sent again (-1 sends the retry table only).
+    already taken in is done: nothing is sent again (-1 sends the retry table only; ``source`` may then be
+    None for a snapshot feed).
     ``deliver`` takes the arguments of ``event_sink.deliver``. ``buckets`` writes the state in hash buckets."""
     t0 = time.time()
     for what, path in (("state", state_base), ("outbox", outbox_base)):
@@ -112,10 +113,14 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             due = spark.range(1).select(X.scan_due(now, F.lit(last_full_scan), scan_interval_h)).first()[0]
             if not due:
                 return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
-        events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio)
         key_col = "asset_id" if spec.source == "assets" else "vulnerability_key"
-        events = events.withColumn("item_id", F.col(key_col))
-        current_keys = feeds.extract(spec, source).select("item_id")
+        if source is None:      # no snapshot to compare with: only the retry table is sent
+            events = spark.createDataFrame([], ", ".join(f"{c} string" for c in (key_col, "item_id")))
+            current_keys, record_cols = None, [key_col]
+        else:
+            events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio)
+            events = events.withColumn("item_id", F.col(key_col))
+            current_keys = feeds.extract(spec, source).select("item_id")
     else:
         # a file stream is incremental by its offsets; re-applying the clock mark would drop
         # records that landed late, so streaming runs use none
@@ -192,26 +197,29 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             new_keys = S.stamp(ranked, ["_at", "item_id"], int(now) * 1_000_000)
         else:
             new_keys = delivered.select(F.lit(spec.feed).alias("feed"), "item_id", seen.alias("seen_at"))
+        if spec.mode == "snapshot_diff" and source is None:
+            new_keys = S.empty_state(spark)         # what vanished is not seen again by being reported
 
         new_mark = watermark.next_mark(spec.mark_rule, spec.feed, sent, delivered_events, old, now, spec.epoch_col,
                                        held=truncated or failed > 0)
         mine = spark.createDataFrame([(spec.feed, new_mark, last_full_scan or None, int(now))], S.WATERMARK_SCHEMA)
         if spec.mode != "snapshot_diff":
             mine = mine.drop("last_full_scan")
-        elif not failed:        # events that were not sent must not wait for the next full scan
+        elif not failed and source is not None:     # events that were not sent must not wait for the next full scan
             mine = mine.withColumn("last_full_scan", F.lit(int(now)).cast("bigint"))
         version = commit_version if commit_version is not None else (S.current_version(spark, state_base) or 0) + 1
         stream_state = {"last_batch": max(stream_batch, -1 if taken["last_batch"] is None else taken["last_batch"]),
                         "pending": book} if streaming else None
         trimmed = 0
-        if current_keys is None and not max_ids and state_version is None and new_keys.isEmpty():
+        reported_go = spec.mode == "snapshot_diff" and emit == "once"
+        if current_keys is None and not reported_go and not max_ids and state_version is None and new_keys.isEmpty():
             S.commit_marks(spark, state_base, version, mine, stream=stream_state)     # a quiet run rewrites no keys
         else:
             base_state = current
-            if current_keys is not None and emit == "once":
+            if reported_go:
                 base_state = current.join(delivered.withColumn("feed", F.lit(spec.feed)), ["feed", "item_id"], "left_anti")
             added = None
-            if buckets and not max_ids and current_keys is None:
+            if buckets and not max_ids and spec.mode != "snapshot_diff":
                 # the delivered keys are distinct and the newest: what they don't renew stays in its buckets
                 merged, added = S.expire(S.unrenewed(base_state, new_keys), now, retention_days), new_keys
             else:

@@ -27,6 +27,14 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written in one call (a new name: it is not replaced)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
 

@@ -120,13 +120,15 @@ def _outputs(spark: SparkSession, outbox: str, state_base: str, now: int | None
 def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root: str, *, once: bool = True,
                      interval_s: int = 60, now: int | None = None, max_files_per_trigger: int | None = None,
                      **run_kw):
-    """An incremental feed (or the compliance feed, from new host details) over a JSON-lines
-    landing folder as a Structured Streaming query.
+    """A feed over a JSON-lines landing folder as a Structured Streaming query: an incremental feed, the
+    compliance feed (from new host details), or a snapshot feed, whose exports lie in folders of their
+    own and count once they are complete (``streaming.snapshots``).
 
     Each micro-batch is one streaming feed run (``plans.run.run_feed``): only keys of delivered
     batches enter state, and what was not sent, by a failed batch or over ``max_events``, waits in the retry table.
     ``once`` = ``availableNow`` (one incremental run), else ``processingTime``.
     """
+    from ..plans.group import SNAPSHOT_RECORDS
     from ..plans.run import run_feed
     from ..sources import readers
 
@@ -180,9 +182,28 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
                 run(s, compliance(s, ready, done), batch_id, "event_raw", run_id)
             finally:
                 lines.unpersist()
-    elif spec.mode != "incremental" or spec.source not in readers.PARSERS:
-        raise ValueError(f"{spec.feed}: only incremental asset/vulnerability feeds and the compliance feed "
-                         "stream from documents")
+    elif spec.source not in readers.PARSERS:
+        raise ValueError(f"{spec.feed}: only asset and vulnerability feeds and the compliance feed stream from documents")
+    elif spec.mode == "snapshot_diff":
+        from . import snapshots
+
+        stream = reader.load(landing_dir).select("value", F.col("_metadata.file_path").alias("file"))
+        nothing = spark.createDataFrame([], "value string, file string")
+
+        def handle(batch: DataFrame, batch_id: int, run_id: int | str | None = None) -> None:
+            s = batch.sparkSession
+            if batch_id < 0:        # the retry table alone
+                run_feed(s, spec, None, state_base, outbox_base, clock(), run_id, [], stream_batch=batch_id, **run_kw)
+                return
+            snapshots.stage(batch, f"{root}/staged", batch_id)
+            due = snapshots.newest_complete(s, f"{root}/staged", f"{root}/compared", batch_id)
+            if due is None:
+                return
+            lines = snapshots.lines_of(s, f"{root}/staged", due, batch_id)
+            source = readers.good(readers.PARSERS[spec.source](lines))
+            run_feed(s, spec, source, state_base, outbox_base, clock(), batch_id, SNAPSHOT_RECORDS[spec.source],
+                     stream_batch=batch_id, **run_kw)
+            snapshots.settle(s, f"{root}/staged", f"{root}/compared", due)
     else:
         stream = reader.load(landing_dir)
         nothing = spark.createDataFrame([], "value string")
