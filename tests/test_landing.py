@@ -38,7 +38,7 @@ def data_files(table):
 
 def test_only_new_files_are_parsed(spark, place):
     land, table, bad = place
-    put(land, "ingest_date=2026-01-01", "p0.json", [1, 2], ['{"id": "torn'])
+    put(land, "ingest_date=2026-01-01", "p0 +%é.json", [1, 2], ['{"id": "torn'])
     assert ids(landing.land_new(spark, "assets", land, table, bad)) == ["a1", "a2"]
     assert [r.raw for r in spark.read.parquet(bad).collect()] == ['{"id": "torn']
     before = data_files(table)
@@ -52,8 +52,9 @@ def test_only_new_files_are_parsed(spark, place):
     assert {k: v for k, v in data_files(table).items() if k in before} == before
     # a file that was rewritten is read again
     time.sleep(1.1)
-    put(land, "ingest_date=2026-01-01", os.path.basename(late), [4, 5])
-    assert ids(landing.land_new(spark, "assets", land, table).filter("batch = 3")) == ["a4", "a5"]
+    put(land, "ingest_date=2026-01-01", os.path.basename(late), [5, 6])
+    got = landing.land_new(spark, "assets", land, table)
+    assert ids(got.filter("batch = 3")) == ["a5", "a6"] and ids(got) == ["a1", "a2", "a3", "a5", "a6"]
 
 
 def test_a_batch_counts_once_its_ledger_is_written(spark, place):

@@ -5,7 +5,8 @@
 
 ``land_new`` lists the export (names only), drops the files that the ledger knows by an anti-join,
 parses the others and appends them as one batch. A batch counts once its ledger is written, so a run that
-went down half-way is done again under the same number. A file that was rewritten in place (other time or length) is new.
+went down half-way is done again under the same number. A file that was rewritten in place (other time or length) is
+new, and the lines of its earlier version no longer count.
 The day is that of the file's ``ingest_date=`` folder, or else of its last change; predicates on it prune folders.
 """
 
@@ -40,6 +41,18 @@ def day_of(file_path, changed):
     return F.coalesce(F.try_to_date(named), F.to_date(changed))
 
 
+def _path_of(uri):
+    """A ``_metadata.file_path`` as listings write it: decoded, with one slash after ``file:``."""
+    return F.url_decode(F.replace(F.regexp_replace(uri, "^file:/+", "file:/"), F.lit("+"), F.lit("%2B")))
+
+
+def replaced(spark: SparkSession, table: str) -> DataFrame:
+    """(file, batch) of file versions that a later batch has read anew."""
+    known = ledger(spark, table).select(F.col("path").alias("file"), "batch")
+    newest = known.groupBy("file").agg(F.max("batch").alias("newest"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return known.join(newest, "file").filter("batch < newest").select("file", "batch")
+
+
 def last_batch(spark: SparkSession, table: str) -> int | None:
     return ledger(spark, table).agg(F.max("batch")).first()[0]
 
@@ -47,12 +60,16 @@ def last_batch(spark: SparkSession, table: str) -> int | None:
 def landed(spark: SparkSession, source: str, table: str) -> DataFrame:
     """The typed table: good lines of all batches in the ledger, with ``ingest_date`` and ``batch``."""
     last = last_batch(spark, table)
-    parsed = readers.PARSERS[source](spark.createDataFrame([], "value string, ingest_date date"))
+    parsed = readers.PARSERS[source](spark.createDataFrame([], "value string, file string, ingest_date date"))
     if last is None:
-        return readers.good(parsed).withColumn("batch", F.lit(None).cast("bigint"))
+        return readers.good(parsed).withColumn("batch", F.lit(None).cast("bigint")).drop("file")
     schema = parsed.withColumn("batch", F.lit(0).cast("bigint")).schema
     data = spark.read.schema(schema).parquet(f"{table.rstrip('/')}/data")
-    return readers.good(data.filter(F.col("batch") <= last))
+    data = readers.good(data.filter(F.col("batch") <= last))
+    old = replaced(spark, table)
+    if old.limit(1).count():        # most exports only ever add files
+        data = data.join(old, ["file", "batch"], "left_anti")
+    return data.drop("file")
 
 
 def land_new(spark: SparkSession, source: str, path: str, table: str, reject_path: str | None = None) -> DataFrame:
@@ -66,7 +83,8 @@ def land_new(spark: SparkSession, source: str, path: str, table: str, reject_pat
     if fresh:
         batch = (last_batch(spark, root) or 0) + 1
         lines = spark.read.text([r["path"] for r in fresh]).select(
-            "value", day_of(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("ingest_date"))
+            "value", _path_of(F.col("_metadata.file_path")).alias("file"),
+            day_of(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("ingest_date"))
         folder = f"{root}/data/batch={batch}"
         # a day's rows meet in few files; a hot day is split by the rebalance
         readers.PARSERS[source](lines).hint("rebalance", "ingest_date").write.mode("overwrite").partitionBy(
