@@ -417,7 +417,7 @@ def test_nearest_recall_and_order(spark):
     base, hit = x.astype(np.float32).astype(float), 0
     for q, found in got.items():
         found.sort(key=lambda r: r.rank)
-        assert [r.rank for r in found] == list(range(1, len(found) + 1))
+        assert [r.rank for r in found] == list(range(1, 11))
         d = np.sqrt(((base - base[q]) ** 2).sum(axis=1))
         assert [(r.score, r.vec_id) for r in found] == sorted((r.score, r.vec_id) for r in found)
         assert all(r.vec_id != q and r.score == pytest.approx(d[r.vec_id], abs=1e-12) for r in found)
@@ -427,6 +427,27 @@ def test_nearest_recall_and_order(spark):
     assert [r.vec_id for r in got[100]] == list(range(101, 111))
 
 
+def test_nearest_in_thin_parts(spark):
+    """Queries whose probed parts hold too few rows, or only themselves, find their candidates in the others."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(300, 8)), rng.normal(size=(3, 8)) + 50.0])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = learned_index.usable(df, "vec_id", "embedding")
+    # one direction tells three parts apart: the crowd, two far rows, the farthest row
+    cut = float(np.sort(x.sum(axis=1))[-2:].mean())
+    far = np.ones((8, 1))
+    index = learned_index.Index((far, np.zeros(1), np.array([[-1.0, 1.0, 2.0]]), np.array([200.0, 0.0, -cut])), 1)
+    assert np.bincount(index.routes(x)[:, 0]).tolist() == [300, 2, 1]
+    out = {}
+    for r in learned_index.search(rows, rows.filter("id >= 298"), index).collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert set(out) == {298, 299, 300, 301, 302}
+    for q in (300, 301, 302):       # all parts are searched, so these are exact
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        assert sorted(out[q]) == list(enumerate(np.argsort(d, kind="stable")[:10].tolist(), 1))
+
+
 def test_nearest_small_and_empty(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     rows = learned_index.usable(few, "vec_id", "embedding")

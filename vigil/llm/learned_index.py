@@ -8,7 +8,8 @@ sets the number of probed parts so that the sample's own searches reach ``TARGET
 recall. ``assign`` puts every row of the table into its most probable part; ``search``
 routes each query to its most probable parts and reranks all rows there by exact
 distance in double precision, in blocks of bounded size; the best of the blocks are
-merged by a window per query.
+merged by a window per query. A query whose probed parts hold fewer candidates than asked
+for goes on to all the others, so that fewer are returned only where there are fewer.
 
 Edge cases: vectors that are null, all zero, hold a null or non-finite component or
 have another length than most take no part; rows that repeat an id are one vector each
@@ -184,8 +185,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE, parts: int = PARTS) -> Index:
     return fit_sample(np.vstack(got) if len(got) else np.zeros((0, 1)), parts)
 
 
-def assign(rows: DataFrame, index: Index, probes: int = 1) -> DataFrame:
-    """(id, vec, part) with the ``probes`` most probable parts of each row."""
+def assign(rows: DataFrame, index: Index, probes: int | None = 1, skip: int = 0) -> DataFrame:
+    """(id, vec, part) with the ``probes`` most probable parts of each row (None: all), the first ``skip`` left out."""
     held = rows.sparkSession.sparkContext.broadcast(index)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +195,7 @@ def assign(rows: DataFrame, index: Index, probes: int = 1) -> DataFrame:
                 continue
             vecs = batch.column(1)
             x = vecs.flatten().to_numpy().reshape(batch.num_rows, -1)
-            parts = held.value.routes(x)[:, :probes]
+            parts = held.value.routes(x)[:, skip:probes]
             at = pa.array(np.repeat(np.arange(batch.num_rows), parts.shape[1]))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), vecs.take(at),
                                               pa.array(parts.ravel().astype(np.int32))], ["id", "vec", "part"])
@@ -232,11 +233,9 @@ def _best_of_block(k: int):
     return run
 
 
-def search(rows: DataFrame, queries: DataFrame, index: Index, k: int = 10) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found per query, the query's own id left out."""
-    placed = stored(assign(rows, index), "index-parts")
+def _met(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best ``k`` of every block that a query meets in its parts."""
     counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    asked = stored(assign(queries, index, index.probes), "index-queries")
     asks = asked.groupBy("part").agg(F.count(F.lit(1)).alias("m"))
     blocks = counts.join(asks, "part").select(
         "part", F.ceil(F.col("n") / BLOCK).cast("int").alias("cs"), F.ceil(F.col("m") / QUERY_BLOCK).cast("int").alias("qs"))
@@ -247,8 +246,22 @@ def search(rows: DataFrame, queries: DataFrame, index: Index, k: int = 10) -> Da
     right = asked.join(blocks, "part").select(
         "part", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)).alias("c"),
         F.pmod(F.xxhash64(F.lit(2), "id"), F.col("qs")).cast("int").alias("q"), "id", "vec")
-    found = left.groupBy("part", "c", "q").cogroup(right.groupBy("part", "c", "q")).applyInPandas(
+    return left.groupBy("part", "c", "q").cogroup(right.groupBy("part", "c", "q")).applyInPandas(
         _best_of_block(k), "query_id long, vec_id long, score double")
+
+
+def search(rows: DataFrame, queries: DataFrame, index: Index, k: int = 10) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found per query, the query's own id left out."""
+    placed = stored(assign(rows, index), "index-parts")
+    found = _met(placed, stored(assign(queries, index, index.probes), "index-queries"), k)
+    if index.probes < index.weights[3].size:
+        found = stored(found, "index-found")
+        have = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("have"))
+        short = queries.select("id", "vec").join(have, F.col("id") == F.col("query_id"), "left").filter(
+            F.coalesce("have", F.lit(0)) < k)
+        more = stored(assign(short, index, None, index.probes), "index-short")
+        if not more.isEmpty():
+            found = found.unionByName(_met(placed, more, k))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
