@@ -51,6 +51,25 @@ def since(epoch_col: str, mark: int | None, lateness_s: int = 0) -> Column | Non
     return F.col(epoch_col) > F.lit(int(mark) - int(lateness_s))
 
 
+ORDER_KEY = "_order_key"
+
+
+def order_key(columns) -> Column:
+    """``item_id`` as text; a record without one takes a digest of its ``columns``, so that it has a place too."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))
+    return F.coalesce(F.col("item_id").cast("string"), F.concat(F.lit("~"), F.sha2(row, 256)))
+
+
+def from_mark(epoch_col: str, mark: int) -> Column:
+    """The part of ``after_mark`` that the scan can use."""
+    return F.col(epoch_col) >= F.lit(int(mark))
+
+
+def after_mark(epoch_col: str, mark: int, key: Column, mark_key: str) -> Column:
+    """Records behind the compound mark (epoch, key), compared in that order."""
+    return (F.col(epoch_col) > F.lit(int(mark))) | (key > F.lit(mark_key))
+
+
 INGEST_PARTITION = "ingest_date"
 
 

@@ -174,8 +174,9 @@ class StateDamaged(RuntimeError):
 FEED_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 MARKS = ("last_timestamp", "last_full_scan", "last_cleanup")
 STREAM_MARKS = ("last_batch", "pending")
+MORE_MARKS = (*STREAM_MARKS, "mark_key")
 MARKS_DDL = ("last_timestamp bigint, last_full_scan bigint, last_cleanup bigint, last_batch bigint, pending string, "
-             "keys_v bigint, buckets int")
+             "mark_key string, keys_v bigint, buckets int")
 KEYS_DDL = "item_id string, seen_at timestamp"
 
 
@@ -244,8 +245,8 @@ def commit(state: DataFrame, base: str, version: int, marks: DataFrame | None =
     """Write ``version`` of the named feeds, each as a whole (all feeds of the store when none are named).
 
     Re-running a version rewrites it, so it is idempotent by version. ``marks`` are a row per
-    feed; a feed without one keeps the marks it had. ``stream`` (``last_batch``, ``pending``) is set for the named
-    feeds. With ``buckets`` the keys are written in hash buckets of ``item_id``, which an anti-join
+    feed; a feed without one keeps the marks it had. ``stream`` (``last_batch``, ``pending``, ``mark_key``) is set
+    for the named feeds. With ``buckets`` the keys are written in hash buckets of ``item_id``, which an anti-join
     reads without moving them. ``added`` holds further rows of other keys, written beside ``state``.
     """
     spark = state.sparkSession
@@ -280,7 +281,7 @@ def commit_marks(spark: SparkSession, base: str, version: int, marks: DataFrame,
 
 
 def _write_marks(spark: SparkSession, root: str, version: int, heads: dict[str, dict], changed: dict[str, dict]) -> None:
-    names = (*MARKS, *STREAM_MARKS, "keys_v", "buckets")
+    names = (*MARKS, *MORE_MARKS, "keys_v", "buckets")
     rows = [tuple(({k: heads.get(feed, {}).get(k) for k in names} | m)[k] for k in names) + (feed,)
             for feed, m in changed.items()]
     if rows:
@@ -342,11 +343,16 @@ def stream_marks(spark: SparkSession, base: str, feed: str) -> dict:
     return {k: head.get(k) for k in STREAM_MARKS}
 
 
+def mark_key(spark: SparkSession, base: str, feed: str, version: int | None = None) -> str | None:
+    """Key of the compound mark (``last_timestamp``, key) that an ordered run left."""
+    return _heads(spark, base, version).get(feed, {}).get("mark_key")
+
+
 def commit_clear(spark: SparkSession, base: str, feed: str) -> int:
     """Forget a feed's keys and marks; other feeds are not touched."""
     version = (current_version(spark, base) or 0) + 1
     gone = spark.createDataFrame([(feed, None, None, None)], WATERMARK_SCHEMA)
-    commit(empty_state(spark), base, version, marks=gone, feeds=[feed])
+    commit(empty_state(spark), base, version, marks=gone, feeds=[feed], stream={"mark_key": None})
     return version
 
 

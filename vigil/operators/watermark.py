@@ -65,6 +65,27 @@ def scan_mark(scans: DataFrame, old: int, modified_col: str = "modified_epoch",
     return scans.agg(F.greatest(F.lit(int(old)), F.coalesce(top, F.lit(0))).cast("bigint").alias("new_mark"))
 
 
+def keyset_mark(sent: DataFrame, failed_keys: DataFrame | None, epoch_col: str, old: tuple[int, str | None],
+                order_key: str = "_order_key") -> tuple[int, str | None]:
+    """The compound mark (epoch, key) that an ordered run leaves: its last event before the first undelivered one.
+
+    ``failed_keys`` (item_id) names the undelivered events, None when there are none; then events without a
+    key count as undelivered too, for no one can tell. The mark never goes back, and times of 0 or less make none.
+    """
+    pair = F.struct(F.coalesce(F.col(epoch_col).cast("bigint"), F.lit(-(1 << 63))).alias("e"), F.col(order_key).alias("k"))
+    pairs = sent.select(pair.alias("p"), F.col("item_id").cast("string").alias("item_id"))
+    if failed_keys is not None:
+        unsent = pairs.join(failed_keys, "item_id", "left_semi").select("p").unionByName(
+            pairs.filter("item_id IS NULL").select("p"))
+        first = unsent.agg(F.min("p")).first()[0]       # one-row scalar
+        if first is not None:
+            pairs = pairs.filter(F.col("p") < F.struct(F.lit(first["e"]).alias("e"), F.lit(first["k"]).alias("k")))
+    top = pairs.agg(F.max("p")).first()[0]      # one-row scalar
+    if top is None or top["e"] <= 0 or (top["e"], top["k"].encode()) <= (old[0], (old[1] or "").encode()):
+        return old
+    return int(top["e"]), top["k"]
+
+
 def next_mark(rule: str, feed: str, events: DataFrame, delivered: DataFrame, old: int, now: int,
               epoch_col: str | None, held: bool) -> int:
     """The mark one run leaves, by its feed's rule (data, clock, scans, none); one row reaches the driver."""

@@ -924,6 +924,38 @@ def limit_events(spark, d):
     return ev.select(F.col("item_id").alias("vuln_key"), *TIE)
 
 
+CAPPED_RUNS = 3
+
+
+@register("capped_sequence", V(f"""
+WITH firsts AS (
+  SELECT vuln_key, MIN(CAST(epoch_us(last_found) // 1000000 AS BIGINT)) AS last_found_epoch
+  FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL} GROUP BY vuln_key),
+placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY last_found_epoch NULLS FIRST, vuln_key) AS rn FROM firsts),
+cap AS (SELECT GREATEST(1, (COUNT(*) + {CAPPED_RUNS - 1}) // {CAPPED_RUNS}) AS n FROM firsts)
+SELECT CAST((rn - 1) // n + 1 AS INTEGER) AS run_no, vuln_key, last_found_epoch FROM placed, cap""", "v_vulns_keyed"))
+def capped_sequence(spark, d):
+    """Runs under a cap of a third of all events, and one more: each goes on behind the compound mark of the one
+    before, so together they send every key once, in order of (time, key), and the last one sends nothing."""
+    from ..sources import paths
+    from .run import run_feed
+
+    spec, root = REGISTRY["vulnerability"], work_dir(spark, "capped")
+    src = vuln_source(spark, d)
+    keys = feeds.extract(spec, src).agg(F.count_distinct("item_id")).first()[0]      # one-row scalar
+    cap, sent = max(1, -(-keys // CAPPED_RUNS)), []
+    for run_no in range(1, CAPPED_RUNS + 2):
+        run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", NOW + run_no, run_no,
+                 ["item_id", "last_found_epoch"], retention_days=LANDED_RETENTION_DAYS, max_events=cap, keyset=True)
+        out = f"{root}/outbox/run={run_no}/feed={spec.feed}"
+        if any(n.endswith(".gz") for n in paths.names(spark, out)):
+            ev = sink.read_outbox(spark, f"{out}/*.gz").select(F.lit(run_no).alias("run_no"), F.from_json(
+                "event", "item_id string, last_found_epoch bigint").alias("ev"))
+            sent.append(ev.select("run_no", F.col("ev.item_id").alias("vuln_key"), "ev.last_found_epoch"))
+    return reduce(DataFrame.unionByName, sent) if sent else spark.createDataFrame(
+        [], "run_no int, vuln_key string, last_found_epoch bigint")
+
+
 # ---- 2.7 set operations ------------------------------------------------------------------
 
 @register("set_difference", V("""

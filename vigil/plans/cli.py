@@ -97,6 +97,8 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--daemon", type=int, default=0, help="repeat every N seconds until interrupted")
     _run_options(r)
     r.add_argument("--one-pass", action="store_true", help="feeds of one export share a scan, a delivery and a commit")
+    r.add_argument("--keyset", action="store_true",
+                   help="send one event per key by (time, key) and go on behind the last one sent, under --max-events too")
     r.add_argument("--scan-interval-hours", type=float, default=24.0)
     r.add_argument("--min-snapshot-ratio", type=float, default=None)
     r.add_argument("--run-id", type=int, default=None)
@@ -168,7 +170,7 @@ def run_selected(spark: SparkSession, a: argparse.Namespace, run_id: int, now: i
         jobs.append((spec, src, cols))
         kw_by_feed[name] = raw
     return run_once(spark, jobs, a.state, a.outbox, a.logs, now, run_id, raw_cols=kw_by_feed,
-                    one_pass=a.one_pass, scan_interval_h=a.scan_interval_hours,
+                    one_pass=a.one_pass, keyset=a.keyset, scan_interval_h=a.scan_interval_hours,
                     min_snapshot_ratio=a.min_snapshot_ratio, **run_kw(a))
 
 

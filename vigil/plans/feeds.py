@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..functions import exprs as X
 from ..operators import dedup, diff, envelope, filters as P
@@ -12,16 +13,22 @@ from .registry import HOST, INDEX, SOURCE, FeedSpec
 
 
 def extract(spec: FeedSpec, source: DataFrame, mark: int | None = None, include_unlicensed: bool = True,
-            lateness_s: int = 0) -> DataFrame:
-    """Source predicate + incremental predicate + key column ``item_id``."""
+            lateness_s: int = 0, mark_key: str | None = None) -> DataFrame:
+    """Source predicate + incremental predicate + key column ``item_id``.
+
+    With ``mark_key`` the mark is the pair (epoch, key): records of the mark's own second behind that key count
+    as new. A lateness looks further back than that second, so it goes before."""
+    paired = bool(mark and int(mark) > 0 and mark_key is not None and not lateness_s and spec.epoch_col)
     preds = [spec.predicate() if spec.predicate else None]
     if spec.source == "vulns":
         preds.append(P.licensed(include_unlicensed))
     if spec.mode in ("incremental", "flatten") and spec.epoch_col:
-        preds.append(P.since(spec.epoch_col, mark, lateness_s))
+        preds.append(P.from_mark(spec.epoch_col, mark) if paired else P.since(spec.epoch_col, mark, lateness_s))
         preds.append(P.landed_since(source.columns, mark, lateness_s))
     df = source.filter(P.all_of(*preds))
     df = df.withColumn("item_id", spec.key())
+    if paired:
+        df = df.filter(P.after_mark(spec.epoch_col, mark, P.order_key(source.columns), mark_key))
     return df.transform(spec.transform) if spec.transform else df
 
 
@@ -55,8 +62,6 @@ def extract_many(specs: list[FeedSpec], source: DataFrame, marks: dict[str, int]
 
 def cap_order(df: DataFrame) -> list[str | Column]:
     """A total order for caps: the key, then the whole row for events that share a key."""
-    from pyspark.sql.types import MapType
-
     rest = [c for c in df.columns if c != "item_id" and not isinstance(df.schema[c].dataType, MapType)]
     return ["item_id", F.to_json(F.struct(*[F.col(c) for c in rest]))]
 
@@ -70,20 +75,60 @@ def cap_rows(df: DataFrame, n: int, order_cols: list[str | Column]) -> DataFrame
     return with_ordinal(df, order_cols, name="_cap_rn").filter(F.col("_cap_rn") <= n).drop("_cap_rn")
 
 
+def _running(df: DataFrame, value: Column, n: int) -> tuple[int, int]:
+    """The value of the ``n``-th row in its order, and how many rows have a smaller one (one row reaches the driver)."""
+    before = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    at = df.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("c")).withColumn(
+        "before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    row = at.filter((F.col("before") < n) & (F.col("before") + F.col("c") >= n)).first()
+    return int(row["v"]), int(row["before"])
+
+
+EPOCH_DIGITS = (40, 20, 0)      # 2**24, 2**20 and 2**20 values at most, whatever the timestamps
+
+
+def cap_keyset(df: DataFrame, n: int, epoch_col: str) -> DataFrame:
+    """The first ``n`` of more than ``n`` rows by (epoch, order key); a null epoch comes first.
+
+    The second at which the cap falls is found from counts by leading digits of the epoch. Rows of earlier seconds
+    stay as they are, those of later ones are left out; only the rows of that second are ranked.
+    """
+    from ..operators.ordinal import with_ordinal
+
+    epoch = F.coalesce(F.col(epoch_col).cast("bigint"), F.lit(-(1 << 63)))
+    part, left = df, int(n)
+    for shift in EPOCH_DIGITS:
+        digit = F.shiftright(epoch, shift)
+        at, before = _running(part, digit, left)
+        part, left = part.filter(digit == at), left - before
+    ranked = with_ordinal(part, [P.ORDER_KEY], name="_cap_rn")
+    return df.filter(epoch < F.lit(at)).unionByName(ranked.filter(F.col("_cap_rn") <= left).drop("_cap_rn"))
+
+
 def run_incremental(spec: FeedSpec, source: DataFrame, state: DataFrame, now: int, mark: int | None = None,
                     retention_days: int = S.DEFAULT_RETENTION_DAYS, include_unlicensed: bool = True,
                     max_events: int = 0, lateness_s: int = 0, within_run: str | None = None,
-                    order_cols: tuple[str, ...] = (), version_col: str | None = None) -> DataFrame:
+                    order_cols: tuple[str, ...] = (), version_col: str | None = None,
+                    mark_key: str | None = None, keyset: bool = False) -> DataFrame:
     """New events of one incremental feed (``feed`` + ``item_id`` + the record columns).
 
     ``version_col`` adds a change marker (e.g. ``updated_epoch``) to the dedup key so
     a changed record is delivered again instead of waiting for its key to expire.
+
+    ``keyset`` gives one event per key, its earliest, with its place ``_order_key`` behind the epoch; records
+    without a key are events of their own.
     """
-    rows = extract(spec, source, mark, include_unlicensed, lateness_s)
+    rows = extract(spec, source, mark, include_unlicensed, lateness_s, mark_key)
+    if keyset:
+        rows = rows.withColumn(P.ORDER_KEY, P.order_key(source.columns))
     rows = dedup.identity_key(rows, "item_id", version_col)
     seen = S.active_keys(state, now, retention_days, feed=spec.feed)
     new = dedup.new_only(rows, seen, "item_id")
-    if within_run == "first":
+    if keyset:
+        keep = [c for c in new.columns if c not in (P.ORDER_KEY, spec.epoch_col) and not isinstance(
+            new.schema[c].dataType, MapType)]
+        new = dedup.first_per_key(new, P.ORDER_KEY, [spec.epoch_col], keep)
+    elif within_run == "first":
         # the whole row breaks ties, so the row that stays is fixed
         keep = [c for c in new.columns if c not in ("item_id", *order_cols)]
         new = dedup.first_per_key(new, "item_id", list(order_cols), keep)

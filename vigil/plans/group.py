@@ -87,6 +87,8 @@ def run_group(spark: SparkSession, specs: list[FeedSpec], source: DataFrame, sta
         paths.require_shared(spark, path, what)
     had = {r["feed"]: r for r in S.load_marks(spark, state_base).collect()}       # a row per feed
     old = {s.feed: int((had[s.feed]["last_timestamp"] if s.feed in had else 0) or 0) for s in specs}
+    # a compound mark: its second is read again, what was sent of it is in the state
+    since = {f: m - 1 if m and S.mark_key(spark, state_base, f) is not None else m for f, m in old.items()}
     full = {s.feed: int((had[s.feed]["last_full_scan"] if s.feed in had else 0) or 0) for s in specs}
     results: dict[str, RunResult] = {}
     if scan_interval_h:
@@ -107,7 +109,7 @@ def run_group(spark: SparkSession, specs: list[FeedSpec], source: DataFrame, sta
     current = S.load(spark, state_base).filter(F.col("feed").isin(*names))
     live = S.active_keys(current, now, retention_days)
     epoch = _by_feed(specs, lambda s: F.col(s.epoch_col).cast("bigint") if s.epoch_col else F.lit(None).cast("bigint"))
-    tagged = feeds.extract_many(specs, source, old, include_unlicensed, lateness_s).select(
+    tagged = feeds.extract_many(specs, source, since, include_unlicensed, lateness_s).select(
         "feed", F.col("item_id").cast("string").alias("item_id"), F.col(raw_col).alias("_doc"), epoch.alias("_at")).persist()
     lines = None
     try:

@@ -82,7 +82,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
              emit: str = "until_expiry", raw_col: str | None = None, state_version: int | None = None,
              commit_version: int | None = None, include_unlicensed: bool = True,
              lateness_s: int = 0, within_run: str | None = None, backoff_s: float = 0.0,
-             shape=None, stream_batch: int | None = None, deliver=event_sink.deliver, buckets: int = 0) -> RunResult:
+             shape=None, stream_batch: int | None = None, deliver=event_sink.deliver, buckets: int = 0,
+             keyset: bool = False) -> RunResult:
     """Run one feed. Snapshot feeds refresh only the keys still present; a vanished key
     keeps its old ``seen_at`` and is reported again each run until it expires
     (``emit="until_expiry"``), or is dropped from state once delivered (``emit="once"``).
@@ -92,7 +93,11 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     and unsent events go through the retry table. A batch id that the state has
     already taken in is done: nothing is sent again (-1 sends the retry table only; ``source`` may then be
     None for a snapshot feed).
-    ``deliver`` takes the arguments of ``event_sink.deliver``. ``buckets`` writes the state in hash buckets."""
+    ``deliver`` takes the arguments of ``event_sink.deliver``. ``buckets`` writes the state in hash buckets.
+
+    ``keyset`` orders the run: one event per key, by (epoch, key), under a mark of that pair. A capped run sends the
+    first ``max_events`` and the next one goes on behind them instead of reading all again; behind a failed batch
+    the mark stays before its first event. Feeds without an epoch, flattened and snapshot feeds run as ever."""
     t0 = time.time()
     for what, path in (("state", state_base), ("outbox", outbox_base)):
         paths.require_shared(spark, path, what)
@@ -106,6 +111,10 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
     taken = S.stream_marks(spark, state_base, spec.feed) if streaming else {}
     if streaming and 0 <= stream_batch <= (-1 if taken["last_batch"] is None else taken["last_batch"]):
         return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
+    if keyset and (streaming or version_col):
+        raise ValueError("an ordered run is a batch run, of plain keys")
+    ordered = bool(keyset and spec.mode == "incremental" and spec.epoch_col and spec.transform is None)
+    old_key = None if streaming else S.mark_key(spark, state_base, spec.feed, state_version)
     last_full_scan = None
     if spec.mode == "snapshot_diff":
         last_full_scan = _mark(marks, spec.feed, "last_full_scan")
@@ -126,7 +135,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         # records that landed late, so streaming runs use none
         events = feeds.run_incremental(spec, source, current, now, mark=None if streaming else old,
                                        retention_days=retention_days, include_unlicensed=include_unlicensed,
-                                       lateness_s=lateness_s, within_run=within_run, version_col=version_col)
+                                       lateness_s=lateness_s, within_run=within_run, version_col=version_col,
+                                       mark_key=old_key, keyset=ordered)
         current_keys = None
     root = outbox_base.rstrip("/")
     outbox = f"{root}/run={run_id}/feed={spec.feed}"
@@ -143,7 +153,10 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         if capped and not streaming:
             available = events.count()
             truncated = available > max_events
-            sent = feeds.cap_rows(events, int(max_events), feeds.cap_order(events)) if truncated else events
+            sent = events
+            if truncated:
+                sent = feeds.cap_keyset(events, int(max_events), spec.epoch_col) if ordered else feeds.cap_rows(
+                    events, int(max_events), feeds.cap_order(events))
         else:
             available, truncated, sent = None, False, events
         shaped = sent.transform(shape) if shape else sent
@@ -200,8 +213,14 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         if spec.mode == "snapshot_diff" and source is None:
             new_keys = S.empty_state(spark)         # what vanished is not seen again by being reported
 
-        new_mark = watermark.next_mark(spec.mark_rule, spec.feed, sent, delivered_events, old, now, spec.epoch_col,
-                                       held=truncated or failed > 0)
+        held_back = truncated or failed > 0
+        if ordered:
+            new_mark, new_key = watermark.keyset_mark(sent, _keys(spark, f"{book}/failed") if failed else None,
+                                                      spec.epoch_col, (old, old_key))
+        else:
+            new_mark = watermark.next_mark(spec.mark_rule, spec.feed, sent, delivered_events, old, now, spec.epoch_col,
+                                           held=held_back)
+            new_key = old_key if held_back else None
         mine = spark.createDataFrame([(spec.feed, new_mark, last_full_scan or None, int(now))], S.WATERMARK_SCHEMA)
         if spec.mode != "snapshot_diff":
             mine = mine.drop("last_full_scan")
@@ -209,7 +228,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             mine = mine.withColumn("last_full_scan", F.lit(int(now)).cast("bigint"))
         version = commit_version if commit_version is not None else (S.current_version(spark, state_base) or 0) + 1
         stream_state = {"last_batch": max(stream_batch, -1 if taken["last_batch"] is None else taken["last_batch"]),
-                        "pending": book} if streaming else None
+                        "pending": book} if streaming else {"mark_key": new_key}
         trimmed = 0
         reported_go = spec.mode == "snapshot_diff" and emit == "once"
         if current_keys is None and not reported_go and not max_ids and state_version is None and new_keys.isEmpty():
@@ -257,7 +276,7 @@ def _jobs_in_one_pass(jobs: list[tuple[FeedSpec, DataFrame, list[str]]], raw_col
     for job in jobs:
         spec, source, _ = job
         alike = raw_cols.get(spec.feed) and spec.mode == "incremental" and spec.transform is None and not (
-            kw.get("within_run") or kw.get("version_col"))
+            kw.get("within_run") or kw.get("version_col") or kw.get("keyset"))
         out.setdefault((spec.group, id(source), raw_cols[spec.feed]) if alike else spec.feed, []).append(job)
     return list(out.values())
 
@@ -284,7 +303,7 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
         specs, (spec, source, cols) = [j[0] for j in batch], batch[0]
         try:
             if len(batch) > 1:
-                own = {k: v for k, v in kw.items() if k not in ("within_run", "version_col")}
+                own = {k: v for k, v in kw.items() if k not in ("within_run", "version_col", "keyset")}
                 done = run_group(spark, specs, source, state_base, outbox_base, now, run_id, raw_cols[spec.feed], **own)
             else:
                 done = {spec.feed: run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
