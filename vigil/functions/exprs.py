@@ -103,6 +103,26 @@ def with_default(c: Column | str, default) -> Column:
     return F.coalesce(_c(c), F.lit(default))
 
 
+def json_presence(raw: Column | str, *path: str) -> Column:
+    """What a JSON document holds at ``path``: ``value``, ``null`` (written out), ``missing`` (the last
+    name is not there), ``no_parent`` (an object above it is missing, null or no object) or ``bad`` (no JSON).
+
+    An empty text and a null are ``bad``. Of a repeated name the parser takes none: ``bad`` as well.
+    """
+    doc = F.try_parse_json(_c(raw))
+
+    def at(names):
+        return doc if not names else F.try_variant_get(doc, "$" + "".join(f"['{n}']" for n in names), "variant")
+
+    kind = F.schema_of_variant(at(path[:-1]))
+    own = at(path)
+    return (F.when(doc.isNull(), F.lit("bad"))
+            .when(~F.coalesce(F.startswith(kind, F.lit("OBJECT")), F.lit(False)), F.lit("no_parent"))
+            .when(own.isNull(), F.lit("missing"))
+            .when(F.is_variant_null(own), F.lit("null"))
+            .otherwise(F.lit("value")))
+
+
 def to_json_keep_nulls(c: Column | str) -> Column:
     """Compact JSON that keeps null fields (the default writer drops them)."""
     return F.to_json(_c(c), {"ignoreNullFields": "false"})

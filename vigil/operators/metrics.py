@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -82,6 +82,26 @@ def progress_rows(run_log: DataFrame, interval: int, order_cols=("ts", "run_id")
                         X.guarded_rate(F.col(count_col), elapsed, 2).alias("rate"))
 
 
+def delivery_progress(delivery_log: DataFrame, tick_s: int, by=("scope",), ts_col: str = "ts") -> DataFrame:
+    """Running totals of a delivery, a row per ``tick_s`` seconds in which a batch was answered.
+
+    Every batch is added to its tick (combined in the tasks); only ticks, whose number is bounded by the run's length,
+    are put in order. Elapsed time runs from the first answer of the scope to the last one of the tick.
+    """
+    by, us = list(by), X.epoch_micros(ts_col)
+    ok = F.col("status_code") == 200
+    ticks = delivery_log.filter(F.col(ts_col).isNotNull()).groupBy(
+        *by, F.floor(us / F.lit(int(tick_s) * 1_000_000)).cast("bigint").alias("tick")).agg(
+        F.coalesce(F.sum(F.when(ok, F.col("event_count"))), F.lit(0)).cast("bigint").alias("events"),
+        F.sum(F.when(ok, 0).otherwise(1)).cast("bigint").alias("errors"), F.min(us).alias("_first"), F.max(us).alias("_last"))
+    upto = Window.partitionBy(*by).orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
+    elapsed = (F.col("_last") - F.min("_first").over(upto)).cast("double") / F.lit(1e6)
+    total = F.sum("events").over(upto).cast("bigint")
+    return ticks.select(*by, "tick", "events", "errors", total.alias("total"), elapsed.alias("_elapsed")).select(
+        *by, "tick", "events", "errors", "total", F.round("_elapsed", 3).alias("elapsed_s"),
+        X.guarded_rate("total", "_elapsed", 2).alias("rate"))
+
+
 def feed_completion(run_log: DataFrame, duration_col: str = "duration", digits: int = 0) -> DataFrame:
     """Per feed: processed vs sent (they differ when batches fail), minutes, events/s (whole, or ``digits``)."""
     agg = run_log.groupBy("feed").agg(F.sum("event_count").cast("bigint").alias("processed"),

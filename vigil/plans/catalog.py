@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import batching, dedup, diff, envelope, flatten, metrics, watermark
+from ..operators import batching, dedup, diff, envelope, flatten, lateness, metrics, watermark
 from ..operators import filters as P
 from ..operators import sink
 from ..operators import state as S
@@ -893,6 +893,28 @@ def progress_rate(spark, d):
     return metrics.progress_rows(L.run_log(spark, d), PROGRESS_EVERY)
 
 
+PROGRESS_TICK_S = 3600
+
+
+@register("run_progress", V(f"""
+WITH t AS (
+  SELECT concat('scope-', CAST(batch_id % 4 AS VARCHAR)) AS scope,
+         CAST(FLOOR(epoch_us(ts) / {PROGRESS_TICK_S * 1000000}.0) AS BIGINT) AS tick,
+         CAST(COALESCE(SUM(CASE WHEN status_code = 200 THEN event_count END), 0) AS BIGINT) AS events,
+         CAST(SUM(CASE WHEN status_code = 200 THEN 0 ELSE 1 END) AS BIGINT) AS errors,
+         MIN(epoch_us(ts)) AS t0, MAX(epoch_us(ts)) AS t1
+  FROM v_delivery_log WHERE ts IS NOT NULL GROUP BY 1, 2),
+r AS (
+  SELECT scope, tick, events, errors, CAST(SUM(events) OVER w AS BIGINT) AS total,
+         (t1 - MIN(t0) OVER w) / 1e6 AS el
+  FROM t WINDOW w AS (PARTITION BY scope ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT scope, tick, events, errors, total, {rnd("el", 3)} AS elapsed_s,
+       {rnd("CASE WHEN el > 0 THEN total / el ELSE 0 END", 2)} AS rate FROM r""", "v_delivery_log"))
+def run_progress(spark, d):
+    log = L.delivery_log(spark, d).withColumn("scope", F.concat(F.lit("scope-"), (F.col("batch_id") % 4).cast("string")))
+    return metrics.delivery_progress(log, PROGRESS_TICK_S)
+
+
 @register("errors_recent", V("""
 SELECT error_id, feed_no, epoch_us(ts) AS ts_us FROM v_error_log ORDER BY ts DESC, error_id DESC LIMIT 10""",
                              "v_error_log"))
@@ -1094,6 +1116,23 @@ def nested_default(spark, d):
                     X.with_default("port.protocol", "tcp").alias("protocol"))
 
 
+@register("null_or_missing", V("""
+SELECT vuln_key, CASE WHEN ord_b = 1 THEN 'no_parent' WHEN ord_b = 2 THEN 'no_parent' WHEN ord_b = 3 THEN 'missing'
+                      WHEN ord_b = 4 THEN 'bad' WHEN protocol IS NULL THEN 'null' ELSE 'value' END AS presence,
+       COUNT(*) AS n
+FROM v_vulns_keyed GROUP BY 1, 2""", "v_vulns_keyed"))
+def null_or_missing(spark, d):
+    """The raw documents of all vulnerabilities, some without the port, with a null one, without a protocol or cut off."""
+    full = F.to_json(F.struct("port", "severity"), {"ignoreNullFields": "false"})
+    raw = (F.when(F.col("ord_b") == 1, F.to_json(F.struct("severity")))
+           .when(F.col("ord_b") == 2, F.concat(F.lit('{"port":null,"severity":"'), "severity", F.lit('"}')))
+           .when(F.col("ord_b") == 3, F.to_json(F.struct(F.struct(F.coalesce("port.port", F.lit(0)).alias("port")).alias("port"))))
+           .when(F.col("ord_b") == 4, F.expr("substring(j, 1, length(j) - 1)")).otherwise(F.col("j")))
+    docs = vuln_source(spark, d).withColumn("j", full)
+    return docs.select(REGISTRY["vulnerability"].key().alias("vuln_key"), X.json_presence(raw, "port", "protocol").alias(
+        "presence")).groupBy("vuln_key", "presence").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("event_json", V(f"""
 SELECT vuln_key, protocol, protocol IS NULL AS null_kept FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""",
                           "v_vulns_keyed"))
@@ -1253,6 +1292,33 @@ def incremental_late(spark, d):
                          lateness_s=LATENESS_S).select("id", "updated_epoch")
 
 
+LATE_SHARE = 0.9
+
+
+@register("late_audit", V(f"""
+WITH newest AS (
+  SELECT vuln_key, MAX(CAST(epoch_us(last_found) // 1000000 AS BIGINT)) AS at_epoch FROM v_vulns_keyed
+  WHERE severity IN {ACTIVE_SQL} GROUP BY vuln_key),
+late AS (
+  SELECT {MARK_1998} - at_epoch AS late_s FROM newest n WHERE at_epoch <= {MARK_1998}
+    AND NOT EXISTS (SELECT 1 FROM v_state s WHERE s.feed = 'vulnerability' AND s.item_id = n.vuln_key)),
+b AS (
+  SELECT CASE WHEN late_s <= 0 THEN CAST(1 AS BIGINT) ELSE CAST(1 AS BIGINT) << CAST(length(bin(late_s)) AS INTEGER) END AS edge_s,
+         CAST(COUNT(*) AS BIGINT) AS keys FROM late GROUP BY 1),
+h AS (SELECT edge_s, keys, SUM(keys) OVER (ORDER BY edge_s) / SUM(keys) OVER () AS share FROM b)
+SELECT edge_s, keys, {rnd("share", 6)} AS share,
+       edge_s <= (SELECT MIN(edge_s) FROM h WHERE share >= {LATE_SHARE}) AS covered FROM h""", "v_vulns_keyed", "v_state"))
+def late_audit(spark, d):
+    """Keys that landed at or below a mark and are not in the state, by lateness, and the buckets that the lateness
+    chosen for nine tenths of them covers."""
+    spec = REGISTRY["vulnerability"]
+    seen = L.state(spark, d).filter(F.col("feed") == spec.feed)
+    late = lateness.undelivered(feeds.extract(spec, vuln_source(spark, d)), seen, spec.epoch_col, MARK_1998)
+    hist = lateness.histogram(late).checkpoint()
+    chosen = lateness.covering(hist, LATE_SHARE)
+    return hist.select("edge_s", "keys", F.round("share", 6).alias("share"), (F.col("edge_s") <= F.lit(chosen)).alias("covered"))
+
+
 # ---- 2.10 extension surface --------------------------------------------------------------
 
 CUSTOM_SPEC = FeedSpec(

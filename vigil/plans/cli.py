@@ -3,6 +3,7 @@
     python -m vigil run --landing L --state S --outbox O --logs G [--feed all|a,b]
                         [--daemon SECONDS] [--max-events N] [--batch-size N] ...
     python -m vigil state list|stats|clear|sweep|migrate --state S ...
+    python -m vigil audit --landing L --state S --feed F [--share 0.99]
 
 Landing layout (JSON-lines export documents, optionally partitioned by
 ``ingest_date=YYYY-MM-DD``): ``assets/ vulns/ families/ family_details/
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import flatten
+from ..operators import flatten, lateness
 from ..operators import state as S
 from ..sources import landing, readers
-from . import registry as R
+from . import feeds, registry as R
 from .group import SNAPSHOT_RECORDS
 from .run import DEFAULT_TRANSPORT, run_once
 
@@ -109,6 +110,12 @@ def parse(argv=None) -> argparse.Namespace:
     st.add_argument("--once", action="store_true", help="availableNow: process what has landed, then stop")
     st.add_argument("--interval", type=int, default=60)
     _run_options(st)
+    au = sub.add_parser("audit", help="landed records below a feed's mark that were never sent, by lateness")
+    au.add_argument("--landing", required=True)
+    au.add_argument("--state", required=True)
+    au.add_argument("--feed", required=True)
+    au.add_argument("--share", type=float, default=0.99, help="share of the late keys that the lateness is to cover")
+    au.add_argument("--registry", default=None, help="module:name with further feed specs")
     sp = sub.add_parser("state", help="look after a state store: list, stats, clear, sweep, migrate")
     sp.add_argument("action", choices=["list", "stats", "clear", "sweep", "migrate"])
     sp.add_argument("--state", required=True)
@@ -145,6 +152,20 @@ def state_command(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
     return [r.asDict() for r in S.stats(state, S.load_marks(spark, a.state), now, a.retention_days).orderBy("feed").collect()]
 
 
+def audit(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
+    """Buckets of lateness, then the lateness that covers ``--share`` of the late keys."""
+    reg = load_registry(a.registry)
+    spec = reg[R.select_feeds([a.feed], reg)[0]]
+    if spec.mode != "incremental" or not spec.epoch_col:
+        raise ValueError(f"{spec.feed} has no mark of time to be late for")
+    source, _, _ = feed_source(spark, a.landing, spec)
+    mark = S.load_marks(spark, a.state).filter(F.col("feed") == spec.feed).agg(F.max("last_timestamp")).first()[0] or 0
+    late = lateness.undelivered(feeds.extract(spec, source), S.load(spark, a.state, spec.feed), spec.epoch_col, mark)
+    hist = lateness.histogram(late).checkpoint()
+    return [*[r.asDict() for r in hist.orderBy("edge_s").collect()],       # 64 rows at most
+            {"feed": spec.feed, "mark": int(mark), "lateness_s": lateness.covering(hist, a.share)}]
+
+
 def stream(spark: SparkSession, a: argparse.Namespace):
     from ..streaming.runner import stream_documents
 
@@ -184,8 +205,8 @@ def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
         if not a.once:
             q.awaitTermination()
         return []
-    if a.cmd == "state":
-        rows = state_command(spark, a)
+    if a.cmd in ("state", "audit"):
+        rows = state_command(spark, a) if a.cmd == "state" else audit(spark, a)
         for row in rows:
             print(row, flush=True)
         return rows

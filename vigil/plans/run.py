@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,22 +282,38 @@ def _jobs_in_one_pass(jobs: list[tuple[FeedSpec, DataFrame, list[str]]], raw_col
     return list(out.values())
 
 
+PROGRESS_SCHEMA = ("run_id string, scope string, tick bigint, events bigint, errors bigint, total bigint, "
+                   "elapsed_s double, rate double")
+
+
+def _progress(spark: SparkSession, outbox_base: str, run_id: int, scopes: list[str], tick_s: int) -> DataFrame | None:
+    """Progress rows of a run from the delivery logs its tasks wrote, per feed or group that was sent."""
+    root = f"{outbox_base.rstrip('/')}/_delivery/run={run_id}"
+    logs = [event_sink.read_delivery_log(spark, f"{root}/{s}/log").withColumn("scope", F.lit(s))
+            for s in scopes if paths.exists(spark, f"{root}/{s}/log")]
+    if not logs:
+        return None
+    rows = metrics.delivery_progress(reduce(DataFrame.unionByName, logs), tick_s)
+    return rows.withColumn("run_id", F.lit(str(run_id)))
+
+
 def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str]]], state_base: str,
              outbox_base: str, log_base: str, now: int, run_id: int, raw_cols: dict[str, str | None] | None = None,
-             one_pass: bool = False, **kw) -> DataFrame:
+             one_pass: bool = False, progress_s: int = 60, **kw) -> DataFrame:
     """Run several feeds; a failing feed is recorded and does not stop the others.
 
     With ``one_pass`` incremental feeds of one export run as a group (``plans.group``): one scan, one delivery
     and one commit. Appends one ``run_log`` row per feed (status ``ok`` / ``skipped`` / ``error``)
     and one ``error_log`` row per failure, then returns the run summary computed
-    from those logs, with totals per feed group.
+    from those logs, with totals per feed group. ``progress_log`` gets a row per ``progress_s`` seconds of delivery and
+    feed (``feed=F``, or ``group=G`` for one pass): events, running total and rate; 0 writes none.
     """
     import datetime as dt
 
     from .group import run_group
 
     paths.require_shared(spark, log_base, "logs")
-    runs, errors, started = [], [], time.time()
+    runs, errors, scopes, started = [], [], [], time.time()
     ts = dt.datetime.fromtimestamp(int(now), dt.timezone.utc).replace(tzinfo=None)
     raw_cols = raw_cols or {}
     for batch in _jobs_in_one_pass(jobs, raw_cols, kw) if one_pass else [[j] for j in jobs]:
@@ -308,6 +325,7 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
             else:
                 done = {spec.feed: run_feed(spark, spec, source, state_base, outbox_base, now, run_id, cols,
                                             raw_col=raw_cols.get(spec.feed), **kw)}
+            scopes.append(f"group={spec.group}" if len(batch) > 1 else f"feed={spec.feed}")
             for s in specs:
                 r = done[s.feed]
                 runs.append((str(run_id), s.feed, s.group, r.events, r.delivered_events, float(r.seconds),
@@ -319,6 +337,10 @@ def run_once(spark: SparkSession, jobs: list[tuple[FeedSpec, DataFrame, list[str
     # processed (event_count) and sent differ when batches fail
     spark.createDataFrame(runs, RUN_SCHEMA).write.mode("append").parquet(f"{log_base}/run_log")
     spark.createDataFrame(errors, ERROR_SCHEMA).write.mode("append").parquet(f"{log_base}/error_log")
+    rows = _progress(spark, outbox_base, run_id, scopes, progress_s) if progress_s else None
+    if rows is not None:
+        rows.select([f.split()[0] for f in PROGRESS_SCHEMA.split(", ")]).coalesce(1).write.mode("append").parquet(
+            f"{log_base}/progress_log")
     run_log = spark.read.parquet(f"{log_base}/run_log").filter(F.col("run_id") == str(run_id))
     error_log = spark.read.parquet(f"{log_base}/error_log").filter(F.col("run_id") == str(run_id))
     summary = metrics.run_summary(run_log.withColumnRenamed("duration", "duration_s"), error_log,
