@@ -176,6 +176,20 @@ def test_one_of_each_group_stays(docs, rows):
     assert got == Counter({c for _, c in want.values()})
 
 
+def test_unrelated_texts_under_one_id_stay(spark):
+    long_a, long_b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    near_a = long_a.replace("a59", "other")
+    given = [(1, long_a, "x"), (1, long_a, "y"), (1, long_b, "z"), (1, "", "e"), (1, None, "n"), (1, near_a, "m"),
+             (2, near_a, "x"), (2, "some words of its own that nobody else has", "o"), (3, long_b, "z"), (None, long_a, "q")]
+    table = spark.createDataFrame(given, "doc_id long, text string, source string")
+    one, two = (sorted(map(repr, jaccard.accept(t).collect())) for t in (table, table.repartition(5, "source")))
+    assert one == two
+    got = Counter((r.doc_id, "a" if r.text in (long_a, near_a) else r.text) for r in jaccard.accept(table).collect())
+    assert got == {(1, "a"): 1, (1, long_b): 1, (1, ""): 1, (1, None): 1,
+                   (2, "some words of its own that nobody else has"): 1, (None, "a"): 1}
+
+
+
 # token files
 
 def test_token_files(docs, rows, spark):
