@@ -6,6 +6,8 @@ its batch id and overwritten on retry, so re-running a batch is idempotent.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,13 +25,24 @@ def write_outbox(envelopes_json: DataFrame, path: str, json_col: str = "json",
      .text(path))
 
 
-def read_outbox(spark: SparkSession, path: str, event_schema: StructType | None = None) -> DataFrame:
-    """Read delivered lines back; ``event`` stays raw JSON unless a schema is given."""
-    lines = spark.read.text(path)
-    env = lines.select(F.from_json("value", ENVELOPE_SCHEMA).alias("e"), "value").select("e.*", "value")
+def read_outbox(spark: SparkSession, path: str | Sequence[str], event_schema: StructType | str | None = None) -> DataFrame:
+    """Read delivered lines back; ``event`` stays raw JSON unless a schema is given, then one parse reads both.
+
+    A pattern for file names is left to the reader of their folder: as a path it would name every batch, and
+    each would be listed on its own.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    found = {p.rpartition("/")[2] for p in paths}
+    reader = spark.read
+    if len(found) == 1 and "*" in min(found):
+        reader, paths = reader.option("pathGlobFilter", min(found)), [p.rpartition("/")[0] for p in paths]
+    schema = ENVELOPE_SCHEMA
     if event_schema is not None:
-        env = env.withColumn("event", F.from_json("event", event_schema))
-    return env
+        event = StructType.fromDDL(event_schema) if isinstance(event_schema, str) else event_schema
+        schema = StructType([StructField("event", event) if f.name == "event" else f for f in schema])
+    # as an exploded element the parsed line is made once, whatever reads its fields
+    return reader.text(paths).select(F.explode(F.array(F.from_json("value", schema))).alias("e"), "value").select(
+        "e.*", "value")
 
 
 def outcome(delivery_log: DataFrame) -> DataFrame:

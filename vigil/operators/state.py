@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions import exprs as X
+from ..session import no_rows
 from ..sources import paths
 from .ordinal import with_ordinal
 
@@ -57,7 +58,7 @@ def normalize(state: DataFrame) -> DataFrame:
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STATE_SCHEMA)
+    return no_rows(spark, STATE_SCHEMA)
 
 
 def cutoff_ts(now: int, retention_days: int) -> Column:

@@ -96,7 +96,7 @@ def next_mark(rule: str, feed: str, events: DataFrame, delivered: DataFrame, old
         rows = delivered.select(F.lit(feed).alias("feed"), F.col(epoch_col))
         return int(data_mark(rows, old_row, epoch_col, held=held_row).first()["new_mark"])
     if rule == "clock":
-        rows = events.select(F.lit(feed).alias("feed"))
+        rows = events.select(F.lit(feed).alias("feed")).limit(1)       # the rule asks for any event, not for all
         return int(clock_mark(rows, old_row, now, held=held_row).first()["new_mark"])
     if rule == "scans" and epoch_col:
         return int(scan_mark(delivered, old, epoch_col, held).first()["new_mark"])

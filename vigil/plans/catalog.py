@@ -196,7 +196,8 @@ def active_wrapped(spark, d, dedup_state: bool = False) -> DataFrame:
 
 def envelope_scalars(env: DataFrame) -> DataFrame:
     """Scalars parsed back from delivered JSON lines."""
-    ev = env.withColumn("ev", F.from_json("event", EVENT_SCHEMA))   # one parse per line
+    parsed = F.col("event") if env.schema["event"].dataType.typeName() == "struct" else F.from_json("event", EVENT_SCHEMA)
+    ev = env.withColumn("ev", parsed)
     return ev.select("ev.vuln_key", "ev.plugin_id", "ev.port", "ev.protocol", "ev.severity",
                      "sourcetype", "source", F.col("index").alias("event_index"), "host", "time",
                      F.col("fields.feed_type").alias("feed_type"), F.col("fields.feed_name").alias("feed_name"))
@@ -208,7 +209,7 @@ FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""", "v_vulns_keyed"))
 def sink_outbox(spark, d):
     path = work_dir(spark, "outbox")
     sink.write_outbox(active_wrapped(spark, d), path)
-    return envelope_scalars(sink.read_outbox(spark, path))
+    return envelope_scalars(sink.read_outbox(spark, path, EVENT_SCHEMA))
 
 
 @register("sink_delivery", V(f"""
@@ -224,7 +225,7 @@ def sink_delivery(spark, d):
     failed = event_sink.read_delivery_log(spark, f"{root}/log").filter(F.col("status_code") != 200).count()
     if failed:
         raise RuntimeError(f"{failed} delivery batches failed")
-    return envelope_scalars(sink.read_outbox(spark, f"{root}/posted/*.json.gz"))
+    return envelope_scalars(sink.read_outbox(spark, f"{root}/posted/*.json.gz", EVENT_SCHEMA))
 
 
 RECORDED_BATCHES = 1000
@@ -267,7 +268,7 @@ def failed_batch_resend(spark, d):
         run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", NOW, run_id, feeds.VULN_EVENT_COLS,
                  retention_days=RET, shape=feeds.flat_vuln_event, **how)
     return envelope_scalars(sink.read_outbox(spark, [f"{root}/outbox/run=1/feed={spec.feed}/*.gz",
-                                                     f"{root}/outbox/run=2/feed={spec.feed}/*.gz"]))
+                                                     f"{root}/outbox/run=2/feed={spec.feed}/*.gz"], EVENT_SCHEMA))
 
 
 @register("landing_run", V(f"""
@@ -1031,8 +1032,8 @@ def group_run(spark, d):
         X.vuln_key("asset.uuid", "plugin.id", "port.port", "port.protocol").alias("vuln_key"), "severity")))
     run_group(spark, [REGISTRY[f] for f in GROUP_FEEDS], src, f"{root}/state", f"{root}/outbox", NOW, 1, "doc",
               retention_days=RET)
-    env = sink.read_outbox(spark, f"{root}/outbox/run=1/group=vulnerabilities/*.gz")
-    key = F.coalesce(F.get_json_object("event", "$.vuln_key"), F.get_json_object("event", "$.vulnerability_key"))
+    env = sink.read_outbox(spark, f"{root}/outbox/run=1/group=vulnerabilities/*.gz", "vuln_key string, vulnerability_key string")
+    key = F.coalesce("event.vuln_key", "event.vulnerability_key")
     return env.select(F.col("fields.feed_type").alias("feed_type"), key.alias("vuln_key"), "sourcetype")
 
 
@@ -1232,9 +1233,8 @@ def stream_resend(spark, d):
         run_feed_available_now(spark, d, with_state=False, root=root, **how)
 
     def sent(run: str, first: bool) -> DataFrame:
-        env = sink.read_outbox(spark, f"{root}/outbox/run={run}/feed=vulnerability/*.gz")
-        ev = env.select(F.from_json("event", EVENT_SCHEMA).alias("ev"))
-        return ev.select(*[F.col(f"ev.{c}") for c in feeds.VULN_EVENT_COLS], F.lit(first).alias("first_try"))
+        env = sink.read_outbox(spark, f"{root}/outbox/run={run}/feed=vulnerability/*.gz", EVENT_SCHEMA)
+        return env.select(*[F.col(f"event.{c}") for c in feeds.VULN_EVENT_COLS], F.lit(first).alias("first_try"))
     return sent("0", True).unionByName(sent("resend-*", False))
 
 
@@ -1276,8 +1276,8 @@ def stream_snapshot_diff(spark, d):
         stream_documents(spark, spec, f"{root}/vulns", f"{root}/run", now=NOW + run_no, retention_days=RET)
         out = f"{root}/run/outbox/run={run_no - 1}/feed={spec.feed}"
         if any(n.endswith(".gz") for n in paths.names(spark, out)):
-            sent.append(sink.read_outbox(spark, f"{out}/*.gz").select(F.lit(run_no).alias("run_no"), F.get_json_object(
-                "event", "$.vulnerability_key").alias("vuln_key")))
+            sent.append(sink.read_outbox(spark, f"{out}/*.gz", "vulnerability_key string").select(
+                F.lit(run_no).alias("run_no"), F.col("event.vulnerability_key").alias("vuln_key")))
     return reduce(DataFrame.unionByName, sent) if sent else spark.createDataFrame([], "run_no int, vuln_key string")
 
 

@@ -143,14 +143,15 @@ class SnapshotTooSmall(RuntimeError):
 
 def run_snapshot_diff(spec: FeedSpec, source: DataFrame, state: DataFrame, now: int,
                       retention_days: int = S.DEFAULT_RETENTION_DAYS,
-                      min_snapshot_ratio: float | None = None) -> DataFrame:
+                      min_snapshot_ratio: float | None = None, current_keys: DataFrame | None = None) -> DataFrame:
     """Keys in this feed's own state that the current snapshot lacks.
 
     ``min_snapshot_ratio`` refuses to report deletions when the current snapshot
     holds fewer than that share of the previous keys (an empty-but-successful
     export would otherwise report everything gone). Off by default (parity).
+    ``current_keys`` are the snapshot's ``item_id`` where the caller has them already.
     """
-    current = extract(spec, source).select(F.col("item_id").alias("k"))
+    current = (extract(spec, source) if current_keys is None else current_keys).select(F.col("item_id").alias("k"))
     prev = S.active_keys(state, now, retention_days, feed=spec.feed).select(F.col("item_id").alias("k"))
     if min_snapshot_ratio:
         n_prev, n_curr = prev.count(), current.select("k").distinct().count()   # two scalars

@@ -26,6 +26,7 @@ from ..functions import exprs as X
 from ..operators import dedup, metrics, sink, watermark
 from ..operators import state as S
 from ..operators.ordinal import with_ordinal
+from ..session import no_rows
 from ..sources import event_sink, paths
 from . import feeds
 from .registry import FeedSpec
@@ -55,10 +56,10 @@ def _mark(marks: DataFrame, feed: str, name: str) -> int:
 
 
 def _keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys that the sink's tasks wrote; a folder that no task opened has none."""
+    """Keys that the sink's tasks wrote, one row per event; a folder that no task opened has none."""
     if not paths.exists(spark, folder):
-        return spark.createDataFrame([], "item_id string")
-    return spark.read.schema("item_id string").parquet(folder).filter(F.col("item_id").isNotNull()).distinct()
+        return no_rows(spark, "item_id string")
+    return spark.read.schema("item_id string").parquet(folder).filter(F.col("item_id").isNotNull())
 
 
 RETRY_DDL = "batch_id string, item_id string, event string"
@@ -67,7 +68,7 @@ RETRY_DDL = "batch_id string, item_id string, event string"
 def pending_events(spark: SparkSession, book: str | None) -> DataFrame:
     """(batch_id, item_id, event) that the run with the delivery folder ``book`` left unsent."""
     folders = [f for f in (f"{book}/retry", f"{book}/over_cap") if book and paths.exists(spark, f)]
-    return spark.read.schema(RETRY_DDL).parquet(*folders) if folders else spark.createDataFrame([], RETRY_DDL)
+    return spark.read.schema(RETRY_DDL).parquet(*folders) if folders else no_rows(spark, RETRY_DDL)
 
 
 def has_pending(spark: SparkSession, state_base: str, feed: str) -> bool:
@@ -125,12 +126,17 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
                 return RunResult(0, 0, 0, old, old, False, round(time.time() - t0, 3), skipped=True)
         key_col = "asset_id" if spec.source == "assets" else "vulnerability_key"
         if source is None:      # no snapshot to compare with: only the retry table is sent
-            events = spark.createDataFrame([], ", ".join(f"{c} string" for c in (key_col, "item_id")))
+            events = no_rows(spark, ", ".join(f"{c} string" for c in (key_col, "item_id")))
             current_keys, record_cols = None, [key_col]
         else:
-            events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio)
+            current_keys = feeds.extract(spec, source).select("item_id").persist()      # compared, then committed
+            try:
+                events = feeds.run_snapshot_diff(spec, source, current, now, retention_days, min_snapshot_ratio,
+                                                 current_keys)
+            except feeds.SnapshotTooSmall:
+                current_keys.unpersist()
+                raise
             events = events.withColumn("item_id", F.col(key_col))
-            current_keys = feeds.extract(spec, source).select("item_id")
     else:
         # a file stream is incremental by its offsets; re-applying the clock mark would drop
         # records that landed late, so streaming runs use none
@@ -164,9 +170,11 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         lines = feeds.wrap(shaped, spec, now, record_cols, raw_col=raw_col if spec.mode != "snapshot_diff" else None)
         if streaming:
             old_lines = waiting.select(F.col("item_id"), F.col("event").alias("json"), F.lit(0).alias("_age"))
-            lines = held = old_lines.unionByName(lines.select(
-                F.col("item_id").cast("string").alias("item_id"), "json", F.lit(1).alias("_age"))).persist()
-            available = held.count()
+            lines = old_lines.unionByName(lines.select(
+                F.col("item_id").cast("string").alias("item_id"), "json", F.lit(1).alias("_age")))
+            if capped:          # ranked in several passes
+                lines = held = lines.persist()
+            available = lines.count()
             if capped and available > max_events:       # what waited longest goes first
                 truncated = True
                 ranked = with_ordinal(lines, ["_age", "item_id", "json"], name="_cap_rn")
@@ -198,7 +206,10 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         # a key with an event in an undelivered batch is not committed, whatever else was sent of it
         delivered = _keys(spark, f"{book}/keys").join(_keys(spark, f"{book}/failed"), "item_id", "left_anti").join(
             _keys(spark, f"{book}/over_cap"), "item_id", "left_anti")
-        delivered_events = sent.join(delivered, "item_id", "left_semi")
+        if n_delivered + refused == n_events and not (streaming and truncated):     # then all of them are among the keys
+            delivered_events = sent.filter(F.col("item_id").isNotNull())
+        else:
+            delivered_events = sent.join(delivered, "item_id", "left_semi")
         seen = F.timestamp_seconds(F.lit(int(now)))
         if current_keys is not None:
             # snapshot feeds: refresh every current key; reported keys are not refreshed
@@ -207,7 +218,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             # under a cap the order of the records decides which keys are the newest
             first = sent.groupBy(F.col("item_id").cast("string").alias("item_id")).agg(
                 F.min(spec.epoch_col or "item_id").alias("_at"))
-            ranked = delivered.join(first, "item_id", "left").select(F.lit(spec.feed).alias("feed"), "item_id", "_at")
+            ranked = delivered.distinct().join(first, "item_id", "left").select(F.lit(spec.feed).alias("feed"), "item_id", "_at")
             new_keys = S.stamp(ranked, ["_at", "item_id"], int(now) * 1_000_000)
         else:
             new_keys = delivered.select(F.lit(spec.feed).alias("feed"), "item_id", seen.alias("seen_at"))
@@ -241,7 +252,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             added = None
             if buckets and not max_ids and spec.mode != "snapshot_diff":
                 # the delivered keys are distinct and the newest: what they don't renew stays in its buckets
-                merged, added = S.expire(S.unrenewed(base_state, new_keys), now, retention_days), new_keys
+                added = new_keys.distinct()
+                merged = S.expire(S.unrenewed(base_state, new_keys), now, retention_days)
             else:
                 merged = S.expire(S.upsert(base_state, new_keys), now, retention_days)
             if max_ids:
@@ -252,6 +264,8 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             merged.unpersist()
     finally:
         events.unpersist()
+        if current_keys is not None:
+            current_keys.unpersist()
         if held is not None:
             held.unpersist()
     over = available - n_events if streaming else 0

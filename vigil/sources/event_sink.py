@@ -83,34 +83,50 @@ def greedy_batches(lengths, batch_size: int, max_bytes: int, keys=None) -> list[
     With ``keys`` (sorted), a run of one key that fits a batch is not cut: the batch
     before it is closed instead.
     """
+    import numpy as np
+
     n = len(lengths)
-    ends = []           # where a group ends; a group is an event, or all events of a key
-    if keys is None:
-        ends = list(range(1, n + 1))
-    else:
-        ends = [i for i in range(1, n + 1) if i == n or keys[i] != keys[i - 1]]
-    out, start, cur, at = [], 0, 0, 0
-    for end in ends:
-        size = sum(int(x) for x in lengths[at:end]) + (end - at - 1)
-        whole = end - at <= batch_size and size <= max_bytes
-        if whole and at > start and (end - start > batch_size or cur + 1 + size > max_bytes):
+    upto = np.zeros(n + 1, np.int64)
+    np.cumsum(np.asarray(lengths, np.int64) + 1, out=upto[1:])      # lines [a, b) take upto[b] - upto[a] - 1 bytes
+    # where a group ends; a group is an event, or all events of a key
+    ends = np.arange(1, n + 1) if keys is None else _run_ends(keys)
+    ends_upto = upto[ends]
+    out, start, g = [], 0, 0
+    while g < len(ends):
+        fit = min(int(np.searchsorted(ends, start + batch_size, "right")),
+                  int(np.searchsorted(ends_upto, upto[start] + max_bytes + 1, "right")))
+        g = max(g, fit)         # these groups share the batch that began at start
+        if g == len(ends):
+            break
+        at, end = (int(ends[g - 1]) if g else 0), int(ends[g])
+        if end - at <= batch_size and upto[end] - upto[at] - 1 <= max_bytes:
             out.append((start, at))
-            start, cur = at, 0
-        if whole:
-            cur = size if at == start else cur + 1 + size
-        else:
-            for i in range(at, end):
-                x = int(lengths[i])
-                if i > start and (i - start >= batch_size or cur + 1 + x > max_bytes):
-                    out.append((start, i))
-                    start, cur = i, 0
-                cur = x if i == start else cur + 1 + x
-        at = end
+            start = at
+            continue
+        for i in range(at, end):
+            if i > start and (i - start >= batch_size or upto[i + 1] - upto[start] - 1 > max_bytes):
+                out.append((start, i))
+                start = i
+        g += 1
     if start < n:
         out.append((start, n))
     return out
 
 
+def _run_ends(keys):
+    """Ends of the runs of equal keys (a list, or an Arrow column); nulls are equal to each other."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if isinstance(keys, list):
+        return np.array([i for i in range(1, len(keys) + 1) if i == len(keys) or keys[i] != keys[i - 1]], np.int64)
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    a, b = keys.slice(1), keys.slice(0, len(keys) - 1)
+    differ = pc.coalesce(pc.not_equal(a, b), pc.xor(pc.is_null(a), pc.is_null(b)))
+    return np.append(np.flatnonzero(differ.to_numpy(zero_copy_only=False)) + 1, len(keys))
+
+
 @dataclass
 class TaskSummary(WriterCommitMessage):
     partition: int
@@ -191,8 +207,7 @@ class EventBatchWriter(DataSourceArrowWriter):
         def flush_slices(values, keys, final: bool):
             nonlocal seq, events, failed
             lengths = pc.binary_length(pc.cast(values, pa.binary())).to_numpy(zero_copy_only=False)
-            named = keys.to_pylist() if keys is not None else None
-            slices = greedy_batches(lengths, self.batch_size, self.max_bytes, named)
+            slices = greedy_batches(lengths, self.batch_size, self.max_bytes, keys)
             if not final and slices:
                 keep_from = slices[-1][0]          # last batch may still grow: carry it over
                 slices = slices[:-1]
@@ -200,7 +215,8 @@ class EventBatchWriter(DataSourceArrowWriter):
                 keep_from = len(values)
             for a, b in slices:
                 lines = values.slice(a, b - a)
-                body = "\n".join(lines.to_pylist()).encode("utf-8")
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), lines), "\n")
+                body = joined[0].as_buffer().to_pybytes()
                 payload = gzip.compress(body, compresslevel=GZIP_LEVEL, mtime=0)
                 batch_id = f"{self.run_id}-{pid}-{seq}"
                 status, rows = self._post(transport, batch_id, payload, b - a, len(body))

@@ -21,7 +21,7 @@ from ..operators import sink
 from ..operators import state as S
 from ..plans import feeds
 from ..plans.registry import REGISTRY, FeedSpec
-from ..session import work_dir
+from ..session import no_rows, work_dir
 from ..sources import tpc_landing as L
 
 
@@ -31,16 +31,16 @@ def vuln_records(batch: DataFrame) -> DataFrame:
     return L.nest_vulns(flat).withColumn("last_found_epoch", X.epoch_seconds("last_found"))
 
 
-def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: int | None, record_cols: list[str],
-                       **run_kw):
+def make_batch_handler(spec: FeedSpec, state_base: str, outbox_base: str, now: int | None, retention_days: int, max_ids: int,
+                       record_cols: list[str], **run_kw):
     """A micro-batch of lineitem-shaped rows is one streaming ``run_feed``."""
     from ..plans.run import run_feed
 
     def handle(batch: DataFrame, batch_id: int, run_id: int | str | None = None) -> None:
         t = int(now) if now is not None else int(time.time())
         run_feed(batch.sparkSession, spec, vuln_records(batch), state_base, outbox_base, t,
-                 batch_id if run_id is None else run_id, record_cols, stream_batch=batch_id,
-                 shape=feeds.flat_vuln_event, **run_kw)
+                 batch_id if run_id is None else run_id, record_cols, retention_days=retention_days,
+                 max_ids=max_ids, stream_batch=batch_id, shape=feeds.flat_vuln_event, **run_kw)
     return handle
 
 
@@ -77,9 +77,9 @@ def run_feed_available_now(spark: SparkSession, sf_dir: str, with_state: bool =
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(src_dir)
-    handler = make_batch_handler(spec, state_base, outbox, now, feeds.VULN_EVENT_COLS, retention_days=retention_days,
-                                 max_ids=max_ids, **run_kw)
-    resend(spark, spec, state_base, handler, spark.createDataFrame([], schema))
+    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, feeds.VULN_EVENT_COLS,
+                                 **run_kw)
+    resend(spark, spec, state_base, handler, no_rows(spark, schema))
     q = (stream.writeStream.foreachBatch(lambda batch, batch_id: handler(batch, batch_id)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -99,20 +99,18 @@ def start_daemon(spark: SparkSession, sf_dir: str, interval_s: int, root: str, s
     state_base, outbox, ckpt = f"{root}/state", f"{root}/outbox", f"{root}/_checkpoint"
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", source_glob).parquet(source_dir or sf_dir)
-    handler = make_batch_handler(spec, state_base, outbox, now, feeds.VULN_EVENT_COLS, retention_days=retention_days,
-                                 max_ids=max_ids)
-    resend(spark, spec, state_base, handler, spark.createDataFrame([], schema))
+    handler = make_batch_handler(spec, state_base, outbox, now, retention_days, max_ids, feeds.VULN_EVENT_COLS)
+    resend(spark, spec, state_base, handler, no_rows(spark, schema))
     return (stream.writeStream.foreachBatch(lambda batch, batch_id: handler(batch, batch_id)).option("checkpointLocation", ckpt)
             .trigger(processingTime=f"{int(interval_s)} seconds").start())
 
 
 def _outputs(spark: SparkSession, outbox: str, state_base: str, now: int | None = None,
              retention_days: int = S.DEFAULT_RETENTION_DAYS) -> dict[str, DataFrame]:
-    env = sink.read_outbox(spark, f"{outbox}/run=*/feed=*/*.gz")   # every delivered batch of this root
     schema = "vuln_key string, asset_uuid string, plugin_id bigint, port int, protocol string, severity string"
-    ev = env.withColumn("ev", F.from_json("event", schema))
-    events = ev.select("ev.vuln_key", "ev.asset_uuid", "ev.plugin_id", "ev.port", "ev.protocol", "ev.severity",
-                       "sourcetype", "time")
+    env = sink.read_outbox(spark, f"{outbox}/run=*/feed=*/*.gz", schema)   # every delivered batch of this root
+    events = env.select("event.vuln_key", "event.asset_uuid", "event.plugin_id", "event.port", "event.protocol",
+                        "event.severity", "sourcetype", "time")
     state = S.load(spark, state_base)
     return {"events": events, "state": S.active(state, now, retention_days) if now is not None else state}
 
@@ -157,7 +155,7 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
         scans_dir, details_dir = f"{landing_root}/scans", f"{landing_root}/scan_details"
         stream = reader.load(landing_dir).select("value", F.lit(True).alias("_host")).unionByName(
             reader.load(scans_dir).select("value", F.lit(False).alias("_host")))
-        nothing = spark.createDataFrame([], "value string, _host boolean")
+        nothing = no_rows(spark, "value string, _host boolean")
 
         def handle(batch: DataFrame, batch_id: int, run_id: int | str | None = None) -> None:
             s = batch.sparkSession
@@ -188,7 +186,7 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
         from . import snapshots
 
         stream = reader.load(landing_dir).select("value", F.col("_metadata.file_path").alias("file"))
-        nothing = spark.createDataFrame([], "value string, file string")
+        nothing = no_rows(spark, "value string, file string")
 
         def handle(batch: DataFrame, batch_id: int, run_id: int | str | None = None) -> None:
             s = batch.sparkSession
@@ -206,7 +204,7 @@ def stream_documents(spark: SparkSession, spec: FeedSpec, landing_dir: str, root
             snapshots.settle(s, f"{root}/staged", f"{root}/compared", due)
     else:
         stream = reader.load(landing_dir)
-        nothing = spark.createDataFrame([], "value string")
+        nothing = no_rows(spark, "value string")
 
         def handle(batch: DataFrame, batch_id: int, run_id: int | str | None = None) -> None:
             s = batch.sparkSession
