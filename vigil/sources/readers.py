@@ -65,8 +65,9 @@ def parse_documents(lines: DataFrame, schema: StructType) -> DataFrame:
     """
     parts = [c for c in lines.columns if c != "value"]
     flagged = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    # as an exploded element the parsed line is made once; a filter on it would be pushed down and parse again
     parsed = lines.filter(F.trim("value") != "").select(
-        F.from_json("value", flagged, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"),
+        F.explode(F.array(F.from_json("value", flagged, {"columnNameOfCorruptRecord": "_corrupt"}))).alias("d"),
         F.col("value").alias("raw"), *parts)
     # only lines that the parser complains about are looked at a second time
     bad = F.when(F.col("d").isNull() | F.col("d._corrupt").isNotNull(), F.json_object_keys("raw").isNull()).otherwise(False)
