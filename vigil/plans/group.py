@@ -19,6 +19,7 @@ from ..functions import exprs as X
 from ..operators import diff, envelope, watermark
 from ..operators import state as S
 from ..operators.ordinal import with_ordinal
+from ..session import no_rows
 from ..sources import event_sink, paths
 from . import feeds
 from .registry import HOST, INDEX, SOURCE, FeedSpec
@@ -39,7 +40,7 @@ def _by_feed(specs: list[FeedSpec], value) -> Column:
 
 def _outcome(spark: SparkSession, folder: str, schema: str = "item_id string") -> DataFrame:
     """What the sink's tasks wrote, with the feed and the key taken apart."""
-    rows = spark.read.schema(schema).parquet(folder) if paths.exists(spark, folder) else spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(folder) if paths.exists(spark, folder) else no_rows(spark, schema)
     own = F.expr("IF(substring(item_id, instr(item_id, ':') + 1, 1) = 'k', substring(item_id, instr(item_id, ':') + 2), NULL)")
     return rows.withColumn("feed", F.substring_index("item_id", ":", 1)).withColumn("item_id", own)
 
@@ -117,15 +118,17 @@ def run_group(spark: SparkSession, specs: list[FeedSpec], source: DataFrame, sta
         there = tagged.filter(F.col("feed").isin(*[s.feed for s in snapshot]) & F.col("item_id").isNotNull()).select("feed", "item_id")
         if snapshot:
             events = events.unionByName(_vanished(snapshot, there, live, now, min_snapshot_ratio), allowMissingColumns=True)
-        env = envelope.envelope(F.col("_doc"), _by_feed(specs, lambda s: F.lit(s.sourcetype)), SOURCE, INDEX, HOST, now,
-                                _by_feed(specs, lambda s: F.lit(s.feed_type)), _by_feed(specs, lambda s: F.lit(s.label)))
-        lines = events.select("feed", "item_id", "_at", envelope.envelope_json_raw(F.col("_doc"), env).alias("json")).persist()
+        # all but the document is the same for a feed's events: a constant text each
+        line = _by_feed(specs, lambda s: envelope.envelope_json_raw(F.col("_doc"), envelope.envelope(
+            F.lit(""), F.lit(s.sourcetype), SOURCE, INDEX, HOST, now, F.lit(s.feed_type), F.lit(s.label))))
+        lines = events.select("feed", "item_id", "_at", "_doc").persist()
         available = _counts(lines)
+        lines_json = lines.select("feed", "item_id", "_at", line.alias("json"))
         over = {s.feed for s in specs if max_events and s.honours_cap and available.get(s.feed, 0) > max_events}
-        sent = lines
+        sent = lines_json
         if over:
-            ranked = with_ordinal(lines.filter(F.col("feed").isin(*over)), ["item_id", "json"], by=["feed"], name="_rn")
-            sent = lines.filter(~F.col("feed").isin(*over)).unionByName(ranked.filter(F.col("_rn") <= max_events).drop("_rn"))
+            ranked = with_ordinal(lines_json.filter(F.col("feed").isin(*over)), ["item_id", "json"], by=["feed"], name="_rn")
+            sent = lines_json.filter(~F.col("feed").isin(*over)).unionByName(ranked.filter(F.col("_rn") <= max_events).drop("_rn"))
         taken = {f: max_events if f in over else n for f, n in available.items()}
         deliver(sent.withColumn("_key", F.expr(SINK_KEY)), transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
                 batch_size=batch_size, max_bytes=max_bytes, key_column="_key", delivered_keys=f"{book}/keys",
@@ -142,15 +145,20 @@ def run_group(spark: SparkSession, specs: list[FeedSpec], source: DataFrame, sta
                 raise S.StateDamaged(f"{book}/log: events were handed to the sink, which left no log")
             retries = event_sink.read_delivery_log(spark, f"{book}/log").filter(~F.col("final")).count()
         # a key with an event in an undelivered batch is not committed, whatever else was sent of it
-        done = settled.filter(F.col("item_id").isNotNull()).distinct().join(
+        done = settled.filter(F.col("item_id").isNotNull()).join(
             lost.select("feed", "item_id"), ["feed", "item_id"], "left_anti")
-        sent_done = sent.join(done, ["feed", "item_id"], "left_semi")
+        by_data_rule = sent.filter(F.col("feed").isin(*[s.feed for s in specs if s.mark_rule == "data"]))
+        if not failed and reached == taken:     # then all events are among the keys
+            sent_done = by_data_rule.filter(F.col("item_id").isNotNull())
+        else:
+            sent_done = by_data_rule.join(done, ["feed", "item_id"], "left_semi")
 
         held = {f: f in over or f in failed for f in names}
         held_rows = spark.createDataFrame(list(held.items()), "feed string, held boolean")
         old_rows = spark.createDataFrame([(f, old[f]) for f in names], "feed string, last_timestamp bigint")
         by_data = {r["feed"]: r["new_mark"] for r in watermark.data_mark(sent_done, old_rows, "_at", held=held_rows).collect()}
-        by_clock = {r["feed"]: r["new_mark"] for r in watermark.clock_mark(sent, old_rows, now, held=held_rows).collect()}
+        sent_any = spark.createDataFrame([(f,) for f, n in taken.items() if n], "feed string")     # the rule asks for any event
+        by_clock = {r["feed"]: r["new_mark"] for r in watermark.clock_mark(sent_any, old_rows, now, held=held_rows).collect()}
         new = {s.feed: by_data[s.feed] if s.mark_rule == "data" else by_clock[s.feed] if s.mark_rule == "clock" else old[s.feed]
                for s in specs}
         marks = spark.createDataFrame([(s.feed, new[s.feed], (int(now) if s.mode == "snapshot_diff" and not failed.get(s.feed)
@@ -160,7 +168,7 @@ def run_group(spark: SparkSession, specs: list[FeedSpec], source: DataFrame, sta
         fresh = done.filter(F.col("feed").isin(*[s.feed for s in plain]))
         if max_ids:
             first = sent.groupBy("feed", "item_id").agg(F.min("_at").alias("_at"))
-            fresh = S.stamp(fresh.join(first, ["feed", "item_id"], "left"), ["_at", "item_id"], int(now) * 1_000_000)
+            fresh = S.stamp(fresh.distinct().join(first, ["feed", "item_id"], "left"), ["_at", "item_id"], int(now) * 1_000_000)
         else:
             fresh = fresh.select("feed", "item_id", seen.alias("seen_at"))
         base = current
