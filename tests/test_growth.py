@@ -1,0 +1,90 @@
+"""Steps that every feed run shares: what they must not do again for each event, file or empty table."""
+
+import gzip
+import json
+import os
+import random
+
+import pyarrow as pa
+
+from vigil.operators import sink
+from vigil.operators import state as S
+from vigil.plans import feeds, registry as R
+from vigil.sources import event_sink as ES
+from vigil.sources import readers
+from vigil.streaming import snapshots
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_run_without_state_joins_with_nothing(spark):
+    source = spark.range(5).selectExpr(
+        "cast(id as string) id", "false is_deleted", "id updated_epoch")
+    events = feeds.run_incremental(R.REGISTRY["asset"], source, S.empty_state(spark), 100)
+    assert "Join" not in plan(events)
+    assert events.count() == 5
+
+
+def test_outbox_is_read_by_folder_not_file_by_file(spark, tmp_root):
+    for i in range(40):
+        with gzip.open(os.path.join(tmp_root, f"b-{i}.json.gz"), "wt") as f:
+            f.write(json.dumps({"event": {"k": i}, "sourcetype": "s"}))
+    with open(os.path.join(tmp_root, "other.txt"), "w") as f:
+        f.write("no batch")
+    env = sink.read_outbox(spark, f"{tmp_root}/*.json.gz", "k int")
+    relation = env._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+    assert relation.location().rootPaths().size() == 1
+    assert sorted(r.k for r in env.select("event.k").collect()) == list(range(40))
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([('{"severity": "low"}',), ("torn",), ('{"severity": 1}',)], "value string")
+    good = readers.good(readers.parse_vulns(lines))
+    assert plan(good).count("from_json") == 1
+    assert sorted(r.severity for r in good.collect()) == ["1", "low"]
+
+
+def slow_batches(lengths, batch_size, max_bytes, keys):
+    """The batching rule, event by event."""
+    out, start, at, n = [], 0, 0, len(lengths)
+    size = lambda a, b: sum(lengths[a:b]) + b - a - 1
+    while at < n:
+        end = at + 1
+        while keys is not None and end < n and keys[end] == keys[at]:
+            end += 1
+        if end - at <= batch_size and size(at, end) <= max_bytes:
+            if at > start and (end - start > batch_size or size(start, end) > max_bytes):
+                out.append((start, at))
+                start = at
+        else:
+            for i in range(at, end):
+                if i > start and (i - start >= batch_size or size(start, i + 1) > max_bytes):
+                    out.append((start, i))
+                    start = i
+        at = end
+    return out + [(start, n)] if start < n else out
+
+
+def test_batches_are_those_of_the_rule():
+    rnd = random.Random(5)
+    for _ in range(3000):
+        n = rnd.randrange(25)
+        lengths = [rnd.choice((1, 3, 9, 40)) for _ in range(n)]
+        keys = sorted(rnd.choice("abcdef") for _ in range(n))
+        keys[:1] = [None] * min(n, 1)
+        limits = rnd.randrange(1, 8), rnd.choice((5, 20, 60))
+        assert ES.greedy_batches(lengths, *limits) == slow_batches(lengths, *limits, None)
+        for k in (keys, pa.array(keys, pa.string())):
+            assert ES.greedy_batches(lengths, *limits, k) == slow_batches(lengths, *limits, keys)
+
+
+def test_snapshot_counts_read_no_lines(spark, tmp_root):
+    batch = spark.createDataFrame([(f'{{"id": {i}}}', "file:/x/snapshot=1/a.json") for i in range(3)] + [
+        ('{"records": 3}', "file:/x/snapshot=1/manifest.json"), ("{}", "file:/x/snapshot=2/a.json")], "value string, file string")
+    snapshots.stage(batch, f"{tmp_root}/staged", 0)
+    rows = snapshots.progress(spark, f"{tmp_root}/staged", 0)
+    assert sorted((r.snapshot, r.expected, r.arrived) for r in rows.collect()) == [("1", 3, 3), ("2", None, 1)]
+    scans = [x for x in rows._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert all("value" not in x or "is_manifest" in x.split("DataFilters")[1] for x in scans)

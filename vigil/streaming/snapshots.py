@@ -34,9 +34,11 @@ def _rows(spark: SparkSession, staged: str, upto: int) -> DataFrame:
 
 def progress(spark: SparkSession, staged: str, upto: int) -> DataFrame:
     """(snapshot, expected, arrived) of all staged snapshots; ``expected`` is null without a manifest."""
-    return _rows(spark, staged, upto).groupBy("snapshot").agg(
-        F.max(F.when(F.col("is_manifest"), F.get_json_object("value", "$.records").cast("bigint"))).alias("expected"),
-        F.count_if(~F.col("is_manifest")).alias("arrived"))
+    rows = _rows(spark, staged, upto)
+    # the lines themselves are read of manifests only
+    arrived = rows.select("snapshot", F.lit(None).cast("bigint").alias("expected"), (~F.col("is_manifest")).alias("line"))
+    told = rows.filter("is_manifest").select("snapshot", F.get_json_object("value", "$.records").cast("bigint"), F.lit(False))
+    return arrived.union(told).groupBy("snapshot").agg(F.max("expected").alias("expected"), F.count_if("line").alias("arrived"))
 
 
 def newest_complete(spark: SparkSession, staged: str, compared: str, upto: int) -> str | None:
