@@ -16,8 +16,9 @@ an empty result; other columns are passed by.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from .chargrams import code_points, gram_buckets, segment_sums
 from .common import packed, stored, text_batches, text_slices, with_fields, word_hashes, word_spans
 
 FIT_ROWS = 8192                 # bound of the sample the linear scorer is fitted on
+BLOCK_ROWS = 256                # rows of that sample whose sums are worked out at a time
 BUCKETS = 1 << 13
 STAT_BINS = 12
 SCALE = 24.0                    # conditioning of the frequency features
@@ -194,22 +196,47 @@ def _sparse(grams: np.ndarray, stat: np.ndarray) -> bytes:
     return index.tobytes() + value.tobytes()
 
 
-def fit_linear(index: list[np.ndarray], value: list[np.ndarray], target: np.ndarray, rounds: int = 150,
+def fit_linear(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 150,
                step: float = 0.5, ridge: float = 1e-5) -> np.ndarray:
-    """Logistic regression on soft targets, full-batch Adagrad; the last weight is the bias."""
-    row = np.repeat(np.arange(len(index)), [len(i) for i in index])
-    col, val = np.concatenate(index), np.concatenate(value).astype(float)
+    """Logistic regression on soft targets, full-batch Adagrad; the last weight is the bias.
+
+    ``blocks`` are (features per row, buckets, values) of ``BLOCK_ROWS`` rows each, in the order of
+    ``target``; what is worked out beside them is only as long as one block. Sums run over all rows in
+    that order, so the weights do not depend on where blocks end.
+    """
     w, seen = np.zeros(N_FEATURES + 1), np.full(N_FEATURES + 1, 1e-8)
     balance = np.where(target >= 0.5, 0.5 / max((target >= 0.5).mean(), 1e-9), 0.5 / max((target < 0.5).mean(), 1e-9))
     for _ in range(rounds):
-        z = np.bincount(row, val * w[col], len(index)) + w[-1]
-        e = (1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))) - target) * balance
-        g = np.append(np.bincount(col, val * e[row], N_FEATURES), e.sum()) / len(index) + ridge * w
+        error, slope, lo = np.zeros(len(target)), np.zeros(N_FEATURES), 0
+        for sizes, col, val in blocks:
+            hi = lo + len(sizes)
+            at, row = col.astype(np.intp), np.repeat(np.arange(len(sizes)), sizes)
+            z = np.bincount(row, val * w[at], len(sizes)) + w[-1]
+            error[lo:hi] = (1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))) - target[lo:hi]) * balance[lo:hi]
+            np.add.at(slope, at, val * error[lo:hi][row])
+            lo = hi
+        g = np.append(slope, error.sum()) / len(target) + ridge * w
         seen += g * g
         w -= step * g / np.sqrt(seen)
     return w
 
 
+def feature_blocks(rows: Iterable[tuple[int, bytes]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Patterns of (pattern, features) rows, and the features as the blocks of ``fit_linear``.
+
+    Rows are taken one by one; of each only its numbers stay, six bytes for a bucket and its value.
+    """
+    patterns, blocks = [], []
+    rows = iter(rows)
+    while some := list(islice(rows, BLOCK_ROWS)):
+        patterns += [p for p, _ in some]
+        halves = [(memoryview(f)[:len(f) // 2], memoryview(f)[len(f) // 2:]) for _, f in some]
+        blocks.append((np.array([len(a) // 4 for a, _ in halves]),
+                       np.concatenate([np.frombuffer(a, np.int32) for a, _ in halves]).astype(np.uint16),
+                       np.concatenate([np.frombuffer(b, np.float32) for _, b in halves])))
+    return np.array(patterns, np.int64), blocks
+
+
 @dataclass
 class Scorer:
     labels: WeakLabels
@@ -252,16 +279,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_row
     counts = looked.filter(F.col("features").isNull()).groupBy("pattern").agg(F.sum("n").alias("n")).toPandas()
     labels = expectation_maximisation(counts["pattern"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
     # the sample holds about fit_rows rows in expectation; a quarter more is the hard bound
-    sample = looked.filter(F.col("features").isNotNull()).select("pattern", "features").limit(fit_rows * 5 // 4).collect()
-    target = np.array([labels.posterior[r["pattern"]] for r in sample])
+    sample = looked.filter(F.col("features").isNotNull()).select("pattern", "features").toLocalIterator()
+    patterns, blocks = feature_blocks(islice(sample, fit_rows * 5 // 4))
+    target = np.array([labels.posterior[p] for p in patterns.tolist()])
     if not len(target) or target.min() >= 0.5 or target.max() < 0.5:
         return Scorer(labels, None)
-    index, value = [], []
-    for r in sample:
-        half = len(r["features"]) // 2
-        index.append(np.frombuffer(bytes(r["features"][:half]), np.int32))
-        value.append(np.frombuffer(bytes(r["features"][half:]), np.float32))
-    return Scorer(labels, fit_linear(index, value, target))
+    return Scorer(labels, fit_linear(blocks, target))
 
 
 def judge(docs: DataFrame, scorer: Scorer, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
