@@ -5,16 +5,16 @@ cut into units: word marks with a run of letters, or with a run of other charact
 breaks. No piece of the table spans such a cut (``load_pieces`` checks it), so each distinct
 unit is segmented once:
 
-1. tasks count the distinct units of their texts, Spark sums the counts;
+1. rows are dealt to groups, stretches of consecutive rows of a file (``_placed``); tasks count the
+   distinct units of each group, Spark sums the counts and lists the groups of every unit;
 2. the substrings of up to the longest piece's length of every unit are exploded and
    equi-joined to the piece table (``MAX_PIECES`` bounds what is broadcast); a single
    character without a piece keeps an edge at the penalty of unknown characters;
-3. edges are grouped by unit and a higher-order aggregate folds the best path (highest sum
-   of piece scores, at equal sums the longer last piece); unknown characters turn into
-   their byte pieces;
-4. ids go back to the texts: the most frequent units (``FREQUENT`` at most) are one small
-   file that every worker loads from the shared folder, all other units come by a join on
-   (text, unit), for which the texts move compressed.
+3. edges are sorted by unit within the tasks and folded to the best path (highest sum of piece scores, at
+   equal sums the longer last piece); unknown characters turn into their byte pieces;
+4. ids go back to the texts, which stay where they are: the most frequent units (``FREQUENT`` at
+   most) are one small file that every worker loads from the shared folder, all other units go
+   by a shuffle to one small file per group, which the tasks load as they come to its rows.
 
 Scores are those of the model file. Runs are never cut: the few units of more than
 ``MAX_RUN`` characters (unspaced letters, ruled lines, long blanks) stay out of steps 1 to 3
@@ -28,6 +28,7 @@ alike; an empty table gives an empty result; other columns are passed by.
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import zlib
@@ -39,8 +40,9 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
@@ -51,14 +53,18 @@ MAX_PIECES = 1 << 20
 FREQUENT = 1 << 17
 MAX_RUN = 96                    # characters of a unit that goes through the relational lattice
 LONG_KEPT = 4096                # long units whose ids a task remembers, each of that many characters at most
-FLUSH_UNITS = 100_000           # distinct units that a task holds before it hands them on
-CHUNKS = 1 << 16                # stretches between spaces whose units a task remembers
+GROUP_BYTES = 1 << 25           # text of a group, by the mean length of a text
+GROUP_ROWS = 1 << 13            # rows of a group at most
+FLUSH_UNITS = 400_000           # distinct units that a task holds before it hands them on
+CHUNKS = 1 << 17                # stretches between spaces whose ids a task remembers
 MARK = "▁"
 LETTERS, OTHERS = r"[^\W\d_²]", rf"(?:[^\w{MARK}\n]|[\d_²])"     # a piece joins ² and a full stop
 UNIT = re.compile(f"{MARK}*{LETTERS}+|{MARK}*{OTHERS}+|{MARK}+|\n")
 #: The same rule for texts of ASCII and Latin letters only, in plain ranges (a fifth faster)
 PLAIN = re.compile("[\n -~À-ÖØ-öø-ɏ▁]*")
 PLAIN_UNIT = re.compile(f"{MARK}*[A-Za-zÀ-ÖØ-öø-ɏ]+|{MARK}*[!-@\\[-`{{-~]+|{MARK}+|\n")
+PLACES = 1 << 7                 # more than MAX_RUN: places in a unit, as digits of an edge's number
+FOLD_EDGES = 1 << 16            # edges that a task folds at a time
 UNKNOWN_PENALTY = 10.0          # below the lowest score of the table
 
 
@@ -134,25 +140,52 @@ def units_of_chunk(chunk: str) -> list[str]:
     return (PLAIN_UNIT if PLAIN.fullmatch(chunk) else UNIT).findall(MARK + chunk)
 
 
-def distinct_units(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(unit, n) over all texts."""
+def _placed(rows: DataFrame) -> DataFrame:
+    """(id, text) with ``g``, the number of a row's group: consecutive rows of one file.
+
+    A table that is read from files keeps its place in them however it is split into tasks; any other
+    is written first.
+    """
+
+    def with_place(d: DataFrame) -> DataFrame:
+        return d.select("id", "text", F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.row_index").alias("at"))
+    try:
+        told = with_place(rows)
+        # rows that a shuffle has dealt out anew are no longer side by side
+        scattered = "Exchange" in told._jdf.queryExecution().executedPlan().toString()
+    except AnalysisException:
+        scattered = True
+    if scattered:
+        told = with_place(stored(rows, "lattice-texts"))
+    mean = told.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
+    n = max(1, min(GROUP_ROWS, int(GROUP_BYTES / max(mean, 1.0))))
+    return told.select("id", "text", F.pmod(F.xxhash64("file", F.floor(F.col("at") / n)), F.lit(1 << 62)).alias("g"))
+
+
+def group_units(placed: DataFrame) -> DataFrame:
+    """(unit, n, g): counts of the distinct units of each group, in one or more parts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: Counter[str] = Counter()
         odd: Counter[str] = Counter()
 
-        def flush() -> pa.RecordBatch:
-            for chunk, n in chunks.items():
+        def flush(g: int) -> pa.RecordBatch:
+            while chunks:
+                chunk, n = chunks.popitem()
                 for u in units_of_chunk(chunk):
                     if len(u) <= MAX_RUN:
                         odd[u] += n
-            out = pa.RecordBatch.from_arrays([pa.array(list(odd), pa.string()),
-                                              pa.array(list(odd.values()), pa.int64())], ["unit", "n"])
-            chunks.clear()
+            out = pa.RecordBatch.from_arrays([pa.array(list(odd), pa.string()), pa.array(list(odd.values()), pa.int64()),
+                                              pa.array(np.full(len(odd), g))], ["unit", "n", "g"])
             odd.clear()
             return out
+        now = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if (g != now or len(chunks) + len(odd) > FLUSH_UNITS) and (chunks or odd):
+                    yield flush(now)
+                now = g
                 if not text:
                     continue
                 found = chunks_of(text)
@@ -160,68 +193,87 @@ def distinct_units(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     odd.update(u for u in units_of(text) if len(u) <= MAX_RUN)
                 else:
                     chunks.update(found)
-                if len(chunks) + len(odd) > FLUSH_UNITS:
-                    yield flush()
         if chunks or odd:
-            yield flush()
-
-    return docs.select(text_col).mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-
-
-def _best_path(edges: Column) -> Column:
-    """Fold edges sorted by (end, start) to the best edge into every place, then walk back."""
-    place = "struct<s:double,b:int,id:int>"
-    first = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(-1).alias("b"), F.lit(-1).alias("id")).cast(place))
-
-    def step(best: Column, e: Column) -> Column:
-        come = F.struct((F.get(best, e["b"])["s"] + e["s"]).alias("s"), e["b"].alias("b"), e["id"].alias("id")).cast(place)
-        n = F.size(best)
-        return F.when(n == e["e"], F.concat(best, F.array(come))).when(
-            come["s"] > F.get(best, n - 1)["s"], F.concat(F.slice(best, F.lit(1), n - 1), F.array(come))).otherwise(best)
+            yield flush(now)
 
-    return F.aggregate(edges, first, step)
-
-
-def _walk(best: Column) -> Column:
-    """Edges (start, end, id) of the best path, in text order."""
-    empty = F.array().cast("array<struct<b:int,e:int,id:int>>")
-    start = F.struct((F.size(best) - 1).alias("at"), empty.alias("path"))
-
-    def back(acc: Column, p: Column) -> Column:
-        here = F.get(best, p)
-        edge = F.struct(here["b"].alias("b"), p.alias("e"), here["id"].alias("id"))
-        return F.when(acc["at"] == p, F.struct(here["b"].alias("at"), F.concat(F.array(edge), acc["path"]).alias("path"))
-                      ).otherwise(acc)
-
-    places = F.sequence(F.size(best) - 1, F.lit(1), F.lit(-1))
-    return F.aggregate(places, start, back, lambda acc: acc["path"])
+    return placed.select("text", "g").mapInArrow(count, "unit string, n long, g long")
 
 
 def segment(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, n, ids) for distinct units with their counts."""
+    """(unit, n, groups, ids) for distinct units; ids are little-endian 32-bit integers.
+
+    A unit's edges stay in its task and are sorted by one number: the unit's number in the task, start
+    and end. What else is told of a unit goes with its first edge only (of its first character, which
+    is always there).
+    """
     spark = units.sparkSession
     table = F.broadcast(spark.createDataFrame(pieces.rows, "piece string, id int, score double"))
-    spans = units.withColumn("b", F.explode(F.sequence(F.lit(0), F.length("unit") - 1))).withColumn(
+    spans = units.withColumn("u", F.monotonically_increasing_id()).withColumn(
+        "b", F.explode(F.sequence(F.lit(0), F.length("unit") - 1))).withColumn(
         "l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("unit") - F.col("b")))))
     spans = spans.withColumn("piece", F.substring("unit", F.col("b") + 1, F.col("l")))
     edges = spans.join(table, "piece", "left").filter(F.col("id").isNotNull() | (F.col("l") == 1))
-    edge = F.struct((F.col("b") + F.col("l")).alias("e"), "b", F.coalesce("score", F.lit(pieces.unknown)).alias("s"),
-                    F.coalesce("id", F.lit(-1)).alias("id"))
-    # units come hash-partitioned from their count, so this grouping moves nothing
-    grouped = edges.groupBy("unit", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    folded = grouped.select("unit", "n", _best_path(F.col("edges")).alias("best"))
-    path = folded.select("unit", "n", _walk(F.col("best")).alias("path"))
-    byte_ids = F.array(*[F.lit(i) for i in pieces.byte_ids])
-
-    def as_bytes(x: Column) -> Column:
-        digits = F.hex(F.encode(F.substring(F.col("unit"), x["b"] + 1, F.lit(1)), "utf-8"))
-        return F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda k: F.get(
-            byte_ids, F.conv(F.substring(digits, k, F.lit(2)), 16, 10).cast("int")))
-
-    known = F.forall("path", lambda x: x["id"] >= 0)
-    ids = F.when(known, F.transform("path", lambda x: x["id"])).otherwise(F.flatten(F.transform(
-        "path", lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(as_bytes(x)))))
-    return path.select("unit", "n", ids.alias("ids"))
+    place = (F.col("u") * PLACES + F.col("b")) * PLACES + F.col("b") + F.col("l")
+    head = (F.col("b") == 0) & (F.col("l") == 1)
+    told = [F.when(head, F.col(c)).alias(c) for c in ("unit", "n", "groups")]
+    edges = edges.select(place.alias("place"), F.coalesce("score", F.lit(pieces.unknown)).alias("s"),
+                         F.coalesce("id", F.lit(-1)).alias("id"), *told).sortWithinPartitions("place")
+    byte_ids = pieces.byte_ids
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(part: pa.Table) -> pa.RecordBatch:
+            place = part.column("place").to_numpy()
+            ends, starts = place % PLACES, place // PLACES % PLACES
+            heads = np.flatnonzero((starts == 0) & (ends == 1))
+            own = part.take(heads).combine_chunks()
+            paths = best_paths(own.column("unit").to_pylist(), np.diff(heads, append=len(place)).tolist(), starts.tolist(),
+                               ends.tolist(), part.column("s").to_pylist(), part.column("id").to_pylist(), byte_ids)
+            made = own.select(["unit", "n", "groups"]).append_column("ids", pa.array(paths, pa.binary()))
+            return made.combine_chunks().to_batches()[0]
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= FOLD_EDGES:
+                part = pa.Table.from_batches(held)
+                last = int(np.flatnonzero(part.column("place").to_numpy() % (PLACES * PLACES) == 1)[-1])
+                if last:            # the last unit may go on
+                    yield out(part.slice(0, last))
+                held = part.slice(last).to_batches()
+                rows = part.num_rows - last
+        if rows:
+            yield out(pa.Table.from_batches(held))
+
+    return edges.mapInArrow(fold, "unit string, n long, groups array<long>, ids binary")
+
+
+def best_paths(units: list[str], sizes: list[int], starts: list[int], ends: list[int], scores: list[float],
+               idents: list[int], byte_ids: list[int]) -> Iterator[bytes]:
+    """Ids of each unit's best path; ``sizes`` of the edges belong to a unit, in the order of their starts.
+
+    An edge's start has its final score when the edge comes, and at equal sums the edge from the
+    earliest start (the longer piece) stays.
+    """
+    lo = 0
+    for unit, size in zip(units, sizes, strict=True):
+        best, by = [0.0] + [-math.inf] * len(unit), [-1] * (len(unit) + 1)
+        for k in range(lo, lo + size):
+            come, e = best[starts[k]] + scores[k], ends[k]
+            if come > best[e]:
+                best[e], by[e] = come, k
+        lo += size
+        out, e = [], len(unit)
+        while e:
+            k = by[e]
+            if k < 0:
+                raise ValueError("an edge is missing")
+            if idents[k] >= 0:
+                out.append(idents[k])
+            else:
+                out.extend([byte_ids[x] for x in reversed(unit[starts[k]:e].encode())])
+            e = starts[k]
+        out.reverse()
+        yield struct.pack(f"<{len(out)}i", *out)
 
 
 def best_ids(unit: str, pieces: Pieces) -> np.ndarray:
@@ -256,8 +308,9 @@ def best_ids(unit: str, pieces: Pieces) -> np.ndarray:
     return np.frombuffer(out, np.int32)[::-1].astype("<i4")
 
 
-def _frequent_file(known: DataFrame, most: int) -> str:
-    """Write the most frequent units (whole classes of log-count, ``most`` in all) to one shared file."""
+def _unit_files(known: DataFrame, most: int) -> tuple[str, str]:
+    """Write the most frequent units (whole classes of log-count, ``most`` in all) to one shared file, and
+    the others to one folder per group that has them."""
     spark = known.sparkSession
     step = F.floor(F.log2("n") * 16).cast("int")
     sizes = sorted(known.groupBy(step.alias("s")).count().collect(), reverse=True)      # some hundred classes
@@ -267,28 +320,30 @@ def _frequent_file(known: DataFrame, most: int) -> str:
         if total > most:
             break
         least = s
-    chosen = known.filter(step >= least) if least is not None else known.limit(0)
-    path = work_dir(spark, "lattice-frequent")
-    chosen.select("unit", "ids").coalesce(1).write.parquet(path)
-    return path
+    often = step >= least if least is not None else F.lit(False)
+    frequent, by_group = work_dir(spark, "lattice-frequent"), work_dir(spark, "lattice-groups")
+    known.filter(often).select("unit", "ids").repartition(1).write.parquet(frequent)
+    known.filter(~often).select("unit", "ids", F.explode("groups").alias("g")).repartition("g").write.partitionBy(
+        "g").parquet(by_group)
+    return frequent, by_group
 
 
-@lru_cache(maxsize=1)
-def _load_frequent(path: str) -> dict:
-    """Unit -> ids, once per worker; at most FREQUENT entries."""
+def _load_units(path: str) -> dict[str, bytes]:
+    """Unit -> ids of one folder; none if it was not written."""
     import pyarrow.parquet as pq
 
     out: dict[str, bytes] = {}
-    for name in list_files(path, ".parquet"):
+    for name in list_files(path, ".parquet", missing_ok=True):
         with open_input(name) as f:
             for part in pq.ParquetFile(f).iter_batches(65536, columns=["unit", "ids"]):
-                for unit, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    out[unit] = _id_bytes(ids)
+                out.update(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
     return out
 
 
-def _id_bytes(ids: str) -> bytes:
-    return struct.pack(f"<{ids.count(' ') + 1}i", *map(int, ids.split(" ")))
+@lru_cache(maxsize=1)
+def _load_frequent(path: str) -> dict[str, bytes]:
+    """Once per worker; at most FREQUENT entries."""
+    return _load_units(path)
 
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text",
@@ -298,64 +353,22 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     ``finish`` (output columns beside the id, and a function from an Arrow batch of these three to
     those columns) runs in the task that made the ids, so that they need not leave it.
     """
-    text_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    known = stored(segment(distinct_units(rows), pieces).withColumn("ids", F.array_join("ids", " ")), "lattice-units")
-    table = _frequent_file(known, frequent)
-    keyed = rows.withColumn("k", F.xxhash64(F.lit(9), "id", "text"))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = _load_frequent(table)
-
-        def out(keys: list, units: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(units, pa.string())], ["k", "unit"])
-        keys, units = [], []
-        rare_of: dict[str, tuple[str, ...]] = {}
-        for batch in batches:
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not text:
-                    continue
-                found = chunks_of(text)
-                if found is None:
-                    own = {u for u in units_of(text) if len(u) <= MAX_RUN and u not in common}
-                else:
-                    own = set()
-                    for chunk in set(found):
-                        few = rare_of.get(chunk)
-                        if few is None:
-                            if len(rare_of) >= CHUNKS:
-                                rare_of.clear()
-                            few = rare_of[chunk] = tuple(u for u in units_of_chunk(chunk)
-                                                                 if len(u) <= MAX_RUN and u not in common)
-                        own.update(few)
-                keys += [k] * len(own)
-                units += own
-                if len(units) > FLUSH_UNITS // 4:
-                    yield out(keys, units)
-                    keys, units = [], []
-        if units:
-            yield out(keys, units)
-
-    named = stored(keyed.select("k", "text").mapInArrow(rare, "k long, unit string").join(
-        known.select("unit", "ids"), "unit"), "lattice-rare")
-    per_text = named.groupBy("k").agg(F.collect_set(F.struct("unit", "ids")).alias("own"))
+    spark = docs.sparkSession
+    text_batches(spark)
+    placed = _placed(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    units = group_units(placed).repartition("unit").groupBy("unit").agg(
+        F.sum("n").alias("n"), F.collect_set("g").alias("groups"))
+    known = segment(units, pieces)
+    often, by_group = _unit_files(stored(known, "lattice-units"), frequent)
+    spark.sparkContext._jvm.System.gc()     # as in ``stored``: the shuffles behind the files are done with
     kind = docs.schema[id_col].dataType.simpleString()
-    held = docs.sparkSession.sparkContext.broadcast(pieces)
-
-    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zip_ = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            body = [zip_.compress(t.encode()) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(body, pa.binary())], ["id", "k", "body"])
-
-    pressed = keyed.select("id", "k", "text").mapInArrow(press, f"id {kind}, k long, body binary")
-    joined = pressed.join(per_text, "k", "left").select(
-        "id", "body", F.transform("own", lambda x: x["unit"]).alias("units"),
-        F.transform("own", lambda x: x["ids"]).alias("unit_ids"))
+    held = spark.sparkContext.broadcast(pieces)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, unzip = _load_frequent(table), zstandard.ZstdDecompressor()
-        ids_of: dict[str, bytes] = {}
+        common = _load_frequent(often)
+        mine: dict[str, bytes] = {}
+        now = None
+        ids_of: dict[str, bytes] = {}       # of stretches between spaces: the same in every text
         long_of: dict[str, bytes] = {}
 
         def long_ids(unit: str) -> bytes:
@@ -372,30 +385,31 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 some = batch.slice(lo, 256)
-                texts, out = [], []
-                for body, units, own in zip(*[some.column(c).to_pylist() for c in (1, 2, 3)], strict=True):
-                    text = unzip.decompress(body).decode()
-                    mine = {u: _id_bytes(i) for u, i in zip(units, own, strict=True)} if units else {}
+                out = []
+                for text, g in zip(some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
+                    if g != now:
+                        mine, now = _load_units(f"{by_group}/g={g}"), g
                     found = chunks_of(text) if text else []
                     if found is None:
                         parts = [common.get(u) or mine.get(u) or long_ids(u) for u in units_of(text)]
                     else:
                         parts = list(map(ids_of.get, found))
-                        for at, part in enumerate(parts):
-                            if part is None:
-                                chunk, cut = found[at], units_of_chunk(found[at])
-                                parts[at] = b"".join([common.get(u) or mine.get(u) or long_ids(u) for u in cut])
-                                if all(u in common for u in cut):       # the same in every text
-                                    if len(ids_of) >= CHUNKS:
-                                        ids_of.clear()
-                                    ids_of[chunk] = parts[at]
-                    texts.append(text)
+                        if None in parts:
+                            for at, part in enumerate(parts):
+                                if part is None:
+                                    chunk = found[at]
+                                    parts[at] = b"".join([common.get(u) or mine.get(u) or long_ids(u)
+                                                          for u in units_of_chunk(chunk)])
+                                    if len(chunk) <= MAX_RUN:
+                                        if len(ids_of) >= CHUNKS:
+                                            ids_of.clear()
+                                        ids_of[chunk] = parts[at]
                     out.append(np.frombuffer(b"".join(parts), "<i4"))
-                made = pa.RecordBatch.from_arrays([some.column(0), pa.array(texts, pa.string()),
-                                                   pa.array(out, pa.list_(pa.int32()))], ["id", "text", "ids"])
+                made = pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(out, pa.list_(pa.int32()))],
+                                                  ["id", "text", "ids"])
                 yield finish[1](made) if finish else made
 
-    return joined.mapInArrow(fill, f"id {kind}, " + (finish[0] if finish else "text string, ids array<int>"))
+    return placed.mapInArrow(fill, f"id {kind}, " + (finish[0] if finish else "text string, ids array<int>"))
 
 
 def decode_ids(ids: np.ndarray, table: dict[int, bytes]) -> str:
