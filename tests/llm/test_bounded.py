@@ -41,3 +41,30 @@ def test_fit_of_the_scorer_holds_few_bytes_a_feature():
         seen += g * g
         w -= 0.5 * g / np.sqrt(seen)
     assert got.tobytes() == w.tobytes()
+
+
+def test_encoding_shuffles_no_texts_and_takes_any_table(spark, tmp_path, monkeypatch):
+    """Tables read from files, shuffled and made in memory give the same ids; ids join no texts."""
+    from vigil.llm import lattice
+
+    monkeypatch.setattr(lattice, "GROUP_ROWS", 7)       # many groups, some without a rare unit
+    rng = np.random.default_rng(5)
+    common = ["the", "of", "Anblewh", "and,", "été", "a--b", "x\ny"]
+    texts = [" ".join([*rng.choice(common, 30), *(f"w{i}q{rng.integers(9)}z",) * (i % 3), "🙂"]) for i in range(60)]
+    texts += [None, "", " ", "  two", "end ", "▁", texts[0], texts[0], "-" * 300]
+    rows = list(enumerate(texts)) + [(0, texts[1]), (None, texts[2])]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "t")
+    made.repartition(3).write.parquet(path)
+    read = spark.read.parquet(path)
+    pieces = lattice.load_pieces(lattice.model_path())
+    want = sorted((i is None, i or 0, t or "", [int(x) for u in lattice.units_of(t) for x in lattice.best_ids(u, pieces)])
+                  for i, t in rows)
+    for docs in (read, read.select("doc_id", "text"), read.repartition(4), made, read.union(read.limit(0))):
+        for frequent in (0, 5, 1 << 17):
+            out = lattice.encode(docs, pieces, frequent=frequent)
+            assert sorted((r.id is None, r.id or 0, r.text, r.ids) for r in out.collect()) == want
+            if docs is read:    # the result is a scan and one map: no shuffle takes texts to their ids
+                assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+            if frequent and docs is not read:
+                break

@@ -55,6 +55,7 @@ MAX_RUN = 96                    # characters of a unit that goes through the rel
 LONG_KEPT = 4096                # long units whose ids a task remembers, each of that many characters at most
 GROUP_BYTES = 1 << 25           # text of a group, by the mean length of a text
 GROUP_ROWS = 1 << 13            # rows of a group at most
+FLUSH_CHUNKS = 150_000          # distinct stretches between spaces that a task counts before it cuts them
 FLUSH_UNITS = 400_000           # distinct units that a task holds before it hands them on
 CHUNKS = 1 << 17                # stretches between spaces whose ids a task remembers
 MARK = "▁"
@@ -137,6 +138,8 @@ def chunks_of(text: str) -> list[str] | None:
 
 
 def units_of_chunk(chunk: str) -> list[str]:
+    if chunk.isascii() and chunk.isalpha():
+        return [MARK + chunk]
     return (PLAIN_UNIT if PLAIN.fullmatch(chunk) else UNIT).findall(MARK + chunk)
 
 
@@ -170,12 +173,15 @@ def group_units(placed: DataFrame) -> DataFrame:
         chunks: Counter[str] = Counter()
         odd: Counter[str] = Counter()
 
-        def flush(g: int) -> pa.RecordBatch:
+        def cut() -> None:
             while chunks:
                 chunk, n = chunks.popitem()
                 for u in units_of_chunk(chunk):
                     if len(u) <= MAX_RUN:
                         odd[u] += n
+
+        def flush(g: int) -> pa.RecordBatch:
+            cut()
             out = pa.RecordBatch.from_arrays([pa.array(list(odd), pa.string()), pa.array(list(odd.values()), pa.int64()),
                                               pa.array(np.full(len(odd), g))], ["unit", "n", "g"])
             odd.clear()
@@ -183,7 +189,9 @@ def group_units(placed: DataFrame) -> DataFrame:
         now = 0
         for batch in batches:
             for text, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if (g != now or len(chunks) + len(odd) > FLUSH_UNITS) and (chunks or odd):
+                if len(chunks) > FLUSH_CHUNKS:
+                    cut()
+                if (g != now or len(odd) > FLUSH_UNITS) and (chunks or odd):
                     yield flush(now)
                 now = g
                 if not text:
@@ -340,10 +348,16 @@ def _load_units(path: str) -> dict[str, bytes]:
     return out
 
 
+def _words(units: dict[str, bytes]) -> dict[str, bytes]:
+    """The units that are a whole stretch between spaces, without their word mark."""
+    return {u[1:]: ids for u, ids in units.items() if u[0] == MARK and u.count(MARK) == 1}
+
+
 @lru_cache(maxsize=1)
-def _load_frequent(path: str) -> dict[str, bytes]:
-    """Once per worker; at most FREQUENT entries."""
-    return _load_units(path)
+def _load_frequent(path: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """Once per worker; at most FREQUENT entries, and their words."""
+    units = _load_units(path)
+    return units, _words(units)
 
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text",
@@ -357,7 +371,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     text_batches(spark)
     placed = _placed(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     units = group_units(placed).repartition("unit").groupBy("unit").agg(
-        F.sum("n").alias("n"), F.collect_set("g").alias("groups"))
+        F.sum("n").alias("n"), F.collect_list("g").alias("groups"))       # a group told twice does no harm
     known = segment(units, pieces)
     often, by_group = _unit_files(stored(known, "lattice-units"), frequent)
     spark.sparkContext._jvm.System.gc()     # as in ``stored``: the shuffles behind the files are done with
@@ -365,10 +379,11 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     held = spark.sparkContext.broadcast(pieces)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = _load_frequent(often)
+        common, words = _load_frequent(often)
         mine: dict[str, bytes] = {}
         now = None
-        ids_of: dict[str, bytes] = {}       # of stretches between spaces: the same in every text
+        ids_of: dict[str, bytes] = {}       # of stretches between spaces
+        room = 0                            # for those of more than one unit
         long_of: dict[str, bytes] = {}
 
         def long_ids(unit: str) -> bytes:
@@ -388,7 +403,8 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                 out = []
                 for text, g in zip(some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
                     if g != now:
-                        mine, now = _load_units(f"{by_group}/g={g}"), g
+                        mine, now, room = _load_units(f"{by_group}/g={g}"), g, CHUNKS
+                        ids_of = {**words, **_words(mine)}
                     found = chunks_of(text) if text else []
                     if found is None:
                         parts = [common.get(u) or mine.get(u) or long_ids(u) for u in units_of(text)]
@@ -400,10 +416,9 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                                     chunk = found[at]
                                     parts[at] = b"".join([common.get(u) or mine.get(u) or long_ids(u)
                                                           for u in units_of_chunk(chunk)])
-                                    if len(chunk) <= MAX_RUN:
-                                        if len(ids_of) >= CHUNKS:
-                                            ids_of.clear()
+                                    if room and len(chunk) <= MAX_RUN:
                                         ids_of[chunk] = parts[at]
+                                        room -= 1
                     out.append(np.frombuffer(b"".join(parts), "<i4"))
                 made = pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(out, pa.list_(pa.int32()))],
                                                   ["id", "text", "ids"])
