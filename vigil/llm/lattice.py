@@ -55,8 +55,8 @@ MAX_RUN = 96                    # characters of a unit that goes through the rel
 LONG_KEPT = 4096                # long units whose ids a task remembers, each of that many characters at most
 GROUP_BYTES = 1 << 25           # text of a group, by the mean length of a text
 GROUP_ROWS = 1 << 13            # rows of a group at most
-FLUSH_CHUNKS = 150_000          # distinct stretches between spaces that a task counts before it cuts them
-FLUSH_UNITS = 400_000           # distinct units that a task holds before it hands them on
+FLUSH_CHUNKS = 60_000           # distinct stretches between spaces that a task counts before it cuts them
+FLUSH_UNITS = 250_000           # distinct units that a task holds before it hands them on
 CHUNKS = 1 << 17                # stretches between spaces whose ids a task remembers
 MARK = "▁"
 LETTERS, OTHERS = r"[^\W\d_²]", rf"(?:[^\w{MARK}\n]|[\d_²])"     # a piece joins ² and a full stop
@@ -65,7 +65,7 @@ UNIT = re.compile(f"{MARK}*{LETTERS}+|{MARK}*{OTHERS}+|{MARK}+|\n")
 PLAIN = re.compile("[\n -~À-ÖØ-öø-ɏ▁]*")
 PLAIN_UNIT = re.compile(f"{MARK}*[A-Za-zÀ-ÖØ-öø-ɏ]+|{MARK}*[!-@\\[-`{{-~]+|{MARK}+|\n")
 PLACES = 1 << 7                 # more than MAX_RUN: places in a unit, as digits of an edge's number
-FOLD_EDGES = 1 << 16            # edges that a task folds at a time
+FOLD_EDGES = 1 << 14            # edges that a task folds at a time
 UNKNOWN_PENALTY = 10.0          # below the lowest score of the table
 
 
