@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffles_dropped
+
 
 def new_only(events: DataFrame, seen_keys: DataFrame, key_col: str = "item_id") -> DataFrame:
     """Drop an event iff its key is among ``seen_keys.item_id`` (non-expired state).
@@ -19,6 +21,19 @@ def new_only(events: DataFrame, seen_keys: DataFrame, key_col: str = "item_id")
     return events.join(seen, F.col(key_col).cast("string") == F.col("_seen_id"), "left_anti")
 
 
+def met_keys(events: DataFrame, seen_keys: DataFrame, folder: str, key_col: str = "item_id") -> DataFrame:
+    """Those of ``seen_keys`` that ``events`` hold, written to ``folder``; ``new_only`` needs no others.
+
+    Keys only are matched here. The few that a run meets again are then joined by broadcast, so that the records
+    themselves are not sent between tasks for it.
+    """
+    keys = events.select(F.col(key_col).cast("string").alias("item_id"))
+    with shuffles_dropped(events.sparkSession):
+        seen_keys.select(F.col("item_id").cast("string").alias("item_id")).join(keys, "item_id", "left_semi").write.mode(
+            "overwrite").parquet(folder)
+    return events.sparkSession.read.schema("item_id string").parquet(folder)
+
+
 def first_per_key(df: DataFrame, key_col: str, order_cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """First occurrence of each key in ``order_cols`` order.
 

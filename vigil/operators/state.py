@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions import exprs as X
-from ..session import no_rows
+from ..session import no_rows, shuffles_dropped
 from ..sources import paths
 from .ordinal import with_ordinal
 
@@ -228,7 +228,9 @@ def _write_keys(parts: Sequence[DataFrame], root: str, version: int, feeds: Sequ
         paths.delete(spark, f"{root}/keys/v={version}/feed={feed}")
     if not buckets:
         for rows in parts:
-            rows.write.mode("append").partitionBy("feed").parquet(f"{root}/keys/v={version}")  # one write for all feeds
+            with shuffles_dropped(spark):
+                rows.write.mode("append").option("compression", "zstd").partitionBy("feed").parquet(
+                    f"{root}/keys/v={version}")         # one write for all feeds
         return
     for feed in feeds:
         name = f"vigil_state_{uuid.uuid4().hex}"
@@ -236,7 +238,7 @@ def _write_keys(parts: Sequence[DataFrame], root: str, version: int, feeds: Sequ
             # clustered, so that a task writes one bucket; rows that come in these buckets are not moved for it
             (rows.filter(F.col("feed") == feed).select("item_id", "seen_at").repartition(int(buckets), "item_id").write
              .bucketBy(int(buckets), "item_id").sortBy("item_id").option("path", f"{root}/keys/v={version}/feed={feed}")
-             .format("parquet").mode("append").saveAsTable(name))
+             .option("compression", "zstd").format("parquet").mode("append").saveAsTable(name))
         spark.sql(f"DROP TABLE {name}")
 
 

@@ -271,6 +271,9 @@ def failed_batch_resend(spark, d):
                                                      f"{root}/outbox/run=2/feed={spec.feed}/*.gz"], EVENT_SCHEMA))
 
 
+EXPORT_LINES = 100_000      # lines of an export file at most: a gzip file is read by one task
+
+
 @register("landing_run", V(f"""
 SELECT vuln_key, plugin_id, port, protocol, severity FROM v_vulns_keyed WHERE severity IN {ACTIVE_SQL}""",
                            "v_vulns_keyed"))
@@ -319,7 +322,7 @@ def landing_incremental(spark, d):
     early = F.coalesce(F.col("last_found_epoch") <= MARK_1998, F.lit(True))
     sent = []
     for run_no, now, day, part in ((1, MARK_1998, "1998-01-01", early), (2, NOW, "2001-12-01", ~early)):
-        doc.filter(part).select("value").write.text(f"{root}/vulns/ingest_date={day}")
+        sink.write_outbox(doc.filter(part), f"{root}/vulns/ingest_date={day}", "value", EXPORT_LINES)
         src = landing.land_new(spark, "vulns", f"{root}/vulns", f"{root}/typed", f"{root}/rejects")
         run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", now, run_no, [], raw_col="raw",
                  retention_days=LANDED_RETENTION_DAYS)

@@ -109,7 +109,7 @@ def run_incremental(spec: FeedSpec, source: DataFrame, state: DataFrame, now: in
                     retention_days: int = S.DEFAULT_RETENTION_DAYS, include_unlicensed: bool = True,
                     max_events: int = 0, lateness_s: int = 0, within_run: str | None = None,
                     order_cols: tuple[str, ...] = (), version_col: str | None = None,
-                    mark_key: str | None = None, keyset: bool = False) -> DataFrame:
+                    mark_key: str | None = None, keyset: bool = False, met: str | None = None) -> DataFrame:
     """New events of one incremental feed (``feed`` + ``item_id`` + the record columns).
 
     ``version_col`` adds a change marker (e.g. ``updated_epoch``) to the dedup key so
@@ -117,12 +117,16 @@ def run_incremental(spec: FeedSpec, source: DataFrame, state: DataFrame, now: in
 
     ``keyset`` gives one event per key, its earliest, with its place ``_order_key`` behind the epoch; records
     without a key are events of their own.
+
+    ``met`` names a folder for the keys of the state that the source holds: they are found first, by key alone.
     """
     rows = extract(spec, source, mark, include_unlicensed, lateness_s, mark_key)
     if keyset:
         rows = rows.withColumn(P.ORDER_KEY, P.order_key(source.columns))
     rows = dedup.identity_key(rows, "item_id", version_col)
     seen = S.active_keys(state, now, retention_days, feed=spec.feed)
+    if met:
+        seen = dedup.met_keys(rows, seen, met)
     new = dedup.new_only(rows, seen, "item_id")
     if keyset:
         keep = [c for c in new.columns if c not in (P.ORDER_KEY, spec.epoch_col) and not isinstance(

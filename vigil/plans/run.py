@@ -26,7 +26,7 @@ from ..functions import exprs as X
 from ..operators import dedup, metrics, sink, watermark
 from ..operators import state as S
 from ..operators.ordinal import with_ordinal
-from ..session import no_rows
+from ..session import no_rows, shuffles_dropped
 from ..sources import event_sink, paths
 from . import feeds
 from .registry import FeedSpec
@@ -117,6 +117,13 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         raise ValueError("an ordered run is a batch run, of plain keys")
     ordered = bool(keyset and spec.mode == "incremental" and spec.epoch_col and spec.transform is None)
     old_key = None if streaming else S.mark_key(spark, state_base, spec.feed, state_version)
+    capped = bool(max_events and spec.honours_cap)
+    # records that go nowhere but to the sink are not kept: what else is asked of them takes a few columns
+    passing = spec.mode == "incremental" and spec.transform is None and not (
+        streaming or capped or ordered or within_run or max_ids)
+    root = outbox_base.rstrip("/")
+    outbox = f"{root}/run={run_id}/feed={spec.feed}"
+    book = f"{root}/_delivery/run={run_id}/feed={spec.feed}"
     last_full_scan = None
     if spec.mode == "snapshot_diff":
         last_full_scan = _mark(marks, spec.feed, "last_full_scan")
@@ -143,19 +150,16 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
         events = feeds.run_incremental(spec, source, current, now, mark=None if streaming else old,
                                        retention_days=retention_days, include_unlicensed=include_unlicensed,
                                        lateness_s=lateness_s, within_run=within_run, version_col=version_col,
-                                       mark_key=old_key, keyset=ordered)
+                                       mark_key=old_key, keyset=ordered, met=f"{book}/met" if passing else None)
         current_keys = None
-    root = outbox_base.rstrip("/")
-    outbox = f"{root}/run={run_id}/feed={spec.feed}"
-    book = f"{root}/_delivery/run={run_id}/feed={spec.feed}"
     for part in ("retry", "over_cap"):      # what an attempt that was not committed left under this run id
         paths.delete(spark, f"{book}/{part}")
     waiting = pending_events(spark, taken.get("pending"))
     if streaming:   # a key that waits to be sent counts as seen
         events = dedup.new_only(events, waiting)
-    events = events.persist()
-    capped = bool(max_events and spec.honours_cap)
-    held = None
+    if not passing:
+        events = events.persist()
+    held = top = None
     try:
         if capped and not streaming:
             available = events.count()
@@ -182,7 +186,12 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
                     F.lit(None).cast("string").alias("batch_id"), "item_id", F.col("json").alias("event")).write.mode(
                     "overwrite").parquet(f"{book}/over_cap")
                 lines = ranked.filter(F.col("_cap_rn") <= max_events)
-        if available is None:
+        if passing:
+            by_data = spec.epoch_col if spec.mark_rule in ("data", "scans") else None
+            newest = F.max(F.when(F.col("item_id").isNotNull(), F.col(by_data).cast("bigint"))) if by_data else F.lit(None)
+            with shuffles_dropped(spark):
+                available, top = sent.agg(F.count(F.lit(1)), newest).first()
+        elif available is None:
             available = events.count()
         n_events = min(available, max_events) if truncated else available
         deliver(lines, transport.format(outbox=outbox), f"{book}/log", run_id=f"{run_id}",
@@ -208,6 +217,9 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             _keys(spark, f"{book}/over_cap"), "item_id", "left_anti")
         if n_delivered + refused == n_events and not (streaming and truncated):     # then all of them are among the keys
             delivered_events = sent.filter(F.col("item_id").isNotNull())
+            if passing:         # one row with their newest time, which is known by now
+                delivered_events = sent = spark.createDataFrame([(top,)] if n_events else [],
+                                                                f"{spec.epoch_col or 'item_id'} bigint")
         else:
             delivered_events = sent.join(delivered, "item_id", "left_semi")
         seen = F.timestamp_seconds(F.lit(int(now)))
@@ -264,6 +276,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, source: DataFrame, state_base:
             merged.unpersist()
     finally:
         events.unpersist()
+        paths.delete(spark, f"{book}/met")
         if current_keys is not None:
             current_keys.unpersist()
         if held is not None:

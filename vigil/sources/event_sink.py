@@ -31,6 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..functions.exprs import RETRYABLE_STATUS
+from ..session import shuffles_dropped
 from .paths import require_shared
 
 # ---- fixed values: reference defaults ------------------------------------------------
@@ -201,7 +202,8 @@ class EventBatchWriter(DataSourceArrowWriter):
                     fs, path = resolve(folder)
                     fs.create_dir(path, recursive=True)
                     name = f"part-{self.run_id}-{pid:05d}-a{attempt}.parquet"
-                    writers[folder] = (pq.ParquetWriter(f"{path}/{name}", rows.schema, filesystem=fs), f"{folder}/{name}")
+                    writers[folder] = (pq.ParquetWriter(f"{path}/{name}", rows.schema, filesystem=fs, compression="zstd"),
+                                       f"{folder}/{name}")
                 writers[folder][0].write_table(rows)
 
         def flush_slices(values, keys, final: bool):
@@ -340,7 +342,8 @@ def deliver(json_lines, transport: str, delivery_log: str, run_id: str = "0", ba
                        ("dead_letters", dead_letters)):
         if path:
             w = w.option(name, path)
-    w.mode("append").save()
+    with shuffles_dropped(spark):       # the sorted lines are the widest rows of a run
+        w.mode("append").save()
 
 
 DELIVERY_LOG_SCHEMA = ("batch_id string, attempt int, status_code int, event_count bigint, bytes bigint, "

@@ -8,17 +8,24 @@ parses the others and appends them as one batch. A batch counts once its ledger
 went down half-way is done again under the same number. A file that was rewritten in place (other time or length) is
 new, and the lines of its earlier version no longer count.
 The day is that of the file's ``ingest_date=`` folder, or else of its last change; predicates on it prune folders.
+A day's files are read on their own, so their lines go into its folder without being sent between tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from . import paths, readers
 
 LEDGER_DDL = "path string, modificationTime timestamp, length bigint"
 FILE_KEY = ["path", "modificationTime", "length"]
+DAYS_AT_ONCE = 8                            # days of one batch that are written side by side
+TASK_BYTES = (4 << 20, 32 << 20)            # bytes of export files that a task takes, least and most
 
 
 def ledger(spark: SparkSession, table: str) -> DataFrame:
@@ -72,6 +79,15 @@ def landed(spark: SparkSession, source: str, table: str) -> DataFrame:
     return data.drop("file")
 
 
+def _write_day(spark: SparkSession, source: str, files: list[Row], folder: str) -> None:
+    """Parse the files of one day into its folder, few files for many small ones."""
+    lines = spark.read.text([r["path"] for r in files]).select(
+        "value", _path_of(F.col("_metadata.file_path")).alias("file"))
+    size, (least, most) = sum(r["length"] for r in files), TASK_BYTES
+    tasks = math.ceil(size / min(most, max(least, size / spark.sparkContext.defaultParallelism)))
+    readers.PARSERS[source](lines).coalesce(tasks).write.option("compression", "zstd").parquet(folder)
+
+
 def land_new(spark: SparkSession, source: str, path: str, table: str, reject_path: str | None = None) -> DataFrame:
     """Take in the new files of an export and return the typed table.
 
@@ -79,20 +95,22 @@ def land_new(spark: SparkSession, source: str, path: str, table: str, reject_pat
     to ``reject_path``, whole. Without new files nothing is read or written.
     """
     root = table.rstrip("/")
-    fresh = new_files(spark, path, root).collect()      # names of the files that have come since the last run
+    # names of the files that have come since the last run
+    fresh = new_files(spark, path, root).withColumn("day", day_of(F.col("path"), F.col("modificationTime"))).collect()
     if fresh:
         batch = (last_batch(spark, root) or 0) + 1
-        lines = spark.read.text([r["path"] for r in fresh]).select(
-            "value", _path_of(F.col("_metadata.file_path")).alias("file"),
-            day_of(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("ingest_date"))
         folder = f"{root}/data/batch={batch}"
-        # a day's rows meet in few files; a hot day is split by the rebalance
-        readers.PARSERS[source](lines).hint("rebalance", "ingest_date").write.mode("overwrite").partitionBy(
-            "ingest_date").parquet(folder)
+        paths.delete(spark, folder)         # what a run that went down has left
+        days: dict = {}
+        for r in fresh:
+            days.setdefault(r["day"], []).append(r)
+        with ThreadPoolExecutor(min(len(days), DAYS_AT_ONCE)) as pool:
+            list(pool.map(inheritable_thread_target(spark)(lambda day: _write_day(
+                spark, source, days[day], f"{folder}/ingest_date={day}")), days))
         if reject_path:
             bad = readers.rejects(spark.read.parquet(folder))
             if bad.limit(1).count():
                 bad.write.mode("overwrite").parquet(reject_path)
-        spark.createDataFrame([tuple(r) for r in fresh], LEDGER_DDL).write.mode("overwrite").parquet(
+        spark.createDataFrame([tuple(r[k] for k in FILE_KEY) for r in fresh], LEDGER_DDL).write.mode("overwrite").parquet(
             f"{root}/ledger/batch={batch}")
     return landed(spark, source, root)
