@@ -47,7 +47,7 @@ def tables(spark, tmp_root):
     return tmp_root
 
 
-@pytest.mark.parametrize("query", ["landing_incremental"])
+@pytest.mark.parametrize("query", ["landing_run", "landing_incremental"])
 def test_a_landing_query_leaves_less_than_its_plain_lines(spark, tables, monkeypatch, query):
     root = f"{tables}/work"
     monkeypatch.setattr(catalog, "work_dir", lambda spark, name: root)

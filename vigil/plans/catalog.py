@@ -287,7 +287,7 @@ def landing_run(spark, d):
     doc = vuln_source(spark, d).select(F.to_json(F.struct(
         "asset", "plugin", "port", "severity", "state", "is_licensed",
         F.col("last_found_epoch").cast("string").alias("last_found"))).alias("value"))
-    doc.write.text(f"{root}/vulns")
+    sink.write_outbox(doc, f"{root}/vulns", "value", EXPORT_LINES)
     src = readers.land(spark, "vulns", f"{root}/vulns", f"{root}/typed", f"{root}/rejects")
     run_feed(spark, spec, src, f"{root}/state", f"{root}/outbox", NOW, 1, [], retention_days=RET, raw_col="raw")
     sent = readers.good(readers.parse_vulns(sink.read_outbox(spark, f"{root}/outbox/run=1/feed={spec.feed}/*.json.gz")

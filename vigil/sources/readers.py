@@ -89,7 +89,7 @@ def land(spark: SparkSession, source: str, path: str, table: str, reject_path: s
     All feeds of the export read the table: one parse per line, pruned columns, and
     predicates pushed to the scan. Partition columns of the landing zone stay columns.
     """
-    PARSERS[source](spark.read.text(path)).write.mode("overwrite").parquet(table)
+    PARSERS[source](spark.read.text(path)).write.mode("overwrite").option("compression", "zstd").parquet(table)
     landed = spark.read.parquet(table)
     bad = rejects(landed)
     if bad.limit(1).count():
